@@ -10,14 +10,19 @@ leaves form the document.
 from __future__ import annotations
 
 import json
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidefold.functions import jsontext
 from tidefold.model import DELETE, REPLACE, SET
 from tidefold.operators.errors import add_error
 
+# executors need no copy of this package for the two small functions below
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 ROOT = ""
 LEAVES = "array<struct<path:string,value:string>>"
 
