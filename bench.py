@@ -67,7 +67,8 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     path = shared_folder(spark, "bench-log")
-    logs.as_text(logs.orders_log(spark, SF_DIR)).write.parquet(path)
+    # a log lies in more than one file
+    logs.as_text(logs.orders_log(spark, SF_DIR)).repartition(int(CPUS)).write.parquet(path)
     rows = spark.read.parquet(path).count()
     apply_text_log(spark, path, 1)
 

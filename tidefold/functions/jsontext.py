@@ -20,12 +20,12 @@ def canonical(text: Column) -> Column:
 
 def fields(text: Column) -> Column:
     """Top-level fields of a JSON object as MAP<name, JSON text>; null for anything else."""
-    return texts(F.try_variant_get(parse(text), "$", "map<string,variant>"))
+    return texts(members(parse(text)))
 
 
-def object_fields(value: Column) -> Column:
-    """Top-level fields of a VARIANT object as MAP<name, JSON text>."""
-    return texts(F.try_variant_get(value, "$", "map<string,variant>"))
+def members(value: Column) -> Column:
+    """Top-level fields of a VARIANT object as MAP<name, VARIANT>; null for anything else."""
+    return F.try_variant_get(value, "$", "map<string,variant>")
 
 
 def texts(variants: Column) -> Column:

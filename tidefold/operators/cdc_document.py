@@ -11,7 +11,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidefold.functions import jsontext
-from tidefold.model import DELETE, ID, REPLACE, SET, field, log_ord, struct_type
+from tidefold.functions.once import compute_once
+from tidefold.model import DELETE, ID, LOG_POSITION, REPLACE, SET, field, log_ord, struct_type
 from tidefold.operators.cdc_relational import CREATE, READ, REMOVE, UPDATE, check_op, op_code
 from tidefold.operators.errors import add_error
 
@@ -48,50 +49,45 @@ def document_ops(
     df = check_op(df, op, list(handled))
     value = F.col("value")
 
-    # parse each JSON text once, in its own projection
-    df = df.select(
-        "topic",
-        "partition",
-        "offset",
-        "err",
-        op.alias("code"),
-        jsontext.canonical(key_id(df)).alias("key_id"),
-        jsontext.fields(
-            F.when(op.isin(CREATE, READ), field(value, "after")).when(op == UPDATE, field(value, "patch"))
-        ).alias("body"),
+    text = F.when(op.isin(CREATE, READ), field(value, "after")).when(op == UPDATE, field(value, "patch"))
+    df = df.select(*LOG_POSITION, "err", op.alias("code"), key_id(df).alias("key_id"), text.alias("body"))
+    df = compute_once(
+        df, key_id=jsontext.canonical(F.col("key_id")), body=jsontext.members(jsontext.parse(F.col("body")))
     )
-    body = F.map_filter("body", lambda k, _: k != VERSION_MARK)
-    df = df.withColumn("body", body)
 
     body, code = F.col("body"), F.col("code")
-    whole = code.isin(CREATE, READ) | body[ID].isNotNull()
+    patched = (code == UPDATE) & body.isNotNull() & ~F.coalesce(F.map_contains_key(body, ID), F.lit(False))
+    written = F.when(patched, jsontext.members(body[PATCH_SET])).otherwise(
+        F.map_filter(body, lambda k, _: k != VERSION_MARK)
+    )
+    df = compute_once(
+        df,
+        is_object=body.isNotNull(),
+        patch=patched,
+        doc_id=F.to_json(body[ID]),
+        fields=jsontext.texts(written),
+        gone=F.when(patched, F.map_keys(jsontext.members(body[PATCH_UNSET]))),
+    ).drop("body")
+    is_object, is_set = F.col("is_object"), F.coalesce("patch", F.lit(False))
     df = add_error(
         df,
-        F.when(code.isin(CREATE, READ) & body.isNull(), F.lit("after is no JSON object"))
-        .when(code.isin(CREATE, READ) & body[ID].isNull(), F.lit("after holds no _id"))
-        .when((code == UPDATE) & body.isNull(), F.lit("patch is no JSON object"))
-        .when(
-            (code == REMOVE) | ((code == UPDATE) & ~whole),
-            F.when(F.col("key_id").isNull(), F.lit("key id is no JSON text")),
-        ),
+        F.when(code.isin(CREATE, READ) & ~is_object, F.lit("after is no JSON object"))
+        .when(code.isin(CREATE, READ) & F.col("doc_id").isNull(), F.lit("after holds no _id"))
+        .when((code == UPDATE) & ~is_object, F.lit("patch is no JSON object"))
+        .when(((code == REMOVE) | is_set) & F.col("key_id").isNull(), F.lit("key id is no JSON text")),
     )
 
-    none = F.create_map().cast("map<string,string>")
-    patch_set = F.coalesce(jsontext.fields(body[PATCH_SET]), none)
-    patch_unset = F.coalesce(F.map_keys(jsontext.fields(body[PATCH_UNSET])), F.array().cast("array<string>"))
-    is_set = (code == UPDATE) & ~whole
-    sets = F.when(code == REMOVE, none).when(is_set, patch_set).otherwise(body)
-    unsets = F.when(is_set, patch_unset).otherwise(F.array().cast("array<string>"))
+    none, no_names = F.create_map().cast("map<string,string>"), F.array().cast("array<string>")
+    sets = F.when(code == REMOVE, none).otherwise(F.coalesce("fields", none))
+    unsets = F.coalesce("gone", no_names)
     if target == "row":
-        nulls = F.map_from_arrays(unsets, F.transform(unsets, lambda _: F.lit("null")))
         # a field both set and unset keeps what was set
-        fresh = F.map_filter(nulls, lambda k, _: ~F.map_contains_key(sets, k))
-        sets, unsets = F.when(is_set, F.map_concat(sets, fresh)).otherwise(sets), F.array().cast("array<string>")
+        fresh = F.filter(unsets, lambda n: ~F.map_contains_key(sets, n))
+        nulls = F.map_from_arrays(fresh, F.transform(fresh, lambda _: F.lit("null")))
+        sets, unsets = F.when(F.size(fresh) > 0, F.map_concat(sets, nulls)).otherwise(sets), no_names
     return df.select(
-        "topic",
-        "partition",
-        "offset",
-        F.when(whole & (code != REMOVE), jsontext.canonical(body[ID])).otherwise(F.col("key_id")).alias("k"),
+        *LOG_POSITION,
+        F.when(is_set | (code == REMOVE), F.col("key_id")).otherwise(F.col("doc_id")).alias("k"),
         F.when(code == REMOVE, F.lit(DELETE)).when(is_set, F.lit(SET)).otherwise(F.lit(REPLACE)).alias("op"),
         (~is_set & (code != REMOVE)).alias("upsert"),
         sets.alias("sets"),

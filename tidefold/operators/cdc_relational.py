@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidefold.functions.walk import as_struct
-from tidefold.model import DELETE, ID, REPLACE, SET, field, log_ord, struct_type
+from tidefold.model import DELETE, ID, LOG_POSITION, REPLACE, SET, field, log_ord, struct_type
 from tidefold.operators.errors import add_error
 
 # Op codes of change events.
@@ -107,9 +107,7 @@ def relational_ops(
     else:
         doc = after
     return df.select(
-        "topic",
-        "partition",
-        "offset",
+        *LOG_POSITION,
         key.alias("k"),
         case_of(op, built, lambda b: b.op).alias("op"),
         case_of(op, built, lambda b: b.upsert).alias("upsert"),

@@ -36,27 +36,33 @@ def _leaves(node, path: str, out: list) -> list:
     return out
 
 
-@F.pandas_udf(LEAVES)
-def leaves(paths: pd.Series, texts: pd.Series) -> pd.Series:
-    """Leaf paths of a JSON value set at a path; arrays count as leaves."""
+def _leaves_of_batch(paths: pd.Series, texts: pd.Series) -> pd.Series:
     return pd.Series([_leaves(json.loads(t), p, []) for p, t in zip(paths, texts)])
 
 
-@F.pandas_udf("string")
-def nest(entries: pd.Series) -> pd.Series:
-    """JSON document of its (path, JSON text) leaves."""
+def _nest(pairs) -> str:
+    doc: dict = {}
+    for pair in sorted(pairs, key=lambda p: p["path"]):
+        *parents, last = pair["path"].split(".")
+        node = doc
+        for name in parents:
+            node = node.setdefault(name, {})
+        node[last] = json.loads(pair["value"])
+    return json.dumps(doc, separators=(",", ":"), sort_keys=True, ensure_ascii=False)
 
-    def build(pairs):
-        doc: dict = {}
-        for pair in sorted(pairs, key=lambda p: p["path"]):
-            *parents, last = pair["path"].split(".")
-            node = doc
-            for name in parents:
-                node = node.setdefault(name, {})
-            node[last] = json.loads(pair["value"])
-        return json.dumps(doc, separators=(",", ":"), sort_keys=True, ensure_ascii=False)
 
-    return pd.Series([build(e) for e in entries])
+def _nest_batch(entries: pd.Series) -> pd.Series:
+    return pd.Series([_nest(e) for e in entries])
+
+
+def leaves(path: Column | str, text: Column | str) -> Column:
+    """Leaf paths and values of a JSON value set at a path; arrays count as leaves."""
+    return F.pandas_udf(_leaves_of_batch, LEAVES)(path, text)
+
+
+def nest(entries: Column | str) -> Column:
+    """JSON document of an array of its (path, value) leaves."""
+    return F.pandas_udf(_nest_batch, "string")(entries)
 
 
 def check_paths(ops: DataFrame) -> DataFrame:

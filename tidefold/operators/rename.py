@@ -98,17 +98,26 @@ def rename_column(col: Column, dtype: T.DataType, path: str, renamer: Renamer) -
         ]
         return as_struct(col, parts)
     if isinstance(dtype, T.MapType) and isinstance(dtype.keyType, T.StringType):
-        # an entry whose new key is taken, or shared with another entry, keeps its old key
-        def safe(k):
-            new = renamer.map_key(path, k)
-            rivals = F.size(F.filter(F.map_keys(col), lambda o: renamer.map_key(path, o) == new))
-            free = (rivals == 1) & ~F.array_contains(F.map_keys(col), new)
-            return F.when((new != k) & free, new).otherwise(k)
-
-        return F.transform_keys(col, lambda k, _: safe(k))
+        return _rename_keys(col, lambda k: renamer.map_key(path, k))
     return col
 
 
+def _rename_keys(col: Column, new_key) -> Column:
+    """Rename map keys; an entry whose new key is taken, or wanted twice, keeps its old one."""
+    keys = F.map_keys(col)
+
+    def settle(news: Column) -> Column:
+        def one(k: Column, i: Column) -> Column:
+            new = F.get(news, i)
+            wanted = F.size(F.filter(news, lambda n: n == new))
+            return F.when((wanted == 1) & ~F.array_contains(keys, new), new).otherwise(k)
+
+        return F.map_from_arrays(F.transform(keys, one), F.map_values(col))
+
+    # the lambda argument holds the new keys, so that they are worked out once per map
+    return F.transform(F.array(F.transform(keys, new_key)), settle)[0]
+
+
 def rename(df: DataFrame, renamer: Renamer, columns: Sequence[str] = ("key", "value")) -> DataFrame:
     """Rename inside the key and value documents; paths start with the column name."""
     if not renamer:

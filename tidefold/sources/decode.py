@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidefold.functions import jsontext
 from tidefold.functions.normalise import TypeOptions, normalise
+from tidefold.functions.once import compute_once
+from tidefold.functions.walk import as_struct
 from tidefold.operators.errors import add_error
 
 Decoder = Callable[[DataFrame, str], DataFrame]
@@ -37,11 +39,8 @@ class JsonWithSchema:
 
     def __call__(self, df: DataFrame, column: str) -> DataFrame:
         envelope = T.StructType([T.StructField("payload", self.payload)])
-        text = F.col(column)
-        parsed = F.from_json(text, envelope).getField("payload")
-        bad = text.isNotNull() & F.try_parse_json(text).isNull()
-        df = add_error(df, F.when(bad, F.lit(f"{column} is no JSON")))
-        df = df.withColumn(column, parsed)
+        df = _parse(df, column, envelope)
+        df = df.withColumn(column, F.col(column).getField("payload"))
         return normalise(_with_metadata(df, column, self.payload), column, self.options)
 
 
@@ -53,10 +52,7 @@ class JsonPlain:
     options: TypeOptions = TypeOptions()
 
     def __call__(self, df: DataFrame, column: str) -> DataFrame:
-        text = F.col(column)
-        bad = text.isNotNull() & F.try_parse_json(text).isNull()
-        df = add_error(df, F.when(bad, F.lit(f"{column} is no JSON")))
-        df = df.withColumn(column, F.from_json(text, self.schema))
+        df = _parse(df, column, self.schema)
         return normalise(_with_metadata(df, column, self.schema), column, self.options)
 
 
@@ -65,11 +61,10 @@ class JsonRaw:
     """Raw JSON text without a schema: canonical text, checked to be an object."""
 
     def __call__(self, df: DataFrame, column: str) -> DataFrame:
-        text = F.col(column)
-        doc = jsontext.canonical(text)
-        bad = text.isNotNull() & ~F.coalesce(doc.startswith("{"), F.lit(False))
+        df = compute_once(df, _text=jsontext.canonical(F.col(column)))
+        bad = F.col(column).isNotNull() & ~F.coalesce(F.col("_text").startswith("{"), F.lit(False))
         df = add_error(df, F.when(bad, F.lit(f"{column} is no JSON object")))
-        return df.withColumn(column, doc)
+        return df.withColumn(column, F.col("_text")).drop("_text")
 
 
 @dataclass(frozen=True)
@@ -85,6 +80,19 @@ class Avro:
         return normalise(df.withColumn(column, from_avro(F.col(column), self.schema_json)), column, self.options)
 
 
+CORRUPT = "_corrupt"
+
+
+def _parse(df: DataFrame, column: str, schema: T.StructType) -> DataFrame:
+    """Parse JSON text once; text that is no JSON of this schema gets a reason code."""
+    with_mark = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    parsed = F.from_json(F.col(column), with_mark, {"columnNameOfCorruptRecord": CORRUPT})
+    df = compute_once(df, **{column: parsed})
+    doc = F.col(column)
+    df = add_error(df, F.when(doc.getField(CORRUPT).isNotNull(), F.lit(f"{column} is no JSON of its schema")))
+    return df.withColumn(column, as_struct(doc, [doc.getField(f.name).alias(f.name) for f in schema.fields]))
+
+
 def _with_metadata(df: DataFrame, column: str, schema: T.StructType) -> DataFrame:
     """Nested field metadata is lost by from_json; a cast to the same type restores it."""
     return df.withColumn(column, F.col(column).cast(schema))
