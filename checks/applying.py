@@ -11,7 +11,7 @@ from checks.logs import (
     ORDERS_FINAL_SQL, ORDERS_LOG_SQL, PATCH_ROWS_SQL, as_text, envelopes, order_steps, orders_log, patch_log,
     with_log_position,
 )
-from checks.support import cents, check, flat, table
+from checks.support import cents, check, flat, spread, table
 from tidefold.functions import jsontext
 from tidefold.model import DELETE, LOG_POSITION, REPLACE, SET, log_schema
 from tidefold.operators import (
@@ -89,7 +89,7 @@ WHERE NOT EXISTS (SELECT 1 FROM tops t WHERE t.user_id = l.user_id AND t.mark >
 
 def nested_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Patches of nested fields by dotted paths."""
-    e = table(spark, sf_dir, "events")
+    e = spread(table(spark, sf_dir, "events"))
     kind, n, v = F.col("event_type"), F.col("event_id"), cents("value")
     js = lambda *cols: F.to_json(F.struct(*cols))
     path = F.concat(F.lit('{"$set":{"d.p.x'), (n % 5).cast("string"), F.lit('":'), n.cast("string"), F.lit("}}"))
@@ -123,12 +123,15 @@ def merge_nested_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
     ops = nested_ops(spark, sf_dir)
     half = ops.agg(F.max("ord.offset")).first()[0] // 2
     older, newer = ops.filter(F.col("ord.offset") < half), ops.filter(F.col("ord.offset") >= half)
-    target = fold_nested.documents(fold_nested.fold_paths(older))
-    merged = fold_nested.merge_paths(target, newer)
+    older, newer = fold_nested.fold_writes(older), fold_nested.fold_writes(newer)
+    empty = older.select("k", F.lit("").alias("doc")).limit(0)
+    target = fold_nested.merge_paths(empty, older)
+    merged = errors.good(fold_nested.merge_paths(target, newer))
     leaf = merged.select("k", F.explode(jsontext.fields(F.col("doc"))).alias("path", "text")).select(
         "k", F.explode(fold_nested.leaves("path", "text")).alias("l")
     )
-    return leaf.select(F.col("k").cast("bigint").alias("user_id"), "l.path", "l.value")
+    # documents keep emptied parents, which have no leaf
+    return leaf.filter("l.value <> '{}'").select(F.col("k").cast("bigint").alias("user_id"), "l.path", "l.value")
 
 
 @check("order_across_topics", """SELECT event_id % 3 AS part, event_id, row_number() OVER (ORDER BY mono, event_id % 3, event_id) AS place FROM (
@@ -424,6 +427,19 @@ def str_dedup_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@check("str_ingest_rate", """SELECT epoch_ms(time_bucket(INTERVAL 1 DAY, ts)) AS start_ms, count(*) AS n, count(*) / 86400 AS per_sec FROM events GROUP BY 1""")
+def str_ingest_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rate of a stream per day of event time."""
+    schema, out = table(spark, sf_dir, "events").schema, shared_folder(spark, "rate")
+    raw = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    timed = raw.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "1 day")
+    save = lambda df, _: df.write.mode("overwrite").parquet(out)
+    audit.ingest_rate(timed, "ts", "1 day").writeStream.outputMode("complete").foreachBatch(save).option(
+        "checkpointLocation", shared_folder(spark, "checkpoint")
+    ).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(out).select(F.unix_millis("start").alias("start_ms"), "n", "per_sec")
+
+
 # -- audits -----------------------------------------------------------------
 
 

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from checks.support import cents, table
+from checks.support import cents, spread, table
 
 ORDER_IMAGE = "struct<id:bigint,status:string,cents:bigint>"
 
 
 def order_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Steps in the life of each order: inserted, changed, deleted, buried, inserted again."""
-    o = table(spark, sf_dir, "orders")
+    o = spread(table(spark, sf_dir, "orders"))
     k = F.col("o_orderkey")
     seq = lambda n: F.lit(n)
     steps = F.filter(
@@ -97,7 +97,7 @@ FROM orders WHERE o_orderkey % 7 <> 0 OR o_orderkey % 21 = 0"""
 
 def patch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Document change log of events per user: JSON texts in key, after and patch."""
-    e = table(spark, sf_dir, "events")
+    e = spread(table(spark, sf_dir, "events"))
     kind, n = F.col("event_type"), F.col("event_id")
     v = cents("value")
     js = lambda *cols: F.to_json(F.struct(*cols))
@@ -160,7 +160,7 @@ patch_state AS (SELECT user_id, f, e.act AS act, e.v AS v, last_id FROM live)"""
 
 def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested key and value documents, one per order."""
-    o, c = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    o, c = spread(table(spark, sf_dir, "orders")), table(spark, sf_dir, "customer")
     n, r = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     j = (
         o.join(c, o.o_custkey == c.c_custkey)

@@ -115,7 +115,7 @@ def scalar(col: Column, dtype: T.DataType, name: str | None, opts: TypeOptions)
     if name == "local_us":
         return _wall_clock(F.call_function("div", col, F.lit(1000)), opts)
     if name == "zoned":
-        return F.to_timestamp(col)
+        return F.try_to_timestamp(col)
     return col
 
 
@@ -179,6 +179,20 @@ def missing_required(col: Column, dtype: T.StructType, path: str = "") -> list[t
     return found
 
 
+def unreadable(col: Column, dtype: T.StructType, path: str = "") -> list[tuple[Column, str]]:
+    """Conditions under which the text of a time is none."""
+    found = []
+    bad = lambda x: x.isNotNull() & F.try_to_timestamp(x).isNull()
+    for f in dtype.fields:
+        name, value = f"{path}{f.name}", col.getField(f.name)
+        if f.metadata.get("logical") == "zoned":
+            is_list = isinstance(f.dataType, T.ArrayType)
+            found.append((F.exists(value, bad) if is_list else bad(value), f"field {name} is no time"))
+        if isinstance(f.dataType, T.StructType):
+            found += unreadable(value, f.dataType, f"{name}.")
+    return found
+
+
 def unsupported(dtype: T.DataType, path: str = "") -> list[str]:
     """Paths whose types no target takes: containers directly inside containers."""
     inner = lambda t: t.elementType if isinstance(t, T.ArrayType) else t.valueType
@@ -200,7 +214,7 @@ def normalise(df: DataFrame, column: str = "value", opts: TypeOptions = TypeOpti
     if bad:
         raise ValueError(f"unsupported types at {bad}")
     col = F.col(column)
-    errors = missing_required(col, dtype)
+    errors = missing_required(col, dtype) + unreadable(col, dtype)
     if errors:
         df = add_error(df, first_error(*errors))
     return df.withColumn(column, convert(col, dtype, {}, opts))

@@ -1,10 +1,13 @@
 """Patches that address nested fields by dotted paths.
 
-Every write of a path leaves a marker (path, ord) and, when it sets a value, the
-leaves of that value.  A leaf lives when no marker on it or on one of its parents
-is younger than it.  Markers and leaves are reduced per (key, path) before they
-meet, and meet on (key, path): no key is gathered in one task until its live
-leaves form the document.
+The last write per (key, path) is all that can matter: a younger write of a path
+undoes every older one of it.  That reduction has a map-side part, so what is left
+of a key is one row per path ever written, however hot the key is.
+
+From there, either the live leaves are told apart by rule (`fold_paths`): every
+write leaves a marker at its path, and a leaf lives when no marker on it or on one
+of its parents is younger.  Or the writes of a key are applied, in order, to the
+document a target holds (`merge_paths`).
 """
 
 from __future__ import annotations
@@ -14,17 +17,21 @@ import sys
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidefold.functions import jsontext
 from tidefold.model import DELETE, REPLACE, SET
 from tidefold.operators.errors import add_error
 
-# executors need no copy of this package for the two small functions below
+# executors need no copy of this package for the small functions below
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-ROOT = ""
+ROOT, UNSET = "", "unset"
 LEAVES = "array<struct<path:string,value:string>>"
+SCALAR = "path runs through a scalar"
+
+
+def _text(node) -> str:
+    return json.dumps(node, separators=(",", ":"), sort_keys=True, ensure_ascii=False)
 
 
 def _leaves(node, path: str, out: list) -> list:
@@ -32,27 +39,43 @@ def _leaves(node, path: str, out: list) -> list:
         for name, child in node.items():
             _leaves(child, f"{path}.{name}" if path else name, out)
     else:
-        out.append((path, json.dumps(node, separators=(",", ":"), ensure_ascii=False)))
+        out.append((path, _text(node)))
     return out
 
 
 def _leaves_of_batch(paths: pd.Series, texts: pd.Series) -> pd.Series:
-    return pd.Series([_leaves(json.loads(t), p, []) for p, t in zip(paths, texts)])
+    return pd.Series([None if t is None else _leaves(json.loads(t), p, []) for p, t in zip(paths, texts)])
+
+
+def _write(doc: dict, path: str, text: str | None) -> str | None:
+    """Set a path, or remove it where there is no text; tells why it cannot."""
+    *parents, last = path.split(".")
+    for name in parents:
+        if name not in doc and text is None:
+            return None
+        doc = doc.setdefault(name, {})
+        if not isinstance(doc, dict):
+            return SCALAR
+    if text is None:
+        doc.pop(last, None)
+    else:
+        doc[last] = json.loads(text)
+    return None
 
 
-def _nest(pairs) -> str:
-    doc: dict = {}
-    for pair in sorted(pairs, key=lambda p: p["path"]):
-        *parents, last = pair["path"].split(".")
-        node = doc
-        for name in parents:
-            node = node.setdefault(name, {})
-        node[last] = json.loads(pair["value"])
-    return json.dumps(doc, separators=(",", ":"), sort_keys=True, ensure_ascii=False)
+def _applied(text: str | None, writes) -> tuple[str | None, str | None]:
+    doc, err = (None if text is None else json.loads(text)), None
+    for w in writes:
+        if w["path"] == ROOT:
+            doc = {} if w["act"] == REPLACE else None
+        elif doc is not None:
+            err = _write(doc, w["path"], w["text"]) or err
+    return (None if doc is None else _text(doc)), err
 
 
-def _nest_batch(entries: pd.Series) -> pd.Series:
-    return pd.Series([_nest(e) for e in entries])
+def _apply_batch(docs: pd.Series, writes: pd.Series) -> pd.DataFrame:
+    done = [(d, None) if w is None else _applied(d, w) for d, w in zip(docs, writes)]
+    return pd.DataFrame(done, columns=["doc", "err"])
 
 
 def leaves(path: Column | str, text: Column | str) -> Column:
@@ -60,11 +83,6 @@ def leaves(path: Column | str, text: Column | str) -> Column:
     return F.pandas_udf(_leaves_of_batch, LEAVES)(path, text)
 
 
-def nest(entries: Column | str) -> Column:
-    """JSON document of an array of its (path, value) leaves."""
-    return F.pandas_udf(_nest_batch, "string")(entries)
-
-
 def check_paths(ops: DataFrame) -> DataFrame:
     """Numeric path parts address array elements, which patches here cannot."""
     paths = F.concat(F.map_keys("sets"), "unsets")
@@ -79,71 +97,72 @@ def prefixes(path: Column) -> Column:
     return F.concat(F.array(F.lit(ROOT)), heads)
 
 
-def fold_paths(ops: DataFrame) -> DataFrame:
-    """Live leaves of every key after folding into an empty target: k, path, value, ord."""
-    written = F.when(F.col("op").isin(REPLACE, DELETE), F.array(F.lit(ROOT))).otherwise(
-        F.concat(F.map_keys("sets"), "unsets")
-    )
-    markers = (
-        ops.select("k", "op", "ord", F.explode(written).alias("path"))
-        .groupBy("k", "path")
-        .agg(F.max("ord").alias("mark"), F.max_by("op", "ord").alias("op"))
-    )
-    sets = ops.select("k", "ord", F.explode("sets").alias("at", "text"))
-    leaf = (
-        sets.select("k", "ord", F.explode(leaves("at", "text")).alias("l"))
-        .groupBy("k", F.col("l.path").alias("path"))
-        .agg(F.max_by("l.value", "ord").alias("value"), F.max("ord").alias("ord"))
+def written_paths(ops: DataFrame) -> DataFrame:
+    """Last write per (key, path): a whole document counts as a write of the root and of its fields."""
+    row = lambda path, act, text: F.struct(path.alias("path"), act.alias("act"), text.alias("text"))
+    no_text = F.lit(None).cast("string")
+    root = F.when(F.col("op") != SET, row(F.lit(ROOT), F.col("op"), no_text))
+    events = F.concat(
+        F.filter(F.array(root), lambda r: r.isNotNull()),
+        F.transform(F.map_entries("sets"), lambda e: row(e["key"], F.lit(SET), e["value"])),
+        F.transform(
+            F.filter("unsets", lambda p: ~F.map_contains_key("sets", p)), lambda p: row(p, F.lit(UNSET), no_text)
+        ),
     )
-    by_prefix = leaf.select("k", "path", "value", "ord", F.explode(prefixes(F.col("path"))).alias("prefix"))
-    # patches do nothing where there is no document: a live root must be a replacement
-    met = by_prefix.join(
-        markers.select("k", F.col("path").alias("prefix"), "mark", "op"), ["k", "prefix"], "left"
+    return (
+        ops.select("k", "ord", F.explode(events).alias("e"))
+        .groupBy("k", F.col("e.path").alias("path"))
+        .agg(F.max("ord").alias("ord"), F.max_by(F.struct("e.act", "e.text"), "ord").alias("last"))
+        .select("k", "path", "ord", "last.act", "last.text")
     )
-    judged = met.groupBy("k", "path").agg(
-        F.first("value").alias("value"),
-        F.first("ord").alias("ord"),
-        F.max("mark").alias("mark"),
-        F.max(F.when(F.col("prefix") == ROOT, F.col("op"))).alias("root"),
-    )
-    return judged.filter((F.col("root") == REPLACE) & (F.col("mark") <= F.col("ord"))).select(
-        "k", "path", "value", "ord"
-    )
-
 
-def documents(live: DataFrame) -> DataFrame:
-    """JSON documents of live leaves; one document is the bound on what is gathered."""
-    entries = F.collect_list(F.struct("path", "value")).alias("e")
-    return live.groupBy("k").agg(entries).select("k", nest("e").alias("doc"))
 
-
-def conflicts(live: DataFrame) -> DataFrame:
-    """Leaves below another live leaf: the store refuses paths through a scalar."""
-    parents = live.select("k", "path", F.explode(prefixes(F.col("path"))).alias("prefix")).filter(
-        "prefix <> path AND prefix <> ''"
+def fold_paths(ops: DataFrame) -> DataFrame:
+    """Live leaves of every key after folding into an empty target: k, path, value, ord."""
+    writes = written_paths(ops).withColumn("leaves", leaves("path", "text"))
+    # each write gives its marker, and each of its leaves once per parent to meet their markers
+    row = lambda at, path, value: F.struct(at.alias("at"), path.alias("path"), value.alias("value"))
+    no_text = F.lit(None).cast("string")
+    under = lambda l: F.transform(prefixes(l["path"]), lambda p: row(p, l["path"], l["value"]))
+    marker = F.array(row(F.col("path"), no_text, no_text))
+    rows = F.concat(marker, F.coalesce(F.flatten(F.transform("leaves", under)), F.array().cast(
+        "array<struct<at:string,path:string,value:string>>")))
+    met = writes.select("k", "ord", "act", F.explode(rows).alias("r")).select("k", "ord", "act", "r.*")
+
+    place, is_mark = Window.partitionBy("k", "at"), F.col("path").isNull()
+    judged = met.select(
+        "k", "at", "path", "value", "ord",
+        F.max(F.when(is_mark, F.col("ord"))).over(place).alias("mark"),
+        F.max(F.when(is_mark & (F.col("at") == ROOT), F.col("act"))).over(place).alias("root"),
     )
-    return parents.join(live.select("k", F.col("path").alias("prefix")), ["k", "prefix"], "left_semi").select(
-        "k", "path", F.lit("path runs through a scalar").alias("err")
+    live = judged.filter("path IS NOT NULL").groupBy("k", "path", "ord").agg(
+        F.first("value").alias("value"), F.max("mark").alias("mark"), F.max("root").alias("root")
     )
-
-
-def target_ops(target: DataFrame) -> DataFrame:
-    """The documents of a target as replacements older than any operation."""
-    return target.select(
-        "k",
-        F.lit(REPLACE).alias("op"),
-        F.lit(True).alias("upsert"),
-        jsontext.fields(F.col("doc")).alias("sets"),
-        F.array().cast("array<string>").alias("unsets"),
-        F.struct(F.lit(-1).cast("bigint").alias("offset"), F.lit(0).alias("sub")).alias("ord"),
+    # patches do nothing where there is no document: the last write of the root must be one
+    alive = (F.col("root") == REPLACE) & (F.col("mark") <= F.col("ord"))
+    return live.filter(alive).select("k", "path", "value", "ord")
+
+
+def fold_writes(ops: DataFrame) -> DataFrame:
+    """One row per key: the writes that can still matter, in the order they apply."""
+    key, root = Window.partitionBy("k"), F.when(F.col("path") == ROOT, F.col("ord"))
+    left = written_paths(ops).withColumn("reset_ord", F.max(root).over(key))
+    left = left.filter(F.col("reset_ord").isNull() | (F.col("ord") >= F.col("reset_ord")))
+    ordered = F.sort_array(F.collect_list(F.struct("ord", "path", "act", "text")))
+    return left.groupBy("k").agg(ordered.alias("w")).select(
+        "k", F.transform("w", lambda x: F.struct(x["path"].alias("path"), x["act"].alias("act"), x["text"].alias("text"))).alias("writes")
     )
 
 
-def merge_paths(target: DataFrame, ops: DataFrame) -> DataFrame:
-    """Documents after applying nested patches to those of a target."""
-    columns = ["k", "op", "upsert", "sets", "unsets", "ord"]
-    touched = ops.select("k").distinct()
-    base = target.join(touched, "k", "left_semi")
-    rest = target.join(touched, "k", "left_anti").select("k", "doc")
-    changed = documents(fold_paths(target_ops(base).select(columns).unionByName(ops.select(columns))))
-    return rest.unionByName(changed)
+def merge_paths(target: DataFrame, delta: DataFrame, on: tuple[str, ...] = ("k",)) -> DataFrame:
+    """Apply `fold_writes` changes to JSON documents: the keys, `doc` and `err`.
+
+    A write through a scalar is left out and named in `err`, as the store refuses it.
+    """
+    j = target.select(*on, "doc").join(delta.select(*on, "writes"), list(on), "full_outer")
+    # documents without a change pass beside Python, not through it
+    has_change = F.col("writes").isNotNull()
+    applied = F.pandas_udf(_apply_batch, "doc string, err string")(F.when(has_change, F.col("doc")), "writes")
+    merged = j.withColumn("a", applied)
+    doc = F.when(has_change, F.col("a.doc")).otherwise(F.col("doc"))
+    return merged.select(*on, doc.alias("doc"), F.col("a.err").alias("err")).filter("doc IS NOT NULL")
