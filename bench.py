@@ -45,7 +45,7 @@ def drain(df) -> None:
 
 
 def apply_text_log(spark: SparkSession, path: str, batches: int) -> None:
-    envelope = T._parse_datatype_string(f"op string, before {logs.ORDER_IMAGE}, after {logs.ORDER_IMAGE}")
+    envelope = T.StructType.fromDDL(f"op string, before {logs.ORDER_IMAGE}, after {logs.ORDER_IMAGE}")
     log = dec.decode(spark.read.parquet(path), dec.JsonPlain(records.KEY_TYPE), dec.JsonPlain(envelope))
     log = errors.good(log)
     table = applying.new_table(spark, "bench")

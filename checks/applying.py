@@ -206,24 +206,21 @@ def merge_delete_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- tables -----------------------------------------------------------------
 
-ON = ["_bucket", "k"]
-
-
 def latest_into(target: DataFrame | None, delta: DataFrame) -> DataFrame:
-    target = target if target is not None else delta.select(*ON, "doc").limit(0)
-    return merge.merge_latest(target, delta, ON)
+    target = target if target is not None else delta.select("k", "doc").limit(0)
+    return merge.merge_latest(target, delta)
 
 
 def columns_into(target: DataFrame | None, delta: DataFrame) -> DataFrame:
     if target is None:
         doc = F.struct(*[F.col(f"cols.{c}.v").alias(c) for c in delta.schema["cols"].dataType.names])
-        target = delta.select(*ON, doc.alias("doc")).limit(0)
-    return merge.merge_columns(target, delta, ON)
+        target = delta.select("k", doc.alias("doc")).limit(0)
+    return merge.merge_columns(target, delta)
 
 
 def fields_into(target: DataFrame | None, delta: DataFrame) -> DataFrame:
-    target = target if target is not None else delta.select(*ON, F.lit("").alias("doc")).limit(0)
-    return merge.merge_fields(target, delta, ON)
+    target = target if target is not None else delta.select("k", F.lit("").alias("doc")).limit(0)
+    return merge.merge_fields(target, delta)
 
 
 def fold_rows(log: DataFrame) -> DataFrame:
@@ -243,8 +240,8 @@ def apply_doc_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON text log, decoded, folded and merged into a stored collection in two batches."""
     t = new_table(spark, "orders")
     log = as_text(orders_log(spark, sf_dir))
-    key, value = dec.JsonPlain(T._parse_datatype_string("id bigint")), dec.JsonPlain(
-        T._parse_datatype_string("op string, before struct<id:bigint,status:string,cents:bigint>, after struct<id:bigint,status:string,cents:bigint>")
+    key, value = dec.JsonPlain(T.StructType.fromDDL("id bigint")), dec.JsonPlain(
+        T.StructType.fromDDL("op string, before struct<id:bigint,status:string,cents:bigint>, after struct<id:bigint,status:string,cents:bigint>")
     )
     early, late = first_half(errors.good(dec.decode(log, key, value)))
     st.apply_batch(t, early, fold_orders, latest_into, 0, fence=False)

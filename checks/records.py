@@ -20,7 +20,7 @@ KEY_TYPE = T.StructType([T.StructField("id", T.LongType())])
 
 
 def value_type() -> T.StructType:
-    return T._parse_datatype_string(ENVELOPE)
+    return T.StructType.fromDDL(ENVELOPE)
 
 
 def log_rows(df: DataFrame) -> DataFrame:

@@ -31,7 +31,7 @@ LOG_META_SCHEMA = T.StructType(
 
 def log_schema(key: T.DataType | str, value: T.DataType | str) -> T.StructType:
     """Change-log schema with the given key and value types."""
-    parse = lambda t: T._parse_datatype_string(t) if isinstance(t, str) else t
+    parse = lambda t: T.StructType.fromDDL(t) if isinstance(t, str) else t
     return T.StructType(
         LOG_META_SCHEMA.fields
         + [T.StructField("key", parse(key)), T.StructField("value", parse(value))]

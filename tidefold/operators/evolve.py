@@ -102,7 +102,7 @@ def infer(docs: DataFrame, column: str = "doc") -> T.StructType:
     """
     text = docs.select(F.schema_of_variant_agg(F.parse_json(F.col(column))).alias("s")).first()["s"]
     text = text.replace("OBJECT<", "STRUCT<")
-    dtype = T._parse_datatype_string(text) if text and text not in ("VOID", "VARIANT") else T.StructType()
+    dtype = T.StructType.fromDDL(text) if text and text not in ("VOID", "VARIANT") else T.StructType()
     return _plain(dtype) if isinstance(dtype, T.StructType) else T.StructType()
 
 

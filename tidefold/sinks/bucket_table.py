@@ -7,7 +7,7 @@ only; applying a batch id again overwrites its own version.
 
     <path>/data/v=<batch>/_bucket=<b>/...    rows
     <path>/offsets/batch=<batch>/...         last applied offset per topic partition
-    <path>/manifest/batch=<batch>/...        one row per bucket
+    <path>/manifest/batch=<batch>/...        one JSON text
 
 Size the number of buckets so that one bucket is one task's work (some 256 MB):
 rows are spread by a hash of their unique key, so buckets stay even.
@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Sequence
-from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 
@@ -28,9 +27,7 @@ from tidefold.operators.merge import last_offsets
 from tidefold.sinks import folders
 
 BUCKET = "_bucket"
-MANIFEST = "bucket int, version bigint, schema string"
 OFFSETS = "topic string, partition int, offset bigint"
-NO_BUCKET = -1
 
 Merge = Callable[[DataFrame, DataFrame], DataFrame]
 
@@ -43,18 +40,20 @@ class Manifest:
     schema: str
     versions: dict[int, tuple[int, str]]
 
+    def text(self) -> str:
+        schemas = sorted({s for _, s in self.versions.values()})
+        versions = {b: (v, schemas.index(s)) for b, (v, s) in sorted(self.versions.items())}
+        return json.dumps({"batch": self.batch, "schema": self.schema, "schemas": schemas, "versions": versions})
 
-@contextmanager
-def _conf(spark: SparkSession, **settings: str):
-    names = {k.replace("__", "."): v for k, v in settings.items()}
-    before = {k: spark.conf.get(k, None) for k in names}
-    for k, v in names.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    @staticmethod
+    def of(text: str) -> "Manifest":
+        m = json.loads(text)
+        versions = {int(b): (v, m["schemas"][s]) for b, (v, s) in m["versions"].items()}
+        return Manifest(m["batch"], m["schema"], versions)
+
+
+def _with_bucket(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
 
 
 @dataclass(frozen=True)
@@ -65,7 +64,11 @@ class BucketTable:
     buckets: int = 15
 
     def bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int").alias(BUCKET)
+        """The partition a shuffle by the key would give the row: then one task holds one bucket."""
+        return F.pmod(F.hash(*self.keys), F.lit(self.buckets)).alias(BUCKET)
+
+    def by_bucket(self, df: DataFrame) -> DataFrame:
+        return df.repartition(self.buckets, *self.keys)
 
     # -- reading ------------------------------------------------------------
 
@@ -78,19 +81,18 @@ class BucketTable:
         ]
         if not done:
             return None
-        batch = max(done)
-        rows = self.spark.read.schema(MANIFEST).json(f"{base}/batch={batch}").collect()
-        schema = next(r["schema"] for r in rows if r["bucket"] == NO_BUCKET)
-        versions = {r["bucket"]: (r["version"], r["schema"]) for r in rows if r["bucket"] != NO_BUCKET}
-        return Manifest(batch, schema, versions)
+        text = self.spark.read.text(f"{base}/batch={max(done)}", wholetext=True).first()[0]
+        return Manifest.of(text)
 
     def schema(self) -> T.StructType | None:
         m = self.manifest()
         return T.StructType.fromJson(json.loads(m.schema)) if m else None
 
-    def read(self, buckets: Sequence[int] | None = None, with_bucket: bool = False) -> DataFrame | None:
+    def read(
+        self, buckets: Sequence[int] | None = None, with_bucket: bool = False, at: Manifest | None = None
+    ) -> DataFrame | None:
         """Current rows, of the given buckets only if any are named; None before the first write."""
-        m = self.manifest()
+        m = at or self.manifest()
         if m is None:
             return None
         want = T.StructType.fromJson(json.loads(m.schema))
@@ -99,42 +101,38 @@ class BucketTable:
         for b, (version, schema) in sorted(chosen.items()):
             by_schema.setdefault(schema, []).append(f"{self.path}/data/v={version}/{BUCKET}={b}")
         parts = [self._load(schema, paths, want) for schema, paths in by_schema.items()]
-        full = T.StructType([*want.fields, T.StructField(BUCKET, T.IntegerType())])
-        df = reduce(DataFrame.unionByName, parts) if parts else self.spark.createDataFrame([], full)
+        df = reduce(DataFrame.unionByName, parts) if parts else self.spark.createDataFrame([], _with_bucket(want))
         return df if with_bucket else df.drop(BUCKET)
 
     def _load(self, schema: str, paths: list[str], want: T.StructType) -> DataFrame:
         stored = T.StructType.fromJson(json.loads(schema))
-        typed = T.StructType([*stored.fields, T.StructField("v", T.LongType()), T.StructField(BUCKET, T.IntegerType())])
+        typed = _with_bucket(T.StructType([*stored.fields, T.StructField("v", T.LongType())]))
         df = self.spark.read.schema(typed).option("basePath", f"{self.path}/data").parquet(*paths).drop("v")
-        return grow(df, T.StructType([*want.fields, T.StructField(BUCKET, T.IntegerType())]))
+        return grow(df, _with_bucket(want))
 
-    def offsets(self) -> DataFrame | None:
+    def offsets(self, at: Manifest | None = None) -> DataFrame | None:
         """Last applied offset per topic partition; None when none were recorded."""
-        m = self.manifest()
-        at = f"{self.path}/offsets/batch={m.batch}" if m else ""
-        return self.spark.read.schema(OFFSETS).parquet(at) if m and folders.exists(self.spark, at) else None
+        m = at or self.manifest()
+        path = f"{self.path}/offsets/batch={m.batch}" if m else ""
+        return self.spark.read.schema(OFFSETS).parquet(path) if m and folders.exists(self.spark, path) else None
 
     # -- writing ------------------------------------------------------------
 
     def apply(self, delta: DataFrame, merge: Merge, batch: int, log: DataFrame | None = None) -> None:
         """Merge one change per key into the table and publish the result as `batch`.
 
-        `merge(target, delta)` joins on `_bucket` and the key columns.  `log` are the
-        records the changes came from; their offsets are recorded with the batch.
+        `merge(target, delta)` joins on the key; its target is None before the first write.
+        `log` are the records the changes came from; their offsets are recorded with the batch.
         """
         before = self.manifest()
         if before and before.batch >= batch:
             # published earlier: an unfinished write of a batch leaves no manifest
             return
-        delta = delta.withColumn(BUCKET, self.bucket()).persist()
+        delta = delta.persist()
         try:
-            touched = [r[0] for r in delta.select(BUCKET).distinct().collect()]
-            base = self.read(touched, with_bucket=True)
-            # both sides meet partitioned by bucket, so each bucket is written by one task
-            n = max(self.buckets, 1)
-            delta_in = delta.repartition(n, BUCKET)
-            rows = merge(base.repartition(n, BUCKET) if base is not None else None, delta_in)
+            touched = [r[0] for r in delta.select(self.bucket()).distinct().collect()]
+            base = self.read(touched, at=before) if before else None
+            rows = merge(None if base is None else self.by_bucket(base), self.by_bucket(delta))
             self._publish(rows, batch, touched, before, log)
         finally:
             delta.unpersist()
@@ -142,8 +140,7 @@ class BucketTable:
     def overwrite(self, rows: DataFrame, batch: int) -> None:
         """Replace all rows."""
         before = self.manifest()
-        rows = rows.withColumn(BUCKET, self.bucket()).repartition(max(self.buckets, 1), BUCKET)
-        self._publish(rows, batch, list(before.versions) if before else [], before, None)
+        self._publish(self.by_bucket(rows), batch, list(before.versions) if before else [], before, None)
 
     def truncate(self, batch: int) -> None:
         """Drop all rows and keep the schema."""
@@ -152,13 +149,11 @@ class BucketTable:
             self._write_manifest(Manifest(batch, before.schema, {}))
 
     def _publish(self, rows, batch: int, touched: list[int], before: Manifest | None, log) -> None:
-        stored = T.StructType([f for f in rows.schema.fields if f.name != BUCKET])
-        schema = stored.json()
+        schema = rows.schema.json()
         data = f"{self.path}/data/v={batch}"
-        with _conf(self.spark, spark__sql__requireAllClusterKeysForCoPartition="false"):
-            rows.write.mode("overwrite").partitionBy(BUCKET).parquet(data)
+        rows.withColumn(BUCKET, self.bucket()).write.mode("overwrite").partitionBy(BUCKET).parquet(data)
         if log is not None:
-            seen = last_offsets(log, self.offsets())
+            seen = last_offsets(log, self.offsets(before) if before else None)
             seen.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/offsets/batch={batch}")
         written = {
             int(n.split("=")[1]) for n in folders.children(self.spark, data) if n.startswith(f"{BUCKET}=")
@@ -170,9 +165,8 @@ class BucketTable:
         self._write_manifest(Manifest(batch, schema, versions))
 
     def _write_manifest(self, m: Manifest) -> None:
-        rows = [(NO_BUCKET, m.batch, m.schema), *[(b, v, s) for b, (v, s) in sorted(m.versions.items())]]
-        out = self.spark.createDataFrame(rows, MANIFEST).coalesce(1)
-        out.write.mode("overwrite").json(f"{self.path}/manifest/batch={m.batch}")
+        out = self.spark.range(1, numPartitions=1).select(F.lit(m.text()).alias("value"))
+        out.write.mode("overwrite").text(f"{self.path}/manifest/batch={m.batch}")
 
     def expire(self) -> None:
         """Remove the files no reader of the current manifest needs."""
