@@ -70,7 +70,8 @@ def main() -> None:
     # a log lies in more than one file
     logs.as_text(logs.orders_log(spark, SF_DIR)).repartition(int(CPUS)).write.parquet(path)
     rows = spark.read.parquet(path).count()
-    apply_text_log(spark, path, 1)
+    for _ in range(2):
+        apply_text_log(spark, path, 2)
 
     seconds = {
         "apply_empty_target": timed(lambda: apply_text_log(spark, path, 1)),

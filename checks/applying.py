@@ -8,7 +8,7 @@ from checks.changes import (
     USER_COLUMNS, USER_ROWS_SQL, document, empty_rows, op_rows, relational, typed_partial, users,
 )
 from checks.logs import (
-    ORDERS_FINAL_SQL, ORDERS_LOG_SQL, PATCH_ROWS_SQL, as_text, envelopes, order_steps, orders_log, patch_log,
+    ORDER_IMAGE, ORDERS_FINAL_SQL, ORDERS_LOG_SQL, PATCH_ROWS_SQL, as_text, envelopes, order_steps, orders_log, patch_log,
     with_log_position,
 )
 from checks.support import cents, check, flat, spread, table
@@ -22,6 +22,8 @@ from tidefold.sinks.bucket_table import BucketTable
 from tidefold.sinks.folders import shared_folder
 from tidefold.sources import changelog, decode as dec
 from tidefold.streaming import apply as st
+from tidefold.plans.settings import Settings
+from tidefold.streaming.sink import ConfiguredSink
 
 FINAL = f"WITH final AS ({ORDERS_FINAL_SQL}) "
 
@@ -240,9 +242,8 @@ def apply_doc_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON text log, decoded, folded and merged into a stored collection in two batches."""
     t = new_table(spark, "orders")
     log = as_text(orders_log(spark, sf_dir))
-    key, value = dec.JsonPlain(T.StructType.fromDDL("id bigint")), dec.JsonPlain(
-        T.StructType.fromDDL("op string, before struct<id:bigint,status:string,cents:bigint>, after struct<id:bigint,status:string,cents:bigint>")
-    )
+    envelope = T.StructType.fromDDL(f"op string, before {ORDER_IMAGE}, after {ORDER_IMAGE}")
+    key, value = dec.JsonPlain(T.StructType.fromDDL("id bigint")), dec.JsonPlain(envelope)
     early, late = first_half(errors.good(dec.decode(log, key, value)))
     st.apply_batch(t, early, fold_orders, latest_into, 0, fence=False)
     st.apply_batch(t, late, fold_orders, latest_into, 1, fence=False)
@@ -261,13 +262,19 @@ def apply_row_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 @check("apply_multi_target", FINAL + f""", {PATCH_ROWS_SQL.strip()} SELECT 'even' AS target, count(*) AS n, CAST(sum(cents) AS BIGINT) AS total FROM final WHERE id % 2 = 0
   UNION ALL SELECT 'odd', count(*), CAST(sum(cents) AS BIGINT) FROM final WHERE id % 2 = 1""")
 def apply_multi_target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One log, read once, feeds two tables."""
-    log = orders_log(spark, sf_dir).withColumn("topic", F.concat(F.lit("shop.p"), F.col("partition")))
-    log = rte.route(log, {"shop.p0": "even", "shop.p2": "even"}, "odd")
-    tables = {n: new_table(spark, n) for n in ("even", "odd")}
-    st.apply_targets(tables, log, {n: (fold_orders, latest_into) for n in tables}, 0)
-    totals = lambda n: state(tables[n].read()).agg(
-        F.lit(n).alias("target"), F.count(F.lit(1)).alias("n"), F.sum("cents").alias("total")
+    """A configured sink takes a log of JSON text with four topics into two tables."""
+    log = as_text(orders_log(spark, sf_dir)).withColumn("topic", F.concat(F.lit("shop.p"), F.col("partition")))
+    settings = Settings({
+        "cdc.handler": "postgres", "database": "dw", "route": "odd", "route.shop.p0": "even", "route.shop.p2": "even",
+    })
+    envelope = T.StructType.fromDDL(f"op string, before {ORDER_IMAGE}, after {ORDER_IMAGE}")
+    sink = ConfiguredSink(
+        spark, settings, shared_folder(spark, "sink"),
+        key_decoder=dec.JsonPlain(T.StructType.fromDDL("id bigint")), value_decoder=dec.JsonPlain(envelope),
+    )
+    sink.apply(log, 0)
+    totals = lambda n: sink.table(n).read().agg(
+        F.lit(n).alias("target"), F.count(F.lit(1)).alias("n"), F.sum("doc.cents").alias("total")
     )
     return totals("even").unionByName(totals("odd"))
 
@@ -467,6 +474,15 @@ def qa_pk_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.duplicate_keys(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+@check("qa_split_keys", """SELECT user_id FROM events GROUP BY user_id HAVING count(DISTINCT event_id % 2) > 1""")
+def qa_split_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users whose events lie in more than one partition of a log that is not keyed by user."""
+    ops = table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("k"), F.lit("t").alias("topic"), (F.col("event_id") % 2).alias("partition")
+    )
+    return audit.split_keys(ops).select(F.col("k").alias("user_id"))
+
+
 @check("qa_ingest_rate", """SELECT epoch_ms(time_bucket(INTERVAL 1 HOUR, ts)) AS start_ms, count(*) AS n, count(*) / 3600 AS per_sec FROM events GROUP BY 1""")
 def qa_ingest_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))

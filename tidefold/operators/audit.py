@@ -31,6 +31,13 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
 
 
+def split_keys(ops: DataFrame) -> DataFrame:
+    """Keys whose records come from several topic partitions, which offsets alone cannot order."""
+    place = F.struct("topic", "partition")
+    ends = ops.groupBy("k").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    return ends.filter("first <> last").select("k")
+
+
 def ingest_rate(df: DataFrame, ts: str, every: str) -> DataFrame:
     """Rows and rows per second in windows of event time; streams need a watermark on `ts`."""
     seconds = F.unix_timestamp("w.end") - F.unix_timestamp("w.start")

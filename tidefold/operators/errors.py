@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidefold.functions.once import compute_once
+
 ERR = "err"
 
 
@@ -37,7 +39,8 @@ def fail_fast(df: DataFrame) -> DataFrame:
     """Abort the job at the first bad record."""
     if ERR not in df.columns:
         return df
-    # raise_error stands in the filter itself, so pruning cannot remove the test
+    # the code is settled first: merged with the filters that skip records, the test could run ahead of them
+    df = compute_once(df, **{ERR: F.col(ERR)})
     keep = F.when(F.col(ERR).isNull(), F.lit(True)).otherwise(
         F.raise_error(F.concat(F.lit("bad record: "), F.col(ERR))).cast("boolean")
     )

@@ -14,7 +14,8 @@ from functools import partial, reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidefold.functions import ids
-from tidefold.operators import cdc_document, cdc_relational, errors, fold, meta, project, rename, writemodel
+from tidefold.operators import cdc_document, cdc_relational, errors, fold, merge, meta, project, rename, writemodel
+from tidefold.model import ID
 from tidefold.plans.settings import Settings
 
 Step = Callable[[DataFrame], DataFrame]
@@ -82,11 +83,15 @@ class TargetPlan:
             raise ValueError(f"unknown processor {name!r}")
         return known[name]()
 
+    def time(self) -> Column:
+        """Time of the run: a parameter, so that a run can be repeated."""
+        return self.now if self.now is not None else F.current_timestamp()
+
     def write_model(self) -> writemodel.WriteModel:
         name = self.settings.get("write.model", self.target)
         if name in self.registry.write_models:
             return self.registry.write_models[name]
-        now = self.now if self.now is not None else F.current_timestamp()
+        now = self.time()
         known = {
             "replace": writemodel.replace_by_id,
             "business_key": writemodel.replace_by_business_key,
@@ -136,6 +141,27 @@ class TargetPlan:
         return fold.fold_latest(ops)
 
 
+    def merge(self, target: DataFrame | None, delta: DataFrame) -> DataFrame:
+        """Rows of the target after the changes of `folded`; a missing target is empty."""
+        if "sets" in delta.columns:
+            empty = delta.select("k", F.lit("").alias("doc")).limit(0)
+            return merge.merge_fields(target if target is not None else empty, delta)
+        model = self.settings.get("write.model", self.target)
+        if "cols" in delta.columns:
+            cols = [F.col("cols").getField(c).getField("v").alias(c) for c in delta.schema["cols"].dataType.names]
+            empty = delta.select("k", F.struct(*cols).alias("doc")).limit(0)
+            stamp = not self.handler() and model == "timestamps"
+            on_insert = {writemodel.INSERTED: self.time()} if stamp else None
+            return merge.merge_columns(target if target is not None else empty, delta, on_insert=on_insert)
+        empty = delta.select("k", "doc").limit(0)
+        if not self.handler() and model == "business_key":
+            # made from the key and the place of its first record: the same on every replay
+            new_id = F.substring(F.sha2(F.to_json(F.struct("d.k", "d.ord")), 256), 1, 24)
+            empty = empty.withColumn(ID, F.lit(None).cast("string"))
+            return merge.merge_latest(target if target is not None else empty, delta, generated_id=new_id)
+        return merge.merge_latest(target if target is not None else empty, delta)
+
+
 def plans_for(settings: Settings, **common) -> dict[str, TargetPlan]:
     """One plan per listed target, and one under "" for all others."""
     return {name: TargetPlan(settings, name, **common) for name in ["", *settings.targets()]}

@@ -34,14 +34,10 @@ def apply_targets(
     tables: Mapping[str, BucketTable], log: DataFrame, plans: Mapping[str, tuple[Fold, Merge]], batch: int,
     fence: bool = True,
 ) -> None:
-    """Apply one batch to many targets; `log` has a `target` column and is read once."""
-    log = log.persist()
-    try:
-        for name, table in tables.items():
-            fold, merge = plans[name]
-            apply_batch(table, log.filter(log["target"] == name), fold, merge, batch, fence)
-    finally:
-        log.unpersist()
+    """Apply one batch to many targets by the `target` column of the log; cache a log that is costly to read."""
+    for name, table in tables.items():
+        fold, merge = plans[name]
+        apply_batch(table, log.filter(log["target"] == name), fold, merge, batch, fence)
 
 
 def apply_stream(
