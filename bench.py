@@ -13,9 +13,9 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import SparkSession, functions as F, types as T
+from pyspark.sql import SparkSession, types as T
 
-from checks import applying, changes, documents, logs, records
+from checks import applying, changes, documents, logs, records  # noqa: F401
 from checks.support import QUERIES
 from tidefold.operators import errors
 from tidefold.sinks.folders import shared_folder

@@ -4,25 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from checks.changes import (
-    USER_COLUMNS, USER_ROWS_SQL, document, empty_rows, op_rows, relational, typed_partial, users,
-)
+from checks.changes import USER_COLUMNS, USER_ROWS_SQL, document, typed_partial
 from checks.logs import (
-    ORDER_IMAGE, ORDERS_FINAL_SQL, ORDERS_LOG_SQL, PATCH_ROWS_SQL, as_text, envelopes, order_steps, orders_log, patch_log,
-    with_log_position,
+    ORDER_IMAGE, ORDERS_FINAL_SQL, ORDERS_LOG_SQL, PATCH_ROWS_SQL, as_text, envelopes, orders_log, patch_log,
 )
-from checks.support import cents, check, flat, spread, table
+from checks.support import cents, check, spread, table
 from tidefold.functions import jsontext
-from tidefold.model import DELETE, LOG_POSITION, REPLACE, SET, log_schema
+from tidefold.model import DELETE, LOG_POSITION, REPLACE
 from tidefold.operators import (
-    audit, cdc_document as cdoc, cdc_relational as crel, errors, fold, fold_nested, merge, route as rte, scan,
+    audit, cdc_document as cdoc, cdc_relational as crel, errors, fold, fold_nested, merge, scan,
     writemodel as wm,
 )
+from tidefold.plans.settings import Settings
 from tidefold.sinks.bucket_table import BucketTable
 from tidefold.sinks.folders import shared_folder
 from tidefold.sources import changelog, decode as dec
 from tidefold.streaming import apply as st
-from tidefold.plans.settings import Settings
 from tidefold.streaming.sink import ConfiguredSink
 
 FINAL = f"WITH final AS ({ORDERS_FINAL_SQL}) "
@@ -301,10 +298,10 @@ def tbl_cast_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     cast = lambda df: df.select(
         F.col("o_orderkey").cast("string").alias("id"), F.col("o_custkey").cast("int").alias("cust"), "cents"
     )
-    source.overwrite(o, 0)
-    swap.overwrite(cast(o.filter("o_orderkey % 2 = 0")), 0)
-    swap.truncate(1)
-    swap.overwrite(cast(source.read()), 2)
+    source.overwrite(o)
+    swap.overwrite(cast(o.withColumn("o_custkey", F.col("o_custkey") + 1)))
+    swap.truncate()
+    swap.overwrite(cast(source.read()))
     swap.expire()
     return swap.read()
 
@@ -384,14 +381,14 @@ def str_restart_no_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, grow = in_pieces(spark, log, 3)
     t, checkpoint = new_table(spark, "users", 8), shared_folder(spark, "checkpoint")
     stream = lambda: changelog.stream_log(spark, "parquet", path, log.schema)
-    run = lambda first, state_path: st.apply_stream(
-        stream(), lambda df, batch: st.apply_batch(t, df, fold_users, fields_into, first + batch), state_path
+    run = lambda at: st.apply_stream(
+        stream(), lambda df, batch: st.apply_batch(t, df, fold_users, fields_into, batch, source=at), at
     ).awaitTermination()
     for i in range(3):
         grow(i)
-        run(0, checkpoint)
-    # a new checkpoint delivers the whole log again
-    run(100, shared_folder(spark, "checkpoint"))
+        run(checkpoint)
+    # a new checkpoint counts from 0 and delivers the whole log again
+    run(shared_folder(spark, "checkpoint"))
     docs = t.read()
     return docs.select(F.col("k").cast("bigint").alias("user_id"), F.explode(jsontext.fields(F.col("doc"))).alias("f", "v"))
 

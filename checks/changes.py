@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks.logs import (
-    DOCS_SQL, LINE_IMAGE, ORDERS_FINAL_SQL, ORDERS_LOG_SQL, PATCH_ROWS_SQL, TURNS_FINAL_SQL, keyless_log, line_images,
+    LINE_IMAGE, ORDERS_FINAL_SQL, ORDERS_LOG_SQL, PATCH_ROWS_SQL, TURNS_FINAL_SQL, keyless_log, line_images,
     order_documents, orders_log, patch_log, turns_log,
 )
 from checks.support import cents, check, flat, table

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from checks.logs import (
-    DOCS_SQL, ORDER_IMAGE, ORDERS_LOG_SQL, as_text, order_documents, orders_log, patch_log, turns_log,
+    DOCS_SQL, ORDER_IMAGE, ORDERS_LOG_SQL, as_text, order_documents, orders_log,
 )
 from checks.support import cents, check, flat, table
 from tidefold.functions import ids, jsontext

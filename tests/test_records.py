@@ -5,7 +5,7 @@ import decimal
 import json
 
 import pytest
-from pyspark.sql import Row, functions as F, types as T
+from pyspark.sql import functions as F, types as T
 
 from tidefold.functions import ids, jsontext
 from tidefold.functions.normalise import TypeOptions, logical, normalise, schema_from_envelope, unsupported
@@ -351,20 +351,23 @@ def test_table_rewrites_touched_buckets_only(spark, tmp_path):
     t = BucketTable(spark, str(tmp_path / "t"), ("k",), 4)
     assert t.read() is None
     t.apply(delta_of(spark, [(i, REPLACE, (i,), i) for i in range(40)]), latest, 0)
-    before = t.manifest().versions
+    before = t.manifest().buckets
     t.apply(delta_of(spark, [(7, DELETE, None, 50), (99, DELETE, None, 51)]), latest, 1)
-    changed = {b for b, v in t.manifest().versions.items() if v != before[b]}
+    changed = {b for b, v in t.manifest().buckets.items() if v != before[b]}
     assert 1 <= len(changed) <= 2
     assert sorted(r["k"] for r in t.read().collect()) == [i for i in range(40) if i != 7]
     # the same batch again changes nothing, an unfinished one leaves no trace
     t.apply(delta_of(spark, [(1, DELETE, None, 60)]), latest, 1)
     spark.range(3).write.parquet(str(tmp_path / "t" / "data" / "v=2"))
     assert t.read().count() == 39
-    files = {b: t.read([b]).inputFiles() for b in t.manifest().versions}
+    # another source counts its own batches
+    t.apply(delta_of(spark, [(0, DELETE, None, 70)]), latest, 0, source="other")
+    assert t.read().count() == 38 and t.manifest().applied == {"": 1, "other": 0}
+    files = {b: t.read([b]).inputFiles() for b in t.manifest().buckets}
     assert all(len(f) == 1 for f in files.values())
     t.expire()
-    assert t.read().count() == 39 and len(folders.children(spark, str(tmp_path / "t" / "manifest"))) == 1
-    t.truncate(3)
+    assert t.read().count() == 38 and len(folders.children(spark, str(tmp_path / "t" / "manifest"))) == 1
+    t.truncate()
     assert t.read().count() == 0 and t.schema().names == ["k", "doc"]
 
 
@@ -395,7 +398,7 @@ def test_one_exchange_per_side_of_a_table_merge(spark, tmp_path):
     for batch in range(2):
         t.apply(delta_of(spark, [(i, REPLACE, (i,), i) for i in range(30)]), spy, batch)
     assert plans[1].count("Exchange hashpartitioning(k") == plans[1].count("REPARTITION_BY_NUM") <= 2
-    assert all(len(t.read([b]).inputFiles()) == 1 for b in t.manifest().versions)
+    assert all(len(t.read([b]).inputFiles()) == 1 for b in t.manifest().buckets)
 
 
 def test_restart_of_an_unfinished_batch(spark, tmp_path):
@@ -405,7 +408,7 @@ def test_restart_of_an_unfinished_batch(spark, tmp_path):
     fail = lambda target, delta: latest(target, delta).withColumn("doc", F.raise_error(F.lit("lost")).cast("struct<a:int>"))
     with pytest.raises(Exception, match="lost"):
         t.apply(delta_of(spark, [(1, REPLACE, (9,), 9)]), fail, 1)
-    assert t.manifest().batch == 0
+    assert t.manifest().version == 0
     t.apply(delta_of(spark, [(1, REPLACE, (9,), 9)]), latest, 1)
     assert {r["k"]: r["doc"]["a"] for r in t.read().collect()} == {0: 0, 1: 9, 2: 0, 3: 0, 4: 0}
 
@@ -424,7 +427,7 @@ def test_batches_and_streams_agree(spark, tmp_path):
         each = lambda df, batch: st.apply_batch(streamed, df, fold_it, latest, batch)
         st.apply_stream(stream, each, str(tmp_path / "checkpoint")).awaitTermination()
     rows_of = lambda t: sorted(map(str, t.read().collect()))
-    assert rows_of(whole) == rows_of(streamed) and streamed.manifest().batch == 3
+    assert rows_of(whole) == rows_of(streamed) and streamed.manifest().applied == {'': 3}
     assert streamed.offsets().first()["offset"] == 59
 
 

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidefold.model import DELETE, REPLACE, SET
+from tidefold.model import REPLACE, SET
 from tidefold.operators.errors import add_error
 
 # executors need no copy of this package for the small functions below

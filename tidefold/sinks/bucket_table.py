@@ -3,11 +3,11 @@
 Spark cannot overwrite files it reads, and plain Parquet has no MERGE.  A change
 therefore writes new versions of the buckets it touches and then publishes a
 manifest that names the version of every bucket.  Readers see the last manifest
-only; applying a batch id again overwrites its own version.
+only; a version that was not published is overwritten by the next attempt.
 
-    <path>/data/v=<batch>/_bucket=<b>/...    rows
-    <path>/offsets/batch=<batch>/...         last applied offset per topic partition
-    <path>/manifest/batch=<batch>/...        one JSON text
+    <path>/data/v=<version>/_bucket=<b>/...    rows
+    <path>/offsets/v=<version>/...             last applied offset per topic partition
+    <path>/manifest/v=<version>/...            one JSON text
 
 Size the number of buckets so that one bucket is one task's work (some 256 MB):
 rows are spread by a hash of their unique key, so buckets stay even.
@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -34,22 +34,30 @@ Merge = Callable[[DataFrame, DataFrame], DataFrame]
 
 @dataclass(frozen=True)
 class Manifest:
-    """What readers see: the schema, and per bucket its version and the schema it was written with."""
+    """What readers see.
 
-    batch: int
+    `buckets` gives per bucket its version and the schema it was written with,
+    `applied` the last batch of each source (a source is one checkpoint: a new one
+    counts its batches from 0 again), `offsets` the version that recorded offsets.
+    """
+
+    version: int
     schema: str
-    versions: dict[int, tuple[int, str]]
+    buckets: dict[int, tuple[int, str]]
+    applied: dict[str, int]
+    offsets: int | None = None
 
     def text(self) -> str:
-        schemas = sorted({s for _, s in self.versions.values()})
-        versions = {b: (v, schemas.index(s)) for b, (v, s) in sorted(self.versions.items())}
-        return json.dumps({"batch": self.batch, "schema": self.schema, "schemas": schemas, "versions": versions})
+        schemas = sorted({s for _, s in self.buckets.values()})
+        buckets = {b: (v, schemas.index(s)) for b, (v, s) in sorted(self.buckets.items())}
+        return json.dumps({**self.__dict__, "schemas": schemas, "buckets": buckets})
 
     @staticmethod
     def of(text: str) -> "Manifest":
         m = json.loads(text)
-        versions = {int(b): (v, m["schemas"][s]) for b, (v, s) in m["versions"].items()}
-        return Manifest(m["batch"], m["schema"], versions)
+        schemas = m.pop("schemas")
+        m["buckets"] = {int(b): (v, schemas[s]) for b, (v, s) in m["buckets"].items()}
+        return Manifest(**m)
 
 
 def _with_bucket(schema: T.StructType) -> T.StructType:
@@ -81,7 +89,7 @@ class BucketTable:
         ]
         if not done:
             return None
-        text = self.spark.read.text(f"{base}/batch={max(done)}", wholetext=True).first()[0]
+        text = self.spark.read.text(f"{base}/v={max(done)}", wholetext=True).first()[0]
         return Manifest.of(text)
 
     def schema(self) -> T.StructType | None:
@@ -96,7 +104,7 @@ class BucketTable:
         if m is None:
             return None
         want = T.StructType.fromJson(json.loads(m.schema))
-        chosen = m.versions if buckets is None else {b: m.versions[b] for b in buckets if b in m.versions}
+        chosen = m.buckets if buckets is None else {b: m.buckets[b] for b in buckets if b in m.buckets}
         by_schema: dict[str, list[str]] = {}
         for b, (version, schema) in sorted(chosen.items()):
             by_schema.setdefault(schema, []).append(f"{self.path}/data/v={version}/{BUCKET}={b}")
@@ -113,68 +121,74 @@ class BucketTable:
     def offsets(self, at: Manifest | None = None) -> DataFrame | None:
         """Last applied offset per topic partition; None when none were recorded."""
         m = at or self.manifest()
-        path = f"{self.path}/offsets/batch={m.batch}" if m else ""
-        return self.spark.read.schema(OFFSETS).parquet(path) if m and folders.exists(self.spark, path) else None
+        if m is None or m.offsets is None:
+            return None
+        return self.spark.read.schema(OFFSETS).parquet(f"{self.path}/offsets/v={m.offsets}")
 
     # -- writing ------------------------------------------------------------
 
-    def apply(self, delta: DataFrame, merge: Merge, batch: int, log: DataFrame | None = None) -> None:
-        """Merge one change per key into the table and publish the result as `batch`.
+    def apply(
+        self, delta: DataFrame, merge: Merge, batch: int, log: DataFrame | None = None, source: str = ""
+    ) -> None:
+        """Merge one change per key into the table and publish the result.
 
         `merge(target, delta)` joins on the key; its target is None before the first write.
-        `log` are the records the changes came from; their offsets are recorded with the batch.
+        A batch its source has applied before is passed over.  `log` are the records the
+        changes came from; their offsets are recorded with the batch.
         """
         before = self.manifest()
-        if before and before.batch >= batch:
-            # published earlier: an unfinished write of a batch leaves no manifest
+        if before and before.applied.get(source, -1) >= batch:
             return
         delta = delta.persist()
         try:
             touched = [r[0] for r in delta.select(self.bucket()).distinct().collect()]
             base = self.read(touched, at=before) if before else None
             rows = merge(None if base is None else self.by_bucket(base), self.by_bucket(delta))
-            self._publish(rows, batch, touched, before, log)
+            self._publish(rows, touched, before, {source: batch}, log)
         finally:
             delta.unpersist()
 
-    def overwrite(self, rows: DataFrame, batch: int) -> None:
+    def overwrite(self, rows: DataFrame) -> None:
         """Replace all rows."""
         before = self.manifest()
-        self._publish(self.by_bucket(rows), batch, list(before.versions) if before else [], before, None)
+        self._publish(self.by_bucket(rows), list(before.buckets) if before else [], before, {}, None)
 
-    def truncate(self, batch: int) -> None:
+    def truncate(self) -> None:
         """Drop all rows and keep the schema."""
         before = self.manifest()
         if before is not None:
-            self._write_manifest(Manifest(batch, before.schema, {}))
+            self._write_manifest(replace(before, version=before.version + 1, buckets={}))
 
-    def _publish(self, rows, batch: int, touched: list[int], before: Manifest | None, log) -> None:
-        schema = rows.schema.json()
-        data = f"{self.path}/data/v={batch}"
+    def _publish(self, rows, touched: list[int], before: Manifest | None, applied: dict[str, int], log) -> None:
+        version, schema = (before.version + 1 if before else 0), rows.schema.json()
+        data = f"{self.path}/data/v={version}"
         rows.withColumn(BUCKET, self.bucket()).write.mode("overwrite").partitionBy(BUCKET).parquet(data)
+        offsets = before.offsets if before else None
         if log is not None:
             seen = last_offsets(log, self.offsets(before) if before else None)
-            seen.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/offsets/batch={batch}")
+            seen.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/offsets/v={version}")
+            offsets = version
         written = {
             int(n.split("=")[1]) for n in folders.children(self.spark, data) if n.startswith(f"{BUCKET}=")
         }
-        versions = dict(before.versions) if before else {}
-        for b in touched:
-            versions.pop(b, None)
-        versions |= {b: (batch, schema) for b in written}
-        self._write_manifest(Manifest(batch, schema, versions))
+        kept = {b: v for b, v in (before.buckets if before else {}).items() if b not in touched}
+        done = {**(before.applied if before else {}), **applied}
+        self._write_manifest(
+            Manifest(version, schema, {**kept, **{b: (version, schema) for b in written}}, done, offsets)
+        )
 
     def _write_manifest(self, m: Manifest) -> None:
         out = self.spark.range(1, numPartitions=1).select(F.lit(m.text()).alias("value"))
-        out.write.mode("overwrite").text(f"{self.path}/manifest/batch={m.batch}")
+        out.write.mode("overwrite").text(f"{self.path}/manifest/v={m.version}")
 
     def expire(self) -> None:
         """Remove the files no reader of the current manifest needs."""
         m = self.manifest()
         if m is None:
             return
-        used = {f"v={v}" for v, _ in m.versions.values()}
-        for folder, keep in (("data", used), ("offsets", {f"batch={m.batch}"}), ("manifest", {f"batch={m.batch}"})):
+        used = {"data": {f"v={v}" for v, _ in m.buckets.values()}, "offsets": {f"v={m.offsets}"},
+                "manifest": {f"v={m.version}"}}
+        for folder, keep in used.items():
             for name in folders.children(self.spark, f"{self.path}/{folder}"):
                 if name not in keep:
                     folders.remove(self.spark, f"{self.path}/{folder}/{name}")

@@ -21,23 +21,23 @@ Fold = Callable[[DataFrame], DataFrame]
 
 
 def apply_batch(
-    table: BucketTable, log: DataFrame, fold: Fold, merge: Merge, batch: int, fence: bool = True
+    table: BucketTable, log: DataFrame, fold: Fold, merge: Merge, batch: int, fence: bool = True, source: str = ""
 ) -> None:
-    """Apply one batch of log records to a table."""
+    """Apply one batch of log records to a table; `source` names the checkpoint that counts the batches."""
     seen = table.offsets() if fence else None
     if seen is not None:
         log = after_offsets(log, seen, seen.count())
-    table.apply(fold(log), merge, batch, log if fence else None)
+    table.apply(fold(log), merge, batch, log if fence else None, source)
 
 
 def apply_targets(
     tables: Mapping[str, BucketTable], log: DataFrame, plans: Mapping[str, tuple[Fold, Merge]], batch: int,
-    fence: bool = True,
+    fence: bool = True, source: str = "",
 ) -> None:
     """Apply one batch to many targets by the `target` column of the log; cache a log that is costly to read."""
     for name, table in tables.items():
         fold, merge = plans[name]
-        apply_batch(table, log.filter(log["target"] == name), fold, merge, batch, fence)
+        apply_batch(table, log.filter(log["target"] == name), fold, merge, batch, fence, source)
 
 
 def apply_stream(

@@ -49,8 +49,8 @@ class ConfiguredSink:
     def routed(self, log: DataFrame) -> DataFrame:
         return route.route(log, self.settings.routes(), self.settings.get("route"), self.settings.rewrites())
 
-    def apply(self, log: DataFrame, batch: int) -> None:
-        """Apply one batch of records to all targets they are for."""
+    def apply(self, log: DataFrame, batch: int, source: str = "") -> None:
+        """Apply one batch of records to all targets they are for; a source applies each batch once."""
         routed = self.routed(log).persist()
         try:
             # as many rows as there are targets
@@ -58,9 +58,10 @@ class ConfiguredSink:
             decoded = decode(routed, self.key_decoder, self.value_decoder)
             plans = {t: self.plan(t) for t in targets}
             tables = {t: self.table(t) for t in targets}
-            apply_targets(tables, decoded, {t: (p.folded, p.merge) for t, p in plans.items()}, batch, self.fence)
+            steps = {t: (p.folded, p.merge) for t, p in plans.items()}
+            apply_targets(tables, decoded, steps, batch, self.fence, source)
         finally:
             routed.unpersist()
 
     def start(self, stream: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:
-        return apply_stream(stream, self.apply, checkpoint, **trigger)
+        return apply_stream(stream, lambda log, batch: self.apply(log, batch, checkpoint), checkpoint, **trigger)
