@@ -7,6 +7,7 @@ per row.
 
 from __future__ import annotations
 
+import decimal
 import json
 from dataclasses import dataclass
 from typing import Any
@@ -73,6 +74,8 @@ def _struct(node: dict) -> T.StructType:
 
 def _field(name: str, node: dict) -> T.StructField:
     meta = logical(LOGICAL_NAMES.get(node.get("name", "")), node.get("optional", False), node.get("default"))
+    if meta.get("logical") == "decimal":
+        meta["scale"] = int(node.get("parameters", {}).get("scale", 0))
     return T.StructField(name, _type(node), True, meta)
 
 
@@ -86,9 +89,6 @@ def _type(node: dict) -> T.DataType:
         return T.MapType(T.StringType(), _type(node["values"]))
     if kind not in PRIMITIVES:
         raise ValueError(f"unsupported type {kind!r}")
-    if LOGICAL_NAMES.get(node.get("name", "")) == "decimal":
-        scale = int(node.get("parameters", {}).get("scale", 0))
-        return T.DecimalType(38, scale)
     return PRIMITIVES[kind]
 
 
@@ -96,8 +96,35 @@ def _wall_clock(millis: Column, opts: TypeOptions) -> Column:
     return F.timestamp_millis(millis - F.lit(opts.source_offset_hours * 3_600_000))
 
 
-def scalar(col: Column, dtype: T.DataType, name: str | None, opts: TypeOptions) -> Column:
+MAX_DECIMAL_BYTES = 16
+
+
+def decimal_of_bytes(col: Column, scale: int) -> Column:
+    """Decimal written as the big-endian bytes of its unscaled value; null beyond 38 digits."""
+    text = F.hex(col)
+    negative = F.substring(text, 1, 1) >= "8"
+    wide = F.when(negative, F.lpad(text, 32, "F")).otherwise(F.lpad(text, 32, "0"))
+    whole = lambda part, base: F.conv(part, 16, base).cast("decimal(20,0)")
+    high, low = whole(F.substring(wide, 1, 16), -10), whole(F.substring(wide, 17, 16), 10)
+    step = F.lit(decimal.Decimal(2**64))
+    # from the nearer end to zero, so that no part is longer than the whole
+    down = F.try_subtract(F.try_multiply(high + 1, step), step - low)
+    up = F.try_add(F.try_multiply(high, step), low)
+    unscaled = F.when(F.length(col) <= MAX_DECIMAL_BYTES, F.when(negative, down).otherwise(up)).cast("string")
+    digits = F.regexp_replace(unscaled, "^-", "")
+    digits = F.lpad(digits, F.greatest(F.length(digits), F.lit(scale + 1)), F.lit("0"))
+    point = F.length(digits) - scale
+    sign = F.when(unscaled.startswith("-"), "-").otherwise("")
+    parts = [sign, F.substring(digits, F.lit(1), point), F.lit("."), F.substring(digits, point + 1, F.lit(scale))]
+    return F.concat(*parts).cast(T.DecimalType(38, scale))
+
+
+def scalar(col: Column, dtype: T.DataType, meta: dict, opts: TypeOptions) -> Column:
     """Stored value of one scalar."""
+    name = meta.get("logical")
+    if isinstance(dtype, T.BinaryType) and name == "decimal":
+        value = decimal_of_bytes(col, meta.get("scale", 0))
+        return value.cast("double") if opts.legacy_decimal else value
     if isinstance(dtype, T.DecimalType):
         return col.cast("double") if opts.legacy_decimal else col
     if isinstance(dtype, (T.ByteType, T.ShortType)):
@@ -134,7 +161,7 @@ def convert(col: Column, dtype: T.DataType, meta: dict, opts: TypeOptions) -> Co
         return F.transform(col, lambda x: convert(x, dtype.elementType, meta, opts))
     if isinstance(dtype, T.MapType):
         return F.transform_values(col, lambda _, v: convert(v, dtype.valueType, meta, opts))
-    return scalar(col, dtype, meta.get("logical"), opts)
+    return scalar(col, dtype, meta, opts)
 
 
 def field_value(parent: Column, f: T.StructField, opts: TypeOptions) -> Column:
@@ -180,7 +207,7 @@ def missing_required(col: Column, dtype: T.StructType, path: str = "") -> list[t
 
 
 def unreadable(col: Column, dtype: T.StructType, path: str = "") -> list[tuple[Column, str]]:
-    """Conditions under which the text of a time is none."""
+    """Conditions under which the text of a time is none, or a decimal is too long."""
     found = []
     bad = lambda x: x.isNotNull() & F.try_to_timestamp(x).isNull()
     for f in dtype.fields:
@@ -188,6 +215,9 @@ def unreadable(col: Column, dtype: T.StructType, path: str = "") -> list[tuple[C
         if f.metadata.get("logical") == "zoned":
             is_list = isinstance(f.dataType, T.ArrayType)
             found.append((F.exists(value, bad) if is_list else bad(value), f"field {name} is no time"))
+        if isinstance(f.dataType, T.BinaryType) and f.metadata.get("logical") == "decimal":
+            lost = value.isNotNull() & decimal_of_bytes(value, f.metadata.get("scale", 0)).isNull()
+            found.append((lost, f"field {name} has too many digits"))
         if isinstance(f.dataType, T.StructType):
             found += unreadable(value, f.dataType, f"{name}.")
     return found
