@@ -26,9 +26,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidefold.sinks.folders import shared_folder
 
-BATCH_BYTES = 24 << 20
-# raw text for which one bucket of keys is made: some millions of keys at most
-BUCKET_BYTES = 12 << 20
+BATCH_BYTES = 6 << 20
+# raw text for which one bucket of keys is made: a million keys or two at most
+BUCKET_BYTES = 4 << 20
 ASKED = "bucket int, batch long, blob binary"
 
 
@@ -213,9 +213,13 @@ def question(batch: int, buckets: int, keys: np.ndarray, *more: np.ndarray) -> d
 
 
 def answer(asked: DataFrame, run: Callable[[list[list[np.ndarray]]], list[tuple]]) -> DataFrame:
-    """`run(questions)` for every bucket: one tuple of arrays per question, in the order of its keys."""
+    """`run(questions)` for every bucket: one tuple of arrays per question, in the order of its keys.
+
+    The questions come in the order of their batches.
+    """
 
     def bucket(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("batch")
         asks = [unpack(b) for b in rows["blob"].to_pylist()]
         blobs = [pack(*a) for a in run(asks)]
         return pa.table({"bucket": rows["bucket"], "batch": rows["batch"], "blob": pa.array(blobs, pa.binary())})

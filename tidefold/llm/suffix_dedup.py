@@ -333,13 +333,13 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         owner = _least(cls, len(one), ids[doc[used]])
         mask = joined(got[1], kind="u4").astype(np.uint32)[cls] if len(one) else np.zeros(0, np.uint32)
         mask = np.where(ids[doc[used]] > owner[cls], np.uint32(2**32 - 1), mask)
-        step = np.zeros(len(data) + 1, np.int32)
+        step = np.zeros(len(data) + 1, np.int8)  # at most `length` strings cover a byte
         count = size[used] - length + 1
         for t in range(int(count.max()) if len(count) else 0):
             hit = first[used][(t < count) & ((mask >> np.uint32(t)) & np.uint32(1) > 0)] + t
             step[hit] += 1
             step[hit + length] -= 1
-        gone = np.cumsum(step[:-1]) > 0
+        gone = np.cumsum(step[:-1], dtype=np.int8) > 0
         begin, stop = gone.copy(), gone.copy()
         begin[1:] &= ~gone[:-1]
         stop[:-1] &= ~gone[1:]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -108,3 +110,18 @@ def shingles(words: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray,
     for k in range(n):
         h = np.where(k < size, mix(h * C1 + tail[start + k]), h)
     return h, start, doc
+
+
+SLICE_BYTES = 4 << 20
+
+
+def slices(part: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in slices of at most so many bytes of text, of one row at least."""
+    size = pc.fill_null(pc.binary_length(part["text"]), 0).to_numpy(zero_copy_only=False)
+    end = np.cumsum(size.astype(np.int64) + 64)
+    a = 0
+    while a < part.num_rows:
+        before = int(end[a - 1]) if a else 0
+        z = max(a + 1, int(np.searchsorted(end, before + limit, "right")))
+        yield part.slice(a, z - a)
+        a = z
