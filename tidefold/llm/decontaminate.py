@@ -27,7 +27,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidefold.llm.textbytes import ALNUM, C1, LOWER, buffer_of, hash_spans, mix, ragged, word_spans
+from tidefold.llm.choose import without
+from tidefold.llm.textbytes import ALNUM, C1, LOWER, buffer_of, hash_spans, mix, ragged, slices, word_spans
 from tidefold.sinks.folders import shared_folder
 
 WINDOW = 10
@@ -132,7 +133,7 @@ def _counts(docs: DataFrame, windows: Windows) -> dict[int, np.ndarray]:
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookups = {m: Lookup(known) for m, known in shared.value.items()}
         total = {m: np.zeros(len(known), np.int64) for m, known in shared.value.items()}
-        for part in parts:
+        for part in (s for p in parts for s in slices(p)):
             w = Words(part["text"])
             for m, lookup in lookups.items():
                 _, at = lookup(w.tokens(m))
@@ -157,7 +158,7 @@ def _find(docs: DataFrame, windows: Windows, counts: dict[int, np.ndarray]) -> D
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         win, prefixes = shared.value
         lookups = {m: Lookup(np.unique(p[0])) for m, p in prefixes.items()}
-        for part in parts:
+        for part in (s for p in parts for s in slices(p)):
             w = Words(part["text"])
             texts = part.num_rows
             doc_of = lambda place: np.searchsorted(w.first, place, "right") - 1
@@ -241,8 +242,4 @@ def remove_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) ->
     Rows of one doc_id are judged by their own texts.
     """
     found = find_hits(docs, benchmark, window).filter(F.size("starts") > 0)
-    key = lambda df, a, b: df.select(F.col("doc_id").alias(a), F.xxhash64("text").alias(b)).distinct()
-    bad = key(found, "__id", "__text")
-    kept = docs.withColumn("__hash", F.xxhash64("text"))
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__text"))
-    return kept.join(bad, same, "left_anti").drop("__hash")
+    return without(docs, found.select("doc_id", F.xxhash64("text").alias("text_hash")))

@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tidefold.llm.choose import small, without
 from tidefold.llm.components import components
 from tidefold.llm.textbytes import ALNUM, C1, LOWER, buffer_of, hash_spans, mix, shingles, slices, word_spans
 from tidefold.sinks.folders import shared_folder
@@ -40,8 +41,6 @@ BAND = 4  # registers of a band: at similarity 0.8 all 32 bands differ once in 1
 BLOCK = 512
 SLACK = 0.25  # a pair's signatures agree by so much less than its similarity at most
 SEED = np.uint64(0x51D7348D2C1F9A3B)
-# ids below this are broadcast to choose texts (8 bytes each); more are joined
-BROADCAST_IDS = 1_000_000
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
@@ -135,13 +134,13 @@ def _signed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             short = (mix(held) >> np.uint64(32)).astype(np.uint32)
             wide = M // BAND
             yield pa.RecordBatch.from_pydict({
-                "doc_id": p["doc_id"], "n_words": pa.array(np.diff(s.first)), "one": pa.array(one), "two": pa.array(two),
+                "doc_id": p["doc_id"], "text_hash": p["text_hash"], "n_words": pa.array(np.diff(s.first)), "one": pa.array(one), "two": pa.array(two),
                 "bands": pa.ListArray.from_arrays(np.arange(0, p.num_rows * wide + 1, wide, dtype=np.int32),
                                                   pa.array(band.ravel().view(np.int64))),
                 "signature": pa.array([r.tobytes() for r in short], pa.binary())})
 
 
-_SIGNED = "doc_id long, n_words long, one long, two long, bands array<long>, signature binary"
+_SIGNED = "doc_id long, text_hash long, n_words long, one long, two long, bands array<long>, signature binary"
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
@@ -166,11 +165,14 @@ def _verify(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
 def _texts(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     """One text of every class in the pairs."""
     wanted = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b"))).distinct()
-    wanted = _stored(wanted.join(classes, "class").select("class", "least"), "minhash-wanted")
-    if wanted.count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
-    rows = docs.select(F.col("doc_id").cast("long").alias("least"), F.col("text").cast("string"))
-    return rows.join(wanted, "least")
+    wanted = _stored(wanted.join(classes, "class").select("class", "least", "text_hash"), "minhash-wanted")
+    rows = docs.select(F.col("doc_id").alias("least"), "text", F.xxhash64("text").alias("text_hash"))
+    same = F.struct("least", "text_hash")
+    rows = rows.withColumn("key", same).drop("least", "text_hash")
+    wanted = small(wanted.select("class", same.alias("key")))
+    found = rows.join(wanted, "key").select("class", "text")
+    # rows that repeat a document give its text once
+    return found.groupBy("class").agg(F.first("text").alias("text"))
 
 
 def _blocks(members: DataFrame, least: float) -> DataFrame:
@@ -198,12 +200,16 @@ def _blocks(members: DataFrame, least: float) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """doc_id, n_words, class_id (the smallest doc_id of the group) and kept (doc_id = class_id)."""
+    """doc_id, text_hash, n_words, class_id (the smallest doc_id of the group) and kept (doc_id = class_id)."""
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    signed = _stored(rows.mapInArrow(_signed, _SIGNED), "minhash-signed")
+    hashed = rows.withColumn("text_hash", F.xxhash64("text"))
+    signed = _stored(hashed.mapInArrow(_signed, _SIGNED), "minhash-signed")
     some = signed.filter("n_words > 0")
     classes = some.groupBy("one", "two").agg(
-        F.min("doc_id").alias("least"), F.first("bands").alias("bands"), F.first("signature").alias("signature"))
+        F.min(F.struct("doc_id", "text_hash")).alias("least"), F.first("bands").alias("bands"),
+        F.first("signature").alias("signature"))
+    classes = classes.select("one", "two", "bands", "signature", "least.doc_id", "least.text_hash")
+    classes = classes.withColumnRenamed("doc_id", "least")
     classes = _stored(classes.withColumn("class", F.monotonically_increasing_id()), "minhash-classes")
     entry = F.posexplode("bands").alias("band", "bucket")
     members = classes.select("class", entry)
@@ -227,6 +233,12 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     named = named.withColumn("component", F.coalesce("component", "class"))
     names = named.groupBy("component").agg(F.min("least").alias("class_id"))
     of = named.join(names, "component").select("one", "two", "class_id")
-    out = some.select("doc_id", "n_words", "one", "two").join(of, ["one", "two"]).select("doc_id", "n_words", "class_id")
-    alone = signed.filter("n_words = 0").select("doc_id", "n_words", F.col("doc_id").alias("class_id"))
+    columns = ["doc_id", "text_hash", "n_words"]
+    out = some.select(*columns, "one", "two").join(of, ["one", "two"]).select(*columns, "class_id")
+    alone = signed.filter("n_words = 0").select(*columns, F.col("doc_id").alias("class_id"))
     return out.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
+
+
+def one_of_each(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """The documents, all their columns, with the smallest doc_id of each group only."""
+    return without(docs, near_duplicates(docs, least).filter("not kept").select("doc_id", "text_hash"))

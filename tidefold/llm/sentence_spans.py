@@ -67,12 +67,16 @@ def _later(asks: list[list[np.ndarray]]) -> list[tuple]:
 
 
 def dedup_sentences(docs: DataFrame, run: int = RUN) -> DataFrame:
-    """doc_id, n_sentences, n_removed, and the text that is left (its other sentences as they stood)."""
+    """doc_id, n_sentences, the numbers of the sentences removed (from 0), and the text that is left.
+
+    A sentence goes with what stands behind it, up to the next one.
+    """
     batches = Batches.write(docs.select("doc_id", "text"), "sentence-batches")
+    buckets = batches.buckets
 
     def ask(batch: int, table: pa.Table, _) -> dict:
         r = _Runs(table, run)
-        return question(batch, batches.buckets, r.keys, r.number[r.doc[r.one]], r.nth[r.one].astype(np.int64))
+        return question(batch, buckets, r.keys, r.number[r.doc[r.one]], r.nth[r.one].astype(np.int64))
 
     def remove(batch: int, table: pa.Table, got: dict) -> dict:
         r = _Runs(table, run)
@@ -97,8 +101,11 @@ def dedup_sentences(docs: DataFrame, run: int = RUN) -> DataFrame:
         text = pa.Array.from_buffers(
             pa.large_string(), len(r.ids), [None, pa.py_buffer(left), pa.py_buffer(r.data[keep])]
         ).cast(pa.string())
-        removed = np.concatenate([[0], np.cumsum(out)])[r.first]
-        return {"doc_id": r.ids, "n_sentences": np.diff(r.first), "n_removed": np.diff(removed), "text": text}
+        bare = np.flatnonzero(out)
+        cuts = np.searchsorted(bare, r.first)
+        nth = bare - np.repeat(r.first[:-1], np.diff(cuts))
+        removed = pa.ListArray.from_arrays(cuts.astype(np.int32), pa.array(nth, pa.int64()))
+        return {"doc_id": r.ids, "n_sentences": np.diff(r.first), "removed": removed, "text": text}
 
     later = batches.keep(answer(batches.each(ask, ASKED), _later), "sentence-runs")
-    return batches.each(remove, "doc_id long, n_sentences long, n_removed long, text string", later)
+    return batches.each(remove, "doc_id long, n_sentences long, removed array<long>, text string", later)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tidefold.llm.exchange import ASKED, Batches, answer, bounds, ids_of, joined, pack, question, unique
-from tidefold.llm.textbytes import C1, C2, C3, buffer_of, hash_spans, padded, ragged
+from tidefold.llm.textbytes import C1, C2, C3, buffer_of, hash_spans, mix, padded, ragged
 
 LENGTH = 50
 GRAM = 20
@@ -81,7 +81,7 @@ def anchors(data: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray,
         np.not_equal(place[1:], place[:-1], out=new[1:])
         first = np.flatnonzero(new)
         firsts.append(first + a)
-        keys.append(hashes[place[first]])
+        keys.append(mix(hashes[place[first]]))  # least hashes are small: spread them over all buckets
         last = int(place[-1]) + a
     # runs end where texts do: the last strings of a text start `length` bytes before its end
     first, key = np.concatenate(firsts), np.concatenate(keys)

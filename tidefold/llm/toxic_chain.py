@@ -28,15 +28,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidefold.llm.decontaminate import Lookup
 from tidefold.llm.exchange import unique
-from tidefold.llm.textbytes import ALNUM, LOWER, buffer_of, hash_spans, word_spans
+from tidefold.llm.textbytes import ALNUM, LOWER, buffer_of, hash_spans, slices, word_spans
 
 SAMPLE_ROWS = 20_000
-WORDS_PER_CATEGORY = 200
+WORDS_PER_CATEGORY = 150
 MIN_DOCS = 3
 LEAST_GAIN = 25.0  # of the likelihood-ratio test
 FOLDS = 5
 RIDGE = 0.1
 AFFIXES = (3, 4, 5, 6)
+REJECT = 0.5
 MEASURES = 4
 
 
@@ -176,8 +177,7 @@ def choose(rows: DataFrame, n: int) -> np.ndarray:
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            for a in range(0, part.num_rows, 2000):
-                p = part.slice(a, 2000)
+            for p in slices(part):
                 y = np.array(p["y"].to_pylist(), float).reshape(-1, n)
                 key, sums = _Features(p["text"]).counted([np.ones(len(y)), *y.T])
                 yield pa.RecordBatch.from_pydict({"key": pa.array(key.view(np.int64)), **{
@@ -219,11 +219,11 @@ def train(docs: DataFrame, labels: DataFrame, by: Mapping[str, Column] | None =
     lookup = Lookup(known)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            x = _matrix(_Features(part["text"]), lookup)
+        for p in (s for part in parts for s in slices(part)):
+            x = _matrix(_Features(p["text"]), lookup)
             raw = [r.tobytes() for r in np.packbits(x[:, : len(known)] > 0, axis=1)]
             yield pa.RecordBatch.from_pydict({
-                "doc_id": part["doc_id"], "y": part["y"], "words": pa.array(raw, pa.binary()),
+                "doc_id": p["doc_id"], "y": p["y"], "words": pa.array(raw, pa.binary()),
                 "measures": pa.array(x[:, len(known) :].tolist(), pa.list_(pa.float64()))})
 
     # the documents of the sample: their least hash, in a number of hash ranges that holds enough
@@ -242,20 +242,35 @@ def train(docs: DataFrame, labels: DataFrame, by: Mapping[str, Column] | None =
     return Chain.fit(names, known, x, y, (ids % FOLDS + FOLDS) % FOLDS)
 
 
-def predict(docs: DataFrame, chain: Chain, keep: bool = False) -> DataFrame:
-    """doc_id and the probability p_<name> of every category (and the text, if `keep`)."""
+def _scored(part: pa.RecordBatch, chain: Chain, lookup: Lookup) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    for p in slices(part):
+        yield p, chain.predict(_matrix(_Features(p["text"]), lookup))
+
+
+def predict(docs: DataFrame, chain: Chain) -> DataFrame:
+    """doc_id and the probability p_<name> of every category."""
     shared = docs.sparkSession.sparkContext.broadcast(chain)  # some hundred features
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup = Lookup(shared.value.known)
+        chain, lookup = shared.value, Lookup(shared.value.known)
         for part in parts:
-            for a in range(0, part.num_rows, 2000):
-                p = part.slice(a, 2000)
-                out = shared.value.predict(_matrix(_Features(p["text"]), lookup))
-                cols = {c: p[c] for c in p.schema.names if c == "doc_id" or keep}
-                yield pa.RecordBatch.from_pydict({**cols, **{
-                    f"p_{c}": pa.array(out[:, i], pa.float64()) for i, c in enumerate(shared.value.names)}})
-
-    scores = ", ".join(f"p_{c} double" for c in chain.names)
+            for p, out in _scored(part, chain, lookup):
+                yield pa.RecordBatch.from_pydict({"doc_id": p["doc_id"], **{
+                    f"p_{c}": pa.array(out[:, i], pa.float64()) for i, c in enumerate(chain.names)}})
+
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "doc_id long, " + ("text string, " if keep else "") + scores)
+    return rows.mapInArrow(run, "doc_id long, " + ", ".join(f"p_{c} double" for c in chain.names))
+
+
+def without(docs: DataFrame, chain: Chain, category: str = "toxic", reject: float = REJECT) -> DataFrame:
+    """The documents, all their columns, whose probability of the category is below `reject`."""
+    shared = docs.sparkSession.sparkContext.broadcast(chain)
+    at = chain.names.index(category)
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chain, lookup = shared.value, Lookup(shared.value.known)
+        for part in parts:
+            for p, out in _scored(part, chain, lookup):
+                yield p.filter(pa.array(out[:, at] < reject))
+
+    return docs.mapInArrow(run, docs.schema)
