@@ -167,7 +167,7 @@ def _texts(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     wanted = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b"))).distinct()
     wanted = _stored(wanted.join(classes, "class").select("class", "least", "text_hash"), "minhash-wanted")
     rows = docs.select(F.col("doc_id").alias("least"), "text", F.xxhash64("text").alias("text_hash"))
-    same = F.struct("least", "text_hash")
+    same = F.struct(F.coalesce("least", F.lit(-(2**63))).alias("id"), "text_hash")
     rows = rows.withColumn("key", same).drop("least", "text_hash")
     wanted = small(wanted.select("class", same.alias("key")))
     found = rows.join(wanted, "key").select("class", "text")
@@ -206,7 +206,8 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     signed = _stored(hashed.mapInArrow(_signed, _SIGNED), "minhash-signed")
     some = signed.filter("n_words > 0")
     classes = some.groupBy("one", "two").agg(
-        F.min(F.struct("doc_id", "text_hash")).alias("least"), F.first("bands").alias("bands"),
+        F.coalesce(F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_hash"))),
+                   F.min(F.struct("doc_id", "text_hash"))).alias("least"), F.first("bands").alias("bands"),
         F.first("signature").alias("signature"))
     classes = classes.select("one", "two", "bands", "signature", "least.doc_id", "least.text_hash")
     classes = classes.withColumnRenamed("doc_id", "least")
