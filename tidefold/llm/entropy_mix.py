@@ -104,14 +104,19 @@ def rates(cells: DataFrame, goals: DataFrame, most: float = MOST, tolerance: flo
         if now.filter(~F.col("done")).isEmpty():
             break
         now = now.drop("done")
-    return now.select("source", "tilt")
+    # rounded, so that sums in another order give the same mix
+    return now.select("source", F.round("tilt", 10).alias("tilt"))
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST, base: Column | None = None) -> DataFrame:
-    """All columns of `docs`, and a struct `mix` of size, source_size, target, rate and copies.
+def mix(
+    docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST, base: Column | None = None, name: str = "mix"
+) -> DataFrame:
+    """All columns of `docs`, and a struct `name` of size, source_size, target, rate and copies.
 
     `base` are base rates by which some documents are preferred (positive; none: 1 each).
     """
+    if name in docs.columns:
+        raise ValueError(f"the documents have a column {name!r}: choose another name")
     spark = docs.sparkSession
     blocks = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     columns = docs.columns
@@ -160,11 +165,12 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST,
     joined = rows.join(both, match).withColumn("at", at)
     copies = F.floor(F.col("copies") * F.col("at") / F.col("n")) - F.floor(F.col("copies") * (F.col("at") - 1) / F.col("n"))
     facts_ = F.struct("size", "source_size", "target", (F.col("copies") / F.col("n")).alias("rate"), copies.cast("long").alias("copies"))
-    return joined.select(facts_.alias("mix"), *[F.col("row").getField(c).alias(c) for c in columns])
+    return joined.select(facts_.alias(name), *[F.col("row").getField(c).alias(c) for c in columns])
 
 
 def take(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
     """The mix itself: every document as often as it is taken, with the columns of `docs`."""
-    mixed = mix(docs, weights, most).filter(F.col("mix.copies") > 0)
-    again = F.explode(F.sequence(F.lit(1), F.col("mix.copies").cast("int"))).alias("__copy")
-    return mixed.select("*", again).select(*[F.col(f"`{c}`") for c in docs.columns])
+    free = "_" * (1 + max(map(len, docs.columns)))
+    mixed = mix(docs, weights, most, name=free).filter(F.col(f"{free}.copies") > 0)
+    again = F.sequence(F.lit(1), F.col(f"{free}.copies").cast("int"))
+    return mixed.select("*", F.explode(again).alias(free + "copy")).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -128,7 +128,7 @@ class Linear:
 
 @dataclass
 class Chain:
-    """Chosen features and one linear model per category; each takes the logits of those before it."""
+    """Chosen features and one linear model per category; each takes the probabilities of those before it."""
 
     names: list[str]
     known: np.ndarray
@@ -144,7 +144,7 @@ class Chain:
             for f in range(FOLDS):
                 here = fold == f
                 if here.any():
-                    unseen[here] = Linear.fit(full[~here], y[~here, k]).logit(full[here])
+                    unseen[here] = _sigmoid(Linear.fit(full[~here], y[~here, k]).logit(full[here]))
             extra = np.concatenate([extra, unseen[:, None]], 1)
         return Chain(names, known, models)
 
@@ -152,8 +152,8 @@ class Chain:
         """A probability per text and category."""
         extra = np.zeros((len(x), 0))
         for m in self.models:
-            extra = np.concatenate([extra, m.logit(np.concatenate([x, extra], 1))[:, None]], 1)
-        return _sigmoid(extra)
+            extra = np.concatenate([extra, _sigmoid(m.logit(np.concatenate([x, extra], 1)))[:, None]], 1)
+        return extra
 
 
 def _matrix(f: _Features, lookup: Lookup) -> np.ndarray:
