@@ -30,13 +30,14 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tidefold.llm.textbytes import buffer_of, hash_spans, ragged, word_spans
+from tidefold.llm.textbytes import buffer_of, hash_spans, ragged, slices
 from tidefold.sinks.folders import shared_folder
 
 GROUP = 128
@@ -175,7 +176,9 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E), *range(0x1C, 0x20)]] = True
 _WIDE = np.zeros(256, bool)  # first bytes of characters among which are white spaces
 _WIDE[[0xC2, 0xE1, 0xE2, 0xE3]] = True
-CACHED = 500_000
+# pieces known to a worker at most (some 60 bytes each), and pieces encoded as one text
+CACHED = 600_000
+JOINED = 50
 
 
 def pieces(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -197,51 +200,113 @@ def pieces(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
 
 
 class Encoder:
-    """Encodes texts by one tokenizer file, each distinct piece once."""
+    """Encodes texts by one tokenizer file, each distinct piece once; pieces seen repeatedly stay known."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.clear()
-
-    def clear(self) -> None:
-        self.known: dict[int, int] = {}
-        self.check = np.zeros(0, np.uint64)
-        self.size, self.first, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
-
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        # a byte-level token has one character per byte
+        self.bytes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.bytes[i] = len(token)
+        self._set(np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint32))
+
+    def _set(self, keys: np.ndarray, check: np.ndarray, size: np.ndarray, flat: np.ndarray) -> None:
+        """Known pieces: sorted hashes, the entry of each, and the entries."""
+        self.entry = np.argsort(keys)
+        self.keys, self.check, self.size, self.flat = keys[self.entry], check, size, flat
+        self.first, self.uses = np.cumsum(size) - size, np.zeros(len(size), np.uint8)
+
+    def _forget(self) -> None:
+        """Keep the pieces that were met more than once."""
+        often = np.flatnonzero(self.uses > 1)
+        often = often if len(often) <= CACHED // 2 else often[:0]
+        keys = np.empty(len(self.keys), np.uint64)
+        keys[self.entry] = self.keys
+        size = self.size[often]
+        self._set(keys[often], self.check[often], size, self.flat[ragged(self.first[often], size)])
+
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        size = np.fromiter(map(len, got), np.int64, len(got))
+        return np.fromiter((i for g in got for i in g), np.uint32, int(size.sum())), size
+
+    def _encode_pieces(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, inner: np.ndarray):
+        """Ids of pieces, and their number per piece.
+
+        Pieces from within texts begin and end where the pattern begins a word, so that many are
+        encoded as one text; the bytes of the ids tell where each ends.
+        """
+        size = np.zeros(len(start), np.int64)
+        parts, order = [], []
+        raw = data.tobytes()
+        inside, others = np.flatnonzero(inner), np.flatnonzero(~inner)
+        if len(inside):
+            length = end[inside] - start[inside]
+            groups = range(0, len(inside), JOINED)
+            a, z = start[inside].tolist(), end[inside].tolist()
+            texts = [b"".join([raw[a[k]:z[k]] for k in range(g, min(g + JOINED, len(a)))]).decode() for g in groups]
+            ids, _ = self._encode(texts)
+            bytes_, ends = np.cumsum(self.bytes[ids]), np.cumsum(length)
+            upto = np.searchsorted(bytes_, ends)
+            if len(bytes_) and bytes_[-1] == ends[-1] and np.array_equal(bytes_[upto], ends):
+                size[inside] = np.diff(upto + 1, prepend=0)
+                parts.append(ids), order.append(inside)
+            else:
+                others = np.arange(len(start))
+        if len(others):
+            ids, n = self._encode([raw[x:y].decode() for x, y in zip(start[others].tolist(), end[others].tolist())])
+            size[others] = n
+            parts.append(ids), order.append(others)
+        order = np.concatenate(order)
+        flat = np.concatenate(parts)
+        at = np.empty(len(start), np.int64)
+        at[order] = np.cumsum(size[order]) - size[order]
+        return flat[ragged(at, size)], size
 
     def __call__(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, ids per text)."""
         start, end, first = pieces(data, at)
         key, other = hash_spans(data, start, end), hash_spans(data, start, end, 1)
         distinct, one, of = np.unique(key, return_index=True, return_inverse=True)
-        if len(self.known) > CACHED:
-            self.clear()
-        known = self.known
-        new = [i for i, k in enumerate(distinct.tolist()) if k not in known]
-        if new:
-            raw = data.tobytes()
+        if len(self.keys) > CACHED:
+            self._forget()
+        where = np.searchsorted(self.keys, distinct)
+        known = where < len(self.keys)
+        known[known] = self.keys[where[known]] == distinct[known]
+        entry = np.empty(len(distinct), np.int64)
+        entry[known] = self.entry[where[known]]
+        new = np.flatnonzero(~known)
+        if len(new):
             m = one[new]
-            got = self._encode([raw[a:b].decode() for a, b in zip(start[m].tolist(), end[m].tolist())])
-            known.update(zip(distinct[new].tolist(), range(len(known), len(known) + len(new))))
-            size = np.fromiter(map(len, got), np.int64, len(got))
+            edge = np.zeros(len(start), bool)
+            full = first[1:] > first[:-1]
+            edge[first[:-1][full]] = edge[first[1:][full] - 1] = True
+            ids, size = self._encode_pieces(data, start[m], end[m], ~edge[m])
+            entry[new] = len(self.size) + np.arange(len(new))
             self.first = np.append(self.first, len(self.flat) + np.cumsum(size) - size)
-            self.size = np.append(self.size, size)
-            self.flat = np.append(self.flat, np.fromiter((i for g in got for i in g), np.uint32, int(size.sum())))
-            self.check = np.append(self.check, other[m])
-        place = np.fromiter((known[k] for k in distinct.tolist()), np.int64, len(distinct))[of]
+            self.size, self.flat = np.append(self.size, size), np.append(self.flat, ids)
+            self.check, self.uses = np.append(self.check, other[m]), np.append(self.uses, np.zeros(len(new), np.uint8))
+            self.keys = np.insert(self.keys, where[new], distinct[new])
+            self.entry = np.insert(self.entry, where[new], entry[new])
+        self.uses[entry] = np.minimum(self.uses[entry], 1) + 1
+        place = entry[of]
         if not np.array_equal(self.check[place], other):  # two pieces of one hash
             raw = data.tobytes()
-            got = self._encode([raw[a:b].decode() for a, b in zip(at[:-1].tolist(), at[1:].tolist())])
-            return np.array([i for g in got for i in g], np.uint32), np.array([len(g) for g in got], np.int64)
+            return self._encode([raw[a:b].decode() for a, b in zip(at[:-1].tolist(), at[1:].tolist())])
         size = self.size[place]
         total = np.concatenate([[0], np.cumsum(size)])[first]
         return self.flat[ragged(self.first[place], size)], np.diff(total)
 
 
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """One per worker process, whatever the number of its tasks."""
+    return Encoder(path)
+
+
 def _with_end(ids: np.ndarray, lengths: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     out = np.full(len(ids) + len(lengths), end_id, np.uint32)
     out[np.arange(len(ids)) + np.repeat(np.arange(len(lengths)), lengths)] = ids
@@ -250,7 +315,7 @@ def _with_end(ids: np.ndarray, lengths: np.ndarray, end_id: int) -> tuple[np.nda
 
 def _encoded(path: str, end_id: int, block_ids: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shard, block, waiting, n = Encoder(path), TaskContext.get().partitionId(), 0, [], 0
+        encode_texts, shard, block, waiting, n = encoder(path), TaskContext.get().partitionId(), 0, [], 0
 
         def emit():
             docs, nulls, lengths, ids = (np.concatenate(x) for x in zip(*waiting))
@@ -260,9 +325,8 @@ def _encoded(path: str, end_id: int, block_ids: int) -> Callable[[Iterator[pa.Re
             return pa.RecordBatch.from_pydict({c: pa.array([v], t) for (c, v), t in zip(row.items(), kinds)})
 
         for part in parts:
-            for a in range(0, part.num_rows, 512):
-                rows = part.slice(a, 512)
-                ids, lengths = _with_end(*encoder(*buffer_of(rows["text"])), end_id)
+            for rows in slices(part):
+                ids, lengths = _with_end(*encode_texts(*buffer_of(rows["text"])), end_id)
                 column = rows["doc_id"].cast(pa.int64())
                 waiting.append((column.fill_null(0).to_numpy(zero_copy_only=False),
                                 column.is_null().to_numpy(zero_copy_only=False), lengths, ids))
