@@ -8,7 +8,7 @@ from checks.changes import USER_COLUMNS, USER_ROWS_SQL, document, typed_partial
 from checks.logs import (
     ORDER_IMAGE, ORDERS_FINAL_SQL, ORDERS_LOG_SQL, PATCH_ROWS_SQL, as_text, envelopes, orders_log, patch_log,
 )
-from checks.support import cents, check, spread, table
+from checks.support import cents, check, table
 from tidefold.functions import jsontext
 from tidefold.model import DELETE, LOG_POSITION, REPLACE
 from tidefold.operators import (
@@ -88,7 +88,7 @@ WHERE NOT EXISTS (SELECT 1 FROM tops t WHERE t.user_id = l.user_id AND t.mark >
 
 def nested_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Patches of nested fields by dotted paths."""
-    e = spread(table(spark, sf_dir, "events"))
+    e = table(spark, sf_dir, "events")
     kind, n, v = F.col("event_type"), F.col("event_id"), cents("value")
     js = lambda *cols: F.to_json(F.struct(*cols))
     path = F.concat(F.lit('{"$set":{"d.p.x'), (n % 5).cast("string"), F.lit('":'), n.cast("string"), F.lit("}}"))

@@ -425,7 +425,7 @@ def wm_row_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat(merge.merge_columns(empty_rows(ops), fold.fold_columns(ops)), "doc")
 
 
-@check("wm_row_upsert_ts", halves_sql(', CAST(1700000000000 AS BIGINT) AS "_dwsyncts"'))
+@check("wm_row_upsert_ts", halves_sql(', CAST(1700000000000 AS BIGINT) AS "modified_ms"'))
 def wm_row_upsert_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = wm.row_upsert(["id"], F.lit(1_700_000_000_000))
     ops = with_presence(errors.good(wm.write_ops(partial_rows(spark, sf_dir), model)))

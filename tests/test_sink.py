@@ -1,7 +1,9 @@
 """The configured sink over all write models, against a plain replay."""
 
 import json
+from dataclasses import replace
 
+import pytest
 from pyspark.sql import functions as F, types as T
 
 from tidefold.model import log_schema
@@ -76,7 +78,7 @@ def test_rows_with_their_keys(spark, tmp_path):
     values = {"write.model": "row_upsert_timestamp", "delete.on.null": "true", "id.strategy": "full_key"}
     s = sink(spark, tmp_path, values, kind="row", row_keys={"people": ["id"]}, now=F.timestamp_millis(F.lit(5)))
     _, rows = apply_both(spark, s)
-    assert {k: (r["doc"]["name"], r["doc"]["_dwsyncts"]) for k, r in rows.items()} == {(1,): ("c", 5), (3,): ("d", 5)}
+    assert {k: (r["doc"]["name"], r["doc"]["modified_ms"]) for k, r in rows.items()} == {(1,): ("c", 5), (3,): ("d", 5)}
 
 
 def test_stream_into_routed_targets(spark, tmp_path):
@@ -87,3 +89,86 @@ def test_stream_into_routed_targets(spark, tmp_path):
     stream = changelog.stream_log(spark, "parquet", str(tmp_path / "log"), log.schema)
     s.start(stream, str(tmp_path / "checkpoint")).awaitTermination()
     assert s.table("persons").read().count() == 3 and s.table("pets").read().count() == 1
+
+
+def patches(spark, path, mode="failfast"):
+    settings = Settings({"cdc.handler.docs": "document", "on.error": mode})
+    return ConfiguredSink(
+        spark, settings, str(path), buckets=2, key_decoder=dec.JsonPlain(T.StructType.fromDDL("id string")),
+        value_decoder=dec.JsonPlain(T.StructType.fromDDL("op string, after string, patch string")),
+    )
+
+
+def events(spark, records, start=0):
+    rows = [("docs", 0, start + i, None, None, json.dumps({"id": json.dumps(k)}), json.dumps(v)) for i, (k, v) in enumerate(records)]
+    return spark.createDataFrame(rows, log_schema("string", "string"))
+
+
+def patch(k, **ops):
+    return k, {"op": "u", "patch": json.dumps({f"${n}": v for n, v in ops.items()})}
+
+
+def stored(sink_):
+    return {r["k"]: json.loads(r["doc"]) for r in sink_.table("docs").read().collect()}
+
+
+DOC = {"_id": 1, "d": {"v": 1, "w": 2}, "s": "x", "n": 12345678901234567.89}
+
+
+def test_patches_address_nested_fields(spark, tmp_path):
+    s = patches(spark, tmp_path)
+    s.apply(events(spark, [(1, {"op": "c", "after": '{"_id":1,"d":{"v":1,"w":2},"big":12345678901234567.89,"id":9007199254740993}'})]), 0)
+    s.apply(events(spark, [patch(1, set={"d.v": 9, "e.f": [1]}), patch(1, unset={"d.w": True}), patch(2, set={"d.v": 1})], 1), 1)
+    rows = s.table("docs").read().collect()
+    assert [r["k"] for r in rows] == ["1"]
+    assert json.loads(rows[0]["doc"]) == {"_id": 1, "d": {"v": 9}, "e": {"f": [1]}, "big": 12345678901234567.89, "id": 9007199254740993}
+    assert '"big":12345678901234567.89' in rows[0]["doc"]
+
+
+def test_rejects_are_kept(spark, tmp_path):
+    s = patches(spark, tmp_path, "reject")
+    log = events(spark, [
+        (1, {"op": "c", "after": json.dumps(DOC)}), (2, {"op": "c", "after": "no JSON"}), patch(1, set={"d.0": 1}),
+        patch(1, set={"s.t": 1, "u": 2}), patch(1, set={"d.v": 5}),
+    ])
+    s.apply(log.filter("offset = 0"), 0)
+    s.apply(log, 1)
+    assert stored(s)["1"]["d"] == {"v": 5, "w": 2} and "u" not in stored(s)["1"]  # a patch applies whole or not at all
+    bad = {(r["offset"], r["err"]): r for r in s.table("docs").rejected().collect()}
+    assert {e for _, e in bad} == {"after is no JSON object", "path addresses an array element", "path runs through a scalar"}
+    assert json.loads(bad[1, "after is no JSON object"]["value"])["after"] == "no JSON"
+    s.apply(log, 1)  # a batch that is tried again adds nothing
+    assert s.table("docs").rejected().count() == len(bad)
+
+
+def test_bad_patch_stops_the_job(spark, tmp_path):
+    s = patches(spark, tmp_path)
+    s.apply(events(spark, [(1, {"op": "c", "after": json.dumps(DOC)})]), 0)
+    with pytest.raises(Exception, match="path runs through a scalar"):
+        s.apply(events(spark, [patch(1, set={"s.t": 1})], 1), 1)
+
+
+def test_bucket_count_is_checked(spark, tmp_path):
+    s = sink(spark, tmp_path, {"id.strategy": "full_key"})
+    s.apply(text_log(spark, A), 0)
+    table = s.table("people")
+    with pytest.raises(ValueError, match="buckets"):
+        replace(table, buckets=3).read()
+    other = table.rebucketed(3, str(tmp_path / "other"))
+    assert other.read().count() == 2 and other.offsets().collect() == table.offsets().collect()
+
+
+def test_reload_after_truncate(spark, tmp_path):
+    s = sink(spark, tmp_path, {"id.strategy": "full_key"})
+    for _ in range(2):
+        s.apply(text_log(spark, A), 0)
+        assert s.table("people").read().count() == 2
+        s.table("people").truncate()
+        assert s.table("people").read().count() == 0
+
+
+def test_texts_are_not_passed_through_a_redaction(spark, tmp_path):
+    s = sink(spark, tmp_path, {"processors": "value.projection", "value.projection.type": "blacklist", "value.projection.list": "name"})
+    s.value_decoder = None
+    with pytest.raises(ValueError):
+        s.apply(text_log(spark, A), 0)

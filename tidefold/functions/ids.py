@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidefold.functions import jsontext
 from tidefold.functions.walk import as_struct
-from tidefold.model import ID
+from tidefold.model import ID, struct_type
 from tidefold.operators.errors import add_error, first_error
 from tidefold.operators.project import Matcher, project_column
 
@@ -117,6 +117,8 @@ def strategy(name: str, matcher: Matcher | None = None) -> IdStrategy:
 
 def add_id(df: DataFrame, id_strategy: IdStrategy) -> DataFrame:
     """Put the id into the value document as `_id`, where there is a value."""
+    if struct_type(df, "value") is None:
+        raise ValueError("value holds no fields to put an id among: decode it with a schema first")
     id_col, errors = id_strategy(df)
     value = F.col("value")
     if errors:

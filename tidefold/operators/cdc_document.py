@@ -16,6 +16,7 @@ from tidefold.model import DELETE, ID, LOG_POSITION, REPLACE, SET, field, log_or
 from tidefold.operators.cdc_relational import CREATE, READ, REMOVE, UPDATE, check_op, op_code
 from tidefold.operators.errors import add_error
 
+# fixed values: names in the patches of document change events
 VERSION_MARK = "$v"
 PATCH_SET, PATCH_UNSET = "$set", "$unset"
 HANDLED = (CREATE, READ, UPDATE, REMOVE)

@@ -1,6 +1,7 @@
 """Schema growth: new fields of a batch become columns of the target.
 
-Types only widen: int to bigint to double (or decimal) to string.
+Types only widen, and keep every digit: int to bigint to decimal to string, or to double
+where the value was one; what no such type holds exactly becomes text.
 """
 
 from __future__ import annotations
@@ -21,9 +22,8 @@ def wider(a: T.DataType, b: T.DataType) -> T.DataType:
     for x, y in ((a, b), (b, a)):
         if isinstance(x, T.NullType):
             return y
-    if isinstance(a, T.DecimalType) or isinstance(b, T.DecimalType):
-        as_double = lambda t: T.DoubleType() if isinstance(t, T.DecimalType) else t
-        return wider(as_double(a), as_double(b))
+    if isinstance(a, T.DecimalType) or isinstance(b, T.DecimalType) or {a, b} == {T.LongType(), T.DoubleType()}:
+        return _wider_number(a, b)
     if isinstance(a, T.StructType) and isinstance(b, T.StructType):
         return grown(a, b)
     if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
@@ -35,6 +35,23 @@ def wider(a: T.DataType, b: T.DataType) -> T.DataType:
     return a if ra > rb else b
 
 
+_DIGITS = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
+
+
+def _wider_number(a: T.DataType, b: T.DataType) -> T.DataType:
+    """A decimal that holds both without rounding, text where none does."""
+    sizes = []
+    for t in (a, b):
+        if isinstance(t, T.DecimalType):
+            sizes.append((t.precision - t.scale, t.scale))
+        elif t.simpleString() in _DIGITS:
+            sizes.append((_DIGITS[t.simpleString()], 0))
+        else:
+            return T.StringType()
+    whole, scale = (max(s) for s in zip(*sizes))
+    return T.DecimalType(whole + scale, scale) if whole + scale <= 38 else T.StringType()
+
+
 def grown(have: T.StructType, incoming: T.StructType) -> T.StructType:
     """The target schema with the incoming fields added or widened; nothing is dropped."""
     fields = {f.name: f.dataType for f in have.fields}
@@ -84,8 +101,6 @@ def union_grown(*frames: DataFrame) -> DataFrame:
 
 def _plain(dtype: T.DataType) -> T.DataType:
     """Types inferred from JSON values as column types."""
-    if isinstance(dtype, T.DecimalType):
-        return T.DoubleType()
     if isinstance(dtype, T.NullType):
         return T.StringType()
     if isinstance(dtype, T.StructType):

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import json
 import sys
+from itertools import groupby
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -30,8 +31,31 @@ LEAVES = "array<struct<path:string,value:string>>"
 SCALAR = "path runs through a scalar"
 
 
+class _Number(float):
+    """A JSON number that keeps its spelling."""
+
+    def __new__(cls, text: str):
+        self = super().__new__(cls, text)
+        self.text = text
+        return self
+
+    def __repr__(self) -> str:
+        return self.text
+
+
+def _parsed(text: str):
+    return json.loads(text, parse_float=_Number, parse_int=_Number)
+
+
 def _text(node) -> str:
-    return json.dumps(node, separators=(",", ":"), sort_keys=True, ensure_ascii=False)
+    """Canonical text; numbers are written as they were read."""
+    if isinstance(node, _Number):
+        return node.text
+    if isinstance(node, dict):
+        return "{" + ",".join(f"{json.dumps(k, ensure_ascii=False)}:{_text(node[k])}" for k in sorted(node)) + "}"
+    if isinstance(node, list):
+        return "[" + ",".join(map(_text, node)) + "]"
+    return json.dumps(node, ensure_ascii=False)
 
 
 def _leaves(node, path: str, out: list) -> list:
@@ -44,32 +68,47 @@ def _leaves(node, path: str, out: list) -> list:
 
 
 def _leaves_of_batch(paths: pd.Series, texts: pd.Series) -> pd.Series:
-    return pd.Series([None if t is None else _leaves(json.loads(t), p, []) for p, t in zip(paths, texts)])
+    return pd.Series([None if t is None else _leaves(_parsed(t), p, []) for p, t in zip(paths, texts)])
 
 
 def _write(doc: dict, path: str, text: str | None) -> str | None:
     """Set a path, or remove it where there is no text; tells why it cannot."""
     *parents, last = path.split(".")
+    at = doc
+    for name in parents:
+        if name not in at:
+            break
+        at = at[name]
+        if not isinstance(at, dict):
+            return SCALAR
     for name in parents:
         if name not in doc and text is None:
             return None
         doc = doc.setdefault(name, {})
-        if not isinstance(doc, dict):
-            return SCALAR
     if text is None:
         doc.pop(last, None)
     else:
-        doc[last] = json.loads(text)
+        doc[last] = _parsed(text)
     return None
 
 
 def _applied(text: str | None, writes) -> tuple[str | None, str | None]:
-    doc, err = (None if text is None else json.loads(text)), None
-    for w in writes:
-        if w["path"] == ROOT:
-            doc = {} if w["act"] == REPLACE else None
-        elif doc is not None:
-            err = _write(doc, w["path"], w["text"]) or err
+    """The document after the writes; the writes of one operation apply together or not at all."""
+    doc, err = (None if text is None else _parsed(text)), None
+    for _, together in groupby(writes, key=lambda w: w["nth"]):
+        together = list(together)
+        if together[0]["path"] == ROOT:
+            doc = {} if together[0]["act"] == REPLACE else None
+        if doc is None:
+            continue
+        patch = [w for w in together if w["path"] != ROOT]
+        before = _text(doc) if len(patch) > 1 else None
+        for w in patch:
+            bad = _write(doc, w["path"], w["text"])
+            if bad:
+                err = bad
+                doc = _parsed(before) if before is not None else doc
+                break
     return (None if doc is None else _text(doc)), err
 
 
@@ -149,8 +188,14 @@ def fold_writes(ops: DataFrame) -> DataFrame:
     left = written_paths(ops).withColumn("reset_ord", F.max(root).over(key))
     left = left.filter(F.col("reset_ord").isNull() | (F.col("ord") >= F.col("reset_ord")))
     ordered = F.sort_array(F.collect_list(F.struct("ord", "path", "act", "text")))
-    return left.groupBy("k").agg(ordered.alias("w")).select(
-        "k", F.transform("w", lambda x: F.struct(x["path"].alias("path"), x["act"].alias("act"), x["text"].alias("text"))).alias("writes")
+    # the paths of one operation share its place
+    places = F.array_distinct(F.transform("w", lambda x: x["ord"]))
+    write = lambda x: F.struct(
+        x["path"].alias("path"), x["act"].alias("act"), x["text"].alias("text"),
+        F.array_position("places", x["ord"]).alias("nth"),
+    )
+    return left.groupBy("k").agg(ordered.alias("w")).withColumn("places", places).select(
+        "k", F.transform("w", write).alias("writes")
     )
 
 

@@ -158,6 +158,8 @@ def project(df: DataFrame, column: str, matcher: Matcher | None, keep_empty: boo
     top = matcher.root() if matcher else None
     if top is None:
         return df
+    if not isinstance(df.schema[column].dataType, (T.StructType, T.MapType)):
+        raise ValueError(f"{column} holds no fields that could be projected: decode it with a schema first")
     out = project_column(F.col(column), df.schema[column].dataType, top, keep_empty)
     if out is None:
         out = F.when(F.col(column).isNotNull(), F.struct())

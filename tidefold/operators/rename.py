@@ -123,6 +123,8 @@ def rename(df: DataFrame, renamer: Renamer, columns: Sequence[str] = ("key", "va
     if not renamer:
         return df
     for c in columns:
+        if isinstance(df.schema[c].dataType, (T.StringType, T.BinaryType, T.VariantType)):
+            raise ValueError(f"{c} holds no fields that could be renamed: decode it with a schema first")
         df = df.withColumn(c, rename_column(F.col(c), df.schema[c].dataType, c, renamer))
     return df
 

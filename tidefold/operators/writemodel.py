@@ -16,6 +16,7 @@ from tidefold.functions.walk import as_struct
 from tidefold.model import DELETE, ID, LOG_POSITION, REPLACE, SET, field, log_ord, struct_type
 from tidefold.operators.errors import add_error, first_error
 
+# fixed values: documented names of the stored times
 MODIFIED, INSERTED = "_modifiedTS", "_insertedTS"
 
 
@@ -96,7 +97,7 @@ def set_with_timestamps(now: Column) -> WriteModel:
     return build
 
 
-def row_upsert(keys: list[str], modified: Column | None = None, modified_column: str = "_dwsyncts") -> WriteModel:
+def row_upsert(keys: list[str], modified: Column | None = None, modified_column: str = "modified_ms") -> WriteModel:
     """Upsert a row: the columns of the document are written, others keep their value.
 
     With `modified`, the row is stamped with that time in epoch milliseconds.

@@ -14,8 +14,10 @@ from functools import partial, reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidefold.functions import ids
-from tidefold.operators import cdc_document, cdc_relational, errors, fold, merge, meta, project, rename, writemodel
-from tidefold.model import ID
+from tidefold.operators import (
+    cdc_document, cdc_relational, errors, fold, fold_nested, merge, meta, project, rename, writemodel,
+)
+from tidefold.model import ID, LOG_POSITION
 from tidefold.plans.settings import Settings
 
 Step = Callable[[DataFrame], DataFrame]
@@ -118,20 +120,43 @@ class TargetPlan:
     def process(self, log: DataFrame) -> DataFrame:
         return reduce(lambda df, step: step(df), self.steps(), log)
 
-    def operations(self, log: DataFrame) -> DataFrame:
-        """Operations of the records, bad ones settled as `on.error` says."""
+    def nested(self) -> bool:
+        """Whether changes are patches of documents, which address fields by dotted paths."""
+        return self.handler() in DOCUMENT_SOURCES and self.kind == "document"
+
+    def judged(self, log: DataFrame) -> DataFrame:
+        """Operations of all records, the reason of bad ones in `err`."""
         handler = self.handler()
+        if self.nested():
+            return fold_nested.check_paths(cdc_document.document_ops(log, self.kind))
         if handler in DOCUMENT_SOURCES:
-            ops = cdc_document.document_ops(log, self.kind)
-        elif handler:
-            ops = cdc_relational.relational_ops(log, self.kind, self.registry.operations.get(handler))
-        else:
-            ops = writemodel.write_ops(self.process(log), self.write_model(), self.delete_model())
-        return errors.settle(ops, self.settings.get("on.error", self.target))
+            return cdc_document.document_ops(log, self.kind)
+        if handler:
+            return cdc_relational.relational_ops(log, self.kind, self.registry.operations.get(handler))
+        return writemodel.write_ops(self.process(log), self.write_model(), self.delete_model())
+
+    def operations(self, log: DataFrame) -> DataFrame:
+        """Operations of the records, bad ones settled as `on.error` says."""
+        return errors.settle(self.judged(log), self.settings.get("on.error", self.target))
+
+    def keeps_rejects(self) -> bool:
+        return self.settings.get("on.error", self.target) == "reject"
+
+    def rejects(self, log: DataFrame) -> DataFrame:
+        """Log position and reason of the bad records."""
+        return errors.rejected(self.judged(log)).select(*LOG_POSITION, "err")
+
+    def merge_rejects(self, target: DataFrame | None, delta: DataFrame) -> DataFrame:
+        """Keys and reasons of patches that the stored documents do not take."""
+        base = target if target is not None else delta.select("k", F.lit("").alias("doc")).limit(0)
+        bad = fold_nested.merge_paths(base, delta).filter("err IS NOT NULL")
+        return bad.select("k", "err")
 
     def folded(self, log: DataFrame) -> DataFrame:
         """One change per key."""
         ops = self.operations(log)
+        if self.nested():
+            return fold_nested.fold_writes(ops)
         if "sets" in ops.columns:
             return fold.fold_fields(ops)
         model = self.settings.get("write.model", self.target)
@@ -143,6 +168,10 @@ class TargetPlan:
 
     def merge(self, target: DataFrame | None, delta: DataFrame) -> DataFrame:
         """Rows of the target after the changes of `folded`; a missing target is empty."""
+        if self.nested():
+            empty = delta.select("k", F.lit("").alias("doc")).limit(0)
+            rows = fold_nested.merge_paths(target if target is not None else empty, delta)
+            return rows.drop("err") if self.keeps_rejects() else errors.fail_fast(rows)
         if "sets" in delta.columns:
             empty = delta.select("k", F.lit("").alias("doc")).limit(0)
             return merge.merge_fields(target if target is not None else empty, delta)

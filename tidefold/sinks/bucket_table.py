@@ -19,6 +19,7 @@ import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
+from hashlib import sha256
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -28,6 +29,7 @@ from tidefold.sinks import folders
 
 BUCKET = "_bucket"
 OFFSETS = "topic string, partition int, offset bigint"
+REJECTS = "topic string, partition int, offset bigint, k string, err string, key string, value string"
 
 Merge = Callable[[DataFrame, DataFrame], DataFrame]
 
@@ -38,13 +40,16 @@ class Manifest:
 
     `buckets` gives per bucket its version and the schema it was written with,
     `applied` the last batch of each source (a source is one checkpoint: a new one
-    counts its batches from 0 again), `offsets` the version that recorded offsets.
+    counts its batches from 0 again), `offsets` the version that recorded offsets,
+    `count` and `keys` how rows are dealt to buckets.
     """
 
     version: int
     schema: str
     buckets: dict[int, tuple[int, str]]
     applied: dict[str, int]
+    count: int
+    keys: list[str]
     offsets: int | None = None
 
     def text(self) -> str:
@@ -90,7 +95,10 @@ class BucketTable:
         if not done:
             return None
         text = self.spark.read.text(f"{base}/v={max(done)}", wholetext=True).first()[0]
-        return Manifest.of(text)
+        m = Manifest.of(text)
+        if (m.count, m.keys) != (self.buckets, list(self.keys)):
+            raise ValueError(f"the table has {m.count} buckets by {m.keys}, not {self.buckets} by {list(self.keys)}")
+        return m
 
     def schema(self) -> T.StructType | None:
         m = self.manifest()
@@ -128,10 +136,14 @@ class BucketTable:
     # -- writing ------------------------------------------------------------
 
     def apply(
-        self, delta: DataFrame, merge: Merge, batch: int, log: DataFrame | None = None, source: str = ""
+        self, delta: DataFrame, merge: Merge, batch: int, log: DataFrame | None = None, source: str = "",
+        faults: Merge | None = None,
     ) -> None:
         """Merge one change per key into the table and publish the result.
 
+        `faults(target, delta)` gives the keys and reasons of changes that cannot be merged; they are
+        written to the table's rejects first.
+
         `merge(target, delta)` joins on the key; its target is None before the first write.
         A batch its source has applied before is passed over.  `log` are the records the
         changes came from; their offsets are recorded with the batch.
@@ -143,21 +155,51 @@ class BucketTable:
         try:
             touched = [r[0] for r in delta.select(self.bucket()).distinct().collect()]
             base = self.read(touched, at=before) if before else None
+            if faults is not None:
+                self.reject(faults(base, delta), batch, source, "merge")
             rows = merge(None if base is None else self.by_bucket(base), self.by_bucket(delta))
             self._publish(rows, touched, before, {source: batch}, log)
         finally:
             delta.unpersist()
 
+    def reject(self, rows: DataFrame, batch: int, source: str, stage: str) -> None:
+        """Write rejects of a batch; a batch that is tried again replaces its own."""
+        have = dict(rows.dtypes)
+        text = lambda c: F.col(c) if have[c] in ("string", "int", "bigint") else F.to_json(c)
+        columns = [(text(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+                   for f in T.StructType.fromDDL(REJECTS)]
+        of = sha256(source.encode()).hexdigest()[:12]
+        path = f"{self.path}/rejected/source={of}/batch={batch}/stage={stage}"
+        rows.select(*columns).write.mode("overwrite").parquet(path)
+
+    def rejected(self) -> DataFrame:
+        """Rejected records and changes, with their reasons."""
+        path = f"{self.path}/rejected"
+        if not folders.exists(self.spark, path):
+            return self.spark.createDataFrame([], REJECTS)
+        return self.spark.read.schema(REJECTS).option("recursiveFileLookup", "true").parquet(path)
+
     def overwrite(self, rows: DataFrame) -> None:
         """Replace all rows."""
         before = self.manifest()
         self._publish(self.by_bucket(rows), list(before.buckets) if before else [], before, {}, None)
 
-    def truncate(self) -> None:
-        """Drop all rows and keep the schema."""
+    def truncate(self, forget_applied: bool = True) -> None:
+        """Drop all rows and keep the schema; a log that was applied can then be applied again."""
         before = self.manifest()
         if before is not None:
-            self._write_manifest(replace(before, version=before.version + 1, buckets={}))
+            applied, offsets = ({}, None) if forget_applied else (before.applied, before.offsets)
+            self._write_manifest(
+                replace(before, version=before.version + 1, buckets={}, applied=applied, offsets=offsets)
+            )
+
+    def rebucketed(self, buckets: int, path: str) -> "BucketTable":
+        """The rows as a table of another number of buckets at another path."""
+        out, before = replace(self, path=path, buckets=buckets), self.manifest()
+        if before is not None:
+            marks = self.offsets(before)
+            out._publish(out.by_bucket(self.read(at=before)), [], None, before.applied, marks)
+        return out
 
     def _publish(self, rows, touched: list[int], before: Manifest | None, applied: dict[str, int], log) -> None:
         version, schema = (before.version + 1 if before else 0), rows.schema.json()
@@ -174,7 +216,8 @@ class BucketTable:
         kept = {b: v for b, v in (before.buckets if before else {}).items() if b not in touched}
         done = {**(before.applied if before else {}), **applied}
         self._write_manifest(
-            Manifest(version, schema, {**kept, **{b: (version, schema) for b in written}}, done, offsets)
+            Manifest(version, schema, {**kept, **{b: (version, schema) for b in written}}, done, self.buckets,
+                     list(self.keys), offsets)
         )
 
     def _write_manifest(self, m: Manifest) -> None:

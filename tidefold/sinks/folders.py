@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -11,15 +13,23 @@ from pyspark.sql import SparkSession
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the one the cluster names in spark.checkpoint.dir.
 
-    Only where that is unset (tests on one machine) a local temporary folder serves.
+    Only a session that runs in one process has a local temporary folder where that is unset.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="tidefold-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    base = spark.conf.get("spark.checkpoint.dir", None) or _local_folder(spark.sparkContext.master)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+@lru_cache(maxsize=1)
+def _temporary() -> str:
+    return tempfile.mkdtemp(prefix="tidefold-")
+
+
+def _local_folder(master: str) -> str:
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return _temporary()
+
+
 def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path

@@ -13,9 +13,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field as attribute
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidefold.model import LOG_POSITION
 from tidefold.operators import route
 from tidefold.plans.settings import Settings
 from tidefold.plans.target_plan import Registry, TargetPlan
@@ -59,9 +60,21 @@ class ConfiguredSink:
             plans = {t: self.plan(t) for t in targets}
             tables = {t: self.table(t) for t in targets}
             steps = {t: (p.folded, p.merge) for t, p in plans.items()}
-            apply_targets(tables, decoded, steps, batch, self.fence, source)
+            for t, p in plans.items():
+                if p.keeps_rejects():
+                    self.write_rejects(p, tables[t], routed, decoded, batch, source)
+            faults = {t: p.merge_rejects for t, p in plans.items() if p.keeps_rejects() and p.nested()}
+            apply_targets(tables, decoded, steps, batch, self.fence, source, faults)
         finally:
             routed.unpersist()
 
+    def write_rejects(
+        self, plan: TargetPlan, table: BucketTable, routed: DataFrame, decoded: DataFrame, batch: int, source: str
+    ) -> None:
+        """Bad records with their reasons and as they were read, before anything of the batch is applied."""
+        bad = plan.rejects(decoded.filter(decoded["target"] == plan.target))
+        raw = routed.select(*LOG_POSITION, *[F.col(c).cast("string").alias(c) for c in ("key", "value")])
+        table.reject(bad.join(raw, LOG_POSITION), batch, source, "records")
+
     def start(self, stream: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:
         return apply_stream(stream, lambda log, batch: self.apply(log, batch, checkpoint), checkpoint, **trigger)
