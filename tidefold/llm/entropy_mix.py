@@ -19,18 +19,21 @@ equal (source, cell, base rate), so a step reads a small table and no source is
 Copies.  Rates become whole copies: sizes are put in cells (1 to 64 words singly, then 1% wide).
 From the largest cell down, each cell's copies are what brings the words taken so far nearest to
 the words wanted so far, so errors of large documents are made up by small ones.  A cell's copies
-are dealt evenly over its documents in the order of a hash, by running numbers in hash blocks
-and block totals: no source and no cell is in one task.  No document has more than `most` copies.
+are dealt evenly over its documents; what does not divide goes to those of the least hashes.  The
+hash of the last one is found by counts over ranges of the hash, so no source and no cell is in
+one task, and texts are not shuffled.  No document has more than `most` copies.
 
 Cases: a null text has no words and is not taken; a null source is a source, the last one; rows
-that repeat are documents each, told apart by their order in the table; empty tables give no
-rows; a source without words has target 0; columns with clashing names are kept apart.
+that repeat another's id, source and text are documents each, and taken as often as it; empty tables
+give no rows; a source without words has target 0; columns with clashing names are kept apart.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from tidefold.functions.once import compute_once
+from tidefold.llm.choose import small
 from tidefold.sinks.folders import shared_folder
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -117,55 +120,82 @@ def mix(
     """
     if name in docs.columns:
         raise ValueError(f"the documents have a column {name!r}: choose another name")
-    spark = docs.sparkSession
-    blocks = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    columns = docs.columns
+    p = "_" * (1 + max(map(len, docs.columns)))  # names that no column has
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    order = F.xxhash64(F.col("doc_id"), F.col("source"), F.xxhash64("text"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col("source").alias("source"),
-                       size.alias("size"), order.alias("order"), (base if base is not None else F.lit(1.0)).alias("base"))
-    rows = rows.withColumn("cell", _cell(F.col("size"))).withColumn("block", F.pmod(F.col("order"), F.lit(blocks)))
-    # measured once; whole texts are read again at the end and joined by the order of their rows
-    facts = _kept(rows.drop("row"), "mix-sizes")
+    rows = compute_once(docs, **{f"{p}size": size})
+    rows = rows.withColumns({
+        f"{p}cell": _cell(F.col(f"{p}size")), f"{p}order": F.xxhash64("doc_id", "source", F.xxhash64("text")),
+        f"{p}base": (base if base is not None else F.lit(1.0)).cast("double"),
+    })
+    # measured once, without the texts
+    facts = _kept(rows.select("source", *[F.col(p + c).alias(c) for c in ("size", "cell", "order", "base")]), "mix-sizes")
     sizes = facts.groupBy("source").agg(F.sum("size").alias("source_size"))
     goals = _kept(targets(sizes, weights, most), "mix-targets")
     hist = facts.groupBy("source", "cell", "base").agg(F.count("*").alias("n"), F.sum("size").alias("words"))
     hist = _kept(hist, "mix-cells")
-    tilts = rates(hist, goals, most)
-    tilts = tilts.withColumnRenamed("source", "s")
-    per = hist.join(tilts, F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    wanted = F.col("words") * F.least(F.lit(float(most)), F.col("base") * F.exp("tilt"))
-    per = per.withColumn("wanted", F.when(F.col("words") > 0, wanted).otherwise(0.0))
-    # cells of a source, at most some thousand for any size of text
-    cell = per.groupBy("source", "cell").agg(F.sum("n").alias("n"), F.sum("words").alias("words"), F.sum("wanted").alias("wanted"))
-    lists = cell.groupBy("source").agg(F.sort_array(F.collect_list(F.struct("cell", "n", "words", "wanted")), False).alias("cells"))
+    deal = small(_deal(facts, _copies(hist, rates(hist, goals, most), most), most))
+    deal = deal.select(*[F.col(c).alias(f"{p}{p}{c}") for c in deal.columns])
+    goals = small(goals).select(*[F.col(c).alias(f"{p}{p}{p}{c}") for c in goals.columns])
+    out = rows.join(goals, F.col("source").eqNullSafe(F.col(f"{p}{p}{p}source")), "left")
+    same = F.col("source").eqNullSafe(F.col(f"{p}{p}source")) & (F.col(f"{p}cell") == F.col(f"{p}{p}cell"))
+    same = same & (F.col(f"{p}base") == F.col(f"{p}{p}base"))
+    out = out.join(deal, same, "left")
+    copies = F.col(f"{p}{p}each") + F.coalesce((F.col(f"{p}order") <= F.col(f"{p}{p}last")).cast("long"), F.lit(0))
+    facts_ = F.struct(
+        F.col(f"{p}size").alias("size"), F.col(f"{p}{p}{p}source_size").alias("source_size"),
+        F.col(f"{p}{p}{p}target").alias("target"), F.col(f"{p}{p}rate").alias("rate"), copies.alias("copies"))
+    return out.select(facts_.alias(name), *[F.col(f"`{c}`") for c in docs.columns])
+
+
+def _copies(hist: DataFrame, tilts: DataFrame, most: float) -> DataFrame:
+    """(source, cell, base, n, rate, copies): whole copies of every cell, the largest cells first."""
+    per = hist.join(tilts.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    rate = F.when(F.col("words") > 0, F.least(F.lit(float(most)), F.col("base") * F.exp("tilt"))).otherwise(0.0)
+    per = per.withColumn("rate", rate)
+    # the cells of a source: some thousand for any size of text (and each base rate)
+    entry = F.struct("cell", "base", "n", "words", "rate")
+    lists = per.groupBy("source").agg(F.sort_array(F.collect_list(entry), False).alias("cells"))
 
     def carry(acc: Column, c: Column) -> Column:
-        want = c["wanted"] + acc["over"]
+        want = c["words"] * c["rate"] + acc["over"]
         mean = c["words"] / c["n"]
-        copies = F.when(c["words"] > 0, F.greatest(F.lit(0.0), F.least(F.lit(float(most)) * c["n"], F.round(want / mean))))
-        copies = F.coalesce(copies, F.lit(0.0))
-        entry = F.struct(c["cell"].alias("cell"), c["n"].alias("n"), copies.cast("long").alias("copies"))
-        return F.struct((want - copies * mean).alias("over"), F.concat(acc["out"], F.array(entry)).alias("out"))
-
-    start = F.struct(F.lit(0.0).alias("over"), F.array().cast("array<struct<cell:bigint,n:bigint,copies:bigint>>").alias("out"))
-    dealt = lists.select("source", F.explode(F.aggregate("cells", start, carry)["out"]).alias("c"))
-    dealt = dealt.select("source", "c.*").join(goals.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    # running number of a document in its cell: block totals before it, and its place in its block
-    totals = facts.groupBy("source", "cell", "block").agg(F.count("*").alias("in_block"))
-    before = F.sum("in_block").over(Window.partitionBy("source", "cell").orderBy("block")) - F.col("in_block")
-    totals = totals.select("source", "cell", "block", before.alias("before"))
-    keys = lambda df, p, names: df.select(*[F.col(n).alias(p + n) for n in names], *[c for c in df.columns if c not in names])
-    both = keys(totals, "a_", ["source", "cell", "block"]).join(
-        keys(dealt, "b_", ["source", "cell"]), F.col("a_source").eqNullSafe(F.col("b_source")) & (F.col("a_cell") == F.col("b_cell"))
-    ).drop("b_source", "b_cell")
-    both = _kept(both, "mix-dealt")
-    at = F.row_number().over(Window.partitionBy("source", "cell", "block").orderBy("order")) + F.col("before")
-    match = F.col("source").eqNullSafe(F.col("a_source")) & (F.col("cell") == F.col("a_cell")) & (F.col("block") == F.col("a_block"))
-    joined = rows.join(both, match).withColumn("at", at)
-    copies = F.floor(F.col("copies") * F.col("at") / F.col("n")) - F.floor(F.col("copies") * (F.col("at") - 1) / F.col("n"))
-    facts_ = F.struct("size", "source_size", "target", (F.col("copies") / F.col("n")).alias("rate"), copies.cast("long").alias("copies"))
-    return joined.select(facts_.alias(name), *[F.col("row").getField(c).alias(c) for c in columns])
+        copies = F.greatest(F.lit(0.0), F.least(F.lit(float(most)) * c["n"], F.round(want / mean)))
+        copies = F.when(c["words"] > 0, copies).otherwise(0.0)
+        out = F.struct(c["cell"].alias("cell"), c["base"].alias("base"), c["n"].alias("n"), c["rate"].alias("rate"),
+                       copies.cast("long").alias("copies"))
+        return F.struct((want - copies * mean).alias("over"), F.concat(acc["out"], F.array(out)).alias("out"))
+
+    none = F.array().cast("array<struct<cell:bigint,base:double,n:bigint,rate:double,copies:bigint>>")
+    start = F.struct(F.lit(0.0).alias("over"), none.alias("out"))
+    return _kept(lists.select("source", F.explode(F.aggregate("cells", start, carry)["out"]).alias("c")).select("source", "c.*"),
+                 "mix-copies")
+
+
+def _deal(facts: DataFrame, copies: DataFrame, most: float) -> DataFrame:
+    """(source, cell, base, rate, each, last): all documents of a cell are taken `each` times, and
+    those whose hash is `last` or less once more.
+
+    `last` is the hash of a given rank in its cell: counts by range of the hash tell the range it lies in,
+    and only that range is sorted.
+    """
+    spark = facts.sparkSession
+    bits = 6 + max(1, int(spark.conf.get("spark.sql.shuffle.partitions")).bit_length())
+    facts = facts.withColumn("block", F.shiftright("order", 64 - bits))  # ranges of the hash, in its order
+    key = ["source", "cell", "base"]
+    each = F.floor(F.col("copies") / F.col("n")).cast("long")
+    copies = copies.withColumn("each", each).withColumn("rest", F.col("copies") - F.col("each") * F.col("n"))
+    match = lambda left, names: [F.col(left + c).eqNullSafe(F.col(c)) for c in names]
+    named = lambda df, names: df.select(*[F.col(c).alias("x_" + c) if c in names else F.col(c) for c in df.columns])
+    totals = facts.groupBy(*key, "block").agg(F.count("*").alias("in_block"))
+    before = F.sum("in_block").over(Window.partitionBy(*key).orderBy("block")) - F.col("in_block")
+    totals = named(totals.withColumn("before", before), key)
+    some = copies.filter("rest > 0").select(*key, "rest")
+    chosen = totals.join(some, match("x_", key)).filter("before < rest and rest <= before + in_block")
+    chosen = named(chosen.select(*key, "block", "before", "rest"), [*key, "block"])
+    rows = facts.join(chosen, match("x_", [*key, "block"])).select(*key, "order", "before", "rest")
+    at = F.row_number().over(Window.partitionBy(*key).orderBy("order")) + F.col("before")
+    last = named(rows.withColumn("at", at).filter("at = rest").select(*key, F.col("order").alias("last")), key)
+    return copies.join(last, match("x_", key), "left").select(*key, "rate", "each", "last")
 
 
 def take(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
