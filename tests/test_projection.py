@@ -7,28 +7,25 @@ from pyspark.sql import functions as F
 
 from tidefold.operators import project as prj, rename as ren
 
-KEY = (
-    "_id string, myInt int, subDoc1 struct<myString:string,myBoolean:boolean>, "
-    "subDoc2 struct<myString:string,myBoolean:boolean>"
-)
-KEY_ROW = ("ABC-123", 42, ("BSON1", False), ("BSON2", True))
+# an order with its customer, and a parcel with its stops
+KEY = "_id string, region int, buyer struct<mail:string,trusted:boolean>, payer struct<mail:string,trusted:boolean>"
+KEY_ROW = ("o-17", 3, ("ann@x", False), ("bob@x", True))
 VALUE = (
-    "_id string, myBoolean boolean, "
-    "subDoc1 struct<myFieldA:string,myFieldB:double,subSubDoc:struct<myString:string,myInt:int,myBoolean:boolean>>, "
-    "subDoc2 struct<myFieldA:string,myFieldB:double,subSubDoc:struct<myBytes:string,myArray:array<struct<key:string,value:int>>>>"
+    "_id string, paid boolean, "
+    "parcel struct<carrier:string,kilos:double,label:struct<code:string,copies:int,glued:boolean>>, "
+    "refund struct<carrier:string,kilos:double,label:struct<scan:string,stops:array<struct<town:string,hour:int>>>>"
 )
-ITEMS = [("abc", 123), ("xyz", 987)]
-VALUE_ROW = ("XYZ-789", True, ("some text", 12.34, ("some text", 0, False)), ("some text", 12.34, ("xyz", ITEMS)))
+STOPS = [("Graz", 7), ("Brno", 19)]
+VALUE_ROW = ("p-4", True, ("mule", 2.5, ("LX", 2, False)), ("ship", 0.75, ("s9", STOPS)))
 
-ONE = {"myString": "BSON1", "myBoolean": False}
-TWO = {"myString": "BSON2", "myBoolean": True}
-DEEP1 = {"myString": "some text", "myInt": 0, "myBoolean": False}
-ARRAY = [{"key": "abc", "value": 123}, {"key": "xyz", "value": 987}]
-DEEP2 = {"myBytes": "xyz", "myArray": ARRAY}
-AB = {"myFieldA": "some text", "myFieldB": 12.34}
-WHOLE_VALUE = {
-    "_id": "XYZ-789", "myBoolean": True, "subDoc1": {**AB, "subSubDoc": DEEP1}, "subDoc2": {**AB, "subSubDoc": DEEP2},
-}
+BUYER = {"mail": "ann@x", "trusted": False}
+PAYER = {"mail": "bob@x", "trusted": True}
+LABEL = {"code": "LX", "copies": 2, "glued": False}
+TOWNS = [{"town": "Graz", "hour": 7}, {"town": "Brno", "hour": 19}]
+SCAN = {"scan": "s9", "stops": TOWNS}
+MULE = {"carrier": "mule", "kilos": 2.5}
+SHIP = {"carrier": "ship", "kilos": 0.75}
+WHOLE_VALUE = {"_id": "p-4", "paid": True, "parcel": {**MULE, "label": LABEL}, "refund": {**SHIP, "label": SCAN}}
 
 
 def project(spark, schema, row, kind, rules):
@@ -37,39 +34,39 @@ def project(spark, schema, row, kind, rules):
     return json.loads(out.select(F.to_json("value").alias("j")).first()["j"])
 
 
+# expected from the rules: a blacklist drops what a path names, `*` for any plain field on its level (also on
+# the way to a deeper name), `**` for all
+# below it; a whitelist keeps named fields only, its parents must be named as well; _id always stays
 KEY_CASES = [
-    ("none", "", {"_id": "ABC-123", "myInt": 42, "subDoc1": ONE, "subDoc2": TWO}),
-    ("blacklist", "_id,subDoc1.myString,subDoc2.myBoolean",
-     {"_id": "ABC-123", "myInt": 42, "subDoc1": {"myBoolean": False}, "subDoc2": {"myString": "BSON2"}}),
-    ("blacklist", "*", {"_id": "ABC-123", "subDoc1": ONE, "subDoc2": TWO}),
-    ("blacklist", "**", {"_id": "ABC-123"}),
-    ("blacklist", "*.myString", {"_id": "ABC-123", "subDoc1": {"myBoolean": False}, "subDoc2": {"myBoolean": True}}),
-    ("blacklist", "*.*", {"_id": "ABC-123", "subDoc1": {}, "subDoc2": {}}),
-    ("WhiteList", "", {"_id": "ABC-123"}),
-    ("whitelist", "*", {"_id": "ABC-123", "myInt": 42, "subDoc1": {}, "subDoc2": {}}),
-    ("whitelist", "*,*.myBoolean",
-     {"_id": "ABC-123", "myInt": 42, "subDoc1": {"myBoolean": False}, "subDoc2": {"myBoolean": True}}),
-    ("whitelist", "**", {"_id": "ABC-123", "myInt": 42, "subDoc1": ONE, "subDoc2": TWO}),
+    ("none", "", {"_id": "o-17", "region": 3, "buyer": BUYER, "payer": PAYER}),
+    ("blacklist", "_id,payer.mail", {"_id": "o-17", "region": 3, "buyer": BUYER, "payer": {"trusted": True}}),
+    ("blacklist", "*", {"_id": "o-17", "buyer": BUYER, "payer": PAYER}),
+    ("blacklist", "**", {"_id": "o-17"}),
+    ("blacklist", "region,*.trusted", {"_id": "o-17", "buyer": {"mail": "ann@x"}, "payer": {"mail": "bob@x"}}),
+    ("blacklist", "buyer.*", {"_id": "o-17", "region": 3, "buyer": {}, "payer": PAYER}),
+    ("WhiteList", "", {"_id": "o-17"}),
+    ("whitelist", "*", {"_id": "o-17", "region": 3, "buyer": {}, "payer": {}}),
+    ("whitelist", "payer,payer.mail", {"_id": "o-17", "payer": {"mail": "bob@x"}}),
+    ("whitelist", "**", {"_id": "o-17", "region": 3, "buyer": BUYER, "payer": PAYER}),
 ]
 VALUE_CASES = [
-    ("blacklist", "_id,subDoc1,subDoc2", {"_id": "XYZ-789", "myBoolean": True}),
-    ("blacklist", "**", {"_id": "XYZ-789"}),
-    ("blacklist", "subDoc1.subSubDoc,subDoc2", {"_id": "XYZ-789", "myBoolean": True, "subDoc1": AB}),
-    ("blacklist", "*,subDoc1.*,subDoc2.**", {"_id": "XYZ-789", "subDoc1": {"subSubDoc": DEEP1}, "subDoc2": {}}),
-    ("blacklist", "*.*", {"_id": "XYZ-789", "subDoc1": {"subSubDoc": DEEP1}, "subDoc2": {"subSubDoc": DEEP2}}),
-    ("blacklist", "*.subSubDoc", {"_id": "XYZ-789", "subDoc1": AB, "subDoc2": AB}),
-    ("blacklist", "subDoc1.*.myString,subDoc2.subSubDoc.*",
-     {"_id": "XYZ-789", "myBoolean": True, "subDoc1": {"subSubDoc": {"myInt": 0, "myBoolean": False}},
-      "subDoc2": {**AB, "subSubDoc": {}}}),
-    ("blacklist", "subDoc1,subDoc2.myFieldA,subDoc2.myFieldB,subDoc2.subSubDoc.myBytes,subDoc2.subSubDoc.myArray.key",
-     {"_id": "XYZ-789", "myBoolean": True, "subDoc2": {"subSubDoc": {"myArray": [{"value": 123}, {"value": 987}]}}}),
-    ("whitelist", "", {"_id": "XYZ-789"}),
-    ("whitelist", "*", {"_id": "XYZ-789", "myBoolean": True, "subDoc1": {}, "subDoc2": {}}),
-    ("whitelist", "subDoc1,subDoc1.**,subDoc2,subDoc2.subSubDoc,subDoc2.subSubDoc.myArray,subDoc2.subSubDoc.myArray.*",
-     {"_id": "XYZ-789", "subDoc1": {**AB, "subSubDoc": DEEP1}, "subDoc2": {"subSubDoc": {"myArray": ARRAY}}}),
+    ("blacklist", "_id,refund", {"_id": "p-4", "paid": True, "parcel": {**MULE, "label": LABEL}}),
+    ("blacklist", "**", {"_id": "p-4"}),
+    ("blacklist", "parcel,refund.label", {"_id": "p-4", "paid": True, "refund": SHIP}),
+    ("blacklist", "*,refund.*", {"_id": "p-4", "parcel": {**MULE, "label": LABEL}, "refund": {"label": SCAN}}),
+    ("blacklist", "paid,parcel.**", {"_id": "p-4", "parcel": {}, "refund": {**SHIP, "label": SCAN}}),
+    ("blacklist", "*.label", {"_id": "p-4", "parcel": MULE, "refund": SHIP}),
+    ("blacklist", "parcel.*.copies,refund.label.*",
+     {"_id": "p-4", "paid": True, "parcel": {"label": {"code": "LX", "glued": False}}, "refund": {**SHIP, "label": {}}}),
+    ("blacklist", "parcel,refund.carrier,refund.kilos,refund.label.scan,refund.label.stops.hour",
+     {"_id": "p-4", "paid": True, "refund": {"label": {"stops": [{"town": "Graz"}, {"town": "Brno"}]}}}),
+    ("whitelist", "", {"_id": "p-4"}),
+    ("whitelist", "*", {"_id": "p-4", "paid": True, "parcel": {}, "refund": {}}),
+    ("whitelist", "refund,refund.kilos,parcel,parcel.**",
+     {"_id": "p-4", "parcel": {**MULE, "label": LABEL}, "refund": {"kilos": 0.75}}),
     ("whitelist", "**", WHOLE_VALUE),
-    ("whitelist", "subDoc2,subDoc2.subSubDoc,subDoc2.subSubDoc.myArray,subDoc2.subSubDoc.myArray.key",
-     {"_id": "XYZ-789", "subDoc2": {"subSubDoc": {"myArray": [{"key": "abc"}, {"key": "xyz"}]}}}),
+    ("whitelist", "refund,refund.label,refund.label.stops,refund.label.stops.town",
+     {"_id": "p-4", "refund": {"label": {"stops": [{"town": "Graz"}, {"town": "Brno"}]}}}),
 ]
 
 
@@ -83,9 +80,9 @@ def test_nested_value(spark, kind, rules, expected):
     assert project(spark, VALUE, VALUE_ROW, kind, rules) == expected
 
 
-FLAT = "_id string, myLong bigint, myDouble double, myString string, myArray array<string>"
-FLAT_ROW = ("XYZ-789", 42, 23.23, "BSON", [])
-FLAT_DOC = {"_id": "XYZ-789", "myLong": 42, "myDouble": 23.23, "myString": "BSON", "myArray": []}
+FLAT = "_id string, stock bigint, price double, title string, tags array<string>"
+FLAT_ROW = ("b-2", 11, 7.25, "Pen", [])
+FLAT_DOC = {"_id": "b-2", "stock": 11, "price": 7.25, "title": "Pen", "tags": []}
 
 
 @pytest.mark.parametrize("kind,rules,kept", [
@@ -93,34 +90,33 @@ FLAT_DOC = {"_id": "XYZ-789", "myLong": 42, "myDouble": 23.23, "myString": "BSON
     ("blacklist", "*", ["_id"]),
     ("blacklist", "**", ["_id"]),
     ("blacklist", "_id", FLAT_DOC),
-    ("blacklist", "myLong,myArray", ["_id", "myDouble", "myString"]),
-    ("blacklist", "nope,neither", FLAT_DOC),
+    ("blacklist", "price,tags", ["_id", "stock", "title"]),
+    ("blacklist", "colour", FLAT_DOC),
     ("whitelist", "*", FLAT_DOC),
     ("whitelist", "**", FLAT_DOC),
     ("whitelist", "_id", ["_id"]),
-    ("whitelist", "myLong,myArray", ["_id", "myLong", "myArray"]),
-    ("whitelist", "nope,neither", ["_id"]),
+    ("whitelist", "title,tags", ["_id", "title", "tags"]),
+    ("whitelist", "colour", ["_id"]),
 ])
 def test_flat(spark, kind, rules, kept):
     assert project(spark, FLAT, FLAT_ROW, kind, rules) == {k: FLAT_DOC[k] for k in kept}
 
 
-README_SCHEMA = (
-    "name string, age int, active boolean, address struct<city:string,country:string>, food array<string>, "
-    "data array<struct<k:string,v:int>>, lut map<string,double>"
+LISTS = (
+    "shop string, floor int, open boolean, place struct<street:string,door:string>, langs array<string>, "
+    "shelves array<struct<no:string,books:int>>, rates map<string,double>"
 )
-README_ROW = ("Anonymous", 42, True, ("Unknown", "NoWhereLand"), ["Austrian", "Italian"], [("foo", 1)],
-              {"key1": 12.34, "key2": 23.45})
+LISTS_ROW = ("Quill", 2, False, ("Elm St", "4b"), ["cs", "sl"], [("A", 90)], {"eur": 1.5, "chf": 1.25})
 
 
 def test_lists_with_maps_and_arrays(spark):
-    rules = "age,address.city,lut.key2,data.v"
-    assert project(spark, README_SCHEMA, README_ROW, "blacklist", rules) == {
-        "name": "Anonymous", "active": True, "address": {"country": "NoWhereLand"}, "food": ["Austrian", "Italian"],
-        "data": [{"k": "foo"}], "lut": {"key1": 12.34},
+    rules = "floor,place.door,rates.chf,shelves.books"
+    assert project(spark, LISTS, LISTS_ROW, "blacklist", rules) == {
+        "shop": "Quill", "open": False, "place": {"street": "Elm St"}, "langs": ["cs", "sl"],
+        "shelves": [{"no": "A"}], "rates": {"eur": 1.5},
     }
-    assert project(spark, README_SCHEMA, README_ROW, "whitelist", rules) == {
-        "age": 42, "address": {"city": "Unknown"}, "data": [{"v": 1}], "lut": {"key2": 23.45},
+    assert project(spark, LISTS, LISTS_ROW, "whitelist", rules) == {
+        "floor": 2, "place": {"door": "4b"}, "shelves": [{"books": 90}], "rates": {"chf": 1.25},
     }
 
 
@@ -145,10 +141,10 @@ def test_unknown_projection():
 # -- renaming ---------------------------------------------------------------
 
 REN_SCHEMA = (
-    "key struct<fieldA:string,f2:boolean,subDoc:struct<fieldX:int>,my_field1:struct<my_field2:string>>, "
-    "value struct<abc:string,f2:boolean,subDoc:struct<`123`:double>,`foo.foo.foo`:struct<`.blah..blah.`:int>>"
+    "key struct<shopNo:string,live:boolean,till:struct<slotNo:int>,old_code:struct<old_part:string>>, "
+    "value struct<nm:string,live:boolean,tax:struct<`19`:double>,`a.b`:struct<`c.d`:int>>"
 )
-REN_ROW = (("t", True, (42,), ("x",)), ("t", False, (0.0,), (23,)))
+REN_ROW = (("n7", True, (5,), ("q",)), ("hat", False, (0.5,), (8,)))
 
 
 def renamed(spark, renamer):
@@ -157,23 +153,20 @@ def renamed(spark, renamer):
 
 
 def test_rename_by_mapping(spark):
-    names = {
-        "key.fieldA": "f1", "key.f2": "fieldB", "key.subDoc.fieldX": "name_x", "value.abc": "xyz", "value.f2": "f_two",
-        "value.subDoc.123": "789",
-    }
+    names = {"key.shopNo": "shop", "key.live": "is_live", "key.till.slotNo": "slot", "value.nm": "name", "value.tax.19": "high"}
     key, value = renamed(spark, ren.ByMapping(names))
-    assert key == {"f1": "t", "fieldB": True, "subDoc": {"name_x": 42}, "my_field1": {"my_field2": "x"}}
-    assert value == {"xyz": "t", "f_two": False, "subDoc": {"789": 0.0}, "foo.foo.foo": {".blah..blah.": 23}}
+    assert key == {"shop": "n7", "is_live": True, "till": {"slot": 5}, "old_code": {"old_part": "q"}}
+    assert value == {"name": "hat", "live": False, "tax": {"high": 0.5}, "a.b": {"c.d": 8}}
 
 
 def test_rename_by_regexp(spark):
     rules = [
-        ren.NameRule(r"^key\..*my.*$", "my", ""), ren.NameRule(r"^key\..*field.*$", "field", "F"),
-        ren.NameRule(r"^value\..*$", r"\.", "_"),
+        ren.NameRule(r"^key\..*old.*$", "old_", ""), ren.NameRule(r"^key\..*No$", "No", "Number"),
+        ren.NameRule(r"^value\..*$", r"\.", "-"),
     ]
     key, value = renamed(spark, ren.ByRegExp(rules))
-    assert key == {"FA": "t", "f2": True, "subDoc": {"FX": 42}, "_F1": {"_F2": "x"}}
-    assert value == {"abc": "t", "f2": False, "subDoc": {"123": 0.0}, "foo_foo_foo": {"_blah__blah_": 23}}
+    assert key == {"shopNumber": "n7", "live": True, "till": {"slotNumber": 5}, "code": {"part": "q"}}
+    assert value == {"nm": "hat", "live": False, "tax": {"19": 0.5}, "a-b": {"c-d": 8}}
 
 
 def test_rename_keeps_taken_names():

@@ -37,29 +37,28 @@ def fld(name, dtype, kind=None, **meta):
 
 
 def test_document_of_all_types(spark):
-    when = 1489705200000
     fields = [
-        fld("_id", T.StringType()), fld("myString", T.StringType()), fld("myInt", T.IntegerType()),
-        fld("myBoolean", T.BooleanType()), fld("mySubDoc1", T.StructType([fld("myString", T.StringType())])),
-        fld("myArray1", T.ArrayType(T.StringType())),
-        fld("myArray2", T.ArrayType(T.StructType([fld("k", T.StringType()), fld("v", T.IntegerType())]))),
-        fld("mySubDoc2", T.MapType(T.StringType(), T.IntegerType())), fld("myBytes", T.BinaryType()),
-        fld("myDate", T.IntegerType(), "date"), fld("myTimestamp", T.LongType(), "timestamp"),
-        fld("myTime", T.LongType(), "time"), fld("myDecimal", T.DecimalType(20, 4)),
+        fld("_id", T.StringType()), fld("title", T.StringType()), fld("pages", T.IntegerType()),
+        fld("lent", T.BooleanType()), fld("shelf", T.StructType([fld("room", T.StringType())])),
+        fld("tags", T.ArrayType(T.StringType())),
+        fld("parts", T.ArrayType(T.StructType([fld("name", T.StringType()), fld("from", T.IntegerType())]))),
+        fld("loans", T.MapType(T.StringType(), T.IntegerType())), fld("cover", T.BinaryType()),
+        fld("bought", T.IntegerType(), "date"), fld("seen", T.LongType(), "timestamp"),
+        fld("opens", T.LongType(), "time"), fld("price", T.DecimalType(20, 4)),
     ]
+    day = 20_000  # days since 1970
     value = (
-        "1234567890", "some foo bla text", 42, True, ("hello json",), ["str_1", "str_2", "...", "str_N"],
-        [("a", 1), ("b", 2), ("c", 3)], {"k1": 9, "k2": 8, "k3": 7}, bytearray(b"rocks!"), 17242, when, 43_200_000,
-        decimal.Decimal("12345.6789"),
+        "b-1", "Tides", 310, False, ("north",), ["sea", "moon"], [("ebb", 1), ("flood", 150)], {"may": 3, "june": 4},
+        bytearray(b"\x00\xff"), day, day * 86_400_000 + 1, 33_300_000, decimal.Decimal("19.9050"),
     )
     v = one(spark, value, fields)["value"]
-    assert v["mySubDoc1"]["myString"] == "hello json" and v["myArray1"][2] == "..."
-    assert [tuple(x) for x in v["myArray2"]] == [("a", 1), ("b", 2), ("c", 3)] and v["mySubDoc2"]["k2"] == 8
-    assert v["myDate"] == dt.date(2017, 3, 17) and v["myDecimal"] == decimal.Decimal("12345.6789")
-    assert v["myTimestamp"] == dt.datetime(2017, 3, 16, 23, 0)
-    assert v["myTime"] == dt.datetime(1970, 1, 1, 12, 0)
+    assert v["shelf"]["room"] == "north" and list(v["tags"]) == ["sea", "moon"] and bytes(v["cover"]) == b"\x00\xff"
+    assert [tuple(x) for x in v["parts"]] == [("ebb", 1), ("flood", 150)] and v["loans"]["june"] == 4
+    assert v["bought"] == dt.date(1970, 1, 1) + dt.timedelta(days=day) and v["price"] == decimal.Decimal("19.9050")
+    assert v["seen"] == dt.datetime(2024, 10, 4, 0, 0, 0, 1000)
+    assert v["opens"] == dt.datetime(1970, 1, 1, 9, 15)
     legacy = one(spark, value, fields, TypeOptions(legacy_decimal=True))["value"]
-    assert legacy["myDecimal"] == 12345.6789
+    assert legacy["price"] == 19.905
 
 
 @pytest.mark.parametrize("kind,dtype,raw,expected", [
@@ -346,10 +345,10 @@ def test_batch_sizes(spark):
 def test_schema_growth(spark):
     docs = spark.createDataFrame([('{"a": 1, "b": {"x": 1}}',), ('{"a": 2.5, "c": [1]}',)], "doc string")
     found = evolve.infer(docs)
-    assert {f.name: f.dataType.simpleString() for f in found} == {"a": "double", "b": "struct<x:bigint>", "c": "array<bigint>"}
+    assert {f.name: f.dataType.simpleString() for f in found} == {"a": "decimal(21,1)", "b": "struct<x:bigint>", "c": "array<bigint>"}
     have = T.StructType.fromDDL("a int, d string")
     assert [f.name for f in evolve.new_fields(have, found)] == ["b", "c"]
-    assert evolve.grown(have, found).simpleString() == "struct<a:double,d:string,b:struct<x:bigint>,c:array<bigint>>"
+    assert evolve.grown(have, found).simpleString() == "struct<a:decimal(21,1),d:string,b:struct<x:bigint>,c:array<bigint>>"
     assert evolve.wider(T.LongType(), T.StringType()) == T.StringType()
     mixed = evolve.union_grown(spark.sql("SELECT 1 id, named_struct('x', 1) v"), spark.sql("SELECT 2L id, 'text' v"))
     assert sorted((r["id"], r["v"]) for r in mixed.collect()) == [(1, '{"x":1}'), (2, "text")]
