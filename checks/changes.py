@@ -130,11 +130,12 @@ def cdc_per_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
     n = lambda name, df: df.agg(F.lit(name).alias("target"), F.count(F.lit(1)).alias("n"))
     orders = TargetPlan(settings, "orders").folded(orders_log(spark, sf_dir))
-    users = TargetPlan(settings, "users").folded(patch_log(spark, sf_dir))
+    users = TargetPlan(settings, "users")
+    users = users.merge(None, users.folded(patch_log(spark, sf_dir)))
     plain = TargetPlan(settings, "plain").folded(order_documents(spark, sf_dir))
     return (
         n("orders", orders.filter(F.col("op") != DELETE))
-        .unionByName(n("users", users.filter("reset = 'replace'")))
+        .unionByName(n("users", users))
         .unionByName(n("plain", plain))
     )
 
@@ -298,7 +299,7 @@ def cdc_row_doc_patch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("k").cast("bigint").alias("user_id"), "doc.*")
 
 
-@check("evo_add_columns", """SELECT event_id AS id, CASE WHEN event_type <> 'error' THEN CAST(user_id AS DOUBLE) + CASE WHEN event_type = 'click' THEN 0.5 ELSE 0 END END AS amount,
+@check("evo_add_columns", """SELECT event_id AS id, CASE WHEN event_type <> 'error' THEN CAST(user_id + CASE WHEN event_type = 'click' THEN 0.5 ELSE 0 END AS DECIMAL(20,1)) END AS amount,
   CASE WHEN event_type = 'view' THEN event_type END AS seen, CASE WHEN event_type = 'click' THEN 'c' ELSE CASE WHEN event_type <> 'error' THEN CAST(event_id AS VARCHAR) END END AS code,
   CASE WHEN event_type = 'purchase' THEN user_id END AS buyer_id FROM events""")
 def evo_add_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
