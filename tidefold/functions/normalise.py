@@ -201,11 +201,25 @@ def missing_required(col: Column, dtype: T.StructType, path: str = "") -> list[t
                 found.append(
                     (F.exists(F.map_values(value), lambda x: x.isNull()), f"required field {name} holds null")
                 )
-        if isinstance(f.dataType, T.StructType):
-            found += missing_required(value, f.dataType, f"{name}.")
+        found += _below(missing_required, value, f.dataType, f"{name}.")
     return found
 
 
+def _below(rule, value: Column, dtype: T.DataType, path: str) -> list[tuple[Column, str]]:
+    """What a rule finds in a document, or in any document of an array or map."""
+    if isinstance(dtype, T.StructType):
+        return rule(value, dtype, path)
+    if isinstance(dtype, T.MapType):
+        return _below(rule, F.map_values(value), T.ArrayType(dtype.valueType), path)
+    if not isinstance(dtype, T.ArrayType) or not isinstance(dtype.elementType, T.StructType):
+        return []
+
+    def any_of(nth: int) -> Column:
+        return F.exists(value, lambda x: F.coalesce(rule(x, dtype.elementType, path)[nth][0], F.lit(False)))
+
+    return [(any_of(i), reason) for i, (_, reason) in enumerate(rule(F.lit(None).cast(dtype.elementType), dtype.elementType, path))]
+
+
 def unreadable(col: Column, dtype: T.StructType, path: str = "") -> list[tuple[Column, str]]:
     """Conditions under which the text of a time is none, or a decimal is too long."""
     found = []
@@ -218,8 +232,7 @@ def unreadable(col: Column, dtype: T.StructType, path: str = "") -> list[tuple[C
         if isinstance(f.dataType, T.BinaryType) and f.metadata.get("logical") == "decimal":
             lost = value.isNotNull() & decimal_of_bytes(value, f.metadata.get("scale", 0)).isNull()
             found.append((lost, f"field {name} has too many digits"))
-        if isinstance(f.dataType, T.StructType):
-            found += unreadable(value, f.dataType, f"{name}.")
+        found += _below(unreadable, value, f.dataType, f"{name}.")
     return found
 
 

@@ -85,8 +85,8 @@ def relational_ops(
 
     `document` targets hold the primary key in `_id` and the other columns beside it,
     `row` targets keep the row as it is.  `k` is the primary key struct.  Records
-    without a key are bad here, except inserts, which get an id from their position;
-    tables without any key go through `operators.keyless`.
+    without a key are bad here: inserts of tables without any key go through
+    `keyless_insert_id`, their other changes through `operators.keyless`.
     """
     built = operations or (DOCUMENT_TARGET if target == "document" else ROW_TARGET)
     df = skip_tombstones(log)

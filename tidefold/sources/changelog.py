@@ -14,7 +14,7 @@ TIMESTAMP_TYPES = {0: "CREATE_TIME", 1: "LOG_APPEND_TIME"}
 
 
 def from_kafka(raw: DataFrame) -> DataFrame:
-    """Rows of Spark's `kafka` source as a change log with text key and value."""
+    """Rows of Spark's `kafka` source as a change log; key and value stay bytes, which the decoders read."""
     names = F.create_map(*[F.lit(x) for pair in TIMESTAMP_TYPES.items() for x in pair])
     return raw.select(
         "topic",
@@ -22,8 +22,8 @@ def from_kafka(raw: DataFrame) -> DataFrame:
         "offset",
         "timestamp",
         F.coalesce(names[F.col("timestampType")], F.lit("NO_TIMESTAMP_TYPE")).alias("timestamp_type"),
-        F.col("key").cast("string").alias("key"),
-        F.col("value").cast("string").alias("value"),
+        "key",
+        "value",
     )
 
 
@@ -57,7 +57,7 @@ def log_columns(df: DataFrame) -> DataFrame:
 
 
 def with_nulls(log: DataFrame) -> DataFrame:
-    """Empty text as absent: sources without null payloads send empty ones."""
+    """Empty payloads as absent: sources without null payloads send empty ones."""
     empty = lambda c: F.when(F.length(c) > 0, F.col(c)).alias(c)
-    text = [c for c in ("key", "value") if isinstance(log.schema[c].dataType, T.StringType)]
+    text = [c for c in ("key", "value") if isinstance(log.schema[c].dataType, (T.StringType, T.BinaryType))]
     return log.select(*[empty(c) if c in text else F.col(c) for c in log.columns])

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidefold.functions import jsontext
 from tidefold.functions.normalise import TypeOptions, normalise
@@ -61,7 +61,7 @@ class JsonRaw:
     """Raw JSON text without a schema: canonical text, checked to be an object."""
 
     def __call__(self, df: DataFrame, column: str) -> DataFrame:
-        df = compute_once(df, _text=jsontext.canonical(F.col(column)))
+        df = compute_once(df, _text=jsontext.canonical(F.col(column).cast("string")))
         bad = F.col(column).isNotNull() & ~F.coalesce(F.col("_text").startswith("{"), F.lit(False))
         df = add_error(df, F.when(bad, F.lit(f"{column} is no JSON object")))
         return df.withColumn(column, F.col("_text")).drop("_text")
@@ -69,15 +69,23 @@ class JsonRaw:
 
 @dataclass(frozen=True)
 class Avro:
-    """Avro payloads, where Spark's avro module is deployed."""
+    """Avro payloads, where Spark's avro module is deployed; `header` bytes before them are left out.
+
+    Payloads written through a schema registry begin with a header of five bytes.
+    """
 
     schema_json: str
     options: TypeOptions = TypeOptions()
+    header: int = 0
 
     def __call__(self, df: DataFrame, column: str) -> DataFrame:
         from pyspark.sql.avro.functions import from_avro
 
-        return normalise(df.withColumn(column, from_avro(F.col(column), self.schema_json)), column, self.options)
+        return normalise(df.withColumn(column, from_avro(self.body(column), self.schema_json)), column, self.options)
+
+    def body(self, column: str) -> Column:
+        raw = F.col(column).cast("binary")
+        return F.substring(raw, self.header + 1, 2**31 - 1) if self.header else raw
 
 
 CORRUPT = "_corrupt"
@@ -86,7 +94,7 @@ CORRUPT = "_corrupt"
 def _parse(df: DataFrame, column: str, schema: T.StructType) -> DataFrame:
     """Parse JSON text once; text that is no JSON of this schema gets a reason code."""
     with_mark = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    parsed = F.from_json(F.col(column), with_mark, {"columnNameOfCorruptRecord": CORRUPT})
+    parsed = F.from_json(F.col(column).cast("string"), with_mark, {"columnNameOfCorruptRecord": CORRUPT})
     df = compute_once(df, **{column: parsed})
     doc = F.col(column)
     df = add_error(df, F.when(doc.getField(CORRUPT).isNotNull(), F.lit(f"{column} is no JSON of its schema")))
