@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidefold.llm.choose import small
 from tidefold.llm.decontaminate import Lookup
 from tidefold.llm.exchange import unique
 from tidefold.llm.textbytes import ALNUM, LOWER, buffer_of, hash_spans, slices, word_spans
@@ -164,12 +165,11 @@ def _matrix(f: _Features, lookup: Lookup) -> np.ndarray:
     return x
 
 
-def labelled(docs: DataFrame, labels: DataFrame, by: Mapping[str, Column]) -> DataFrame:
-    """doc_id, text and an array `y` of the categories, of documents that have every label."""
+def label_rows(labels: DataFrame, by: Mapping[str, Column]) -> DataFrame:
+    """doc_id and an array `y` of the categories, of ids that have every label; broadcast if few."""
     y = labels.select("doc_id", *[c.alias(f"y{i}") for i, c in enumerate(by.values())]).groupBy("doc_id")
     y = y.agg(*[F.max(f"y{i}").alias(f"y{i}") for i in range(len(by))]).dropna()
-    y = y.select("doc_id", F.array(*[f"y{i}" for i in range(len(by))]).alias("y"))
-    return docs.select("doc_id", "text").join(y, "doc_id")
+    return small(y.filter("doc_id IS NOT NULL").select("doc_id", F.array(*[f"y{i}" for i in range(len(by))]).alias("y")))
 
 
 def choose(rows: DataFrame, n: int) -> np.ndarray:
@@ -210,8 +210,11 @@ def choose(rows: DataFrame, n: int) -> np.ndarray:
 def train(docs: DataFrame, labels: DataFrame, by: Mapping[str, Column] | None = None, sample_rows: int = SAMPLE_ROWS) -> Chain:
     by = by or categories()
     names, n = list(by), len(by)
-    rows = labelled(docs, labels, by)
-    if rows.isEmpty():
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    known_labels = label_rows(labels, by)
+    rows = docs.join(known_labels, "doc_id")
+    count = rows.count()
+    if not count:
         none = Linear(np.zeros(0), np.ones(0), np.zeros(0), -35.0)
         return Chain(names, np.zeros(0, np.uint64), [
             Linear(np.zeros(MEASURES + k), np.ones(MEASURES + k), np.zeros(MEASURES + k), none.bias) for k in range(n)])
@@ -227,9 +230,8 @@ def train(docs: DataFrame, labels: DataFrame, by: Mapping[str, Column] | None =
                 "measures": pa.array(x[:, len(known) :].tolist(), pa.list_(pa.float64()))})
 
     # the documents of the sample: their least hash, in a number of hash ranges that holds enough
-    count = docs.select("doc_id").join(labels.select("doc_id").dropna().distinct(), "doc_id").count()
     hash_ = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
-    share = min(1.0, 1.5 * sample_rows / max(count, 1)) * (1 << 20)
+    share = min(1.0, 1.5 * sample_rows / count) * (1 << 20)
     chosen = rows.filter(hash_ < share).select("doc_id", "text", "y")
     made = chosen.mapInArrow(run, "doc_id long, y array<int>, words binary, measures array<double>")
     got = made.orderBy(F.xxhash64("doc_id"), "doc_id", "words").limit(sample_rows).toArrow()
