@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidefold.sinks.folders import shared_folder
 
-# a table of at most so many rows of ids and hashes is broadcast (some 16 MB); a larger one is shuffled
-BROADCAST_ROWS = 1_000_000
+# a table of at most so many rows of ids and hashes is broadcast (some 50 MB); a larger one is shuffled
+BROADCAST_ROWS = 500_000
 
 
 def small(df: DataFrame) -> DataFrame:
