@@ -98,10 +98,10 @@ class _Texts:
         used = np.bincount(self.of[self.j - 1], minlength=len(self.one)) > 0
         return self.one[used], total[used]
 
-    def set_gains1(self, gains: np.ndarray, gain: float) -> None:
+    def set_gains1(self, retained: np.ndarray) -> None:
         used = np.bincount(self.of[self.j - 1], minlength=len(self.one)) > 0
         kept = np.zeros(len(self.one), bool)
-        kept[used] = gains > gain
+        kept[used] = retained > 0
         kept = kept[self.of[self.j - 1]]
         self.depth = np.zeros(len(self.symbol), np.int64)
         self.depth[self.j[kept]] = 1
@@ -113,9 +113,9 @@ class _Texts:
         context, of = unique(self.context)
         return context, np.bincount(of, weights=gain, minlength=len(context))
 
-    def set_gains2(self, c3: np.ndarray, gains: np.ndarray, gain: float) -> None:
+    def set_gains2(self, c3: np.ndarray, retained: np.ndarray) -> None:
         _, of = unique(self.context)
-        kept = np.flatnonzero(gains[of] > gain) if len(of) else of
+        kept = np.flatnonzero(retained[of] > 0) if len(of) else of
         at = self.k[kept]
         self.depth[at] = 2
         self.p[at] = _smoothed(c3[self.of3[kept]], self.c12[kept], self.p[at])
@@ -150,6 +150,16 @@ def _counted(asks: list[list[np.ndarray]]) -> list[tuple]:
     return list(zip(np.split(total[of], np.cumsum([len(a[0]) for a in asks])[:-1]), sums))
 
 
+def _counts_or_kept(gain: float):
+    """Corpus counts of n-grams; of contexts, whether their divergence exceeds `gain` (one byte each)."""
+
+    def run(asks: list[list[np.ndarray]]) -> list[tuple]:
+        out = summed(asks)
+        return [((part > gain).astype(np.uint8),) if part.dtype.kind == "f" else (part,) for (part,) in out]
+
+    return run
+
+
 def _sums(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in parts:
         got = [unpack(b)[1] for b in part["blob"].to_pylist()]
@@ -192,22 +202,22 @@ def score(docs: DataFrame, folds: int = FOLDS, gain: float = GAIN) -> DataFrame:
         b["bucket"] = [x + n for x in b["bucket"]]  # gains have buckets of their own
         return {c: a[c] + b[c] for c in a}
 
-    threes = batches.keep(answer(batches.each(ask_threes, ASKED, ones, twos), summed), "lm-triples")
+    threes = batches.keep(answer(batches.each(ask_threes, ASKED, ones, twos), _counts_or_kept(gain)), "lm-triples")
 
     def with_threes(table: pa.Table, got: dict) -> tuple[_Texts, np.ndarray]:
         t = with_twos(table, got)
-        t.set_gains1(joined({b: x for b, x in got[2].items() if b >= n}, kind="f8"), gain)
+        t.set_gains1(joined({b: x for b, x in got[2].items() if b >= n}, kind="u1"))
         return t, joined({b: x for b, x in got[2].items() if b < n})
 
     def ask_gains(batch: int, table: pa.Table, got: dict) -> dict:
         t, c3 = with_threes(table, got)
         return question(batch, n, *t.gains2(c3))
 
-    gains = batches.keep(answer(batches.each(ask_gains, ASKED, ones, twos, threes), summed), "lm-gains")
+    gains = batches.keep(answer(batches.each(ask_gains, ASKED, ones, twos, threes), _counts_or_kept(gain)), "lm-gains")
 
     def scored(batch: int, table: pa.Table, got: dict) -> dict:
         t, c3 = with_threes(table, got)
-        t.set_gains2(c3, joined(got[3], kind="f8"), gain)
+        t.set_gains2(c3, joined(got[3], kind="u1"))
         return t.rows(tokens)
 
     schema = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
