@@ -77,8 +77,16 @@ def test_blocks_find_pairs_across_components(spark):
     base = r.integers(0, 2**32, 128).astype(np.uint32)
     rows = [(0, 7, k, k % 3, base.tobytes()) for k in range(30)] + [(0, 7, 99, 99, r.integers(0, 2**32, 128).astype(np.uint32).tobytes())]
     df = spark.createDataFrame(rows, "band int, bucket long, class long, component long, signature binary")
-    got = {(x.a, x.b) for x in M._blocks(df, 0.8).collect()}
+    got = {(x.a, x.b) for x in M._blocks(df, False).collect()}
     assert got == {(a, b) for a in range(30) for b in range(a + 1, 30) if a % 3 != b % 3}
+    assert M._blocks(df, True).count() == 2  # three components
+
+
+def test_forest_finds_the_hub():
+    # 0 is near to all others, which are less near to each other
+    pairs = [(a, b, 110 if a == 0 else 95) for a in range(20) for b in range(a + 1, 20)]
+    a, b, agree = (np.array(x) for x in zip(*pairs))
+    assert sorted(b[M._spanning(a, b, agree)]) == list(range(1, 20)) and set(a[M._spanning(a, b, agree)]) == {0}
 
 
 def test_no_documents(spark):

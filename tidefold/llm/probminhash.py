@@ -10,10 +10,13 @@ texts agree in a register with the probability Jaccard similarity of their weigh
 2. Banding: classes that agree in all registers of a band meet in a bucket.  Each member of a bucket
    is verified against the bucket's least member, by the exact probability Jaccard similarity: links
    at `SIMILARITY` or more.  A bucket of n members so costs n - 1 comparisons, not n * n.
-3. Buckets whose members are not all of one component by then are compared in full, in pairs of
-   blocks: pairs of different components whose signatures agree in enough registers (a true pair
-   fails that once in 10^10) are verified too.  So no candidate link between components is lost.
-4. Components are named by their smallest doc_id.
+3. Buckets whose members are not all of one component by then are compared by their signatures, in
+   pairs of blocks.  First each pair of blocks names the maximum spanning forest of its components, by the
+   number of agreeing registers: a hub that is nearer to all than they are to each other is found so.  Its
+   pairs are verified and the components joined.
+4. Pairs that still are of different components, share a bucket and agree in enough registers (`ESTIMATE`;
+   at the threshold 999 of 1000 true pairs do) are all verified.
+5. Components are named by their smallest doc_id.
 
 Cases: texts without words (null and empty ones too) are classes of their own and link with
 nothing; texts of one to four words have one shingle of all their words; rows that repeat a doc_id
@@ -39,7 +42,9 @@ SIMILARITY = 0.8
 M = 128
 BAND = 4  # registers of a band: at similarity 0.8 all 32 bands differ once in 10^7
 BLOCK = 512
-SLACK = 0.25  # a pair's signatures agree by so much less than its similarity at most
+# share of agreeing registers from which pairs are verified: three deviations below the threshold, which
+# are sqrt(0.8 * 0.2 / 128) each
+ESTIMATE = 0.69
 SEED = np.uint64(0x51D7348D2C1F9A3B)
 
 
@@ -175,25 +180,51 @@ def _texts(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     return found.groupBy("class").agg(F.first("text").alias("text"))
 
 
-def _blocks(members: DataFrame, least: float) -> DataFrame:
-    """Candidate pairs of classes of different components within a bucket, block against block."""
+def _spanning(a: np.ndarray, b: np.ndarray, agree: np.ndarray) -> np.ndarray:
+    """Places of the edges of a maximum spanning forest of components."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    out = []
+    for k in np.argsort(-agree, kind="stable").tolist():
+        x, y = find(int(a[k])), find(int(b[k]))
+        if x != y:
+            root[x] = y
+            out.append(k)
+    return np.array(out, np.int64)
+
+
+def _blocks(members: DataFrame, forest: bool) -> DataFrame:
+    """Candidate pairs of classes of different components within a bucket, block against block.
+
+    All of them, or a spanning forest of the components for each pair of blocks.
+    """
     counted = members.groupBy("band", "bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     dealt = members.join(counted, ["band", "bucket"]).withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = dealt.withColumn("other", other).withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
-    need = int(M * (least - SLACK))
+    need = int(M * ESTIMATE)
 
     def run(rows: pa.Table) -> pa.Table:
         cls, comp, block = (rows[c].to_numpy() for c in ("class", "component", "block"))
         sig = np.frombuffer(b"".join(rows["signature"].to_pylist()), np.uint32).reshape(len(cls), M)
         i, j = rows["i"][0].as_py(), rows["j"][0].as_py()
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        a, b = [], []
+        a, b, agree = [], [], []
         for p in left.tolist():
             q = right[(comp[right] != comp[p]) & ((i != j) | (cls[right] > cls[p]))]
-            q = q[(sig[q] == sig[p]).sum(1) >= need]
-            a.append(np.full(len(q), cls[p])), b.append(cls[q])
-        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
+            n = (sig[q] == sig[p]).sum(1)
+            a.append(np.full(np.count_nonzero(n >= need), p)), b.append(q[n >= need]), agree.append(n[n >= need])
+        a, b, agree = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b, agree))
+        if forest:
+            kept = _spanning(comp[a], comp[b], agree)
+            a, b = a[kept], b[kept]
+        a, b = cls[a], cls[b]
         return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
 
     return dealt.groupBy("band", "bucket", "i", "j").applyInArrow(run, "a long, b long").distinct()
@@ -219,17 +250,19 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     pairs = _stored(shared.filter("a < class").select("a", F.col("class").alias("b")).distinct(), "minhash-pairs")
     done = _stored(_verify(pairs, _texts(rows, classes, pairs), least), "minhash-verified")
     links = done.filter("ok").select("a", "b")
-    parts = _stored(components(links), "minhash-components")
-    # buckets that still hold more than one component
-    labelled = shared.join(parts.withColumnRenamed("id", "class"), "class", "left")
-    labelled = labelled.withColumn("component", F.coalesce("component", "class"))
-    open_ = labelled.groupBy("band", "bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-    open_ = open_.filter("x < y").select("band", "bucket")
-    left = labelled.join(open_, ["band", "bucket"]).join(classes.select("class", "signature"), "class")
-    more = _blocks(left.select("band", "bucket", "class", "component", "signature"), least)
-    more = _stored(more.join(done.select("a", "b"), ["a", "b"], "left_anti"), "minhash-pairs")
-    again = _stored(_verify(more, _texts(rows, classes, more), least), "minhash-verified")
-    parts = components(links.union(again.filter("ok").select("a", "b"))).withColumnRenamed("id", "class")
+    for forest in (True, False):
+        # buckets that still hold more than one component
+        parts = _stored(components(links), "minhash-components").withColumnRenamed("id", "class")
+        labelled = shared.join(parts, "class", "left").withColumn("component", F.coalesce("component", "class"))
+        open_ = labelled.groupBy("band", "bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+        open_ = open_.filter("x < y").select("band", "bucket")
+        left = labelled.join(open_, ["band", "bucket"]).join(classes.select("class", "signature"), "class")
+        more = _blocks(left.select("band", "bucket", "class", "component", "signature"), forest)
+        more = _stored(more.join(done.select("a", "b"), ["a", "b"], "left_anti"), "minhash-pairs")
+        again = _stored(_verify(more, _texts(rows, classes, more), least), "minhash-verified")
+        done = done.union(again)
+        links = links.union(again.filter("ok").select("a", "b"))
+    parts = components(links).withColumnRenamed("id", "class")
     named = classes.select("one", "two", "class", "least").join(parts, "class", "left")
     named = named.withColumn("component", F.coalesce("component", "class"))
     names = named.groupBy("component").agg(F.min("least").alias("class_id"))
