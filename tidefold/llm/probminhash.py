@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidefold.llm.choose import small, without
-from tidefold.llm.components import components
+from tidefold.llm.components import components, forest as forest_of
 from tidefold.llm.textbytes import ALNUM, C1, LOWER, buffer_of, hash_spans, mix, shingles, slices, word_spans
 from tidefold.sinks.folders import shared_folder
 
@@ -181,22 +181,24 @@ def _texts(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def _spanning(a: np.ndarray, b: np.ndarray, agree: np.ndarray) -> np.ndarray:
-    """Places of the edges of a maximum spanning forest of components."""
-    root: dict[int, int] = {}
-
-    def find(x: int) -> int:
-        while root.setdefault(x, x) != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    out = []
-    for k in np.argsort(-agree, kind="stable").tolist():
-        x, y = find(int(a[k])), find(int(b[k]))
-        if x != y:
-            root[x] = y
-            out.append(k)
-    return np.array(out, np.int64)
+    """Places of the edges of a maximum spanning forest of components: each tree takes its best edge, again and again."""
+    names = np.unique(np.concatenate([a, b]))
+    x, y = np.searchsorted(names, a), np.searchsorted(names, b)
+    by = np.argsort(-agree, kind="stable")
+    rank = np.empty(len(by), np.int64)
+    rank[by] = np.arange(len(by))
+    tree, open_, out = np.arange(len(names)), np.arange(len(by)), [np.zeros(0, np.int64)]
+    while True:
+        u, v = tree[x[open_]], tree[y[open_]]
+        open_, u, v = open_[u != v], u[u != v], v[u != v]
+        if not len(open_):
+            return np.concatenate(out)
+        best = np.full(len(names), len(by))
+        np.minimum.at(best, u, rank[open_])
+        np.minimum.at(best, v, rank[open_])
+        edges = by[np.unique(best[best < len(by)])]
+        out.append(edges)
+        tree = forest_of(len(names), tree[x[edges]], tree[y[edges]])[tree]
 
 
 def _blocks(members: DataFrame, forest: bool) -> DataFrame:
