@@ -150,3 +150,37 @@ def test_toxicity_awkward_cases(spark):
     none = toxic_chain.train(docs, labels.limit(0))
     assert toxic_chain.without(docs, none).count() == docs.count()
     assert toxic_chain.predict(cases.frame(spark, []), chain).collect() == []
+
+
+def licenses(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    return {r.doc_id: r for r in license_scan.scan(docs).collect()}
+
+
+def test_licenses_are_told_from_their_kin(spark):
+    gpl = ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU {}General Public "
+           "License as published by the Free Software Foundation; either version {} of the License, or (at your option) any later version.")
+    want = {
+        "Released under the BSD License.": ["BSD-line"], "Released under the MIT License.": ["MIT-line"],
+        "Released under the Foo License.": [], "Licensed under CC BY-SA 4.0": ["CC-BY-SA-4.0"],
+        "Licensed under CC BY 4.0": ["CC-BY-4.0"], "Licensed under CC BY-NC 4.0.": ["CC-BY-NC-4.0"],
+        "Licensed under CC BY-NC-SA 3.0.": ["CC-BY-NC-SA-3.0"], "Licensed under CC BY-NC 9.0.": [],
+        "This work is licensed under the GNU General Public License, version 2.": ["GPL-2.0-line"],
+        "This work is licensed under the GNU General Public License, version 3.": ["GPL-3.0-line"],
+        "This work is licensed under the GNU Affero General Public License, version 3.": ["AGPL-3.0-line"],
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License.": ["CC-BY-SA-3.0"],
+        gpl.format("", "2"): ["GPL-2.0"], gpl.format("", "3"): ["GPL-3.0"], gpl.format("Lesser ", "2.1"): ["LGPL-2.1"],
+        gpl.format("", "4"): [],
+        "Licensed under the Apache License, Version 1.1.": [],
+    }
+    for name in ("MIT", "MIT-0", "BSD-2-Clause", "BSD-3-Clause", "BSD-4-Clause", "ISC", "0BSD"):
+        text = license_scan.TEMPLATES[name]
+        want[(text if isinstance(text, str) else text[-1]).replace("{", "").replace("}", "")] = [name]
+    got = licenses(spark, [f"{cases.words(20, k)} {t} {cases.words(20, k + 500)}" for k, t in enumerate(want)])
+    assert {t: got[k].licenses for k, t in enumerate(want)} == want
+
+
+def test_every_template_finds_itself(spark):
+    texts = [(n, t) for n, v in license_scan.TEMPLATES.items() for t in ([v] if isinstance(v, str) else v)]
+    got = licenses(spark, [f"{cases.words(30, k)} {t} {cases.words(30, k + 500)}" for k, (_, t) in enumerate(texts)])
+    assert [(got[k].license, got[k].licenses) for k in range(len(texts))] == [(n, [n]) for n, _ in texts]

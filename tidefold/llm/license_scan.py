@@ -5,51 +5,39 @@ template share a run of three words (of all its words, for a shorter template) o
 which take in the template's length around them.  A region is aligned with the template: equal ends are matched, words that stand
 once in both are anchors, the longest increasing run of anchors is kept (found by patience
 piles), and the gaps between them are aligned in the same way.  Coverage is the share of
-template words matched; a notice is reported from `COVERAGE` on.
+template words matched; a notice is reported from `COVERAGE` on, if no more than one word is lacking
+of a template of under `SHORT` words, and if every phrase that a template has in braces (the name,
+version and variant that tell licenses apart) is matched by words that follow each other.
 
 Whole texts are searched; a text may hold any number of notices.  Nothing is shuffled; templates
 are a parameter of bounded size and go to every task.
 
 Cases: null, empty and short texts hold nothing; regions of one template that touch are one;
 of regions that overlap in words the longer match, then the first template, is the one that
-is best; empty tables give no rows; other columns are ignored.
+is best; a notice most of whose words belong to a longer one is a part of that and not named; empty tables give no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
+import re
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidefold.llm.decontaminate import Lookup, Words
+from tidefold.llm.license_texts import TEMPLATES
 from tidefold.llm.textbytes import slices
 
 COVERAGE = 0.75
 RUN = 3
 
-# fixed values: public notices, as their licenses give them
-TEMPLATES = {
-    "Apache-2.0-line": "Licensed under the Apache License, Version 2.0.",
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
-    "compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
-    "MIT-line": "Released under the MIT License.",
-    "MIT": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
-    "associated documentation files (the \"Software\"), to deal in the Software without restriction",
-    "GPL-3.0-line": "This work is licensed under the GNU General Public License, version 3.",
-    "GPL-3.0": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
-    "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
-    "BSD": "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
-    "that the following conditions are met",
-    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
-    "Unlicense": "This is free and unencumbered software released into the public domain.",
-}
+# a template of fewer words may lack one word at most
+SHORT = 12
 
 
 def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -96,11 +84,22 @@ def align(a: list, b: list) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def _phrases(text: str) -> list[tuple[int, int]]:
+    """The words [from, to) of what stands in braces."""
+    parts = re.split("[{}]", text)
+    ends = np.cumsum(np.diff(Words(pa.array(parts, pa.string())).first)).tolist()
+    return list(zip(ends[0::2], ends[1::2]))
+
+
 class _Templates:
-    def __init__(self, templates: Mapping[str, str]):
-        self.names = list(templates)
-        w = Words(pa.array(list(templates.values()), pa.string()))
+    def __init__(self, templates: Mapping[str, str | Sequence[str]], coverage: float):
+        texts = [(n, t) for n, v in templates.items() for t in ([v] if isinstance(v, str) else v)]
+        self.names = [n for n, _ in texts]
+        w = Words(pa.array([t for _, t in texts], pa.string()))
         self.words = [w.hash[a:z].tolist() for a, z in zip(w.first[:-1], w.first[1:])]
+        self.phrases = [_phrases(t) for _, t in texts]
+        self.deciding = [{x[i] for a, z in ps for i in range(a, z)} for x, ps in zip(self.words, self.phrases)]
+        self.least = [max(math.ceil(coverage * n), n - 1 if n < SHORT else 0) for n in map(len, self.words)]
         self.runs: dict[int, dict[int, list[tuple[int, int]]]] = {}  # by length, then hash: (template, place)
         for m in sorted({min(RUN, len(x)) for x in self.words if x}):
             tokens, found = w.tokens(m), {}
@@ -111,6 +110,11 @@ class _Templates:
             self.runs[m] = found
         self.lookups = {m: Lookup(np.sort(np.array(list(f), np.uint64))) for m, f in self.runs.items()}
 
+    def decided(self, k: int, got: list[tuple[int, int]]) -> bool:
+        """Whether the phrases of a template are matched without a gap."""
+        at = {j: i for i, j in got}
+        return all(j in at and at[j] - at.get(a, -1) == j - a for a, z in self.phrases[k] for j in range(a, z))
+
     def regions(self, w: Words) -> dict[tuple[int, int], list[list[int]]]:
         """(text, template): stretches of words [from, to) to align."""
         near: dict[tuple[int, int], list[list[int]]] = {}
@@ -133,31 +137,39 @@ class _Templates:
         return near
 
 
-def scan(docs: DataFrame, templates: Mapping[str, str] | None = None, coverage: float = COVERAGE) -> DataFrame:
+def scan(docs: DataFrame, templates: Mapping[str, str | Sequence[str]] | None = None, coverage: float = COVERAGE) -> DataFrame:
     """One row per document: doc_id, n_words, the best notice (license, coverage, its first and
     last word), and the names of all notices found."""
     templates = templates or TEMPLATES
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Templates(templates)
+        known = _Templates(templates, coverage)
         for part in parts:
             for p in slices(part):
                 w = Words(p["text"])
                 best: dict[int, tuple] = {}
                 names: dict[int, set] = {}
+                found: dict[int, list[tuple]] = {}
                 for (d, k), stretches in known.regions(w).items():
                     for a, z in stretches:
-                        size = len(known.words[k])
-                        got = align(w.hash[a:z].tolist(), known.words[k])
-                        share = len(got) / size
-                        if share < coverage:
+                        words = w.hash[a:z].tolist()
+                        if not known.deciding[k].issubset(words):
+                            continue
+                        got = align(words, known.words[k])
+                        if len(got) < known.least[k] or not known.decided(k, got):
                             continue
-                        names.setdefault(d, set()).add(known.names[k])
-                        base = int(w.first[d])
-                        rank = (len(got), share, -k, -a)
-                        row = (rank, known.names[k], share, a + got[0][0] - base, a + got[-1][0] + 1 - base)
-                        if d not in best or rank > best[d][0]:
-                            best[d] = row
+                        share = len(got) / len(known.words[k])
+                        found.setdefault(d, []).append(((len(got), share, -k, -a), k, [a + i for i, _ in got]))
+                for d, notices in found.items():
+                    notices.sort(key=lambda x: x[0], reverse=True)
+                    base = int(w.first[d])
+                    (_, share, _, _), k, places = notices[0]
+                    best[d] = (None, known.names[k], share, places[0] - base, places[-1] + 1 - base)
+                    taken: set[int] = set()
+                    for _, k, places in notices:
+                        if 2 * sum(i in taken for i in places) <= len(places):
+                            names.setdefault(d, set()).add(known.names[k])
+                        taken.update(places)
                 n = p.num_rows
                 col = lambda i, t: pa.array([best[d][i] if d in best else None for d in range(n)], t)
                 yield pa.RecordBatch.from_pydict({
