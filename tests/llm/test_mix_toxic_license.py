@@ -184,3 +184,15 @@ def test_every_template_finds_itself(spark):
     texts = [(n, t) for n, v in license_scan.TEMPLATES.items() for t in ([v] if isinstance(v, str) else v)]
     got = licenses(spark, [f"{cases.words(30, k)} {t} {cases.words(30, k + 500)}" for k, (_, t) in enumerate(texts)])
     assert [(got[k].license, got[k].licenses) for k in range(len(texts))] == [(n, [n]) for n, _ in texts]
+
+
+def test_licenses_in_a_row(spark):
+    line, mit = "Released under the MIT License.", license_scan.TEMPLATES["MIT"][0]
+    bare = "Published under the MIT License"
+    texts = [f"{cases.words(30, k)} {t} {cases.words(30, k + 500)}" for k, t in enumerate([
+        f"{line} {line}", " ".join([line] * 100), f"{line} of a and b {line}", f"{mit} {mit}", " ".join([mit] * 100),
+        f"{bare} {bare} {bare}", " ".join([line, mit] * 3)])]
+    got = licenses(spark, texts)
+    assert [got[k].licenses for k in range(7)] == [["MIT-line"]] * 3 + [["MIT"]] * 2 + [["MIT-line"], ["MIT", "MIT-line"]]
+    assert [(got[k].coverage, got[k].first_word, got[k].end_word) for k in range(6)] == [
+        *[(1.0, 30, 35)] * 3, *[(1.0, 30, 30 + len(cases.alnum(mit)))] * 2, (0.8, 31, 35)]

@@ -4,7 +4,9 @@ Texts and templates are lower-cased words of letters and digits.  Places where a
 template share a run of three words (of all its words, for a shorter template) open regions,
 which take in the template's length around them.  A region is aligned with the template: equal ends are matched, words that stand
 once in both are anchors, the longest increasing run of anchors is kept (found by patience
-piles), and the gaps between them are aligned in the same way.  Coverage is the share of
+piles), and the gaps between them are aligned in the same way.  Besides, every place where the template
+would begin by the runs shared is aligned on its own, from these runs on, so that copies of a notice that stand
+close together do not hide each other.  Coverage is the share of
 template words matched; a notice is reported from `COVERAGE` on, if no more than one word is lacking
 of a template of under `SHORT` words, and if every phrase that a template has in braces (the name,
 version and variant that tell licenses apart) is matched by words that follow each other.
@@ -12,9 +14,9 @@ version and variant that tell licenses apart) is matched by words that follow ea
 Whole texts are searched; a text may hold any number of notices.  Nothing is shuffled; templates
 are a parameter of bounded size and go to every task.
 
-Cases: null, empty and short texts hold nothing; regions of one template that touch are one;
-of regions that overlap in words the longer match, then the first template, is the one that
-is best; a notice most of whose words belong to a longer one is a part of that and not named; empty tables give no rows; other columns are ignored.
+Cases: null, empty and short texts hold nothing; of notices the longer match, then the
+first template, then the shorter and the earlier stretch, is best; a notice most of whose
+words belong to a longer one is a part of that and not named; empty tables give no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -91,6 +93,22 @@ def _phrases(text: str) -> list[tuple[int, int]]:
     return list(zip(ends[0::2], ends[1::2]))
 
 
+def _between(a: list, b: list, pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Given matches, and what the gaps between them match."""
+    out = list(pairs)
+    edge = [(-1, -1), *pairs, (len(a), len(b))]
+    for (i, j), (k, m) in zip(edge, edge[1:]):
+        if k - i > 1 and m - j > 1:
+            out += [(i + 1 + x, j + 1 + y) for x, y in align(a[i + 1 : k], b[j + 1 : m])]
+    return sorted(out)
+
+
+def align_at(a: list, b: list, at: int, pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Like `align`, for a `b` that would begin at `at` in `a` and shares the runs `pairs` with it there."""
+    same = [(at + j, j) for j, x in enumerate(b) if 0 <= at + j < len(a) and a[at + j] == x]
+    return max(_between(a, b, pairs), _between(a, b, same), key=len)
+
+
 class _Templates:
     def __init__(self, templates: Mapping[str, str | Sequence[str]], coverage: float):
         texts = [(n, t) for n, v in templates.items() for t in ([v] if isinstance(v, str) else v)]
@@ -115,9 +133,10 @@ class _Templates:
         at = {j: i for i, j in got}
         return all(j in at and at[j] - at.get(a, -1) == j - a for a, z in self.phrases[k] for j in range(a, z))
 
-    def regions(self, w: Words) -> dict[tuple[int, int], list[list[int]]]:
-        """(text, template): stretches of words [from, to) to align."""
-        near: dict[tuple[int, int], list[list[int]]] = {}
+    def regions(self, w: Words) -> dict[tuple[int, int], tuple[list[list[int]], dict[int, list]]]:
+        """(text, template): stretches of words [from, to) to align, and by where the template would begin
+        the region of its own and the pairs (word, template word) of the shared runs."""
+        near: dict[tuple[int, int], tuple[list[list[int]], dict[int, list]]] = {}
         for m, lookup in self.lookups.items():
             tokens = w.tokens(m)
             places, _ = lookup(tokens)
@@ -129,7 +148,10 @@ class _Templates:
                     pad = 2 + size // 4
                     a = max(int(w.first[d]), p - q - pad)
                     z = min(int(w.first[d + 1]), p - q + size + pad)
-                    seen = near.setdefault((d, k), [])
+                    seen, own = near.setdefault((d, k), ([], {}))
+                    pairs = own.setdefault(p - q, [a, z, []])[2]
+                    done = pairs[-1][1] + 1 if pairs else 0
+                    pairs += [(p - q + j, j) for j in range(max(q, done), q + m)]
                     if seen and a < seen[-1][1]:  # places rise
                         seen[-1][1] = max(seen[-1][1], z)
                     else:
@@ -150,20 +172,27 @@ def scan(docs: DataFrame, templates: Mapping[str, str | Sequence[str]] | None =
                 best: dict[int, tuple] = {}
                 names: dict[int, set] = {}
                 found: dict[int, list[tuple]] = {}
-                for (d, k), stretches in known.regions(w).items():
-                    for a, z in stretches:
+                for (d, k), (stretches, own) in known.regions(w).items():
+                    # a notice that stands there several times hides its anchors; a gap may be longer than one's own region
+                    work = [(a, z, None, []) for a, z in stretches] + [(a, z, at, pairs) for at, (a, z, pairs) in own.items()]
+                    for a, z, at, pairs in work:
                         words = w.hash[a:z].tolist()
                         if not known.deciding[k].issubset(words):
                             continue
-                        got = align(words, known.words[k])
+                        if at is None:
+                            got = align(words, known.words[k])
+                        else:
+                            got = align_at(words, known.words[k], at - a, [(i - a, j) for i, j in pairs])
                         if len(got) < known.least[k] or not known.decided(k, got):
                             continue
                         share = len(got) / len(known.words[k])
-                        found.setdefault(d, []).append(((len(got), share, -k, -a), k, [a + i for i, _ in got]))
+                        places = [a + i for i, _ in got]
+                        rank = (len(got), share, -k, places[0] - places[-1], -places[0])
+                        found.setdefault(d, []).append((rank, k, places))
                 for d, notices in found.items():
                     notices.sort(key=lambda x: x[0], reverse=True)
                     base = int(w.first[d])
-                    (_, share, _, _), k, places = notices[0]
+                    (_, share, *_), k, places = notices[0]
                     best[d] = (None, known.names[k], share, places[0] - base, places[-1] + 1 - base)
                     taken: set[int] = set()
                     for _, k, places in notices:
