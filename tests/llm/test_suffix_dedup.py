@@ -96,3 +96,29 @@ def test_sentence_runs(spark):
     assert once(got) == once(want)
     assert sorted(len(r[2]) for r in got if r[0] == 31) == sorted(len(r[2]) for r in want if r[0] == 31)
     assert dedup_sentences(cases.frame(spark, [])).collect() == []
+
+
+@pytest.mark.parametrize("run,words", [(2, 10), (3, 12), (4, 6)])
+def test_runs_by_length(spark, run, words):
+    pieces = [cases.words(n, 700 + k) for k, n in enumerate((30, 25, 24, 14, 9, 2, 3, 40))]
+    rows = [(100 + k, t, *cases.documents()[0][2:]) for k, t in enumerate([
+        f"{pieces[0]} {pieces[7]}. {pieces[1]}. {pieces[2]}. {pieces[3]}. {pieces[4]}! {pieces[5]}? {pieces[6]}",
+        f"Other {pieces[7]}. {pieces[1]}. {pieces[2]}. {pieces[3]} other.",  # two whole sentences
+        f"Odd {pieces[1]}. {pieces[3]}. Even {pieces[5]}. {pieces[4]}", f"{pieces[4]}! {pieces[5]}. Now {pieces[6]}? {pieces[4]}. {pieces[5]}"])]
+    rows += [r for r in cases.documents() if r[0] not in (None, 31)]
+    seen, want = set(), {}
+    for i, text, *_ in sorted(rows, key=lambda r: r[0]):
+        s = [x for x, _ in sentences(text)]
+        n = [len(cases.spaced(x)) for x in s]
+        gone = set()
+        for k in range(len(s)):
+            cut = next((z for z in range(k + 1, len(s) + 1) if sum(n[k:z]) >= words), len(s) + run)
+            for z in {k + run, *([cut] if cut - k < run else [])}:
+                if z <= len(s):
+                    gone |= set(range(k, z)) if tuple(s[k:z]) in seen else set()
+                    seen.add(tuple(s[k:z]))
+        want[i] = sorted(gone)
+    assert run > 2 or want[101] == [1, 2]
+    got = dedup_sentences(cases.frame(spark, rows), run, words).collect()
+    assert {r.doc_id: r.removed for r in got} == want
+    assert dedup_sentences(cases.frame(spark, []), run, words).collect() == []

@@ -93,6 +93,14 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.array_join(F.transform("removed", lambda x: x.cast("string")), ",").alias("removed"))
 
 
+@query("op7_sentence_passages")
+def op7_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sentences in repeated runs of two, or of ten words and more, but for the first of equal runs."""
+    df = sentence_spans.dedup_sentences(table(spark, sf_dir, "documents"), run=2, words=10)
+    return df.select("doc_id", "n_sentences", F.size("removed").cast("long").alias("n_removed"),
+                     F.array_join(F.transform("removed", lambda x: x.cast("string")), ",").alias("removed"))
+
+
 @query("op8_pca_tiles", EMBEDDINGS)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of embeddings at cosine 0.9, and their components."""

@@ -1,11 +1,12 @@
 """Removal of sentences that lie in repeated runs of consecutive sentences.
 
 A sentence is what stands between two of the characters . ! ? and line ends, without the blanks
-(space, tab to carriage return) around it.  Every run of `run` consecutive sentences of a document is hashed.  Of
-equal runs the first by (doc_id, place) stays; the sentences of every later one go, whether it
+(space, tab to carriage return) around it.  Every run of `run` consecutive sentences of a document is hashed; where
+`words` is given, so is every run of as few sentences as have that many words, if they are fewer than `run` (equal runs
+of more sentences hold equal runs of `run`).  Of equal runs the first by (doc_id, place) stays; the sentences of every later one go, whether it
 is in another document or in the same one.
 
-Cases: a null text is empty; texts of fewer than `run` sentences stay whole; rows that repeat a
+Cases: a null text is empty; texts that hold no run stay whole; rows that repeat a
 doc_id follow each other in the order they were read in; a null doc_id comes first; an empty table gives no rows;
 other columns are ignored.
 """
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tidefold.llm.exchange import ASKED, Batches, answer, ids_of, joined, question, unique
-from tidefold.llm.textbytes import SPACED, buffer_of, hash_spans, shingles, word_spans
+from tidefold.llm.textbytes import C1, C3, SPACED, buffer_of, hash_spans, mix, shingles, word_spans
 
 RUN = 3
 # fixed values: bytes that end a sentence
@@ -26,7 +27,7 @@ _STOP[[0x2E, 0x21, 0x3F, 0x0A, 0x0D]] = True
 
 
 class _Runs:
-    def __init__(self, table: pa.Table, run: int):
+    def __init__(self, table: pa.Table, run: int, words: int | None = None):
         self.number, self.ids = ids_of(table)
         self.data, self.at = buffer_of(table["text"])
         start, end, first = word_spans(self.data, self.at, SPACED & ~_STOP)
@@ -43,8 +44,19 @@ class _Runs:
         count = np.where(count >= run, count, 0)
         key, begin, doc = shingles(sentence, self.first, run)
         full = count[doc] > 0
-        self.begin, self.doc = begin[full], doc[full]
-        self.keys, self.of = unique(key[full])
+        key, self.begin, self.doc = key[full], begin[full], doc[full]
+        self.size = np.full(len(key), run)
+        if words:
+            owner = np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
+            size = np.searchsorted(np.append(place, len(start)), place + words) - np.arange(len(place))
+            few = np.flatnonzero((size < run) & (np.arange(len(place)) + size <= self.first[owner + 1]))
+            size, tail = size[few], np.append(sentence, np.zeros(run, np.uint64))
+            h = mix(size.astype(np.uint64) + C3)
+            for k in range(run - 1):
+                h = np.where(k < size, mix(h * C1 + tail[few + k]), h)
+            key, self.size = np.append(key, h), np.append(self.size, size)
+            self.begin, self.doc = np.append(self.begin, few), np.append(self.doc, owner[few])
+        self.keys, self.of = unique(key)
         # the first run of each key in this batch, by document and place
         order = np.lexsort((self.begin, self.number[self.doc], self.of))
         head = np.ones(len(order), bool)
@@ -66,7 +78,7 @@ def _later(asks: list[list[np.ndarray]]) -> list[tuple]:
     return [(part,) for part in np.split(late, np.cumsum(sizes)[:-1])]
 
 
-def dedup_sentences(docs: DataFrame, run: int = RUN) -> DataFrame:
+def dedup_sentences(docs: DataFrame, run: int = RUN, words: int | None = None) -> DataFrame:
     """doc_id, n_sentences, the numbers of the sentences removed (from 0), and the text that is left.
 
     A sentence goes with what stands behind it, up to the next one.
@@ -75,19 +87,19 @@ def dedup_sentences(docs: DataFrame, run: int = RUN) -> DataFrame:
     buckets = batches.buckets
 
     def ask(batch: int, table: pa.Table, _) -> dict:
-        r = _Runs(table, run)
+        r = _Runs(table, run, words)
         return question(batch, buckets, r.keys, r.number[r.doc[r.one]], r.nth[r.one].astype(np.int64))
 
     def remove(batch: int, table: pa.Table, got: dict) -> dict:
-        r = _Runs(table, run)
+        r = _Runs(table, run, words)
         late = joined(got[0], kind="u1") > 0
         gone = late[r.of] if len(r.of) else np.zeros(0, bool)
         here = np.ones(len(r.of), bool)
         here[r.one] = False
-        begin = r.begin[gone | here]
+        begin, size = r.begin[gone | here], r.size[gone | here]
         step = np.zeros(len(r.start) + 1, np.int64)
         np.add.at(step, begin, 1)
-        np.add.at(step, begin + run, -1)
+        np.add.at(step, begin + size, -1)
         out = np.cumsum(step[:-1]) > 0
         # a sentence goes with all that stands before the next one of its text, or the text's end
         stop = np.append(r.start[1:], len(r.data)) if len(r.start) else r.start
