@@ -55,3 +55,55 @@ def test_against_dictionaries(spark):
 
 def test_empty(spark):
     assert score(cases.frame(spark, [])).collect() == []
+
+
+def deep(rows):
+    """Scores and mean depths by dictionaries of contexts of every length, without the bound."""
+    lists = [(i, zlib.crc32(str(i).encode()) % 10 == 0, [S, *cases.spaced(t), E]) for i, t in rows]
+    whole, after = Counter(), defaultdict(Counter)
+    for _, held, s in lists:
+        for j in range(1, len(s)) if not held else ():
+            whole[s[j]] += 1
+            for n in range(1, j + 1):
+                after[tuple(s[j - n : j])][s[j]] += 1
+    n, v = sum(whole.values()), len(whole)
+    kept = set()
+
+    def p(context, w):
+        out, depth = (whole[w] + ADD) / (n + ADD * (v + 1)), 0
+        for k in range(1, len(context) + 1):
+            if context[-k:] in kept:
+                c = after[context[-k:]]
+                out, depth = (c[w] + ALPHA * out) / (sum(c.values()) + ALPHA), k
+        return out, depth
+
+    for context in sorted(after, key=len):
+        c = after[context]
+        of = sum(c.values())
+        if of >= 2:
+            q = {w: p(context[1:], w)[0] for w in c}
+            if sum(k * math.log((k - 1 + ALPHA * q[w]) / ((of - 1 + ALPHA) * q[w])) for w, k in c.items()) > GAIN:
+                kept.add(context)
+    out = {}
+    for i, _, s in lists:
+        got = [p(tuple(s[:j]), s[j]) for j in range(1, len(s))]
+        out[i] = (sum(math.log10(x) for x, _ in got), sum(d for _, d in got) / len(got))
+    return out, max(map(len, kept))
+
+
+def test_long_contexts(spark):
+    rows = []
+    for k in range(120):
+        # the word after a shared passage is told by the word before it
+        passage = " ".join(f"w{x}" for x in range(5 if k % 2 else 3))
+        rows.append((k, f"{'red' if k % 3 else 'blue'} {passage} {'one' if k % 3 else 'two'} {cases.words(3, k % 7)}"))
+    rows += [(200, None), (201, "red"), (202, "ab " * 40)]
+    want, longest = deep(rows)
+    assert longest == 6
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = score(docs, depth=None).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert (r.score, r.mean_depth) == pytest.approx(want[r.doc_id], rel=1e-9)
+    assert max(r.mean_depth for r in got) > 1
+    assert any(r.score != pytest.approx(want[r.doc_id][0]) for r in score(docs).collect())

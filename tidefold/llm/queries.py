@@ -39,7 +39,7 @@ def tokenizer_path() -> str:
 @query("op1_suffix_tree_lm")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log10 probabilities of all texts by a probabilistic suffix tree over words."""
-    return suffix_tree_lm.score(table(spark, sf_dir, "documents"))
+    return suffix_tree_lm.score(table(spark, sf_dir, "documents"), depth=5)
 
 
 @query("op2_simple8b_ids")

@@ -1,8 +1,8 @@
 """Probabilistic suffix tree over words: contexts of variable length, kept where they tell something.
 
 Symbols are the lower-cased words of a text and one end; a text starts after a start symbol.
-The root gives each symbol its smoothed share of the training tokens.  A context of one or
-two symbols is a candidate where it occurs twice in training.  It is retained if its next
+The root gives each symbol its smoothed share of the training tokens.  A context of any
+length is a candidate where it occurs twice in training.  It is retained if its next
 symbols diverge from what its longest shorter context predicts: the sum over its occurrences
 of the log ratio of both predictions, each occurrence left out of its own count, exceeds
 `gain` nats.  (That is the count times the divergence of the two distributions, without the
@@ -10,7 +10,13 @@ bias of small counts.)  A retained state predicts
 
     P(w | s) = (c(s, w) + alpha * P(w | shorter)) / (c(s) + alpha)
 
-and a text is scored by the longest retained suffix at each symbol.  Counts are of the whole
+and a text is scored by the longest retained suffix at each symbol.
+
+Contexts grow by one symbol per level to `depth` symbols, or until none is left.  From three symbols on
+only contexts are counted that can lead to a retained one: an occurrence of a longer context before w gains
+at most log((C - 1 + alpha * p) / ((C - 1 + alpha) * p)), C being c(s, w) and p the prediction so far, since c / n
+of the longer one is at most C / C.  None of these terms is negative, so where their sum over the occurrences
+of s in training does not exceed `gain`, neither does the divergence of any context that ends in s.  Counts are of the whole
 training corpus, without caps; candidates, states and next symbols grow with it.
 
 Cases: a null text is empty and has its end as only token; a null doc_id counts as the
@@ -27,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidefold.llm.exchange import ASKED, Batches, answer, ids_of, joined, question, summed, unique, unpack
+from tidefold.llm.exchange import ASKED, Batches, answer, ids_of, joined, pack, question, summed, unique, unpack
 from tidefold.llm.textbytes import C1, LOWER, SPACED, buffer_of, hash_spans, mix, word_spans
 
 FOLDS = 10
@@ -46,7 +52,7 @@ def held_out(ids: pa.Array, folds: int = FOLDS) -> np.ndarray:
 class _Texts:
     """The symbols of a batch in a row, with the facts that answers have brought so far."""
 
-    def __init__(self, table: pa.Table, folds: int):
+    def __init__(self, table: pa.Table, folds: int, ones: bool = True):
         _, self.ids = ids_of(table)
         data, at = buffer_of(table["text"])
         data = LOWER[data]
@@ -62,7 +68,8 @@ class _Texts:
         self.train = np.repeat((~self.held).astype(np.int64), n + 2)
         self.token = np.ones(len(self.symbol), bool)
         self.token[self.at[:-1]] = False
-        self.one, self.of = unique(self.symbol)
+        if ones:
+            self.one, self.of = unique(self.symbol)
 
     def ones(self) -> tuple[np.ndarray, np.ndarray]:
         return self.one, np.bincount(self.of, weights=self.train, minlength=len(self.one)).astype(np.int64)
@@ -108,17 +115,28 @@ class _Texts:
         self.p = self.p0.copy()
         self.p[self.j[kept]] = _smoothed(self.c2[kept], self.c1[self.j[kept] - 1], self.p0[self.j[kept]])
 
-    def gains2(self, c3: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        gain = _gain(c3[self.of3], self.c12, self.p[self.k]) * self.train[self.k]
-        context, of = unique(self.context)
-        return context, np.bincount(of, weights=gain, minlength=len(context))
+    def gains2(self, c3: np.ndarray) -> tuple[np.ndarray, ...]:
+        p = self.p[self.k]
+        return _divergence(self.context, c3[self.of3], self.c12, p, self.train[self.k])[0]
 
-    def set_gains2(self, c3: np.ndarray, retained: np.ndarray) -> None:
+    def set_gains2(self, c3: np.ndarray, bits: np.ndarray) -> np.ndarray:
+        """The places whose context of two symbols may be extended."""
         _, of = unique(self.context)
-        kept = np.flatnonzero(retained[of] > 0) if len(of) else of
+        bits = bits[of] if len(of) else np.zeros(0, np.uint8)
+        kept = np.flatnonzero(bits & 1)
         at = self.k[kept]
         self.depth[at] = 2
         self.p[at] = _smoothed(c3[self.of3[kept]], self.c12[kept], self.p[at])
+        return self.k[bits & 2 > 0]
+
+    def longer(self, at: np.ndarray, p: np.ndarray, n: int) -> tuple[np.ndarray, ...]:
+        """Of the given places, those after n symbols of their text: place, p, context, context with the next symbol."""
+        whole = at - n >= self.at[np.searchsorted(self.at, at, "right") - 1]
+        at, p = at[whole], p[whole]
+        h = self.symbol[at - n]
+        for i in range(1, n):
+            h = mix(mix(h) * C1 + self.symbol[at - n + i])
+        return at, p, h, mix(mix(h) * C1 + self.symbol[at])
 
     def rows(self, tokens: int) -> dict:
         if not len(self.ids):
@@ -141,6 +159,32 @@ def _gain(c: np.ndarray, of: np.ndarray, shorter: np.ndarray) -> np.ndarray:
     return np.log((np.maximum(c - 1, 0) + ALPHA * shorter) / ((of - 1 + ALPHA) * shorter))
 
 
+def _divergence(context, c, of, p, train) -> tuple[tuple[np.ndarray, ...], np.ndarray, np.ndarray]:
+    """Distinct contexts with this batch's part of their divergence and of what longer ones can gain if they are
+    not, and if they are retained; the predictions if they are; where each context is among the distinct."""
+    new = _smoothed(c, of, p)
+    left = np.maximum(c - 1, 0)
+    most = lambda q: np.log((left + ALPHA * q) / ((left + ALPHA) * q))
+    keys, at = unique(context)
+    total = lambda v: np.bincount(at, weights=v * train, minlength=len(keys))
+    return (keys, total(_gain(c, of, p)), total(most(p)), total(most(new))), new, at
+
+
+def _kept_or_open(gain: float):
+    """Of contexts: 1 where their divergence exceeds `gain`, and 2 where that of a longer one may."""
+
+    def run(asks: list[list[np.ndarray]]) -> list[tuple]:
+        out = [[part for (part,) in summed([[a[0], a[i]] for a in asks])] for i in (1, 2, 3)]
+        return [((g > gain) + 2 * (np.where(g > gain, new, old) > gain - 1e-6).astype(np.uint8),) for g, old, new in zip(*out)]
+
+    return run
+
+
+def _with_state(asked: dict[str, list], batch: int, *arrays: np.ndarray) -> dict[str, list]:
+    """What the batch itself needs again goes beside its questions, in bucket -1."""
+    return {"bucket": [-1, *asked["bucket"]], "batch": [batch, *asked["batch"]], "blob": [pack(*arrays), *asked["blob"]]}
+
+
 def _counted(asks: list[list[np.ndarray]]) -> list[tuple]:
     """Corpus count of each symbol; the first answer of a bucket brings its tokens and distinct words."""
     keys, of = unique(np.concatenate([a[0] for a in asks]))
@@ -167,10 +211,11 @@ def _sums(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           "v": pa.array([int(g[1]) for g in got], pa.int64())})
 
 
-def score(docs: DataFrame, folds: int = FOLDS, gain: float = GAIN) -> DataFrame:
+def score(docs: DataFrame, folds: int = FOLDS, gain: float = GAIN, depth: int | None = 2) -> DataFrame:
     """Log10 probabilities of all texts by the root alone (base_score) and by the suffix tree (score).
 
-    The model learns from the texts that are not held out.
+    The model learns from the texts that are not held out.  Contexts have up to `depth` symbols (two at least), any
+    number where it is None.
     """
     batches = Batches.write(docs.select("doc_id", "text"), "lm-batches")
     n = batches.buckets
@@ -213,13 +258,79 @@ def score(docs: DataFrame, folds: int = FOLDS, gain: float = GAIN) -> DataFrame:
         t, c3 = with_threes(table, got)
         return question(batch, n, *t.gains2(c3))
 
-    gains = batches.keep(answer(batches.each(ask_gains, ASKED, ones, twos, threes), _counts_or_kept(gain)), "lm-gains")
+    gains = batches.keep(answer(batches.each(ask_gains, ASKED, ones, twos, threes), _kept_or_open(gain)), "lm-gains")
 
-    def scored(batch: int, table: pa.Table, got: dict) -> dict:
+    def with_gains(table: pa.Table, got: dict) -> tuple[_Texts, np.ndarray]:
         t, c3 = with_threes(table, got)
-        t.set_gains2(c3, joined(got[3], kind="u1"))
+        return t, t.set_gains2(c3, joined(got[3], kind="u1"))
+
+    def ask_counts(batch: int, t: _Texts, at: np.ndarray, p: np.ndarray, n_symbols: int) -> dict:
+        at, p, context, whole = t.longer(at, p, n_symbols)
+        if not len(at):
+            return {}
+        keys, of = unique(np.concatenate([context, whole]))
+        train = np.bincount(of, weights=np.tile(t.train[at], 2), minlength=len(keys)).astype(np.int64)
+        return _with_state(question(batch, n, keys, train), batch, at, p, context, of, t.train[at])
+
+    def ask_third(batch: int, table: pa.Table, got: dict) -> dict:
+        t, at = with_gains(table, got)
+        return ask_counts(batch, t, at, t.p[at], 3)
+
+    def ask_divergence(batch: int, table: pa.Table, got: dict) -> dict:
+        if -1 not in got[0]:
+            return {}
+        at, p, context, of, train = unpack(got[0][-1])
+        c_of, c = np.split(joined(got[1])[of], 2)
+        ok = c_of >= 2
+        if not ok.any():
+            return {}
+        asked, new, which = _divergence(context[ok], c[ok], c_of[ok], p[ok], train[ok])
+        return _with_state(question(batch, n, *asked), batch, at[ok], p[ok], new, which)
+
+    def next_level(level: int):
+        def run(batch: int, table: pa.Table, got: dict) -> dict:
+            if -1 not in got[0]:
+                return {}
+            at, p, new, which = unpack(got[0][-1])
+            bits = joined(got[1], kind="u1")[which]
+            more = bits & 2 > 0
+            if not more.any():
+                return {}
+            return ask_counts(batch, _Texts(table, folds, ones=False), at[more], np.where(bits & 1, new, p)[more], level)
+
+        return run
+
+    def asked(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+        """The batches' own rows, and their questions."""
+        rows = batches.keep(rows, name)
+        return rows.filter("bucket < 0"), rows.filter("bucket >= 0")
+
+    levels, level = [], 3
+    found = batches.each(ask_third, ASKED, ones, twos, threes, gains) if depth is None or depth >= 3 else None
+    while found is not None:
+        state, questions = asked(found, "lm-contexts")
+        if not questions.head(1):
+            break
+        counts = batches.keep(answer(questions, summed), "lm-counts")
+        state, questions = asked(batches.each(ask_divergence, ASKED, state, counts), "lm-divergence")
+        if not questions.head(1):
+            break
+        kept = batches.keep(answer(questions, _kept_or_open(gain)), "lm-kept")
+        levels += [state, kept]
+        level += 1
+        found = batches.each(next_level(level), ASKED, state, kept) if depth is None or level <= depth else None
+
+    kinds = 4 + len(levels)
+
+    def scored(batch: int, table: pa.Table, got: dict) -> dict:
+        t, _ = with_gains(table, got)
+        for k in range(4, kinds, 2):
+            if -1 in got[k]:
+                at, _, new, which = unpack(got[k][-1])
+                on = joined(got[k + 1], kind="u1")[which] & 1 > 0
+                t.p[at[on]], t.depth[at[on]] = new[on], 3 + (k - 4) // 2
         return t.rows(tokens)
 
     schema = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
               "base_score double, score double, mean_depth double")
-    return batches.each(scored, schema, ones, twos, threes, gains)
+    return batches.each(scored, schema, ones, twos, threes, gains, *levels)
