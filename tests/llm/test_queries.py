@@ -22,7 +22,7 @@ def test_oracle(spark, name):
 
 def test_all_are_registered():
     names = set(entry.queries())
-    assert {f"op{n}" for n in range(1, 11)} <= {n.split("_")[0] for n in names} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} <= {n.split("_")[0] for n in names} and "pipeline" in names
     assert set(queries.ORACLES) <= set(entry.oracle_sql())
 
 

@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidefold.llm import (
-    decontaminate, entropy_mix, license_scan, pca_tiles, probminhash, sentence_spans, simple8b, suffix_dedup,
-    suffix_tree_lm, toxic_chain,
+    decontaminate, entropy_mix, hard_negatives, license_scan, pca_tiles, phrases, probminhash, sentence_spans, simple8b,
+    suffix_dedup, suffix_tree_lm, toxic_chain, word_bpe,
 )
-from tidefold.llm.sql import DECONTAMINATE, EMBEDDINGS, SENTENCES, SUBSTRINGS
+from tidefold.llm.sql import COLLOCATIONS, DECONTAMINATE, EMBEDDINGS, HARD_NEGATIVES, SENTENCES, SUBSTRINGS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -122,3 +122,25 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     chain = toxic_chain.train(docs, table(spark, sf_dir, "labels"))
     df = toxic_chain.predict(docs, chain)
     return df.withColumn("toxic", F.col("p_toxic") >= toxic_chain.REJECT)
+
+
+@query("op11_word_bpe")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the token ids of all texts, each distinct word encoded once, and of the bytes they decode to."""
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = word_bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return word_bpe.ids_sha256(word_bpe.decode(encoded, word_bpe.token_bytes(spark, ranks)))
+
+
+@query("op12_son_phrases", COLLOCATIONS)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first collocations of each language, mined by shards and counted exactly."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op13_hard_negatives", HARD_NEGATIVES)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth embedding, from blocks that zone maps choose."""
+    return hard_negatives.mine(hard_negatives.relabelled(table(spark, sf_dir, "embeddings")))

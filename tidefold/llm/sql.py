@@ -77,3 +77,54 @@ SELECT v.vec_id, (SELECT count(*) FROM link WHERE link.a = v.vec_id) AS n_links,
        min(reach.b) = v.vec_id AS kept
 FROM v JOIN reach ON reach.a = v.vec_id GROUP BY v.vec_id
 """
+
+COLLOCATIONS = r"""
+WITH piece AS (
+  SELECT lang, w, len(w) AS n FROM (
+    SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM (
+      SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p
+      FROM documents))
+), total AS (SELECT lang, CAST(sum(n) AS BIGINT) AS n FROM piece GROUP BY lang
+), f AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS c
+  FROM piece, (VALUES (1), (2), (3), (4), (5)) AS s(k), unnest(range(1, n - k + 2)) AS t(i) GROUP BY ALL HAVING count(*) >= 100
+), cand AS (SELECT lang, k, phrase, c AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1
+), cut AS (
+  SELECT cand.*, j, x.c AS l, y.c AS r, total.n, CAST(1000 * a::HUGEINT * total.n // (x.c::HUGEINT * y.c) AS BIGINT) AS score
+  FROM cand, unnest(range(1, cand.k)) AS t(j), f AS x, f AS y, total
+  WHERE x.lang = cand.lang AND x.phrase = array_to_string(w[1:j], ' ') AND y.lang = cand.lang
+    AND y.phrase = array_to_string(w[j + 1:cand.k], ' ') AND total.lang = cand.lang
+), low AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+), inside AS (
+  SELECT DISTINCT cand.lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, a AS longer
+  FROM cand, unnest(range(2, k)) AS s(m), unnest(range(1, k - m + 2)) AS t(i)
+), kept AS (
+  SELECT * FROM low WHERE NOT EXISTS (
+    SELECT 1 FROM inside WHERE inside.lang = low.lang AND inside.phrase = low.phrase AND 100 * longer >= 100 * a)
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
+
+HARD_NEGATIVES = r"""
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM e AS a JOIN e AS b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), pos AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), neg AS (
+  SELECT anchor_id, positive_id, positive_score, vec_id AS negative_id, score AS negative_score,
+         row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank
+  FROM pos JOIN s USING (anchor_id)
+  WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM neg WHERE rank <= 10
+"""
