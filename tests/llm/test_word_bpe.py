@@ -47,13 +47,10 @@ def expected(text):
     return LIBRARY.encode_ordinary(text or "")
 
 
-@pytest.mark.parametrize("often", [None, 0])
-def test_cases(spark, often, monkeypatch):
-    """Ids are the library's for every row; with all words of one slice and more broadcast, and with none."""
-    if often is not None:
-        real = word_bpe._joined
-        monkeypatch.setattr(word_bpe, "_joined", lambda asked, words, _: real(asked, words, often))
-    monkeypatch.setattr(word_bpe, "SLICE", 20_000)
+@pytest.mark.parametrize("size", [1, 20_000, word_bpe.SLICE])
+def test_cases(spark, size, monkeypatch):
+    """Ids are the library's for every row, with slices of one text and of many."""
+    monkeypatch.setattr(word_bpe, "SLICE", size)
     rows = cases.documents()
     encoded = word_bpe.encode(cases.frame(spark, rows), RANKS, P.PATTERN)
     got = sorted(((r.doc_id, r.ids, bytes(r.decoded)) for r in word_bpe.decode(encoded, word_bpe.token_bytes(spark, RANKS)).collect()), key=str)

@@ -3,15 +3,16 @@
 Encoding
 --------
 1. Texts are cut into pre-tokens, the matches of the tokenizer's pattern, on the bytes of whole
-   slices of some megabytes.  A slice becomes one row of `slices`: its documents, the number of
-   pre-tokens of each, and for every position the number of its word within the slice.
-2. The words of all slices are exploded to (slice, number, word).  Each distinct word of the
-   corpus is encoded once, after a shuffle with map-side distinct.
-3. The ids are joined back to (slice, number).  Words that are in a large share of all slices
-   are joined by broadcast, so that no task holds them all; see `HEAVY`.
+   slices of some megabytes.  A slice becomes one row of a table bucketed by slice: its documents, the
+   number of pre-tokens of each, for every position the number of its word within the slice,
+   frequent words first, and the words.
+2. The words of all slices are exploded to (slice, number, word) and shuffled by word.  Each distinct
+   word of the corpus is thereby in one partition, sorted, and is encoded once.  No word is asked for
+   more than once by a slice, so that the most frequent has as many rows as there are slices.
+3. The ids, (slice, number, ids), are joined back to their slice.
 4. Each slice puts the ids at the places of its words, in the order of their positions.
 
-Only distinct words of a slice are shuffled, and neither texts nor positions are joined by word.
+Only distinct words of a slice are shuffled, neither texts nor positions.
 
 Decoding joins every id with the table of token bytes.  The table is the vocabulary, whose size
 the file bounds; it is read as a DataFrame and its bytes lie in one broadcast array, in which
@@ -43,10 +44,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidefold.llm.textbytes import buffer_of, hash_spans, ragged, slices
 from tidefold.sinks.folders import shared_folder
 
-SLICE = 6 << 20  # bytes of text in a row of `slices`, but for longer texts
+SLICE = 16 << 20  # bytes of text in a slice, but for longer texts
 PART = 1 << 20  # bytes that are cut at once, but for longer texts
-# words of at most so many bytes that are in more than one HEAVY-th of all (slice, word) rows are broadcast: HEAVY at most
-HEAVY, HEAVY_BYTES = 100_000, 64
 
 # fixed values: the contractions of the pattern, in its order
 CONTRACTIONS = (b"'s", b"'t", b"'re", b"'ve", b"'m", b"'ll", b"'d")
@@ -137,47 +136,57 @@ def cut(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 SLICES = "slice long, doc_ids array<long>, counts array<int>, places array<int>, words array<binary>"
 
 
-def _words_of(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """Pre-tokens per text, the number of each position's word, and the words."""
-    known: dict[bytes, int] = {}
-    counts, places = [], []
-    for part in slices(rows, PART):
-        data, at = buffer_of(part["text"])
+class Slice:
+    """Documents and the words at their positions."""
+
+    def __init__(self):
+        self.known: dict[bytes, int] = {}
+        self.doc_ids, self.counts, self.places, self.bytes = [], [], [], 0
+
+    def add(self, rows: pa.RecordBatch) -> None:
+        data, at = buffer_of(rows["text"])
         start, first = cut(data, at)
         end = np.append(start[1:], len(data))
         # words are equal where two hashes are, 128 bits together
-        key = np.empty(len(start), [("a", "<u8"), ("b", "<u8")])
-        key["a"], key["b"] = hash_spans(data, start, end), hash_spans(data, start, end, 1)
-        order = np.argsort(key["a"], kind="stable")
-        a, b = key["a"][order], key["b"][order]
+        one, two = hash_spans(data, start, end), hash_spans(data, start, end, 1)
+        order = np.argsort(one, kind="stable")
         new = np.ones(len(order), bool)
-        new[1:] = a[1:] != a[:-1]
-        clash = np.flatnonzero(~new[1:] & (b[1:] != b[:-1]))
-        if len(clash):  # all but never
-            order = np.lexsort((key["b"], key["a"]))
-            a, b = key["a"][order], key["b"][order]
-            new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-        one = order[new]
-        raw = data.tobytes()
-        number = np.array([known.setdefault(raw[s:e], len(known)) for s, e in zip(start[one].tolist(), end[one].tolist())], np.int64)
+        new[1:] = one[order][1:] != one[order][:-1]
+        if (~new[1:] & (two[order][1:] != two[order][:-1])).any():  # all but never
+            order = np.lexsort((two, one))
+            new[1:] = (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])
+        raw, head = data.tobytes(), order[new]
+        known = self.known
+        number = [known.setdefault(raw[s:e], len(known)) for s, e in zip(start[head].tolist(), end[head].tolist())]
         place = np.empty(len(start), np.int32)
-        if len(start):
-            place[order] = number[np.cumsum(new) - 1]
-        counts.append(np.diff(first)), places.append(place)
-    return np.concatenate(counts), np.concatenate(places), list(known)
+        place[order] = np.repeat(np.array(number, np.int32), np.diff(np.append(np.flatnonzero(new), len(order))))
+        self.doc_ids.append(rows["doc_id"]), self.counts.append(np.diff(first)), self.places.append(place)
+        self.bytes += len(data) + 64 * rows.num_rows
+
+    def row(self, number: int) -> pa.RecordBatch:
+        places = np.concatenate(self.places)
+        often = np.argsort(-np.bincount(places, minlength=len(self.known)), kind="stable")
+        rank = np.empty(len(often), np.int32)
+        rank[often] = np.arange(len(often), dtype=np.int32)
+        words = list(self.known)
+        one = lambda values, kind: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, kind))
+        return pa.RecordBatch.from_pydict({
+            "slice": pa.array([number], pa.int64()), "doc_ids": one(pa.concat_arrays(self.doc_ids), pa.int64()),
+            "counts": one(np.concatenate(self.counts).astype(np.int32), pa.int32()), "places": one(rank[places], pa.int32()),
+            "words": one([words[i] for i in often.tolist()], pa.binary())})
 
 
 def _sliced(limit: int):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
+        number, held = TaskContext.get().partitionId() << 32, Slice()
         for part in parts:
-            for rows in slices(part, limit):
-                counts, places, words = _words_of(rows)
-                one = lambda values, kind: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, kind))
-                yield pa.RecordBatch.from_pydict({
-                    "slice": pa.array([number], pa.int64()), "doc_ids": one(rows["doc_id"], pa.int64()),
-                    "counts": one(counts.astype(np.int32), pa.int32()), "places": one(places, pa.int32()), "words": one(words, pa.binary())})
-                number += 1
+            for rows in slices(part, min(limit, PART)):
+                held.add(rows)
+                if held.bytes >= limit:
+                    yield held.row(number)
+                    number, held = number + 1, Slice()
+        if held.doc_ids:
+            yield held.row(number)
 
     return run
 
@@ -194,26 +203,21 @@ def tokenizer(ranks_path: str, pattern: str):
     return tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
-def encode_words(words: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """(word, ids) of every row of `words` (word binary)."""
+def _encoded(ranks_path: str, pattern: str):
+    """Rows sorted by word get the ids of their words, each word encoded where it begins."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokenizer(ranks_path, pattern).encode_ordinary
+        word, ids = None, []
         for part in parts:
-            ids = [encode(w.decode()) for w in part["word"].to_pylist()]
-            yield pa.RecordBatch.from_pydict({"word": part["word"], "ids": pa.array(ids, pa.list_(pa.int32()))})
-
-    return words.select("word").mapInArrow(run, "word binary, ids array<int>")
+            out = []
+            for w in part["word"].to_pylist():
+                if w != word:
+                    word, ids = w, encode(w.decode())
+                out.append(ids)
+            yield pa.RecordBatch.from_pydict({"slice": part["slice"], "number": part["number"], "ids": pa.array(out, pa.list_(pa.int32()))})
 
-
-def _joined(asked: DataFrame, words: DataFrame, often: int) -> DataFrame:
-    """(slice, number, ids) of (slice, number, word); `words` (word, ids, slices)."""
-    words = words.withColumn("heavy", (F.col("slices") > often) & (F.octet_length("word") <= HEAVY_BYTES))
-    heavy = words.filter("heavy").select(F.col("word").alias("w"), F.col("ids").alias("heavy_ids"))
-    asked = asked.join(F.broadcast(heavy), asked["word"] == F.col("w"), "left")
-    rest = asked.filter("w IS NULL").select("slice", "number", "word").join(words.filter("NOT heavy").select("word", "ids"), "word")
-    return asked.filter("w IS NOT NULL").select("slice", "number", F.col("heavy_ids").alias("ids")).unionByName(
-        rest.select("slice", "number", "ids"))
+    return run
 
 
 def _assembled(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
@@ -242,22 +246,15 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """(doc_id, ids) of every row; `ranks_path` is a file every executor can open."""
     spark = docs.sparkSession
     folder = shared_folder(spark, "bpe")
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    rows.mapInArrow(_sliced(SLICE), SLICES).write.option("compression", "zstd").parquet(f"{folder}/slices")
-    stored = spark.read.schema(SLICES).parquet(f"{folder}/slices")
-    asked = stored.select("slice", F.posexplode("words").alias("number", "word"))
-    # each distinct word once
-    distinct = asked.groupBy("word").agg(F.count("*").alias("slices"))
-    distinct.write.option("compression", "zstd").parquet(f"{folder}/distinct")
-    distinct = spark.read.schema(distinct.schema).parquet(f"{folder}/distinct")
-    often = (distinct.agg(F.sum("slices")).first()[0] or 0) // HEAVY
-    encoded = encode_words(distinct, ranks_path, pattern)
-    encoded.write.option("compression", "zstd").parquet(f"{folder}/words")
-    encoded = spark.read.schema(encoded.schema).parquet(f"{folder}/words")
-    words = encoded.join(distinct, "word")
-    answers = _joined(asked, words, often)
-    slices_ = spark.read.schema(SLICES).parquet(f"{folder}/slices").select("slice", "doc_ids", "counts", "places")
-    return slices_.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(_assembled, "doc_id long, ids array<int>")
+    table = "w" + folder.rsplit("-", 1)[1]
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_sliced(SLICE), SLICES)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows.write.option("path", folder).option("compression", "zstd").bucketBy(parts, "slice").format("parquet").saveAsTable(table)
+    asked = spark.table(table).select("slice", F.posexplode("words").alias("number", "word"))
+    asked = asked.repartition("word").sortWithinPartitions("word")
+    answers = asked.mapInArrow(_encoded(ranks_path, pattern), "slice long, number int, ids array<int>")
+    stored = spark.table(table).select("slice", "doc_ids", "counts", "places")
+    return stored.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(_assembled, "doc_id long, ids array<int>")
 
 
 # -- decoding -------------------------------------------------------------------------
