@@ -9,7 +9,7 @@ Encoding
 2. The words of all slices are exploded to (slice, number, word) and shuffled by word.  Each distinct
    word of the corpus is thereby in one partition, sorted, and is encoded once.  No word is asked for
    more than once by a slice, so that the most frequent has as many rows as there are slices.
-3. The ids, (slice, number, ids), are joined back to their slice.
+3. The ids are joined back to their slice, those of many words in a row.
 4. Each slice puts the ids at the places of its words, in the order of their positions.
 
 Only distinct words of a slice are shuffled, neither texts nor positions.
@@ -44,8 +44,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidefold.llm.textbytes import buffer_of, hash_spans, ragged, slices
 from tidefold.sinks.folders import shared_folder
 
-SLICE = 16 << 20  # bytes of text in a slice, but for longer texts
+SLICE = 8 << 20  # bytes of text in a slice, but for longer texts
 PART = 1 << 20  # bytes that are cut at once, but for longer texts
+ANSWERS = 1 << 18  # words whose ids a task sorts by slice at once
 
 # fixed values: the contractions of the pattern, in its order
 CONTRACTIONS = (b"'s", b"'t", b"'re", b"'ve", b"'m", b"'ll", b"'d")
@@ -60,12 +61,15 @@ def classes() -> np.ndarray:
     """The class of every code point, as the regular expressions of tiktoken have it."""
     import tiktoken
 
-    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
     out = np.zeros(0x110000, np.uint8)
     for pattern, kind in ((r"\p{L}", LETTER), (r"\p{N}", NUMBER), (r"\s", SPACE)):
         single = tiktoken.Encoding(pattern, pat_str=pattern, special_tokens={}, mergeable_ranks={bytes([i]): i for i in range(256)})
-        found = bytes(single.encode_ordinary(every)).decode()
-        out[np.frombuffer(found.encode("utf-32-le"), "<u4")] = kind
+        for a in range(0, 0x110000, 0x4000):
+            if 0xD800 <= a < 0xE000:
+                continue
+            some = "".join(map(chr, range(a, min(a + 0x4000, 0xD800 if a < 0xD800 else 0x110000))))
+            found = bytes(single.encode_ordinary(some)).decode()
+            out[np.frombuffer(found.encode("utf-32-le"), "<u4")] = kind
     return out
 
 
@@ -133,7 +137,8 @@ def cut(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 # -- slices ---------------------------------------------------------------------------
 
-SLICES = "slice long, doc_ids array<long>, counts array<int>, places array<int>, words array<binary>"
+# places are numbers of words in bytes, the lowest of all, the next of all and so on, which compress well
+SLICES = "slice long, doc_ids array<long>, counts array<int>, places binary, words array<binary>"
 
 
 class Slice:
@@ -172,7 +177,8 @@ class Slice:
         one = lambda values, kind: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, kind))
         return pa.RecordBatch.from_pydict({
             "slice": pa.array([number], pa.int64()), "doc_ids": one(pa.concat_arrays(self.doc_ids), pa.int64()),
-            "counts": one(np.concatenate(self.counts).astype(np.int32), pa.int32()), "places": one(rank[places], pa.int32()),
+            "counts": one(np.concatenate(self.counts).astype(np.int32), pa.int32()),
+            "places": pa.array([np.ascontiguousarray(rank[places].view(np.uint8).reshape(-1, 4).T).tobytes()], pa.binary()),
             "words": one([words[i] for i in often.tolist()], pa.binary())})
 
 
@@ -203,43 +209,61 @@ def tokenizer(ranks_path: str, pattern: str):
     return tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
-def _encoded(ranks_path: str, pattern: str):
-    """Rows sorted by word get the ids of their words, each word encoded where it begins."""
+def _encoded(ranks_path: str, pattern: str, most: int):
+    """Rows sorted by word get the ids of their words, each word encoded where it begins; rows of many words of a slice."""
+
+    def packed(slice_: np.ndarray, number: np.ndarray, size: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+        order = np.argsort(slice_, kind="stable")
+        first = np.cumsum(size) - size
+        head = np.flatnonzero(np.diff(slice_[order], prepend=slice_[order][0] - 1))
+        ends = np.append(head, len(order))
+        words, at = size[order], np.concatenate([[0], np.cumsum(size[order])])
+        lists = lambda values, offsets: pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))
+        return pa.RecordBatch.from_pydict({
+            "slice": pa.array(slice_[order][head]), "numbers": lists(number[order], ends), "sizes": lists(words, ends),
+            "ids": lists(ids[ragged(first[order], words)], at[ends])})
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokenizer(ranks_path, pattern).encode_ordinary
-        word, ids = None, []
+        word, ids, held, n = None, [], [], 0
         for part in parts:
-            out = []
+            flat, size = [], []
             for w in part["word"].to_pylist():
                 if w != word:
                     word, ids = w, encode(w.decode())
-                out.append(ids)
-            yield pa.RecordBatch.from_pydict({"slice": part["slice"], "number": part["number"], "ids": pa.array(out, pa.list_(pa.int32()))})
+                flat.extend(ids)
+                size.append(len(ids))
+            held.append((part["slice"].to_numpy(), part["number"].to_numpy(), np.array(size), np.array(flat, np.int32)))
+            n += len(size)
+            if n >= most:
+                yield packed(*(np.concatenate(c) for c in zip(*held)))
+                held, n = [], 0
+        if n:
+            yield packed(*(np.concatenate(c) for c in zip(*held)))
 
     return run
 
 
+ENCODED = "slice long, numbers array<int>, sizes array<int>, ids array<int>"
+
+
 def _assembled(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
     """One slice: the ids of each document, from its places and the ids of its words."""
-    counts = left["counts"].combine_chunks().flatten().to_numpy().astype(np.int64)
-    places = left["places"].combine_chunks().flatten().to_numpy()
-    docs = left["doc_ids"].combine_chunks().flatten()
-    right = right.sort_by("number").combine_chunks()
-    ids = right["ids"].combine_chunks()
-    flat = ids.flatten().to_numpy()
-    size = np.diff(ids.offsets.to_numpy()).astype(np.int64) if len(ids) else np.zeros(0, np.int64)
-    first = np.cumsum(size) - size
-    out, lengths, at = [], [], 0
-    ends = np.cumsum(counts)
-    step = 1 << 20  # positions at once
-    for a in range(0, len(places), step):
-        p = places[a : a + step]
-        out.append(flat[ragged(first[p], size[p])])
-    total = np.concatenate([[0], np.cumsum(size[places])]) if len(places) else np.zeros(1, np.int64)
-    at = np.concatenate([[0], total[ends]])
-    flat = np.concatenate(out) if out else np.zeros(0, np.int32)
-    return pa.table({"doc_id": docs, "ids": pa.LargeListArray.from_arrays(pa.array(at), pa.array(flat, pa.int32())).cast(pa.list_(pa.int32()))})
+    flatten = lambda table, c: np.concatenate([k.flatten().to_numpy() for k in table[c].chunks] or [np.zeros(0, np.int32)])
+    docs = pa.concat_arrays([k.flatten() for k in left["doc_ids"].chunks])
+    counts = flatten(left, "counts").astype(np.int64)
+    raw = np.frombuffer(left["places"].chunk(0)[0].as_buffer(), np.uint8)
+    places = np.ascontiguousarray(raw.reshape(4, -1).T).view(np.int32).ravel()
+    numbers, sizes, ids = (flatten(right, c) for c in ("numbers", "sizes", "ids"))
+    size, first = np.zeros(len(numbers), np.int64), np.zeros(len(numbers), np.int64)
+    size[numbers], first[numbers] = sizes, np.cumsum(sizes) - sizes
+    out = [np.zeros(0, np.int32)]
+    for a in range(0, len(places), 1 << 20):
+        p = places[a : a + (1 << 20)]
+        out.append(ids[ragged(first[p], size[p])])
+    total = np.concatenate([[0], np.cumsum(size[places])])
+    at = total[np.concatenate([[0], np.cumsum(counts)])]
+    return pa.table({"doc_id": docs, "ids": pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate(out)))})
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
@@ -252,7 +276,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     rows.write.option("path", folder).option("compression", "zstd").bucketBy(parts, "slice").format("parquet").saveAsTable(table)
     asked = spark.table(table).select("slice", F.posexplode("words").alias("number", "word"))
     asked = asked.repartition("word").sortWithinPartitions("word")
-    answers = asked.mapInArrow(_encoded(ranks_path, pattern), "slice long, number int, ids array<int>")
+    answers = asked.mapInArrow(_encoded(ranks_path, pattern, ANSWERS), ENCODED)
     stored = spark.table(table).select("slice", "doc_ids", "counts", "places")
     return stored.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(_assembled, "doc_id long, ids array<int>")
 
