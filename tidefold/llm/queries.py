@@ -131,7 +131,9 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     encoded = word_bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    return word_bpe.ids_sha256(word_bpe.decode(encoded, word_bpe.token_bytes(spark, ranks)))
+    df = word_bpe.decode(encoded, word_bpe.token_bytes(spark, ranks), packed=True)
+    return df.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2("packed", 256).alias("ids_sha256"),
+                     F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 @query("op12_son_phrases", COLLOCATIONS)

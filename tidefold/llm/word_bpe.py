@@ -32,7 +32,6 @@ other columns are ignored.  Special tokens' strings are ordinary text.
 from __future__ import annotations
 
 import base64
-import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -44,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidefold.llm.textbytes import buffer_of, hash_spans, ragged, slices
 from tidefold.sinks.folders import shared_folder
 
-SLICE = 8 << 20  # bytes of text in a slice, but for longer texts
+SLICE = 32 << 20  # bytes of text in a slice, but for longer texts
 PART = 1 << 20  # bytes that are cut at once, but for longer texts
 ANSWERS = 1 << 18  # words whose ids a task sorts by slice at once
 
@@ -170,16 +169,17 @@ class Slice:
 
     def row(self, number: int) -> pa.RecordBatch:
         places = np.concatenate(self.places)
-        often = np.argsort(-np.bincount(places, minlength=len(self.known)), kind="stable")
+        count = np.bincount(places, minlength=len(self.known)).tolist()
+        # frequent words first, words of one count in order: both compress well
+        often = sorted(self.known.items(), key=lambda w: (-count[w[1]], w[0]))
         rank = np.empty(len(often), np.int32)
-        rank[often] = np.arange(len(often), dtype=np.int32)
-        words = list(self.known)
+        rank[[i for _, i in often]] = np.arange(len(often), dtype=np.int32)
         one = lambda values, kind: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, kind))
         return pa.RecordBatch.from_pydict({
             "slice": pa.array([number], pa.int64()), "doc_ids": one(pa.concat_arrays(self.doc_ids), pa.int64()),
             "counts": one(np.concatenate(self.counts).astype(np.int32), pa.int32()),
             "places": pa.array([np.ascontiguousarray(rank[places].view(np.uint8).reshape(-1, 4).T).tobytes()], pa.binary()),
-            "words": one([words[i] for i in often.tolist()], pa.binary())})
+            "words": one([w for w, _ in often], pa.binary())})
 
 
 def _sliced(limit: int):
@@ -263,7 +263,8 @@ def _assembled(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         out.append(ids[ragged(first[p], size[p])])
     total = np.concatenate([[0], np.cumsum(size[places])])
     at = total[np.concatenate([[0], np.cumsum(counts)])]
-    return pa.table({"doc_id": docs, "ids": pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate(out)))})
+    whole = pa.table({"doc_id": docs, "ids": pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate(out)))})
+    return pa.Table.from_batches(whole.to_batches(max_chunksize=500), whole.schema)
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
@@ -291,16 +292,15 @@ def token_bytes(spark: SparkSession, ranks_path: str) -> DataFrame:
     return spark.createDataFrame(rows, "id int, bytes binary")
 
 
-def decode(encoded: DataFrame, tokens: DataFrame) -> DataFrame:
+def decode(encoded: DataFrame, tokens: DataFrame, packed: bool = False) -> DataFrame:
     """All columns of `encoded` and `decoded`: the bytes of its `ids`, joined with `tokens` (id, bytes).
 
-    An id that is not in the table is an error.
+    With `packed` also the ids as little-endian unsigned 32-bit integers.  An id that is not in the table is an error.
     """
     table = tokens.orderBy("id").collect()  # the vocabulary
     size = np.full(max((r.id for r in table), default=-1) + 1, -1, np.int64)
     size[[r.id for r in table]] = [len(r.bytes) for r in table]
-    flat = b"".join(bytes(r.bytes) for r in table)
-    shared = encoded.sparkSession.sparkContext.broadcast((size, flat))
+    shared = encoded.sparkSession.sparkContext.broadcast((size, b"".join(bytes(r.bytes) for r in table)))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size, raw = shared.value
@@ -308,30 +308,16 @@ def decode(encoded: DataFrame, tokens: DataFrame) -> DataFrame:
         for part in parts:
             lists = part["ids"]
             at = lists.offsets.to_numpy().astype(np.int64)
-            done = []
+            done, plain = [], []
             for a, z in zip(at[:-1].tolist(), at[1:].tolist()):  # a text at a time
                 ids = lists.values[a:z].to_numpy()
                 if len(ids) and (ids.min() < 0 or ids.max() >= len(size) or (size[ids] < 0).any()):
                     raise ValueError("an id is not in the table of tokens")
                 done.append(flat[ragged(first[ids], size[ids])].tobytes())
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(done, pa.binary())], names)
+                plain.append(ids.astype("<u4").tobytes() if packed else None)
+            columns = [*part.columns, pa.array(done, pa.binary()), *([pa.array(plain, pa.binary())] if packed else [])]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
-    names = [*encoded.columns, "decoded"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema) + ", decoded binary"
+    names = [*encoded.columns, "decoded", *(["packed"] if packed else [])]
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema), *(f"{n} binary" for n in names[len(encoded.columns):])])
     return encoded.mapInArrow(run, schema)
-
-
-def ids_sha256(df: DataFrame) -> DataFrame:
-    """`df` (doc_id, ids, decoded) with the digest columns of ids and bytes in place of both."""
-
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            lists = part["ids"]
-            at = lists.offsets.to_numpy().tolist()
-            values = lists.values.to_numpy().astype("<u4")
-            digest = [hashlib.sha256(values[a:z].tobytes()).hexdigest() for a, z in zip(at[:-1], at[1:])]
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": part["doc_id"], "n_tokens": pa.array(np.diff(at), pa.int64()), "ids_sha256": pa.array(digest, pa.string()),
-                "decoded_sha256": pa.array([hashlib.sha256(b.as_buffer()).hexdigest() for b in part["decoded"]], pa.string())})
-
-    return df.select("doc_id", "ids", "decoded").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
