@@ -47,10 +47,11 @@ def expected(text):
     return LIBRARY.encode_ordinary(text or "")
 
 
-@pytest.mark.parametrize("size", [1, 20_000, word_bpe.SLICE])
-def test_cases(spark, size, monkeypatch):
+@pytest.mark.parametrize("size,chunk", [(1, 1), (20_000, 100), (word_bpe.SLICE, word_bpe.CHUNK)])
+def test_cases(spark, size, chunk, monkeypatch):
     """Ids are the library's for every row, with slices of one text and of many."""
     monkeypatch.setattr(word_bpe, "SLICE", size)
+    monkeypatch.setattr(word_bpe, "CHUNK", chunk)
     rows = cases.documents()
     encoded = word_bpe.encode(cases.frame(spark, rows), RANKS, P.PATTERN)
     got = sorted(((r.doc_id, r.ids, bytes(r.decoded)) for r in word_bpe.decode(encoded, word_bpe.token_bytes(spark, RANKS)).collect()), key=str)

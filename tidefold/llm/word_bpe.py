@@ -3,7 +3,7 @@
 Encoding
 --------
 1. Texts are cut into pre-tokens, the matches of the tokenizer's pattern, on the bytes of whole
-   slices of some megabytes.  A slice becomes one row of a table bucketed by slice: its documents, the
+   slices of some megabytes.  A slice becomes some rows of a table bucketed by slice: its documents, the
    number of pre-tokens of each, for every position the number of its word within the slice,
    frequent words first, and the words.
 2. The words of all slices are exploded to (slice, number, word) and shuffled by word.  Each distinct
@@ -44,8 +44,9 @@ from tidefold.llm.textbytes import buffer_of, hash_spans, ragged, slices
 from tidefold.sinks.folders import shared_folder
 
 SLICE = 32 << 20  # bytes of text in a slice, but for longer texts
-PART = 1 << 20  # bytes that are cut at once, but for longer texts
+PART = 1 << 19  # bytes that are cut at once, but for longer texts
 ANSWERS = 1 << 18  # words whose ids a task sorts by slice at once
+CHUNK = 1 << 19  # positions in a row of a slice, but for longer texts; an eighth as many words
 
 # fixed values: the contractions of the pattern, in its order
 CONTRACTIONS = (b"'s", b"'t", b"'re", b"'ve", b"'m", b"'ll", b"'d")
@@ -136,8 +137,16 @@ def cut(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 # -- slices ---------------------------------------------------------------------------
 
-# places are numbers of words in bytes, the lowest of all, the next of all and so on, which compress well
-SLICES = "slice long, doc_ids array<long>, counts array<int>, places binary, words array<binary>"
+SLICES = "slice long, chunk int, doc_ids array<long>, counts array<int>, places binary, first int, words array<binary>"
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """32-bit integers as the lowest bytes of all, the next of all and so on: the empty ones vanish when compressed."""
+    return np.ascontiguousarray(values.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _from_planes(raw) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<i4").ravel()
 
 
 class Slice:
@@ -167,32 +176,37 @@ class Slice:
         self.doc_ids.append(rows["doc_id"]), self.counts.append(np.diff(first)), self.places.append(place)
         self.bytes += len(data) + 64 * rows.num_rows
 
-    def row(self, number: int) -> pa.RecordBatch:
-        places = np.concatenate(self.places)
+    def rows(self, number: int, size: int) -> Iterator[pa.RecordBatch]:
+        places, counts, doc_ids = np.concatenate(self.places), np.concatenate(self.counts), pa.concat_arrays(self.doc_ids)
         count = np.bincount(places, minlength=len(self.known)).tolist()
         # frequent words first, words of one count in order: both compress well
         often = sorted(self.known.items(), key=lambda w: (-count[w[1]], w[0]))
         rank = np.empty(len(often), np.int32)
         rank[[i for _, i in often]] = np.arange(len(often), dtype=np.int32)
+        words, places, upto = [w for w, _ in often], rank[places], np.concatenate([[0], np.cumsum(counts)])
         one = lambda values, kind: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, kind))
-        return pa.RecordBatch.from_pydict({
-            "slice": pa.array([number], pa.int64()), "doc_ids": one(pa.concat_arrays(self.doc_ids), pa.int64()),
-            "counts": one(np.concatenate(self.counts).astype(np.int32), pa.int32()),
-            "places": pa.array([np.ascontiguousarray(rank[places].view(np.uint8).reshape(-1, 4).T).tobytes()], pa.binary()),
-            "words": one([w for w, _ in often], pa.binary())})
-
-
-def _sliced(limit: int):
+        chunk, d, w = 0, 0, 0
+        while d < len(counts) or w < len(words):
+            z = min(max(d + 1, int(np.searchsorted(upto, upto[d] + size, "right")) - 1), len(counts))
+            yield pa.RecordBatch.from_pydict({
+                "slice": pa.array([number], pa.int64()), "chunk": pa.array([chunk], pa.int32()),
+                "doc_ids": one(doc_ids.slice(d, z - d), pa.int64()), "counts": one(counts[d:z].astype(np.int32), pa.int32()),
+                "places": pa.array([_planes(places[upto[d] : upto[z]])], pa.binary()),
+                "first": pa.array([w], pa.int32()), "words": one(words[w : w + max(1, size // 8)], pa.binary())})
+            chunk, d, w = chunk + 1, z, w + max(1, size // 8)
+
+
+def _sliced(limit: int, chunk: int):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, held = TaskContext.get().partitionId() << 32, Slice()
         for part in parts:
             for rows in slices(part, min(limit, PART)):
                 held.add(rows)
                 if held.bytes >= limit:
-                    yield held.row(number)
+                    yield from held.rows(number, chunk)
                     number, held = number + 1, Slice()
         if held.doc_ids:
-            yield held.row(number)
+            yield from held.rows(number, chunk)
 
     return run
 
@@ -218,10 +232,10 @@ def _encoded(ranks_path: str, pattern: str, most: int):
         head = np.flatnonzero(np.diff(slice_[order], prepend=slice_[order][0] - 1))
         ends = np.append(head, len(order))
         words, at = size[order], np.concatenate([[0], np.cumsum(size[order])])
-        lists = lambda values, offsets: pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))
+        number, ids = number[order], ids[ragged(first[order], words)]
+        blobs = lambda values, cuts: pa.array([_planes(values[a:z]) for a, z in zip(cuts[:-1].tolist(), cuts[1:].tolist())], pa.binary())
         return pa.RecordBatch.from_pydict({
-            "slice": pa.array(slice_[order][head]), "numbers": lists(number[order], ends), "sizes": lists(words, ends),
-            "ids": lists(ids[ragged(first[order], words)], at[ends])})
+            "slice": pa.array(slice_[order][head]), "numbers": blobs(number, ends), "sizes": blobs(words, ends), "ids": blobs(ids, at[ends])})
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokenizer(ranks_path, pattern).encode_ordinary
@@ -244,27 +258,29 @@ def _encoded(ranks_path: str, pattern: str, most: int):
     return run
 
 
-ENCODED = "slice long, numbers array<int>, sizes array<int>, ids array<int>"
+ENCODED = "slice long, numbers binary, sizes binary, ids binary"
 
 
 def _assembled(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
     """One slice: the ids of each document, from its places and the ids of its words."""
-    flatten = lambda table, c: np.concatenate([k.flatten().to_numpy() for k in table[c].chunks] or [np.zeros(0, np.int32)])
-    docs = pa.concat_arrays([k.flatten() for k in left["doc_ids"].chunks])
-    counts = flatten(left, "counts").astype(np.int64)
-    raw = np.frombuffer(left["places"].chunk(0)[0].as_buffer(), np.uint8)
-    places = np.ascontiguousarray(raw.reshape(4, -1).T).view(np.int32).ravel()
-    numbers, sizes, ids = (flatten(right, c) for c in ("numbers", "sizes", "ids"))
-    size, first = np.zeros(len(numbers), np.int64), np.zeros(len(numbers), np.int64)
+    left = left.sort_by("chunk")
+    flatten = lambda c: pa.concat_arrays([k.flatten() for k in left[c].chunks])
+    joined = lambda table, c: np.concatenate([_from_planes(v.as_buffer()) for v in table[c]] or [np.zeros(0, np.int32)])
+    docs, counts, places = flatten("doc_ids"), flatten("counts").to_numpy().astype(np.int64), joined(left, "places")
+    numbers, sizes, ids = (joined(right, c) for c in ("numbers", "sizes", "ids"))
+    size, first = np.zeros(len(numbers), np.int32), np.zeros(len(numbers), np.int64)
     size[numbers], first[numbers] = sizes, np.cumsum(sizes) - sizes
-    out = [np.zeros(0, np.int32)]
-    for a in range(0, len(places), 1 << 20):
-        p = places[a : a + (1 << 20)]
-        out.append(ids[ragged(first[p], size[p])])
-    total = np.concatenate([[0], np.cumsum(size[places])])
-    at = total[np.concatenate([[0], np.cumsum(counts)])]
-    whole = pa.table({"doc_id": docs, "ids": pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate(out)))})
-    return pa.Table.from_batches(whole.to_batches(max_chunksize=500), whole.schema)
+    out, upto = [], np.concatenate([[0], np.cumsum(counts)])
+    d = 0
+    while d < len(docs):  # some documents at a time
+        z = max(d + 1, int(np.searchsorted(upto, upto[d] + (1 << 18), "right")) - 1)
+        p = places[upto[d] : upto[z]]
+        n = size[p]
+        at = np.concatenate([[0], np.cumsum(n)])[upto[d : z + 1] - upto[d]]
+        lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids[ragged(first[p], n)]))
+        out.append(pa.RecordBatch.from_arrays([docs.slice(d, z - d), lists], ["doc_id", "ids"]))
+        d = z
+    return pa.Table.from_batches(out)
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
@@ -272,13 +288,14 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     spark = docs.sparkSession
     folder = shared_folder(spark, "bpe")
     table = "w" + folder.rsplit("-", 1)[1]
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_sliced(SLICE), SLICES)
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_sliced(SLICE, CHUNK), SLICES)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows.write.option("path", folder).option("compression", "zstd").bucketBy(parts, "slice").format("parquet").saveAsTable(table)
-    asked = spark.table(table).select("slice", F.posexplode("words").alias("number", "word"))
+    asked = spark.table(table).select("slice", "first", F.posexplode("words").alias("place", "word"))
+    asked = asked.select("slice", (F.col("first") + F.col("place")).alias("number"), "word")
     asked = asked.repartition("word").sortWithinPartitions("word")
     answers = asked.mapInArrow(_encoded(ranks_path, pattern, ANSWERS), ENCODED)
-    stored = spark.table(table).select("slice", "doc_ids", "counts", "places")
+    stored = spark.table(table).select("slice", "chunk", "doc_ids", "counts", "places")
     return stored.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(_assembled, "doc_id long, ids array<int>")
 
 
