@@ -44,7 +44,7 @@ from tidefold.llm.textbytes import buffer_of, hash_spans, ragged, slices
 from tidefold.sinks.folders import shared_folder
 
 SLICE = 32 << 20  # bytes of text in a slice, but for longer texts
-PART = 1 << 19  # bytes that are cut at once, but for longer texts
+PART = 1 << 20  # bytes that are cut at once, but for longer texts
 ANSWERS = 1 << 18  # words whose ids a task sorts by slice at once
 CHUNK = 1 << 19  # positions in a row of a slice, but for longer texts; an eighth as many words
 
@@ -322,18 +322,21 @@ def decode(encoded: DataFrame, tokens: DataFrame, packed: bool = False) -> DataF
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size, raw = shared.value
         flat, first = np.frombuffer(raw, np.uint8), np.cumsum(np.maximum(size, 0)) - np.maximum(size, 0)
-        for part in parts:
-            lists = part["ids"]
-            at = lists.offsets.to_numpy().astype(np.int64)
-            done, plain = [], []
-            for a, z in zip(at[:-1].tolist(), at[1:].tolist()):  # a text at a time
-                ids = lists.values[a:z].to_numpy()
-                if len(ids) and (ids.min() < 0 or ids.max() >= len(size) or (size[ids] < 0).any()):
-                    raise ValueError("an id is not in the table of tokens")
-                done.append(flat[ragged(first[ids], size[ids])].tobytes())
-                plain.append(ids.astype("<u4").tobytes() if packed else None)
-            columns = [*part.columns, pa.array(done, pa.binary()), *([pa.array(plain, pa.binary())] if packed else [])]
-            yield pa.RecordBatch.from_arrays(columns, names)
+        for whole in parts:
+            at = whole["ids"].offsets.to_numpy().astype(np.int64)
+            r = 0
+            while r < whole.num_rows:  # some rows at a time
+                z = max(r + 1, int(np.searchsorted(at, at[r] + (1 << 18), "right")) - 1)
+                part, done, plain = whole.slice(r, z - r), [], []
+                for a, b in zip(at[r:z].tolist(), at[r + 1 : z + 1].tolist()):
+                    ids = whole["ids"].values[a:b].to_numpy()
+                    if len(ids) and (ids.min() < 0 or ids.max() >= len(size) or (size[ids] < 0).any()):
+                        raise ValueError("an id is not in the table of tokens")
+                    done.append(flat[ragged(first[ids], size[ids])].tobytes())
+                    plain.append(ids.astype("<u4").tobytes() if packed else None)
+                columns = [*part.columns, pa.array(done, pa.binary()), *([pa.array(plain, pa.binary())] if packed else [])]
+                yield pa.RecordBatch.from_arrays(columns, names)
+                r = z
 
     names = [*encoded.columns, "decoded", *(["packed"] if packed else [])]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema), *(f"{n} binary" for n in names[len(encoded.columns):])])
