@@ -10,8 +10,8 @@ least `support` times the shard's share of them.  So
 3. the phrases that are frequent in some shard are united, and all of them are counted in all documents.
 
 A shard is no task: its counts are aggregated by Spark over (hash, shard), after every task has
-counted its slices, so that shards may be of any size and their number, hence the local support,
-does not depend on the input.  Steps 2 and 3 know frequent hashes by a bitmap of bounded size (at
+counted its own documents, so that shards may be of any size and their number, hence the local support,
+does not depend on the input.  Few shards keep that support high, and the candidates few.  Steps 2 and 3 know frequent hashes by a bitmap of bounded size (at
 most `BITS` bits, broadcast).  A bit that another hash has set lets too much pass, never too little,
 and step 3 counts the words themselves.  The hashes of mining decide candidates only: where two
 phrases share one, it is counted too high.
@@ -26,6 +26,7 @@ no rows; other columns are ignored.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -37,9 +38,11 @@ from tidefold.sinks.folders import shared_folder
 
 SUPPORT = 100
 LONGEST = 5
-SHARDS = 16
+SHARDS = 5
 BLOCK = 4096  # ids that follow each other are in one shard, so that a slice counts for few shards
-SLICE = 6 << 20
+SLICE = 2 << 20
+HELD = 2_000_000  # counts that a task holds before it passes them on
+HELD_TEXTS = 400_000  # and phrases
 BITS = 28  # a bitmap has 2 to the power of this many bits at most (32 MB)
 TOP = 2000
 
@@ -53,15 +56,17 @@ WORD[[0x20, 0x09]] = False
 class Words:
     """The words of a slice: their bytes, hashes, documents and pieces."""
 
-    def __init__(self, rows: pa.RecordBatch):
+    def __init__(self, rows: pa.RecordBatch, twice: bool = False):
         data, at = buffer_of(rows["text"])
         self.data = LOWER[data]
         self.start, self.end, self.first = word_spans(self.data, at, WORD)
         self.doc = np.repeat(np.arange(rows.num_rows), np.diff(self.first))
-        marks = np.cumsum(ENDS[self.data])
+        marks = np.cumsum(ENDS[self.data], dtype=np.int32)
         # both grow along the text, so that equal sums mean equal pieces
         self.piece = marks[self.start] + self.doc if len(self.start) else np.zeros(0, np.int64)
         self.hash = hash_spans(self.data, self.start, self.end)
+        if twice:
+            self.other, self.raw = hash_spans(self.data, self.start, self.end, 1), self.data.tobytes()
         self.lang = rows["lang_hash"].to_numpy().view(np.uint64)
 
     def phrases(self, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -112,11 +117,43 @@ class Bitmap:
 COUNTS = "h long, shard int, need int, c int"
 
 
+class Counts:
+    """Counts of hashes by shard, of the slices of a task."""
+
+    def __init__(self):
+        self.parts: dict[int, list[tuple[np.ndarray, ...]]] = {}
+        self.size = 0
+
+    def add(self, shard: int, h: np.ndarray, need: np.ndarray, count: np.ndarray) -> None:
+        self.parts.setdefault(shard, []).append((h, need, count))
+        self.size += len(h)
+
+    def merge(self) -> None:
+        self.size = 0
+        for shard, parts in self.parts.items():
+            h, need, count = (np.concatenate(c) for c in zip(*parts))
+            order = np.argsort(h)
+            h, need, count = h[order], need[order], count[order]
+            head = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, np.int64)
+            count = np.add.reduceat(count, head) if len(h) else count
+            self.parts[shard] = [(h[head], need[head], count)]
+            self.size += len(head)
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        for shard, ((h, need, count),) in self.parts.items():
+            for a in range(0, len(h), 100_000):
+                z = a + 100_000
+                yield pa.RecordBatch.from_pydict({
+                    "h": pa.array(h[a:z].view(np.int64)), "shard": pa.array(np.full(len(h[a:z]), shard, np.int32)),
+                    "need": pa.array(need[a:z]), "c": pa.array(count[a:z].astype(np.int32))})
+        self.parts, self.size = {}, 0
+
+
 def _mined(lengths: range, pairs: Bitmap | None):
-    """Counts of a slice's phrases, by shard; longer ones only where all their pairs may be frequent there."""
+    """Counts of a task's phrases, by shard; longer ones only where all their pairs may be frequent there."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        test = pairs.test() if pairs else None
+        test, held, most = pairs.test() if pairs else None, Counts(), HELD
         for part in parts:
             for rows in slices(part, SLICE):
                 words = Words(rows)
@@ -135,9 +172,14 @@ def _mined(lengths: range, pairs: Bitmap | None):
                         # a shard's documents of different languages have different hashes
                         m = np.flatnonzero(of == s)
                         key, one, count = np.unique(h[m], return_index=True, return_counts=True)
-                        yield pa.RecordBatch.from_pydict({
-                            "h": pa.array(key.view(np.int64)), "shard": pa.array(np.full(len(key), s, np.int32)),
-                            "need": pa.array(need[words.doc[at[m[one]]]]), "c": pa.array(count.astype(np.int32))})
+                        held.add(s, key, need[words.doc[at[m[one]]]], count.astype(np.int32))
+                if held.size > most:
+                    held.merge()
+                    if held.size > HELD // 2:
+                        yield from held.rows()
+                    most = max(HELD, 2 * held.size)
+        held.merge()
+        yield from held.rows()
 
     return run
 
@@ -155,16 +197,61 @@ def _frequent(rows: DataFrame, lengths: range, pairs: Bitmap | None, folder: str
 PHRASES = "lang string, k int, phrase string, c long"
 
 
+class Phrases:
+    """Phrases and their counts, of the slices of a task; equal where two hashes are, 128 bits together."""
+
+    def __init__(self):
+        self.known = np.zeros(0, [("h", "<u8"), ("check", "<u8")])
+        self.entry = np.zeros(0, np.int64)
+        self.count = np.zeros(0, np.int64)
+        self.lang: list[str] = []
+        self.k: list[int] = []
+        self.phrase: list[str] = []
+
+    def add(self, words: Words, lang: list[str], k: int, at: np.ndarray, h: np.ndarray) -> None:
+        if not len(at):
+            return
+        check = words.lang[words.doc[at]] + np.uint64(k)
+        for j in range(k):  # another hash of the same words
+            check = mix((check ^ words.other[at + j]) * C1)
+        order = np.lexsort((check, h))
+        key = np.empty(len(at), self.known.dtype)
+        key["h"], key["check"] = h[order], check[order]
+        head = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        count, key, at = np.diff(np.append(head, len(order))), key[head], at[order[head]]
+        where = np.searchsorted(self.known["h"], key["h"])
+        old = np.zeros(len(key), bool)
+        inside = where < len(self.known)
+        old[inside] = self.known[where[inside]] == key[inside]
+        # a hash that another phrase has taken: a second entry, which later counts may miss and repeat, and Spark adds up
+        self.count[self.entry[where[old]]] += count[old]
+        new = np.flatnonzero(~old)
+        raw, s, e = words.raw, words.start, words.end
+        for i in at[new].tolist():
+            self.phrase.append(b" ".join([raw[a:z] for a, z in zip(s[i : i + k].tolist(), e[i : i + k].tolist())]).decode())
+        self.lang += [lang[d] for d in words.doc[at[new]].tolist()]
+        self.k += [k] * len(new)
+        self.known = np.insert(self.known, where[new], key[new])
+        self.entry = np.insert(self.entry, where[new], len(self.count) + np.arange(len(new)))
+        self.count = np.append(self.count, count[new])
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        for a in range(0, len(self.k), 50_000):
+            z = a + 50_000
+            yield pa.RecordBatch.from_pydict({
+                "lang": pa.array(self.lang[a:z], pa.string()), "k": pa.array(self.k[a:z], pa.int32()),
+                "phrase": pa.array(self.phrase[a:z], pa.string()), "c": pa.array(self.count[a:z])})
+
+
 def _counted(candidates: Bitmap):
-    """Counts of a slice's phrases that may be candidates (their words, shorter phrases and themselves), and of its words (k 0)."""
+    """Counts of a task's phrases that may be candidates (their words, shorter phrases and themselves), and of its words (k 0)."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        test = candidates.test()
+        test, held, totals = candidates.test(), Phrases(), Counter()
         for part in parts:
             for rows in slices(part, SLICE):
-                words = Words(rows)
+                words = Words(rows, twice=True)
                 lang = rows["lang"].to_pylist()
-                raw = words.data.tobytes()
                 before = None
                 for k in range(1, LONGEST + 1):
                     at, h = words.phrases(k)
@@ -174,40 +261,20 @@ def _counted(candidates: Bitmap):
                     at, h = at[ok], h[ok]
                     before = np.zeros(len(words.hash) + 1, bool)
                     before[at] = True
-                    yield from _texts(words, lang, raw, k, at, h)
-                coded = rows["lang"].dictionary_encode()
-                names = coded.dictionary
-                total = np.bincount(coded.indices.to_numpy(), weights=np.diff(words.first), minlength=len(names)).astype(np.int64)
-                yield pa.RecordBatch.from_pydict({
-                    "lang": names, "k": pa.array(np.zeros(len(names), np.int32)),
-                    "phrase": pa.nulls(len(names), pa.string()), "c": pa.array(total)})
+                    held.add(words, lang, k, at, h)
+                for name, n in zip(lang, np.diff(words.first).tolist()):
+                    totals[name] += n
+                if len(held.k) > HELD_TEXTS:
+                    yield from held.rows()
+                    held = Phrases()
+        yield from held.rows()
+        yield pa.RecordBatch.from_pydict({
+            "lang": pa.array(list(totals), pa.string()), "k": pa.array([0] * len(totals), pa.int32()),
+            "phrase": pa.nulls(len(totals), pa.string()), "c": pa.array(list(totals.values()), pa.int64())})
 
     return run
 
 
-def _texts(words: Words, lang: list[str], raw: bytes, k: int, at: np.ndarray, h: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Phrases as texts, with their counts; equal hashes are taken as equal phrases only if their bytes agree."""
-    if not len(at):
-        return
-    length = words.end[at + k - 1] - words.start[at]
-    spaced = np.zeros(len(at), bool)  # phrases with more than one space somewhere
-    for j in range(k - 1):
-        spaced |= (words.start[at + j + 1] - words.end[at + j] != 1) | (words.data[words.end[at + j]] != 0x20)
-    # bytes as they stand tell phrases of single spaces apart; the others are few and are written out one by one
-    check = hash_spans(words.data, words.start[at], words.start[at] + length, 7)
-    check[spaced] = np.arange(int(spaced.sum()), dtype=np.uint64)
-    order = np.lexsort((check, h))
-    new = np.ones(len(order), bool)
-    new[1:] = (h[order][1:] != h[order][:-1]) | (check[order][1:] != check[order][:-1])
-    one = at[order[new]]
-    count = np.diff(np.append(np.flatnonzero(new), len(order)))
-    s, e = words.start, words.end
-    phrase = [b" ".join([raw[a:z] for a, z in zip(s[i : i + k].tolist(), e[i : i + k].tolist())]).decode() for i in one.tolist()]
-    yield pa.RecordBatch.from_pydict({
-        "lang": pa.array([lang[d] for d in words.doc[one].tolist()], pa.string()), "k": pa.array(np.full(len(one), k, np.int32)),
-        "phrase": pa.array(phrase, pa.string()), "c": pa.array(count)})
-
-
 def count_phrases(docs: DataFrame, support: int = SUPPORT, shards: int = SHARDS) -> DataFrame:
     """(lang, k, phrase, c): every phrase of up to five words that occurs `support` times in its language, and the words of all (k 0)."""
     spark = docs.sparkSession
