@@ -43,7 +43,7 @@ class _Number(float):
         return self.text
 
 
-def _parsed(text: str):
+def parsed(text: str):
     return json.loads(text, parse_float=_Number, parse_int=_Number)
 
 
@@ -68,10 +68,10 @@ def _leaves(node, path: str, out: list) -> list:
 
 
 def _leaves_of_batch(paths: pd.Series, texts: pd.Series) -> pd.Series:
-    return pd.Series([None if t is None else _leaves(_parsed(t), p, []) for p, t in zip(paths, texts)])
+    return pd.Series([None if t is None else _leaves(parsed(t), p, []) for p, t in zip(paths, texts)])
 
 
-def _write(doc: dict, path: str, text: str | None) -> str | None:
+def _write(doc: dict, path: str, text: str | None, parents_exist: bool = True) -> str | None:
     """Set a path, or remove it where there is no text; tells why it cannot."""
     *parents, last = path.split(".")
     at = doc
@@ -82,20 +82,30 @@ def _write(doc: dict, path: str, text: str | None) -> str | None:
         if not isinstance(at, dict):
             return SCALAR
     for name in parents:
-        if name not in doc and text is None:
+        if name not in doc and not parents_exist:
             return None
         doc = doc.setdefault(name, {})
     if text is None:
         doc.pop(last, None)
     else:
-        doc[last] = _parsed(text)
+        doc[last] = parsed(text)
     return None
 
 
+def _parents(path: str) -> list[str]:
+    names = path.split(".")
+    return [ROOT, *(".".join(names[:n]) for n in range(1, len(names)))]
+
+
 def _applied(text: str | None, writes) -> tuple[str | None, str | None]:
-    """The document after the writes; the writes of one operation apply together or not at all."""
-    doc, err = (None if text is None else _parsed(text)), None
-    for _, together in groupby(writes, key=lambda w: w["nth"]):
+    """The document after the writes; the writes of one operation apply together or not at all.
+
+    Writes below a path that is written later are gone.  A path that was set and removed again leaves its parents.
+    """
+    doc, err = (None if text is None else parsed(text)), None
+    place = {w["path"]: w["nth"] for w in writes}
+    above = lambda w: max((place[p] for p in _parents(w["path"]) if w["path"] != ROOT and p in place), default=0)
+    for _, together in groupby([w for w in writes if above(w) <= w["nth"]], key=lambda w: w["nth"]):
         together = list(together)
         if together[0]["path"] == ROOT:
             doc = {} if together[0]["act"] == REPLACE else None
@@ -104,10 +114,11 @@ def _applied(text: str | None, writes) -> tuple[str | None, str | None]:
         patch = [w for w in together if w["path"] != ROOT]
         before = _text(doc) if len(patch) > 1 else None
         for w in patch:
-            bad = _write(doc, w["path"], w["text"])
+            stay = w["text"] is not None or (w["made"] is not None and w["made"] >= above(w))
+            bad = _write(doc, w["path"], w["text"], stay)
             if bad:
                 err = bad
-                doc = _parsed(before) if before is not None else doc
+                doc = parsed(before) if before is not None else doc
                 break
     return (None if doc is None else _text(doc)), err
 
@@ -151,8 +162,9 @@ def written_paths(ops: DataFrame) -> DataFrame:
     return (
         ops.select("k", "ord", F.explode(events).alias("e"))
         .groupBy("k", F.col("e.path").alias("path"))
-        .agg(F.max("ord").alias("ord"), F.max_by(F.struct("e.act", "e.text"), "ord").alias("last"))
-        .select("k", "path", "ord", "last.act", "last.text")
+        .agg(F.max("ord").alias("ord"), F.max_by(F.struct("e.act", "e.text"), "ord").alias("last"),
+             F.max(F.when(F.col("e.act") == SET, F.col("ord"))).alias("made"))
+        .select("k", "path", "ord", "last.act", "last.text", "made")
     )
 
 
@@ -187,14 +199,15 @@ def fold_writes(ops: DataFrame) -> DataFrame:
     key, root = Window.partitionBy("k"), F.when(F.col("path") == ROOT, F.col("ord"))
     left = written_paths(ops).withColumn("reset_ord", F.max(root).over(key))
     left = left.filter(F.col("reset_ord").isNull() | (F.col("ord") >= F.col("reset_ord")))
-    ordered = F.sort_array(F.collect_list(F.struct("ord", "path", "act", "text")))
+    ordered = F.sort_array(F.collect_list(F.struct("ord", "path", "act", "text", "made")))
     # the paths of one operation share its place
-    places = F.array_distinct(F.transform("w", lambda x: x["ord"]))
+    ords = F.concat(F.transform("w", lambda x: x["ord"]), F.filter(F.transform("w", lambda x: x["made"]), lambda o: o.isNotNull()))
     write = lambda x: F.struct(
         x["path"].alias("path"), x["act"].alias("act"), x["text"].alias("text"),
         F.array_position("places", x["ord"]).alias("nth"),
+        F.when(x["made"].isNotNull(), F.array_position("places", x["made"])).alias("made"),
     )
-    return left.groupBy("k").agg(ordered.alias("w")).withColumn("places", places).select(
+    return left.groupBy("k").agg(ordered.alias("w")).withColumn("places", F.array_sort(F.array_distinct(ords))).select(
         "k", F.transform("w", write).alias("writes")
     )
 

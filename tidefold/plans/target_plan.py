@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidefold.functions import ids
 from tidefold.operators import (
-    cdc_document, cdc_relational, errors, fold, fold_nested, merge, meta, project, rename, writemodel,
+    cdc_document, cdc_relational, errors, fold, fold_nested, merge, meta, project, refuse, rename, writemodel,
 )
 from tidefold.model import ID, LOG_POSITION
 from tidefold.plans.settings import Settings
@@ -146,17 +146,22 @@ class TargetPlan:
         """Log position and reason of the bad records."""
         return errors.rejected(self.judged(log)).select(*LOG_POSITION, "err")
 
-    def merge_rejects(self, target: DataFrame | None, delta: DataFrame) -> DataFrame:
-        """Keys and reasons of patches that the stored documents do not take."""
-        base = target if target is not None else delta.select("k", F.lit("").alias("doc")).limit(0)
-        bad = fold_nested.merge_paths(base, delta).filter("err IS NOT NULL")
-        return bad.select("k", "err")
+    def resolves(self) -> bool:
+        """Whether changes depend on what the target holds before they can be folded."""
+        return self.nested()
+
+    def resolve(self, target: DataFrame | None, ops: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+        """One change per key of the patches that the stored documents take, and the refused ones."""
+        ops = refuse.with_refusals(ops, target)
+        if not self.keeps_rejects():
+            return fold_nested.fold_writes(errors.fail_fast(ops)), None
+        return fold_nested.fold_writes(errors.good(ops)), errors.rejected(ops).select(*LOG_POSITION, "k", "err")
 
     def folded(self, log: DataFrame) -> DataFrame:
-        """One change per key."""
+        """One change per key; the operations themselves where `resolve` folds them."""
         ops = self.operations(log)
         if self.nested():
-            return fold_nested.fold_writes(ops)
+            return ops
         if "sets" in ops.columns:
             return fold.fold_fields(ops)
         model = self.settings.get("write.model", self.target)
@@ -169,9 +174,10 @@ class TargetPlan:
     def merge(self, target: DataFrame | None, delta: DataFrame) -> DataFrame:
         """Rows of the target after the changes of `folded`; a missing target is empty."""
         if self.nested():
+            delta = delta if "writes" in delta.columns else self.resolve(target, delta)[0]
             empty = delta.select("k", F.lit("").alias("doc")).limit(0)
             rows = fold_nested.merge_paths(target if target is not None else empty, delta)
-            return rows.drop("err") if self.keeps_rejects() else errors.fail_fast(rows)
+            return errors.fail_fast(rows)
         if "sets" in delta.columns:
             empty = delta.select("k", F.lit("").alias("doc")).limit(0)
             return merge.merge_fields(target if target is not None else empty, delta)

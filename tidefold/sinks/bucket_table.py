@@ -32,6 +32,8 @@ OFFSETS = "topic string, partition int, offset bigint"
 REJECTS = "topic string, partition int, offset bigint, k string, err string, key string, value string"
 
 Merge = Callable[[DataFrame, DataFrame], DataFrame]
+# (target, operations) to (changes, what cannot be merged)
+Resolve = Callable[[DataFrame | None, DataFrame], tuple[DataFrame, DataFrame | None]]
 
 
 @dataclass(frozen=True)
@@ -137,12 +139,12 @@ class BucketTable:
 
     def apply(
         self, delta: DataFrame, merge: Merge, batch: int, log: DataFrame | None = None, source: str = "",
-        faults: Merge | None = None,
+        resolve: Resolve | None = None,
     ) -> None:
         """Merge one change per key into the table and publish the result.
 
-        `faults(target, delta)` gives the keys and reasons of changes that cannot be merged; they are
-        written to the table's rejects first.
+        `resolve(target, delta)` makes the changes of operations that depend on what the target holds, and
+        gives those that cannot be merged with their reasons; they are written to the table's rejects first.
 
         `merge(target, delta)` joins on the key; its target is None before the first write.
         A batch its source has applied before is passed over.  `log` are the records the
@@ -155,9 +157,12 @@ class BucketTable:
         try:
             touched = [r[0] for r in delta.select(self.bucket()).distinct().collect()]
             base = self.read(touched, at=before) if before else None
-            if faults is not None:
-                self.reject(faults(base, delta), batch, source, "merge")
-            rows = merge(None if base is None else self.by_bucket(base), self.by_bucket(delta))
+            changes = delta
+            if resolve is not None:
+                changes, bad = resolve(base, delta)
+                if bad is not None:
+                    self.reject(bad, batch, source, "merge")
+            rows = merge(None if base is None else self.by_bucket(base), self.by_bucket(changes))
             self._publish(rows, touched, before, {source: batch}, log)
         finally:
             delta.unpersist()

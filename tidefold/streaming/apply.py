@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tidefold.operators.merge import after_offsets
-from tidefold.sinks.bucket_table import BucketTable, Merge
+from tidefold.sinks.bucket_table import BucketTable, Merge, Resolve
 
 # folded changes of a batch of log records
 Fold = Callable[[DataFrame], DataFrame]
@@ -22,24 +22,24 @@ Fold = Callable[[DataFrame], DataFrame]
 
 def apply_batch(
     table: BucketTable, log: DataFrame, fold: Fold, merge: Merge, batch: int, fence: bool = True, source: str = "",
-    faults: Merge | None = None,
+    resolve: Resolve | None = None,
 ) -> None:
     """Apply one batch of log records to a table; `source` names the checkpoint that counts the batches."""
     seen = table.offsets() if fence else None
     if seen is not None:
         log = after_offsets(log, seen, seen.count())
-    table.apply(fold(log), merge, batch, log if fence else None, source, faults)
+    table.apply(fold(log), merge, batch, log if fence else None, source, resolve)
 
 
 def apply_targets(
     tables: Mapping[str, BucketTable], log: DataFrame, plans: Mapping[str, tuple[Fold, Merge]], batch: int,
-    fence: bool = True, source: str = "", faults: Mapping[str, Merge] | None = None,
+    fence: bool = True, source: str = "", resolves: Mapping[str, Resolve] | None = None,
 ) -> None:
     """Apply one batch to many targets by the `target` column of the log; cache a log that is costly to read."""
     for name, table in tables.items():
         fold, merge = plans[name]
-        bad = (faults or {}).get(name)
-        apply_batch(table, log.filter(log["target"] == name), fold, merge, batch, fence, source, bad)
+        resolve = (resolves or {}).get(name)
+        apply_batch(table, log.filter(log["target"] == name), fold, merge, batch, fence, source, resolve)
 
 
 def apply_stream(

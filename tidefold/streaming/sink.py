@@ -63,8 +63,8 @@ class ConfiguredSink:
             for t, p in plans.items():
                 if p.keeps_rejects():
                     self.write_rejects(p, tables[t], routed, decoded, batch, source)
-            faults = {t: p.merge_rejects for t, p in plans.items() if p.keeps_rejects() and p.nested()}
-            apply_targets(tables, decoded, steps, batch, self.fence, source, faults)
+            resolves = {t: p.resolve for t, p in plans.items() if p.resolves()}
+            apply_targets(tables, decoded, steps, batch, self.fence, source, resolves)
         finally:
             routed.unpersist()
 
