@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from checks.logs import (
     LINE_IMAGE, ORDERS_FINAL_SQL, ORDERS_LOG_SQL, PATCH_ROWS_SQL, TURNS_FINAL_SQL, keyless_log, line_images,
@@ -16,6 +16,7 @@ from tidefold.operators import (
 )
 from tidefold.plans.settings import Settings
 from tidefold.plans.target_plan import Registry, TargetPlan
+from tidefold.sources import decode as dec
 
 def relational(spark: SparkSession, sf_dir: str, target: str = "document") -> DataFrame:
     return errors.good(crel.relational_ops(orders_log(spark, sf_dir), target))
@@ -413,23 +414,24 @@ def partial_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.drop("value").join(e, "offset").withColumn("value", value).drop("event_type", "c")
 
 
-def with_presence(ops: DataFrame) -> DataFrame:
-    """Every ninth record does not hold the column `last`."""
-    all_columns = F.array(*[F.lit(c) for c in ops.schema["doc"].dataType.names])
-    left_out = F.filter(all_columns, lambda c: c != "last")
-    return ops.withColumn("present", F.when(F.col("offset") % 9 == 0, left_out))
+def as_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same records as JSON texts, decoded; every ninth does not hold the column `last`."""
+    log = partial_rows(spark, sf_dir)
+    last = F.when(F.col("offset") % 9 != 0, F.col("value.last"))
+    log = log.withColumn("value", F.to_json(F.struct(F.col("value.id").alias("id"), last.alias("last"), F.col("value.cents").alias("cents"))))
+    return dec.decode(log, None, dec.JsonPlain(T.StructType.fromDDL("id bigint, last string, cents bigint")))
 
 
 @check("wm_row_upsert", halves_sql())
 def wm_row_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ops = with_presence(errors.good(wm.write_ops(partial_rows(spark, sf_dir), wm.row_upsert(["id"]))))
+    ops = errors.good(wm.write_ops(as_read(spark, sf_dir), wm.row_upsert(["id"])))
     return flat(merge.merge_columns(empty_rows(ops), fold.fold_columns(ops)), "doc")
 
 
 @check("wm_row_upsert_ts", halves_sql(', CAST(1700000000000 AS BIGINT) AS "modified_ms"'))
 def wm_row_upsert_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = wm.row_upsert(["id"], F.lit(1_700_000_000_000))
-    ops = with_presence(errors.good(wm.write_ops(partial_rows(spark, sf_dir), model)))
+    ops = errors.good(wm.write_ops(as_read(spark, sf_dir), model))
     return flat(merge.merge_columns(empty_rows(ops), fold.fold_columns(ops)), "doc")
 
 

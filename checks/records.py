@@ -341,12 +341,12 @@ def id_provided_value(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- routing ----------------------------------------------------------------
 
-TOPIC = "CASE o_orderkey % 4 WHEN 0 THEN '2_2_result_all' WHEN 1 THEN 'shop.public.orders' WHEN 2 THEN 'shop.items' ELSE 'other' END"
+TOPIC = "CASE o_orderkey % 4 WHEN 0 THEN 'eu7-stock-all' WHEN 1 THEN 'shop.public.orders' WHEN 2 THEN 'shop.items' ELSE 'other' END"
 
 
 def topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
-    topic = F.when(k % 4 == 0, "2_2_result_all").when(k % 4 == 1, "shop.public.orders").when(k % 4 == 2, "shop.items").otherwise("other")
+    topic = F.when(k % 4 == 0, "eu7-stock-all").when(k % 4 == 1, "shop.public.orders").when(k % 4 == 2, "shop.items").otherwise("other")
     return table(spark, sf_dir, "orders").select(topic.alias("topic"), k.alias("offset"), F.lit(0).alias("partition"))
 
 
@@ -383,9 +383,9 @@ def route_namespace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.groupBy("topic", doc.alias("doc_name"), row.alias("row_name")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@check("route_regex", routed("CASE topic WHEN '2_2_result_all' THEN 'result_all' WHEN 'shop.public.orders' THEN 'shop_public_orders' ELSE topic END"))
+@check("route_regex", routed("CASE topic WHEN 'eu7-stock-all' THEN 'stock_all' WHEN 'shop.public.orders' THEN 'shop_public_orders' ELSE topic END"))
 def route_regex(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = [(r"([^.]+)result([^.]+)", "result$2"), (r"([^.]+)\.([^.]+)\.([^.]+)", "$1_$2_$3")]
+    rules = [(r"([^.-]+)-stock-(\w+)", "stock_$2"), (r"([^.]+)\.([^.]+)\.([^.]+)", "$1_$2_$3")]
     return route_counts(rte.route(topics(spark, sf_dir), {}, "", rules))
 
 

@@ -178,7 +178,7 @@ def test_kafka_rows(spark):
 
 def record(spark, key=("K", 1, "x"), value=("V", 5)):
     schema = log_schema("_id string, keyPart1 int, keyPart2 string", "_id string, a int")
-    row = ("some-topic", 1234, 9876543210, None, None, key, value)
+    row = ("harbour.tides", 7, 40_000_000_123, None, None, key, value)
     return spark.createDataFrame([row], schema)
 
 
@@ -192,7 +192,7 @@ def test_id_strategies(spark):
     assert len(made(spark, ids.object_id)["id"]) == 24 and len(made(spark, ids.random_object_id)["id"]) == 24
     assert len(made(spark, ids.uuid)["id"]) == 36
     assert made(spark, ids.object_id) == made(spark, ids.object_id)
-    assert made(spark, ids.log_position)["id"] == "some-topic#1234#9876543210"
+    assert made(spark, ids.log_position)["id"] == "harbour.tides#7#40000000123"
     assert json.loads(made(spark, ids.full_key)["id"]) == {"_id": "K", "keyPart1": 1, "keyPart2": "x"}
     assert made(spark, ids.full_key, key=None)["id"] == "{}"
     part = ids.strategy("partial_key", prj.Blacklist.of("keyPart1"))
@@ -220,11 +220,11 @@ def test_write_models(spark):
     with pytest.raises(ValueError):
         wm.replace_by_business_key(record(spark))
     people = spark.sql(
-        "SELECT 't' topic, 0 partition, 0L offset, null key, named_struct('_id', named_struct('first_name', 'G', "
-        "'last_name', 'M'), 'age', 15) value"
+        "SELECT 't' topic, 0 partition, 0L offset, null key, named_struct('_id', named_struct('port', 'G', "
+        "'pier', 'M'), 'depth', 15) value"
     )
     keyed = first(wm.replace_by_business_key, people)
-    assert keyed["k"].asDict() == {"first_name": "G", "last_name": "M"} and keyed["doc"].asDict() == {"age": 15}
+    assert keyed["k"].asDict() == {"port": "G", "pier": "M"} and keyed["doc"].asDict() == {"depth": 15}
     assert wm.write_ops(record(spark, value=None), wm.replace_by_id).count() == 0
     gone = wm.write_ops(record(spark, value=None), wm.replace_by_id, wm.delete_by_id(ids.provided_in_key)).first()
     assert (gone["op"], gone["k"], gone["doc"]) == (DELETE, "K", None)
@@ -234,7 +234,7 @@ def test_write_models(spark):
 
 # -- change events ----------------------------------------------------------
 
-IMAGE = "struct<id:int,first_name:string>"
+IMAGE = "struct<id:int,label:string>"
 
 
 def events(spark, rows, key="id int"):
@@ -250,7 +250,7 @@ def test_relational_events(spark):
     ]
     ops = crel.relational_ops(events(spark, rows)).orderBy("offset").collect()
     assert [r["op"] for r in ops[:4]] == [REPLACE, REPLACE, REPLACE, DELETE]
-    assert ops[1].asDict(True)["doc"] == {"_id": {"id": 1}, "first_name": "B"}
+    assert ops[1].asDict(True)["doc"] == {"_id": {"id": 1}, "label": "B"}
     assert [r["err"] for r in ops[4:]] == [
         "op is not handled: x", "op is missing", "after is missing or empty", "after is missing or empty", "key is missing",
     ]
@@ -274,11 +274,11 @@ def doc_events(spark, rows):
 
 def test_document_events(spark):
     rows = [
-        (("1004",), ("c", '{_id: 1004, foo: "blah"}', None)),
-        (("1004",), ("u", None, '{"$set": {first_name: "A", "n": {"x": 1}}, "$unset": {"foo": ""}}')),
-        (("1004",), ("u", None, '{"$v": 1, "_id": 1004, "email": "e"}')),
-        (("1004",), ("d", None, None)),
-        (("1004",), None),
+        (("77",), ("c", '{_id: 77, berth: "north"}', None)),
+        (("77",), ("u", None, '{"$set": {pilot: "A", "n": {"x": 1}}, "$unset": {"berth": ""}}')),
+        (("77",), ("u", None, '{"$v": 1, "_id": 77, "flag": "e"}')),
+        (("77",), ("d", None, None)),
+        (("77",), None),
         ((None,), ("d", None, None)),
         (("not json",), ("d", None, None)),
         (("1",), ("c", "not json", None)),
@@ -289,16 +289,16 @@ def test_document_events(spark):
     ]
     ops = cdoc.document_ops(doc_events(spark, rows)).orderBy("offset").collect()
     assert [(r["op"], r["k"], r["upsert"]) for r in ops[:4]] == [
-        (REPLACE, "1004", True), (SET, "1004", False), (REPLACE, "1004", True), (DELETE, "1004", False),
+        (REPLACE, "77", True), (SET, "77", False), (REPLACE, "77", True), (DELETE, "77", False),
     ]
-    assert ops[1]["sets"] == {"first_name": '"A"', "n": '{"x":1}'} and ops[1]["unsets"] == ["foo"]
-    assert ops[2]["sets"] == {"_id": "1004", "email": '"e"'}
+    assert ops[1]["sets"] == {"pilot": '"A"', "n": '{"x":1}'} and ops[1]["unsets"] == ["berth"]
+    assert ops[2]["sets"] == {"_id": "77", "flag": '"e"'}
     assert [r["err"] for r in ops[4:]] == [
         "key id is no JSON text", "key id is no JSON text", "after is no JSON object", "after holds no _id",
         "patch is no JSON object", "op is missing", "key is missing",
     ]
     row = cdoc.document_ops(doc_events(spark, rows[1:2]), "row").first()
-    assert row["sets"] == {"first_name": '"A"', "n": '{"x":1}', "foo": "null"} and row["unsets"] == []
+    assert row["sets"] == {"pilot": '"A"', "n": '{"x":1}', "berth": "null"} and row["unsets"] == []
 
 
 def test_canonical_keys(spark):

@@ -37,9 +37,9 @@ def document(field_texts: Column) -> Column:
     return F.to_json(F.to_variant_object(F.transform_values(field_texts, lambda _, v: F.parse_json(v))))
 
 
-def struct_text(col: Column, dtype: T.StructType) -> Column:
-    """JSON text of a struct with keys in sorted order at every level, nulls kept."""
-    return F.to_json(_sorted(col, dtype), {"ignoreNullFields": "false"})
+def struct_text(col: Column, dtype: T.StructType, nulls: bool = True) -> Column:
+    """JSON text of a struct with keys in sorted order at every level, nulls kept or left out."""
+    return F.to_json(_sorted(col, dtype), {"ignoreNullFields": "false" if nulls else "true"})
 
 
 def _sorted(col: Column, dtype: T.DataType) -> Column:

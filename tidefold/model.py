@@ -38,10 +38,27 @@ def log_schema(key: T.DataType | str, value: T.DataType | str) -> T.StructType:
     )
 
 
-def log_ord(sub: Column | int = 0) -> Column:
-    """Order of one key's records: its log offset, then the place inside the record."""
+# names of the top-level fields a record's value holds (null: not known)
+PRESENT = "present"
+# running maximum of the record time, see operators.scan.order_times
+ORDER_TIME = "order_time"
+
+
+def log_position(log) -> list[str]:
+    """Columns that place a record, with its order across topics where that is known."""
+    return LOG_POSITION + ([ORDER_TIME] if ORDER_TIME in log.columns else [])
+
+
+def log_ord(sub: Column | int = 0, log=None) -> Column:
+    """Order of one key's records: its log offset, then the place inside the record.
+
+    Records of a log with order times come in the order of these.
+    """
     sub = F.lit(sub) if isinstance(sub, int) else sub
-    return F.struct(F.col("offset").alias("offset"), sub.cast("int").alias("sub"))
+    place = [F.col("offset").alias("offset"), sub.cast("int").alias("sub")]
+    if log is not None and ORDER_TIME in log.columns:
+        place = [F.col(ORDER_TIME).alias("time"), F.col("topic"), F.col("partition"), *place]
+    return F.struct(*place)
 
 
 def struct_type(df, column: str) -> T.StructType | None:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidefold.functions import jsontext
 from tidefold.functions.once import compute_once
-from tidefold.model import DELETE, ID, LOG_POSITION, REPLACE, SET, field, log_ord, struct_type
+from tidefold.model import DELETE, ID, LOG_POSITION, REPLACE, SET, field, log_ord, log_position, struct_type
 from tidefold.operators.cdc_relational import CREATE, READ, REMOVE, UPDATE, check_op, op_code
 from tidefold.operators.errors import add_error
 
@@ -51,7 +51,7 @@ def document_ops(
     value = F.col("value")
 
     text = F.when(op.isin(CREATE, READ), field(value, "after")).when(op == UPDATE, field(value, "patch"))
-    df = df.select(*LOG_POSITION, "err", op.alias("code"), key_id(df).alias("key_id"), text.alias("body"))
+    df = df.select(*log_position(df), "err", op.alias("code"), key_id(df).alias("key_id"), text.alias("body"))
     df = compute_once(
         df, key_id=jsontext.canonical(F.col("key_id")), body=jsontext.members(jsontext.parse(F.col("body")))
     )
@@ -93,7 +93,7 @@ def document_ops(
         (~is_set & (code != REMOVE)).alias("upsert"),
         sets.alias("sets"),
         unsets.alias("unsets"),
-        log_ord().alias("ord"),
+        log_ord(log=df).alias("ord"),
         "err",
     )
 

@@ -112,7 +112,7 @@ def relational_ops(
         case_of(op, built, lambda b: b.op).alias("op"),
         case_of(op, built, lambda b: b.upsert).alias("upsert"),
         F.when(has_doc, doc).alias("doc"),
-        log_ord().alias("ord"),
+        log_ord(log=df).alias("ord"),
         "err",
     )
 

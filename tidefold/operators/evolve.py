@@ -10,6 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from tidefold.functions.once import compute_once
 from tidefold.functions.walk import as_struct
 
 WIDENING = ["tinyint", "smallint", "int", "bigint", "double", "string"]
@@ -110,17 +111,36 @@ def _plain(dtype: T.DataType) -> T.DataType:
     return T.StringType() if isinstance(dtype, T.VariantType) else dtype
 
 
-def infer(docs: DataFrame, column: str = "doc") -> T.StructType:
-    """Schema of a column of JSON object texts.
+def infer(docs: DataFrame, column: str = "doc", nulls: bool = True) -> T.StructType:
+    """Schema of a column of JSON object texts; without `nulls` fields that hold nothing else are left out.
 
     One aggregate over all rows; what reaches the driver is the schema text.
     """
     text = docs.select(F.schema_of_variant_agg(F.parse_json(F.col(column))).alias("s")).first()["s"]
     text = text.replace("OBJECT<", "STRUCT<")
     dtype = T.StructType.fromDDL(text) if text and text not in ("VOID", "VARIANT") else T.StructType()
+    if not nulls and isinstance(dtype, T.StructType):
+        dtype = T.StructType([f for f in dtype.fields if not isinstance(f.dataType, T.NullType)])
     return _plain(dtype) if isinstance(dtype, T.StructType) else T.StructType()
 
 
+def written_columns(delta: DataFrame, stored: T.StructType | None) -> DataFrame:
+    """`fold_fields` changes (`sets`: JSON texts) as `fold_columns` changes, typed as the batch needs and the target has them."""
+    text = F.to_json(F.to_variant_object(F.transform_values("sets", lambda _, v: F.parse_json(v))))
+    delta = delta.withColumn("_text", text)
+    found = infer(delta.select("_text"), "_text", nulls=False)
+    have = stored or T.StructType()
+    want = T.StructType([f for f in grown(have, found).fields if f.name in found.names or f.name in have.names])
+    parsed = F.from_json("_text", want) if want.fields else F.lit(None)
+    delta = compute_once(delta, _row=parsed)
+    cols = [F.when(F.map_contains_key("sets", f.name), F.struct(F.col("_row").getField(f.name).alias("v"), F.col("ord"))).alias(f.name)
+            for f in want.fields]
+    if not cols:  # deletes alone
+        cols = [F.when(F.lit(False), F.struct(F.lit("").alias("v"), F.col("ord"))).alias("_id")]
+    none = F.lit(None).cast(delta.schema["ord"].dataType)
+    return delta.select("k", "reset", "reset_ord", "creates", none.alias("from_ord"), F.struct(*cols).alias("cols"))
+
+
 def typed(docs: DataFrame, schema: T.StructType, column: str = "doc") -> DataFrame:
     """JSON object texts read with a schema; text columns take any JSON value."""
     return docs.withColumn(column, F.from_json(column, schema))

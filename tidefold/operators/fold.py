@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidefold.model import DELETE, REPLACE, SET
-from tidefold.operators.scan import BLOCK, block_of
+from tidefold.operators.scan import BLOCK, order_block
 
 FIELD, RESET, UPSERT = "field", "reset", "upsert"
 
@@ -71,14 +71,14 @@ def fold_columns(ops: DataFrame, mixed_upserts: bool = False, width: int = BLOCK
 def first_upsert(ops: DataFrame, width: int = BLOCK) -> DataFrame:
     """Per key: the first creating write after its last reset, as `from_ord`.
 
-    Inside a block of offsets, then over the blocks of a key: in blocks before the
+    Inside a block of the order, then over the blocks of a key: in blocks before the
     last reset any such write lies before it too and is passed over.
     """
     writes, resets = F.col("upsert") & (F.col("op") != DELETE), F.col("op").isin(REPLACE, DELETE)
     events = ops.filter(writes | resets).select(
         "k",
         "ord",
-        block_of(F.col("ord")["offset"], width).alias("_block"),
+        order_block(F.col("ord"), ops.schema["ord"].dataType, width).alias("_block"),
         F.when(resets, F.col("ord")).alias("_reset"),
         F.when(writes, F.col("ord")).alias("_write"),
     )

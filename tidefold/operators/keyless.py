@@ -12,8 +12,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidefold.model import field
-from tidefold.operators.cdc_relational import op_code, skip_tombstones
+from tidefold.functions import jsontext
+from tidefold.model import field, log_position, struct_type
+from tidefold.operators import evolve
+from tidefold.operators.cdc_relational import CREATE, READ, REMOVE, UPDATE, check_op, op_code, skip_tombstones
+from tidefold.operators.errors import add_error
 
 COUNT = "n"
 
@@ -34,6 +37,43 @@ def image_changes(log: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(F.explode(sides).alias("s")).select("s.*")
 
 
+def image_ops(log: DataFrame) -> DataFrame:
+    """Images that change events add and take away, with the reason of bad records: k, doc, n, err.
+
+    `k` stands for the image: a hash of its canonical text without nulls, so that new columns do not change it.
+    """
+    df = skip_tombstones(log)
+    op, value = op_code(df), F.col("value")
+    df = check_op(df, op, (CREATE, READ, UPDATE, REMOVE))
+    before, after = field(value, "before"), field(value, "after")
+    dtype = struct_type(df, "value")["after"].dataType
+    empty = lambda image: image.isNull() | ~F.greatest(F.lit(False), F.lit(False), *[field(image, f.name).isNotNull() for f in dtype.fields])
+    takes, gives = op.isin(UPDATE, REMOVE), op.isin(CREATE, READ, UPDATE)
+    df = add_error(df, F.when(takes & empty(before), F.lit("before is missing or empty")).when(
+        gives & empty(after), F.lit("after is missing or empty")))
+    image = lambda side: F.struct(*[field(side, f.name).alias(f.name) for f in dtype.fields])
+    one = lambda side, n: F.struct(image(side).alias("doc"), F.lit(n).cast("bigint").alias(COUNT))
+    bad = F.col("err").isNotNull()
+    sides = F.array(F.when(bad | takes, one(before, -1)), F.when(gives & ~bad, one(after, 1)))
+    sides = F.filter(sides, lambda s: s.isNotNull())
+    rows = df.select(*log_position(df), "err", F.explode(sides).alias("s"))
+    k = F.sha2(jsontext.struct_text(F.col("s.doc"), dtype, nulls=False), 256)
+    return rows.select(*log_position(df), k.alias("k"), "s.doc", f"s.{COUNT}", "err")
+
+
+def fold_images(ops: DataFrame) -> DataFrame:
+    """One row per image, with what is added to its count; images that come out even are gone."""
+    return ops.groupBy("k").agg(F.first("doc").alias("doc"), F.sum(COUNT).alias(COUNT)).filter(F.col(COUNT) != 0)
+
+
+def merge_images(target: DataFrame, delta: DataFrame) -> DataFrame:
+    """Images of a target with their counts after the changes, and `err` where more are taken away than there are."""
+    want = evolve.wider(target.schema["doc"].dataType, delta.schema["doc"].dataType)
+    fitted = lambda df: df.select("k", evolve.fit(F.col("doc"), df.schema["doc"].dataType, want).alias("doc"), COUNT)
+    both = fitted(target).unionByName(fitted(delta)).groupBy("k").agg(F.first("doc").alias("doc"), F.sum(COUNT).alias(COUNT))
+    return both.withColumn("err", F.when(F.col(COUNT) < 0, F.lit("image is not there"))).filter(F.col(COUNT) != 0)
+
+
 def bad_images(log: DataFrame) -> DataFrame:
     """Updates and deletes without a before image, with their log position."""
     df = skip_tombstones(log)

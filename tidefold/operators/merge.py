@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidefold.functions import jsontext
 from tidefold.model import DELETE, ID, LOG_POSITION, REPLACE
+from tidefold.operators import evolve
 
 
 def _join(target: DataFrame, delta: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -22,6 +23,11 @@ def _join(target: DataFrame, delta: DataFrame, on: Sequence[str]) -> DataFrame:
     return t.join(d, same, "full_outer")
 
 
+def _fitted(df: DataFrame, want: T.DataType) -> DataFrame:
+    """Documents under the schema that takes those of both sides."""
+    return df.withColumn("doc", evolve.fit(F.col("doc"), df.schema["doc"].dataType, want))
+
+
 def _keys(on: Sequence[str]) -> list[Column]:
     return [F.coalesce(F.col(f"d.{c}"), F.col(f"t.{c}")).alias(c) for c in on]
 
@@ -34,6 +40,8 @@ def merge_latest(
     With `generated_id` (business keys) a document keeps the `_id` it was stored
     under and gets the generated one on its first insert.
     """
+    want = evolve.wider(target.schema["doc"].dataType, delta.schema["doc"].dataType)
+    target, delta = _fitted(target, want), _fitted(delta, want)
     j = _join(target, delta, on)
     changed = F.col("_d")
     gone = F.coalesce(changed & (F.col("d.op") == DELETE), F.lit(False))
@@ -74,15 +82,23 @@ def merge_columns(
     created = ~stays & F.coalesce(F.col("d.creates"), F.lit(False))
     counts = F.col("d.from_ord").isNull()
 
+    stored, written = target.schema["doc"].dataType, delta.schema["cols"].dataType
+
     def value(name: str) -> Column:
-        old = F.col("t.doc").getField(name) if name in target.schema["doc"].dataType.names else F.lit(None)
+        old = F.col("t.doc").getField(name) if name in stored.names else F.lit(None)
+        if name in stored.names and name in changed:
+            want = evolve.wider(stored[name].dataType, written[name].dataType["v"].dataType)
+            old = evolve.fit(old, stored[name].dataType, want)
+        elif name in changed:
+            want = written[name].dataType["v"].dataType
         if name in on_insert:
             return F.when(stays, old).otherwise(on_insert[name])
         if name not in changed:
             return F.when(stays, old)
         new = F.col("d.cols").getField(name)
-        kept = F.when(new.isNotNull(), new.getField("v")).otherwise(old)
-        fresh = F.when(counts | (new.getField("ord") >= F.col("d.from_ord")), new.getField("v"))
+        last = evolve.fit(new.getField("v"), written[name].dataType["v"].dataType, want)
+        kept = F.when(new.isNotNull(), last).otherwise(old)
+        fresh = F.when(counts | (new.getField("ord") >= F.col("d.from_ord")), last)
         return F.when(stays, kept).otherwise(fresh)
 
     doc = F.struct(*[value(n).alias(n) for n in names])
@@ -133,8 +149,12 @@ def after_offsets(log: DataFrame, applied: DataFrame, applied_rows: int) -> Data
 
 
 def last_offsets(log: DataFrame, before: DataFrame | None = None) -> DataFrame:
-    """Highest offset per topic partition, also counting what was applied before."""
-    seen = log.select(*LOG_POSITION)
+    """Highest offset and time per topic partition, also counting what was applied before."""
+    def marks(df: DataFrame) -> DataFrame:
+        time = next((F.col(c) for c in ("time", "timestamp") if c in df.columns), F.lit(None))
+        return df.select(*LOG_POSITION, time.cast("timestamp").alias("time"))
+
+    seen = marks(log)
     if before is not None:
-        seen = seen.unionByName(before.select(*LOG_POSITION))
-    return seen.groupBy("topic", "partition").agg(F.max("offset").alias("offset"))
+        seen = seen.unionByName(marks(before))
+    return seen.groupBy("topic", "partition").agg(F.max("offset").alias("offset"), F.max("time").alias("time"))

@@ -129,14 +129,25 @@ def rename(df: DataFrame, renamer: Renamer, columns: Sequence[str] = ("key", "va
     return df
 
 
-def lower_case(df: DataFrame, column: str) -> DataFrame:
-    """Lower-case the top-level field names of a document; clashing names are an error."""
-    dtype = df.schema[column].dataType
-    lowered = [f.name.lower() for f in dtype.fields]
-    clashes = sorted({n for n in lowered if lowered.count(n) > 1})
+def lowered(col: Column, dtype: T.StructType) -> Column:
+    """A document with its top-level field names in lower case; clashing names are an error."""
+    names = [f.name.lower() for f in dtype.fields]
+    clashes = sorted({n for n in names if names.count(n) > 1})
     if clashes:
         raise ValueError(f"names differ by case only: {clashes}")
-    col = F.col(column)
-    return df.withColumn(
-        column, as_struct(col, [col.getField(f.name).alias(n) for f, n in zip(dtype.fields, lowered)])
-    )
+    return as_struct(col, [col.getField(f.name).alias(n) for f, n in zip(dtype.fields, names)])
+
+
+def lower_case(df: DataFrame, column: str) -> DataFrame:
+    return df.withColumn(column, lowered(F.col(column), df.schema[column].dataType))
+
+
+def lower_case_images(df: DataFrame) -> DataFrame:
+    """Lower-case the names of the key and of both images of relational change events."""
+    value, env = F.col("value"), df.schema["value"].dataType
+    parts = [
+        (lowered(value.getField(f.name), f.dataType) if f.name in ("before", "after") and isinstance(f.dataType, T.StructType)
+         else value.getField(f.name)).alias(f.name)
+        for f in env.fields
+    ]
+    return lower_case(df, "key").withColumn("value", as_struct(value, parts))

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+
+from tidefold.model import ORDER_TIME
 
 BLOCK = 1_000_000
 
@@ -56,6 +58,26 @@ def running_max(
     )
 
 
+def order_times(log: DataFrame, before: DataFrame | None = None, width: int = BLOCK) -> DataFrame:
+    """Add the running maximum of the record time along each topic partition.
+
+    `before` (topic, partition, time) is what earlier batches reached, one row per topic partition.
+    """
+    timed = running_max(log, ["topic", "partition"], "offset", "timestamp", ORDER_TIME, width)
+    if before is None:
+        return timed
+    reached = before.select("topic", "partition", F.col("time").alias("_reached"))
+    met = timed.join(reached, ["topic", "partition"], "left")
+    return met.withColumn(ORDER_TIME, F.greatest(ORDER_TIME, "_reached")).select(*timed.columns)
+
+
+def order_block(ord_: Column, dtype: T.StructType, width: int = BLOCK) -> Column:
+    """A number that grows with the order: blocks of offsets, or of hours where records are ordered by time."""
+    if "time" in dtype.names:
+        return block_of(F.unix_seconds(ord_["time"]), 3600)
+    return block_of(ord_["offset"], width)
+
+
 def order_across_topics(log: DataFrame, width: int = BLOCK) -> DataFrame:
     """Add `ord` for targets fed by several topics.
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidefold.functions import jsontext
 from tidefold.functions.walk import as_struct
-from tidefold.model import DELETE, ID, LOG_POSITION, REPLACE, SET, field, log_ord, struct_type
+from tidefold.model import DELETE, ID, LOG_POSITION, PRESENT, REPLACE, SET, field, log_ord, struct_type
 from tidefold.operators.errors import add_error, first_error
 
 # fixed values: documented names of the stored times
@@ -59,7 +59,20 @@ def write_ops(log: DataFrame, model: WriteModel, deletes: WriteModel | None = No
             F.when(has_value, write.doc),
         ]
     names = ["k", "op", "upsert", "doc"]
-    return df.select(*LOG_POSITION, *[c.alias(n) for c, n in zip(chosen, names)], log_ord().alias("ord"), "err")
+    if PRESENT in log.columns:
+        chosen.append(_written(log, write.doc))
+        names.append(PRESENT)
+    return df.select(*LOG_POSITION, *[c.alias(n) for c, n in zip(chosen, names)], log_ord(log=log).alias("ord"), "err")
+
+
+def _written(log: DataFrame, doc: Column) -> Column:
+    """Names the record held, and those the model adds; null (all) where that is not known."""
+    have = log.schema["value"].dataType
+    made = log.select(doc.alias("d")).schema["d"].dataType
+    if not isinstance(made, T.StructType) or not isinstance(have, T.StructType):
+        return F.lit(None).cast("array<string>")
+    added = F.array(*[F.lit(n) for n in made.names if n not in have.names]).cast("array<string>")
+    return F.concat(F.col(PRESENT), added)
 
 
 def _id() -> Column:

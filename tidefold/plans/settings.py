@@ -32,6 +32,7 @@ DEFAULTS: dict[str, Any] = {
     "delete.on.null": "false",
     "max.batch.size": "0",
     "lower.case.names": "false",
+    "keyless": "false",
     "on.error": "failfast",
 }
 

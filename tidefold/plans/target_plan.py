@@ -11,13 +11,13 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field as attribute
 from functools import partial, reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidefold.functions import ids
 from tidefold.operators import (
-    cdc_document, cdc_relational, errors, fold, fold_nested, merge, meta, project, refuse, rename, writemodel,
+    cdc_document, cdc_relational, errors, evolve, fold, fold_nested, keyless, merge, meta, project, refuse, rename, writemodel,
 )
-from tidefold.model import ID, LOG_POSITION
+from tidefold.model import ID, LOG_POSITION, PRESENT
 from tidefold.plans.settings import Settings
 
 Step = Callable[[DataFrame], DataFrame]
@@ -118,7 +118,15 @@ class TargetPlan:
     # -- the plan -----------------------------------------------------------
 
     def process(self, log: DataFrame) -> DataFrame:
-        return reduce(lambda df, step: step(df), self.steps(), log)
+        df = reduce(_step, self.steps(), log)
+        return _step(df, partial(rename.lower_case, column="value")) if self.lowers() else df
+
+    def lowers(self) -> bool:
+        return self.settings.flag("lower.case.names", self.target)
+
+    def keyless(self) -> bool:
+        """Whether the source table has no key: rows are known by their image, and counted."""
+        return self.settings.flag("keyless", self.target)
 
     def nested(self) -> bool:
         """Whether changes are patches of documents, which address fields by dotted paths."""
@@ -127,10 +135,14 @@ class TargetPlan:
     def judged(self, log: DataFrame) -> DataFrame:
         """Operations of all records, the reason of bad ones in `err`."""
         handler = self.handler()
-        if self.nested():
-            return fold_nested.check_paths(cdc_document.document_ops(log, self.kind))
         if handler in DOCUMENT_SOURCES:
-            return cdc_document.document_ops(log, self.kind)
+            ops = cdc_document.document_ops(log, self.kind)
+            ops = _lower_fields(ops) if self.lowers() else ops
+            return fold_nested.check_paths(ops) if self.nested() else ops
+        if handler and self.lowers():
+            log = rename.lower_case_images(log)
+        if handler and self.keyless():
+            return keyless.image_ops(log)
         if handler:
             return cdc_relational.relational_ops(log, self.kind, self.registry.operations.get(handler))
         return writemodel.write_ops(self.process(log), self.write_model(), self.delete_model())
@@ -148,10 +160,15 @@ class TargetPlan:
 
     def resolves(self) -> bool:
         """Whether changes depend on what the target holds before they can be folded."""
-        return self.nested()
+        return self.nested() or self.keyless()
 
     def resolve(self, target: DataFrame | None, ops: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-        """One change per key of the patches that the stored documents take, and the refused ones."""
+        """One change per key of the patches that the stored documents take, and the refused ones; or images not there."""
+        if self.keyless():
+            if not self.keeps_rejects():
+                return ops, None
+            bad = errors.rejected(keyless.merge_images(target if target is not None else ops.limit(0), ops))
+            return ops, bad.select("k", "err", F.to_json("doc").alias("value"))
         ops = refuse.with_refusals(ops, target)
         if not self.keeps_rejects():
             return fold_nested.fold_writes(errors.fail_fast(ops)), None
@@ -162,6 +179,8 @@ class TargetPlan:
         ops = self.operations(log)
         if self.nested():
             return ops
+        if self.keyless():
+            return keyless.fold_images(ops)
         if "sets" in ops.columns:
             return fold.fold_fields(ops)
         model = self.settings.get("write.model", self.target)
@@ -178,7 +197,12 @@ class TargetPlan:
             empty = delta.select("k", F.lit("").alias("doc")).limit(0)
             rows = fold_nested.merge_paths(target if target is not None else empty, delta)
             return errors.fail_fast(rows)
-        if "sets" in delta.columns:
+        if self.keyless():
+            rows = keyless.merge_images(target if target is not None else delta.limit(0), delta)
+            return errors.good(rows) if self.keeps_rejects() else errors.fail_fast(rows)
+        if "sets" in delta.columns and self.kind == "row":
+            delta = evolve.written_columns(delta, target.schema["doc"].dataType if target is not None else None)
+        elif "sets" in delta.columns:
             empty = delta.select("k", F.lit("").alias("doc")).limit(0)
             return merge.merge_fields(target if target is not None else empty, delta)
         model = self.settings.get("write.model", self.target)
@@ -197,6 +221,29 @@ class TargetPlan:
         return merge.merge_latest(target if target is not None else empty, delta)
 
 
+def _step(df: DataFrame, step: Step) -> DataFrame:
+    """Run a step; the names of the fields a record holds follow their renames, and fields the step adds are held."""
+    out = step(df)
+    if PRESENT not in out.columns or not all(isinstance(d.schema["value"].dataType, T.StructType) for d in (df, out)):
+        return out
+    old, new = (d.schema["value"].dataType.names for d in (df, out))
+    if old == new:
+        return out
+    renamed = {a: b for a, b in zip(old, new) if a != b} if len(old) == len(new) and set(old) != set(new) else {}
+    added = [n for n in new if n not in old and n not in renamed.values()]
+    present = F.col(PRESENT)
+    if renamed:
+        names = F.create_map(*[F.lit(x) for pair in renamed.items() for x in pair])
+        present = F.transform(present, lambda n: F.coalesce(names[n], n))
+    return out.withColumn(PRESENT, F.concat(present, F.array(*[F.lit(n) for n in added]).cast("array<string>")))
+
+
+def _lower_fields(ops: DataFrame) -> DataFrame:
+    """Lower-case the fields that document changes write and remove."""
+    first = lambda p: F.concat_ws(".", F.lower(F.split(p, r"\.")[0]), F.slice(F.split(p, r"\."), 2, F.size(F.split(p, r"\."))))
+    return ops.withColumn("sets", F.transform_keys("sets", lambda k, _: first(k))).withColumn("unsets", F.transform("unsets", first))
+
+
 def plans_for(settings: Settings, **common) -> dict[str, TargetPlan]:
     """One plan per listed target, and one under "" for all others."""
     return {name: TargetPlan(settings, name, **common) for name in ["", *settings.targets()]}

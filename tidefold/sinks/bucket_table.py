@@ -28,7 +28,7 @@ from tidefold.operators.merge import last_offsets
 from tidefold.sinks import folders
 
 BUCKET = "_bucket"
-OFFSETS = "topic string, partition int, offset bigint"
+OFFSETS = "topic string, partition int, offset bigint, time timestamp"
 REJECTS = "topic string, partition int, offset bigint, k string, err string, key string, value string"
 
 Merge = Callable[[DataFrame, DataFrame], DataFrame]
@@ -77,6 +77,7 @@ class BucketTable:
     path: str
     keys: tuple[str, ...]
     buckets: int = 15
+    rows_per_file: int = 0
 
     def bucket(self) -> Column:
         """The partition a shuffle by the key would give the row: then one task holds one bucket."""
@@ -129,7 +130,7 @@ class BucketTable:
         return grow(df, _with_bucket(want))
 
     def offsets(self, at: Manifest | None = None) -> DataFrame | None:
-        """Last applied offset per topic partition; None when none were recorded."""
+        """Last applied offset and time per topic partition; None when none were recorded."""
         m = at or self.manifest()
         if m is None or m.offsets is None:
             return None
@@ -209,7 +210,8 @@ class BucketTable:
     def _publish(self, rows, touched: list[int], before: Manifest | None, applied: dict[str, int], log) -> None:
         version, schema = (before.version + 1 if before else 0), rows.schema.json()
         data = f"{self.path}/data/v={version}"
-        rows.withColumn(BUCKET, self.bucket()).write.mode("overwrite").partitionBy(BUCKET).parquet(data)
+        out = rows.withColumn(BUCKET, self.bucket()).write.mode("overwrite").partitionBy(BUCKET)
+        out.option("maxRecordsPerFile", self.rows_per_file).parquet(data)
         offsets = before.offsets if before else None
         if log is not None:
             seen = last_offsets(log, self.offsets(before) if before else None)

@@ -15,6 +15,8 @@ from tidefold.functions import jsontext
 from tidefold.functions.normalise import TypeOptions, normalise
 from tidefold.functions.once import compute_once
 from tidefold.functions.walk import as_struct
+from tidefold.model import ID, PRESENT
+from tidefold.operators import evolve
 from tidefold.operators.errors import add_error
 
 Decoder = Callable[[DataFrame, str], DataFrame]
@@ -52,6 +54,9 @@ class JsonPlain:
     options: TypeOptions = TypeOptions()
 
     def __call__(self, df: DataFrame, column: str) -> DataFrame:
+        if column == "value":
+            # what the record holds, told from what it leaves out
+            df = df.withColumn(PRESENT, F.json_object_keys(F.col(column).cast("string")))
         df = _parse(df, column, self.schema)
         return normalise(_with_metadata(df, column, self.schema), column, self.options)
 
@@ -67,6 +72,24 @@ class JsonRaw:
         return df.withColumn(column, F.col("_text")).drop("_text")
 
 
+@dataclass(frozen=True)
+class JsonInferred:
+    """JSON objects without a schema: the one that takes all of the batch is inferred.
+
+    Fields of several types become the wider one, or JSON text.  Targets grow with the batches.
+    """
+
+    options: TypeOptions = TypeOptions()
+
+    def __call__(self, df: DataFrame, column: str) -> DataFrame:
+        text = jsontext.canonical(F.col(column).cast("string"))
+        known = df.select(text.alias("doc")).filter(F.col("doc").startswith("{"))
+        schema = evolve.infer(known)
+        if not schema.fields:
+            schema = T.StructType([T.StructField(ID, T.StringType())])
+        return JsonPlain(schema, self.options)(df, column)
+
+
 @dataclass(frozen=True)
 class Avro:
     """Avro payloads, where Spark's avro module is deployed; `header` bytes before them are left out.

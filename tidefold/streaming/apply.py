@@ -8,12 +8,13 @@ the offsets of a topic partition in order, as a partitioned log does.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tidefold.operators.merge import after_offsets
+from tidefold.operators.scan import order_times
 from tidefold.sinks.bucket_table import BucketTable, Merge, Resolve
 
 # folded changes of a batch of log records
@@ -22,24 +23,30 @@ Fold = Callable[[DataFrame], DataFrame]
 
 def apply_batch(
     table: BucketTable, log: DataFrame, fold: Fold, merge: Merge, batch: int, fence: bool = True, source: str = "",
-    resolve: Resolve | None = None,
+    resolve: Resolve | None = None, by_time: bool = False,
 ) -> None:
-    """Apply one batch of log records to a table; `source` names the checkpoint that counts the batches."""
+    """Apply one batch of log records to a table; `source` names the checkpoint that counts the batches.
+
+    With `by_time` records of several topics are ordered by their times, else by their offsets.
+    """
     seen = table.offsets() if fence else None
     if seen is not None:
         log = after_offsets(log, seen, seen.count())
+    if by_time:
+        log = order_times(log, table.offsets())
     table.apply(fold(log), merge, batch, log if fence else None, source, resolve)
 
 
 def apply_targets(
     tables: Mapping[str, BucketTable], log: DataFrame, plans: Mapping[str, tuple[Fold, Merge]], batch: int,
     fence: bool = True, source: str = "", resolves: Mapping[str, Resolve] | None = None,
+    by_time: Collection[str] = (),
 ) -> None:
     """Apply one batch to many targets by the `target` column of the log; cache a log that is costly to read."""
     for name, table in tables.items():
         fold, merge = plans[name]
         resolve = (resolves or {}).get(name)
-        apply_batch(table, log.filter(log["target"] == name), fold, merge, batch, fence, source, resolve)
+        apply_batch(table, log.filter(log["target"] == name), fold, merge, batch, fence, source, resolve, name in by_time)
 
 
 def apply_stream(

@@ -10,6 +10,7 @@ under `<root>/<database>/<target>`.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field as attribute
 
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidefold.model import LOG_POSITION
-from tidefold.operators import route
+from tidefold.operators import keyless, route
 from tidefold.plans.settings import Settings
 from tidefold.plans.target_plan import Registry, TargetPlan
 from tidefold.sinks.bucket_table import BucketTable
@@ -44,8 +45,15 @@ class ConfiguredSink:
         return TargetPlan(self.settings, target, self.kind, self.now, keys, self.registry)
 
     def table(self, target: str) -> BucketTable:
-        path = f"{self.root}/{self.settings.get('database')}/{target}"
-        return BucketTable(self.spark, path, ("k",), self.buckets)
+        parts = [self.settings.get("catalog"), self.settings.get("database"), target]
+        path = "/".join([self.root, *[p for p in parts if p]])
+        return BucketTable(self.spark, path, ("k",), self.buckets, self.settings.number("max.batch.size", target))
+
+    def rows(self, target: str) -> DataFrame:
+        """Rows of a table without key, each as often as it is there."""
+        stored = self.table(target).read()
+        columns = stored.schema["doc"].dataType.names
+        return keyless.rows(stored.select("doc.*", keyless.COUNT), columns)
 
     def routed(self, log: DataFrame) -> DataFrame:
         return route.route(log, self.settings.routes(), self.settings.get("route"), self.settings.rewrites())
@@ -54,8 +62,9 @@ class ConfiguredSink:
         """Apply one batch of records to all targets they are for; a source applies each batch once."""
         routed = self.routed(log).persist()
         try:
-            # as many rows as there are targets
-            targets = [r[0] for r in routed.select("target").distinct().collect()]
+            # as many rows as there are topics
+            topics = Counter(r["target"] for r in routed.select("target", "topic").distinct().collect())
+            targets, several = list(topics), [t for t, n in topics.items() if n > 1]
             decoded = decode(routed, self.key_decoder, self.value_decoder)
             plans = {t: self.plan(t) for t in targets}
             tables = {t: self.table(t) for t in targets}
@@ -64,7 +73,7 @@ class ConfiguredSink:
                 if p.keeps_rejects():
                     self.write_rejects(p, tables[t], routed, decoded, batch, source)
             resolves = {t: p.resolve for t, p in plans.items() if p.resolves()}
-            apply_targets(tables, decoded, steps, batch, self.fence, source, resolves)
+            apply_targets(tables, decoded, steps, batch, self.fence, source, resolves, several)
         finally:
             routed.unpersist()
 
