@@ -43,6 +43,7 @@ BLOCK = 4096  # ids that follow each other are in one shard, so that a slice cou
 SLICE = 2 << 20
 HELD = 2_000_000  # counts that a task holds before it passes them on
 HELD_TEXTS = 400_000  # and phrases
+TASK_BYTES = 64 << 20  # text that one task counts candidates in, so that it passes on a frequent phrase once for all of it
 BITS = 28  # a bitmap has 2 to the power of this many bits at most (32 MB)
 TOP = 2000
 
@@ -301,7 +302,8 @@ def count_phrases(docs: DataFrame, support: int = SUPPORT, shards: int = SHARDS)
     candidates = short.select("h").union(long.select("h")).distinct()
     candidates.write.parquet(f"{folder}/candidates")
     candidates = Bitmap(spark.read.schema("h long").parquet(f"{folder}/candidates"), F.col("h"))
-    counts = rows.select("text", "lang", "lang_hash").mapInArrow(_counted(candidates), PHRASES)
+    tasks = max(2 * spark.sparkContext.defaultParallelism, (sizes.agg(F.sum("bytes")).first()[0] or 0) // TASK_BYTES)
+    counts = rows.select("text", "lang", "lang_hash").coalesce(tasks).mapInArrow(_counted(candidates), PHRASES)
     counts = counts.groupBy("lang", "k", "phrase").agg(F.sum("c").alias("c")).filter((F.col("c") >= support) | (F.col("k") == 0))
     counts.write.parquet(f"{folder}/counts")
     return spark.read.schema(PHRASES).parquet(f"{folder}/counts")
