@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from checks.changes import USER_COLUMNS, USER_ROWS_SQL, document, typed_partial
@@ -430,14 +432,19 @@ def str_dedup_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check("str_ingest_rate", """SELECT epoch_ms(time_bucket(INTERVAL 1 DAY, ts)) AS start_ms, count(*) AS n, count(*) / 86400 AS per_sec FROM events GROUP BY 1""")
 def str_ingest_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rate of a stream per day of event time."""
-    schema, out = table(spark, sf_dir, "events").schema, shared_folder(spark, "rate")
-    raw = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    timed = raw.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "1 day")
-    save = lambda df, _: df.write.mode("overwrite").parquet(out)
-    audit.ingest_rate(timed, "ts", "1 day").writeStream.outputMode("complete").foreachBatch(save).option(
-        "checkpointLocation", shared_folder(spark, "checkpoint")
-    ).trigger(availableNow=True).start().awaitTermination()
+    """The rate of a stream per day of event time, over several micro-batches in order of time, and a heartbeat."""
+    events = table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"))
+    path, out, checkpoint = (shared_folder(spark, n) for n in ("events", "rate", "checkpoint"))
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    step = (last - first) / 3
+    for i in range(4):
+        after, upto = first + step * i, first + step * (i + 1)
+        part = events.filter((F.col("ts") >= after) & (F.col("ts") < upto)) if i < 2 else events.filter(F.col("ts") >= after)
+        if i == 3:
+            part = spark.createDataFrame([(last + dt.timedelta(days=10),)], events.schema)
+        part.write.mode("append").parquet(path)
+        stream = spark.readStream.schema(events.schema).parquet(path)
+        st.append_rates(stream, "ts", "1 day", "1 day", out, checkpoint).awaitTermination()
     return spark.read.parquet(out).select(F.unix_millis("start").alias("start_ms"), "n", "per_sec")
 
 

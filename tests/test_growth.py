@@ -114,3 +114,39 @@ def test_partial_rows_across_topics(spark, tmp_path, topics):
     s = ConfiguredSink(spark, Settings({"route": "t", "cdc.handler": "mysql"}), str(tmp_path), kind="row", buckets=2)
     s.apply(spark.createDataFrame(rows, log_schema("id int", value)), 0)
     assert docs(s, "t") == [{"id": 1, "n": 3}]
+
+
+def test_writer_schemas(spark, monkeypatch):
+    """Records of two schemas, decoded by a stand-in for the Avro module, which is not on this machine."""
+    import sys
+    import types
+
+    from pyspark.sql import functions as F
+
+    stand_in = types.ModuleType("pyspark.sql.avro.functions")
+    stand_in.from_avro = lambda body, schema: F.from_json(body.cast("string"), schema)
+    monkeypatch.setitem(sys.modules, "pyspark.sql.avro.functions", stand_in)
+    head = lambda i: b"\x00" + i.to_bytes(4, "big")
+    rows = [head(3) + b'{"id":1,"n":5}', head(70_000) + b'{"id":2,"n":"t","d":{"x":true}}', None, head(9) + b"{}", b"{}"]
+    log = spark.createDataFrame([("t", 0, i, None, None, None, r and bytearray(r)) for i, r in enumerate(rows)], log_schema("binary", "binary"))
+    decoder = dec.AvroRegistry({3: "id int, n int", 70_000: "id bigint, n string, d struct<x: boolean>"})
+    got = decoder(log, "value").orderBy("offset").collect()
+    assert [r["value"] and r["value"].asDict(True) for r in got] == [
+        {"id": 1, "n": "5", "d": None}, {"id": 2, "n": "t", "d": {"x": True}}, None, None, None]
+    assert [r["err"] for r in got] == [None, None, None] + ["value is of an unknown schema"] * 2
+
+
+def test_rates_hold_few_windows(spark, tmp_path):
+    """Closed windows are written once and leave the state."""
+    from tidefold.streaming.apply import append_rates
+
+    path, start = str(tmp_path / "in"), dt.datetime(2024, 1, 1)
+    held = []
+    for batch in range(4):
+        times = [(start + dt.timedelta(hours=batch * 24 + i),) for i in range(24)] + ([(start + dt.timedelta(hours=40),)] if batch == 3 else [])
+        spark.createDataFrame(times, "ts timestamp").coalesce(1).write.mode("append").parquet(path)
+        query = append_rates(spark.readStream.schema("ts timestamp").parquet(path), "ts", "1 hour", "2 hours", str(tmp_path / "out"), str(tmp_path / "c"))
+        query.awaitTermination()
+        held.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    done = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert max(held) <= 4 and len(done) == len({r["start"] for r in done}) >= 90 and {r["n"] for r in done} == {1}

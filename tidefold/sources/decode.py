@@ -6,8 +6,9 @@ column decoded; payloads it cannot read get a reason code.  Null stays null.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -111,6 +112,39 @@ class Avro:
         return F.substring(raw, self.header + 1, 2**31 - 1) if self.header else raw
 
 
+@dataclass(frozen=True)
+class AvroRegistry:
+    """Avro payloads of several writer schemas, by the schema id in the registry's header of five bytes.
+
+    Every record is decoded by its own writer's schema; all come out under the one that takes them all.
+    A record of an unknown schema is bad.  `schemas` maps ids to schemas, as the registry gives them.
+    """
+
+    schemas: Mapping[int, str]
+    options: TypeOptions = TypeOptions()
+
+    def schema_id(self, column: str) -> Column:
+        """The id in the header; null for payloads without one."""
+        raw = F.col(column).cast("binary")
+        told = (F.octet_length(raw) >= 5) & (F.hex(F.substring(raw, 1, 1)) == "00")
+        return F.when(told, F.conv(F.hex(F.substring(raw, 2, 4)), 16, 10).cast("bigint"))
+
+    def __call__(self, df: DataFrame, column: str) -> DataFrame:
+        from pyspark.sql.avro.functions import from_avro
+
+        body = F.substring(F.col(column).cast("binary"), 6, 2**31 - 1)
+        df = df.withColumn("_schema", self.schema_id(column))
+        names = {i: f"_avro_{i}" for i in sorted(self.schemas)}
+        # a branch is evaluated for the records of its schema only
+        df = compute_once(df, **{n: F.when(F.col("_schema") == i, from_avro(body, self.schemas[i])) for i, n in names.items()})
+        types = {n: df.schema[n].dataType for n in names.values()}
+        want = reduce(evolve.grown, types.values())
+        known = F.col("_schema").isin(*names)
+        df = add_error(df, F.when(F.col(column).isNotNull() & ~F.coalesce(known, F.lit(False)), F.lit(f"{column} is of an unknown schema")))
+        df = df.withColumn(column, F.coalesce(*[evolve.fit(F.col(n), t, want) for n, t in types.items()]))
+        return normalise(df.drop("_schema", *names.values()), column, self.options)
+
+
 CORRUPT = "_corrupt"
 
 

@@ -13,6 +13,7 @@ from collections.abc import Callable, Collection, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from tidefold.operators.audit import ingest_rate
 from tidefold.operators.merge import after_offsets
 from tidefold.operators.scan import order_times
 from tidefold.sinks.bucket_table import BucketTable, Merge, Resolve
@@ -61,6 +62,19 @@ def apply_stream(
     )
 
 
+def append_rates(
+    stream: DataFrame, time: str, width: str, delay: str, path: str, checkpoint: str, **trigger
+) -> StreamingQuery:
+    """Write the rate of every window of event time once it is closed, `delay` after its end.
+
+    Closed windows leave the state, which so holds the windows of `width + delay` only.  A window stays open
+    until records younger than its end and the delay arrive; a source that may end sends a heartbeat.
+    """
+    rates = ingest_rate(stream.withWatermark(time, delay), time, width)
+    writer = rates.writeStream.outputMode("append").format("parquet").option("path", path)
+    return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+
 def drop_repeated(stream: DataFrame, watermark: str = "1 hour") -> DataFrame:
     """Drop records delivered more than once within the watermark."""
     return stream.withWatermark("timestamp", watermark).dropDuplicatesWithinWatermark(
