@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import decimal
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from checks.logs import (
@@ -212,6 +214,18 @@ typed_values("typ_bytes", "SELECT o_orderkey AS id, lower(hex(encode(o_orderprio
              "orders", [ID, f("raw", T.BinaryType(), lambda: F.col("o_orderpriority"))])
 typed_values("typ_decimal", "SELECT o_orderkey AS id, CAST(CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS DECIMAL(20, 2)) / 100 AS DOUBLE) AS price FROM orders",
              "orders", [ID, f("price", T.DecimalType(20, 2), lambda: cents("o_totalprice").cast("decimal(20,2)") / 100)], TypeOptions(legacy_decimal=True))
+
+
+@check("typ_decimal_exact", """SELECT o_orderkey AS id, CAST(CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS DECIMAL(18,0)) * CAST(0.01 AS DECIMAL(3,2)) AS VARCHAR) AS price FROM orders""")
+def typ_decimal_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decimals as they are, unless the older form is asked for."""
+    price = (cents("o_totalprice").cast("decimal(18,0)") * F.lit(decimal.Decimal("0.01"))).cast("decimal(20,2)")
+    df = table(spark, sf_dir, "orders").select(F.struct(KEY().alias("id"), price.alias("price")).alias("value"))
+    out = dec.Struct()(df, "value")
+    assert out.schema["value"].dataType["price"].dataType == T.DecimalType(20, 2)
+    return out.select("value.id", F.col("value.price").cast("string").alias("price"))
+
+
 typed_values("typ_time", "SELECT o_orderkey AS id, o_orderkey * 5501 % 86400000 AS t FROM orders",
              "orders", [ID, f("t", T.LongType(), lambda: KEY() * 5501 % 86400000, kind="time")])
 typed_values("typ_timestamp", f"SELECT o_orderkey AS id, {EPOCH} AS t FROM orders",

@@ -150,3 +150,25 @@ def test_rates_hold_few_windows(spark, tmp_path):
         held.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
     done = spark.read.parquet(str(tmp_path / "out")).collect()
     assert max(held) <= 4 and len(done) == len({r["start"] for r in done}) >= 90 and {r["n"] for r in done} == {1}
+
+
+def test_deletes_by_the_key_itself(spark, tmp_path):
+    """Where ids come from the value, a record without one deletes by its key."""
+    values = {"id.strategy": "provided_in_value", "delete.on.null": "true", "delete.model": "key"}
+    s = sink(spark, tmp_path, values, key="_id string", value="_id string, n int")
+    s.apply(text_log(spark, [("a", {"_id": k}, {"_id": k, "n": i}) for i, k in enumerate("xy")]), 0)
+    s.apply(text_log(spark, [("a", {"_id": "x"}, {"_id": "x", "n": 0}), ("a", {"_id": "y"}, {"_id": "y", "n": 1}), ("a", {"_id": "x"}, None)]), 1)
+    assert [d["_id"] for d in docs(s, "a")] == ["y"]
+
+
+def test_one_dialect_of_regular_expressions(spark):
+    """Struct fields and map keys follow the same expressions."""
+    from pyspark.sql import functions as F
+
+    from tidefold.operators import rename as ren
+
+    rules = [ren.NameRule(r"value\.\w++(\.\p{Lower}+)*", r"(?<a>[a-z&&[^q]])(\w*)", "${a}_$2")]
+    df = spark.sql("SELECT named_struct('abc', 1, 'qrs', 2, 'm', map('abc', 1, 'q', 2)) value")
+    out = ren.rename(df, ren.ByRegExp(rules), ["value"])
+    names = out.schema["value"].dataType.names
+    assert names[:2] == ["a_bc", "qr_s"] and set(out.select(F.explode(F.map_keys(F.col("value").getField(names[2]))).alias("k")).toPandas()["k"]) == {"a_bc", "q"}

@@ -6,11 +6,10 @@ keys are renamed by expressions at run time.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidefold.functions.walk import as_struct
 
@@ -55,8 +54,8 @@ class ByRegExp:
     def name(self, path: str, name: str) -> str:
         new = name
         for r in self.rules:
-            if re.fullmatch(r.regexp, f"{path}.{name}"):
-                new = re.sub(r.pattern, _python_replacement(r.replace), new)
+            if _matches(r.regexp, f"{path}.{name}"):
+                new = _pattern(r.pattern).matcher(new).replaceAll(r.replace)
         return new
 
     def map_key(self, path: str, k: Column) -> Column:
@@ -70,9 +69,13 @@ class ByRegExp:
 Renamer = ByMapping | ByRegExp
 
 
-def _python_replacement(text: str) -> str:
-    """`$1` in a replacement is a group, as in Spark's regexp_replace."""
-    return re.sub(r"\$(\d+)", r"\\g<\1>", text.replace("\\", "\\\\"))
+def _pattern(regexp: str):
+    """Names of fields are edited by the regular expressions that Spark uses for map keys."""
+    return SparkSession.active()._jvm.java.util.regex.Pattern.compile(regexp)
+
+
+def _matches(regexp: str, text: str) -> bool:
+    return _pattern(regexp).matcher(text).matches()
 
 
 def free_names(names: Sequence[str], wanted: Sequence[str]) -> list[str]:

@@ -30,6 +30,7 @@ DEFAULTS: dict[str, Any] = {
     "write.model": "replace",
     "cdc.handler": "",
     "delete.on.null": "false",
+    "delete.model": "id",
     "max.batch.size": "0",
     "lower.case.names": "false",
     "keyless": "false",

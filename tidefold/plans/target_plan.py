@@ -110,6 +110,11 @@ class TargetPlan:
             return None
         if self.kind == "row":
             return writemodel.row_delete(self.row_keys)
+        how = self.settings.get("delete.model", self.target)
+        if how == "key":
+            return writemodel.delete_by_key
+        if how != "id":
+            raise ValueError(f"unknown delete model {how!r}")
         name = self.settings.get("id.strategy", self.target)
         if name not in ids.KEY_BASED and name not in self.registry.id_strategies:
             raise ValueError(f"deletes need an id strategy based on the key, not {name!r}")
