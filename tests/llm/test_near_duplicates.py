@@ -132,3 +132,14 @@ def test_embeddings(spark):
     got = [(x.vec_id, x.n_links, x.component_id) for x in pca_tiles.link(df, tile=16).collect()]
     assert sorted(got, key=str) == sorted(want, key=str)
     assert pca_tiles.link(df.limit(0)).collect() == []
+
+
+def test_pairs_are_cut_by_bytes():
+    import pyarrow as pa
+
+    from tidefold.llm.textbytes import slices
+
+    a, b = ["x" * 900, None, "é" * 10, "y" * 5000, ""], ["", "z" * 100, "w", "y" * 5000, None]
+    part = pa.RecordBatch.from_pydict({"text_a": pa.array(a), "text_b": pa.array(b)})
+    got = list(slices(part, 1200, ("text_a", "text_b")))
+    assert [p.num_rows for p in got] == [2, 1, 1, 1] and sum((p["text_a"].to_pylist() for p in got), []) == a

@@ -42,6 +42,7 @@ SIMILARITY = 0.8
 M = 128
 BAND = 4  # registers of a band: at similarity 0.8 all 32 bands differ once in 10^7
 BLOCK = 512
+PAIR_BYTES = 1 << 20  # text of the pairs that are verified at once, but for longer pairs
 # share of agreeing registers from which pairs are verified: three deviations below the threshold, which
 # are sqrt(0.8 * 0.2 / 128) each
 ESTIMATE = 0.69
@@ -153,8 +154,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            for k in range(0, part.num_rows, 256):
-                p = part.slice(k, 256)
+            for p in slices(part, PAIR_BYTES, ("text_a", "text_b")):
                 s, t = Shingled(p["text_a"]), Shingled(p["text_b"])
                 cut = lambda z, i: slice(z.at[i], z.at[i + 1])
                 ok = [similarity(s.key[cut(s, i)], s.count[cut(s, i)], t.key[cut(t, i)], t.count[cut(t, i)]) >= least - 1e-12

@@ -115,10 +115,10 @@ def shingles(words: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray,
 SLICE_BYTES = 4 << 20
 
 
-def slices(part: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+def slices(part: pa.RecordBatch, limit: int = SLICE_BYTES, columns: tuple[str, ...] = ("text",)) -> Iterator[pa.RecordBatch]:
     """The rows of a batch in slices of at most so many bytes of text, of one row at least."""
-    size = pc.fill_null(pc.binary_length(part["text"]), 0).to_numpy(zero_copy_only=False)
-    end = np.cumsum(size.astype(np.int64) + 64)
+    size = sum(pc.fill_null(pc.binary_length(part[c]), 0).to_numpy(zero_copy_only=False).astype(np.int64) for c in columns)
+    end = np.cumsum(size + 64)
     a = 0
     while a < part.num_rows:
         before = int(end[a - 1]) if a else 0
