@@ -13,14 +13,16 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import SparkSession, types as T
+from pyspark.sql import SparkSession, functions as F, types as T
 
 from checks import applying, changes, documents, logs, records  # noqa: F401
 from checks.support import QUERIES
 from tidefold.operators import errors
+from tidefold.plans.settings import Settings
 from tidefold.sinks.folders import shared_folder
 from tidefold.sources import decode as dec
 from tidefold.streaming import apply as st
+from tidefold.streaming.sink import ConfiguredSink
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -54,6 +56,19 @@ def apply_text_log(spark: SparkSession, path: str, batches: int) -> None:
         st.apply_batch(table, part, applying.fold_orders, applying.latest_into, i, fence=False)
 
 
+def timed_sink(spark: SparkSession, path: str) -> dict[str, float]:
+    """The configured sink with its fence: the whole log into an empty table, then a thousandth of the keys again."""
+    envelope = T.StructType.fromDDL(f"op string, before {logs.ORDER_IMAGE}, after {logs.ORDER_IMAGE}")
+    sink = ConfiguredSink(
+        spark, Settings({"cdc.handler": "mysql", "route": "orders"}), shared_folder(spark, "bench-sink"),
+        key_decoder=dec.JsonPlain(records.KEY_TYPE), value_decoder=dec.JsonPlain(envelope))
+    log = spark.read.parquet(path)
+    later = (F.col("offset") + 1_000_000_000_000).alias("offset")
+    few = log.filter(F.get_json_object(F.col("key"), "$.id").cast("bigint") % 1000 == 0)
+    few = few.select(*[later if c == "offset" else F.col(c) for c in log.columns])
+    return {"sink_empty_target": timed(lambda: sink.apply(log, 0)), "sink_small_delta": timed(lambda: sink.apply(few, 1))}
+
+
 def main() -> None:
     spark = (
         SparkSession.builder.master(f"local[{CPUS}]")
@@ -93,6 +108,7 @@ def main() -> None:
         "rows_per_sec": {n: rate(n) for n in ("apply_empty_target", "apply_two_halves")},
         "noted_rows_per_sec": NOTED_ROWS_PER_SEC,
         "cores": int(CPUS),
+        "sink_seconds": timed_sink(spark, path),
     }))
 
 
