@@ -10,7 +10,7 @@ from checks.logs import (
 )
 from checks.support import cents, check, flat, table
 from tidefold.functions import ids, jsontext
-from tidefold.model import DELETE, ID, REPLACE, SET
+from tidefold.model import DELETE, ID, LOG_POSITION, REPLACE, SET
 from tidefold.operators import (
     cdc_document as cdoc, cdc_relational as crel, errors, evolve, fold, keyless, merge, writemodel as wm,
 )
@@ -46,10 +46,16 @@ def writes_sql(codes: str) -> str:
     return f"WITH {ORDERS_LOG_SQL} SELECT off, k AS _id_id, after_status AS status, after_cents AS cents FROM log9 WHERE op IN ({codes})"
 
 
+def of_events(ops: DataFrame, log: DataFrame, *codes: str) -> DataFrame:
+    """The operations that events of the given codes were turned into."""
+    events = log.select(*LOG_POSITION, F.col("value.op").alias("code")).filter(F.col("code").isin(*codes))
+    return ops.join(events, LOG_POSITION, "left_semi")
+
+
 def writes_of(*codes: str):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         log = orders_log(spark, sf_dir)
-        ops = errors.good(crel.relational_ops(log.filter(F.col("value.op").isin(*codes))))
+        ops = of_events(errors.good(crel.relational_ops(log)), log, *codes)
         return flat(op_rows(ops, REPLACE).withColumnRenamed("offset", "off"), "off", "doc")
 
     return query
@@ -161,8 +167,8 @@ def cdc_doc_tombstone(spark: SparkSession, sf_dir: str) -> DataFrame:
 @check("cdc_doc_insert", """SELECT event_id * 2 AS off, user_id, event_id AS n, CAST(round(value * 100) AS BIGINT) AS v
   FROM events WHERE event_type = 'signup' AND event_id % 2 = 0""")
 def cdc_doc_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = patch_log(spark, sf_dir).filter("value.op IN ('c', 'r')")
-    ops = users(errors.good(cdoc.document_ops(log)))
+    log = patch_log(spark, sf_dir)
+    ops = of_events(users(errors.good(cdoc.document_ops(log))), log, "c", "r")
     number = lambda n: F.col("sets")[n].cast("bigint").alias(n)
     return op_rows(ops, REPLACE).select(F.col("offset").alias("off"), "user_id", number("n"), number("v"))
 
@@ -171,8 +177,9 @@ def cdc_doc_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
   FROM events WHERE event_type = 'signup' AND event_id % 2 = 1""")
 def cdc_doc_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Patches that hold `_id`, as replacements (document target) and delete-insert pairs (row target)."""
-    log = patch_log(spark, sf_dir).filter("value.op = 'u'")
-    ops = cdoc.delete_insert_pairs(op_rows(errors.good(cdoc.document_ops(log)), REPLACE).drop("present"))
+    log = patch_log(spark, sf_dir)
+    ops = of_events(op_rows(errors.good(cdoc.document_ops(log)), REPLACE), log, "u")
+    ops = cdoc.delete_insert_pairs(ops.drop("present"))
     folded = fold.fold_fields(ops.withColumn("k", F.concat_ws("|", "k", "offset")))
     number = lambda n: F.col("sets")[n].cast("bigint").alias(n)
     return folded.filter("reset = 'replace'").select(
@@ -193,13 +200,12 @@ def cdc_doc_set(spark: SparkSession, sf_dir: str) -> DataFrame:
   FROM events, (VALUES ('document'), ('row')) t(target) WHERE event_type = 'error' AND event_id % 4 <> 0""")
 def cdc_doc_unset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Document targets lose the field, row targets get a null."""
-    is_unset = F.col("value.patch").startswith('{"$unset"')
-    log = patch_log(spark, sf_dir).filter(is_unset)
+    log = patch_log(spark, sf_dir)
     head = lambda t: [F.lit(t).alias("target"), F.col("offset").alias("off"), "user_id"]
     gone = users(errors.good(cdoc.document_ops(log))).select(
         *head("document"), F.explode("unsets").alias("f"), F.lit(None).cast("string").alias("v")
     )
-    nulled = users(errors.good(cdoc.document_ops(log, "row"))).select(*head("row"), F.explode("sets").alias("f", "v"))
+    nulled = users(errors.good(cdoc.document_ops(log, "row"))).select(*head("row"), F.explode("sets").alias("f", "v")).filter("v = 'null'")
     return gone.unionByName(nulled)
 
 
