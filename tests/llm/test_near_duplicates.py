@@ -72,6 +72,56 @@ def test_groups(spark):
     assert {str(r.doc_id) for r in kept.collect()} == {str(i) for i, c in got if i == c}
 
 
+def test_groups_at_the_threshold(spark):
+    # edited copies of three texts, many pairs of which are just below or just above the threshold
+    r = random.Random(11)
+    rows = []
+    for k in range(90):
+        w = cases.words(110, 300 + k % 3).split()[: r.randrange(90, 110)]
+        for _ in range(r.randrange(1, 4)):
+            w[r.randrange(len(w))] = "q" * r.randrange(3, 40)
+        rows.append((k, " ".join(w), *cases.documents()[0][2:]))
+    got = sorted(((x.doc_id, x.class_id) for x in M.near_duplicates(cases.frame(spark, rows)).collect()), key=str)
+    assert got == expected(rows) and 5 < len({c for _, c in got}) < 85
+
+
+def test_bounds_are_no_less():
+    r = np.random.default_rng(3)
+    for _ in range(200):
+        sets = [np.flatnonzero(r.random(40) < r.random()) for _ in range(6)]
+        sets = [k if len(k) else np.array([0]) for k in sets]
+        counts = [r.integers(1, 4, len(k)) if _ % 2 else np.ones(len(k), int) for k in sets]
+        x = np.zeros(40)
+        x[sets[0]] = counts[0]
+        got = M._bounds(x, counts[0].sum(), np.concatenate(sets[1:]), np.concatenate(counts[1:]), np.repeat(np.arange(5), [len(k) for k in sets[1:]]), 5)
+        exact = [M.similarity(sets[0], counts[0], k, c) for k, c in zip(sets[1:], counts[1:])]
+        assert (got >= np.array(exact) - 1e-12).all()
+        if not _ % 2:
+            assert got == pytest.approx(exact)
+
+
+def test_members_meet_in_one_band(spark):
+    r = np.random.default_rng(0)
+    base = r.integers(0, 2**32, M.M).astype(np.uint32)
+    other = base.copy()
+    other[: 3 * M.BAND : M.BAND] += 1  # the first three bands differ
+    rows = [(band, 7, k, k % 3, base.tobytes(), 100) for band in range(5) for k in range(30)]
+    rows += [(band, 7, 50, 50, other.tobytes(), 100) for band in range(3, 5)]
+    df = spark.createDataFrame(rows, "band int, bucket long, class long, component long, signature binary, n_words long")
+    got = {(x.band, x["class"]) for x in M._meeting(df).collect()}
+    assert got == {(0, k) for k in range(30)} | {(3, k) for k in [*range(30), 50]}
+
+
+def test_one_row_of_copies(spark):
+    text, more = cases.words(30, 5), cases.words(30, 6)
+    rows = [(None, text, {"a": k}) for k in range(3)] + [(4, more, {"a": 2}), (4, more, {"a": 1}), (9, more, None), (4, more + " tail", None),
+            (7, "", None), (7, "", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row map<string, int>").repartition(3)
+    got = sorted(((x.doc_id, x.text, x.row) for x in M.one_of_each(docs).collect()), key=str)
+    assert [(i, r) for i, t, r in got if t == text] == [(None, {"a": 0})] and len(got) == 4
+    assert sum(i == 4 for i, _, _ in got) == 1 and sum(i == 7 for i, _, _ in got) == 2
+
+
 def test_blocks_find_pairs_across_components(spark):
     r = np.random.default_rng(0)
     base = r.integers(0, 2**32, 128).astype(np.uint32)

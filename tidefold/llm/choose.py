@@ -1,4 +1,4 @@
-"""Documents without some of them, chosen by id and text."""
+"""Documents without some of them, or those only, chosen by id and text."""
 
 from __future__ import annotations
 
@@ -18,11 +18,20 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def without(docs: DataFrame, bad: DataFrame) -> DataFrame:
-    """Rows of `docs` whose doc_id and xxhash64 of text are not among `bad` (doc_id, text_hash)."""
+def _chosen(docs: DataFrame, some: DataFrame, how: str) -> DataFrame:
     key = lambda h: F.struct(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)), F.col("doc_id").isNull(), h)
-    bad = small(bad.select(key(F.col("text_hash")).alias("__bad")).distinct())
+    some = small(some.select(key(F.col("text_hash")).alias("__some")).distinct())
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                        key(F.xxhash64(F.col("text").cast("string"))).alias("__key"))
-    kept = rows.join(bad, F.col("__key") == F.col("__bad"), "left_anti")
+    kept = rows.join(some, F.col("__key") == F.col("__some"), how)
     return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+
+
+def without(docs: DataFrame, bad: DataFrame) -> DataFrame:
+    """Rows of `docs` whose doc_id and xxhash64 of text are not among `bad` (doc_id, text_hash)."""
+    return _chosen(docs, bad, "left_anti")
+
+
+def within(docs: DataFrame, some: DataFrame) -> DataFrame:
+    """Rows of `docs` whose doc_id and xxhash64 of text are among `some` (doc_id, text_hash)."""
+    return _chosen(docs, some, "left_semi")

@@ -14,13 +14,16 @@ texts agree in a register with the probability Jaccard similarity of their weigh
    pairs of blocks.  First each pair of blocks names the maximum spanning forest of its components, by the
    number of agreeing registers: a hub that is nearer to all than they are to each other is found so.  Its
    pairs are verified and the components joined.
-4. Pairs that still are of different components, share a bucket and agree in enough registers (`ESTIMATE`;
-   at the threshold 999 of 1000 true pairs do) are all verified.
+4. Buckets that still hold several components are decided in their blocks: members that agree with one of
+   another component in `ALIKE` registers, in this band and in none before it, meet with their texts, and the
+   task compares each with the others' shingles, joins components at their first link and gives the links of
+   a spanning forest.  No pair leaves the task, and each is compared in one band only.
 5. Components are named by their smallest doc_id.
 
 Cases: texts without words (null and empty ones too) are classes of their own and link with
 nothing; texts of one to four words have one shingle of all their words; rows that repeat a doc_id
-are of one document and are kept or not by their class; a null doc_id names no class unless no
+are each of their text's class, and `kept` marks one text of a class, that of its smallest doc_id with the
+least hash; `one_of_each` leaves one row of it; a null doc_id names no class unless no
 other does; empty tables give no rows; other columns are ignored.
 """
 
@@ -32,9 +35,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidefold.llm.choose import small, without
+from tidefold.llm.choose import small, within, without
 from tidefold.llm.components import components, forest as forest_of
-from tidefold.llm.textbytes import ALNUM, C1, LOWER, buffer_of, hash_spans, mix, shingles, slices, word_spans
+from tidefold.llm.textbytes import ALNUM, C1, LOWER, buffer_of, hash_spans, mix, ragged, shingles, slices, word_spans
 from tidefold.sinks.folders import shared_folder
 
 WORDS = 5
@@ -43,9 +46,12 @@ M = 128
 BAND = 4  # registers of a band: at similarity 0.8 all 32 bands differ once in 10^7
 BLOCK = 512
 PAIR_BYTES = 1 << 20  # text of the pairs that are verified at once, but for longer pairs
-# share of agreeing registers from which pairs are verified: three deviations below the threshold, which
-# are sqrt(0.8 * 0.2 / 128) each
+BLOCK_WORDS = 400_000  # of the texts of a block that are compared in a task
+# share of agreeing registers of the pairs that a spanning forest is looked for in: three deviations below the
+# threshold, which are sqrt(0.8 * 0.2 / 128) each
 ESTIMATE = 0.69
+# registers in which pairs agree that are compared: six deviations below, missed as rarely as by the bands
+ALIKE = 76
 SEED = np.uint64(0x51D7348D2C1F9A3B)
 
 
@@ -134,10 +140,10 @@ def _signed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             s = Shingled(p["text"])
             one, two = s.texts()
             held = signatures(s.key, s.count, s.doc, p.num_rows)
+            short = (mix(held) >> np.uint64(32)).astype(np.uint32)
             band = np.full((p.num_rows, M // BAND), 7, np.uint64)
             for k in range(BAND):
-                band = mix(band * C1 + held[:, k::BAND])
-            short = (mix(held) >> np.uint64(32)).astype(np.uint32)
+                band = mix(band * C1 + short[:, k::BAND].astype(np.uint64))
             wide = M // BAND
             yield pa.RecordBatch.from_pydict({
                 "doc_id": p["doc_id"], "text_hash": p["text_hash"], "n_words": pa.array(np.diff(s.first)), "one": pa.array(one), "two": pa.array(two),
@@ -167,9 +173,13 @@ def _verify(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return met.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, ok boolean")
 
 
-def _texts(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """One text of every class in the pairs."""
-    wanted = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b"))).distinct()
+def _sides(pairs: DataFrame) -> DataFrame:
+    """The classes in the pairs."""
+    return pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b"))).distinct()
+
+
+def _texts(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """One text of every wanted class."""
     wanted = _stored(wanted.join(classes, "class").select("class", "least", "text_hash"), "minhash-wanted")
     rows = docs.select(F.col("doc_id").alias("least"), "text", F.xxhash64("text").alias("text_hash"))
     same = F.struct(F.coalesce("least", F.lit(-(2**63))).alias("id"), "text_hash")
@@ -232,6 +242,88 @@ def _blocks(members: DataFrame, forest: bool) -> DataFrame:
     return dealt.groupBy("band", "bucket", "i", "j").applyInArrow(run, "a long, b long").distinct()
 
 
+class _Met:
+    """Members of two blocks of a bucket."""
+
+    def __init__(self, rows: pa.Table):
+        self.cls, self.comp, block = (rows[c].to_numpy() for c in ("class", "component", "block"))
+        self.sig = np.frombuffer(b"".join(rows["signature"].to_pylist()), np.uint32).reshape(len(self.cls), M)
+        self.band, i, j = (rows[c][0].as_py() for c in ("band", "i", "j"))
+        self.one = i == j
+        self.left, self.right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+
+    def alike(self, p: int, comp: np.ndarray) -> np.ndarray:
+        """Members of other components that agree with p in enough registers, and first of all bands in this one."""
+        q = self.right[comp[self.right] != comp[p]]
+        if self.one:
+            q = q[self.cls[q] > self.cls[p]]
+        same = self.sig[q] == self.sig[p]
+        q, same = q[same.sum(1) >= ALIKE], same[same.sum(1) >= ALIKE]
+        bands = same.reshape(len(q), M // BAND, BAND).all(2)
+        return q[bands[:, self.band] & ~bands[:, : self.band].any(1)]
+
+
+def _meeting(members: DataFrame) -> DataFrame:
+    """Members of open buckets, by pairs of blocks, that some member of another component is like."""
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n_words") / BLOCK_WORDS)).cast("int")
+    counted = members.groupBy("band", "bucket").agg(blocks.alias("blocks"))
+    dealt = members.join(counted, ["band", "bucket"]).withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    dealt = dealt.withColumn("other", other).withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+    dealt = dealt.select("band", "bucket", "i", "j", "block", "class", "component", "signature")
+
+    def run(rows: pa.Table) -> pa.Table:
+        met = _Met(rows)
+        some = np.zeros(len(met.cls), bool)
+        for p in met.left.tolist():
+            q = met.alike(p, met.comp)
+            some[q] = True
+            some[p] |= len(q) > 0
+        return rows.filter(pa.array(some))
+
+    return dealt.groupBy("band", "bucket", "i", "j").applyInArrow(run, dealt.schema)
+
+
+def _bounds(x: np.ndarray, total: float, key: np.ndarray, count: np.ndarray, text: np.ndarray, texts: int) -> np.ndarray:
+    """No less than the similarity of a text of weights `x` (by key) with each of some texts.
+
+    In the sum below a common element, common elements count by their sums on either side, not by the larger of
+    each; where their weights are in proportion, as with shingles that do not repeat, this is the similarity.
+    """
+    whole = np.bincount(text, count, texts)
+    both = x[key] > 0
+    u, v, text = x[key[both]], count[both], text[both]
+    first, second = np.bincount(text, u, texts), np.bincount(text, v, texts)
+    rest = (total - first)[text] / u + (whole - second)[text] / v
+    return np.bincount(text, 1 / (rest + np.maximum(first[text] / u, second[text] / v)), texts)
+
+
+def _decided(met: DataFrame, least: float) -> DataFrame:
+    """Links (a, b) that join the components of each pair of blocks, of members and their texts."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        m, s = _Met(rows), Shingled(rows["text"])
+        _, key = np.unique(s.key, return_inverse=True)
+        x = np.zeros(len(s.key))
+        size, comp, found = np.diff(s.at, append=len(s.key)), m.comp.copy(), []
+        cut = lambda k: slice(s.at[k], s.at[k] + size[k])
+        for p in m.left.tolist():
+            q = m.alike(p, comp)
+            if not len(q):
+                continue
+            x[key[cut(p)]] = s.count[cut(p)]
+            at = ragged(s.at[q], size[q])
+            top = _bounds(x, s.count[cut(p)].sum(), key[at], s.count[at], np.repeat(np.arange(len(q)), size[q]), len(q))
+            x[key[cut(p)]] = 0
+            for k in q[np.flatnonzero(top >= least - 1e-9)[np.argsort(-top[top >= least - 1e-9], kind="stable")]].tolist():
+                if comp[k] != comp[p] and similarity(s.key[cut(p)], s.count[cut(p)], s.key[cut(k)], s.count[cut(k)]) >= least - 1e-12:
+                    found.append((min(m.cls[p], m.cls[k]), max(m.cls[p], m.cls[k])))
+                    comp[comp == comp[k]] = comp[p]
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    return met.groupBy("band", "bucket", "i", "j").applyInArrow(run, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """doc_id, text_hash, n_words, class_id (the smallest doc_id of the group) and kept (doc_id = class_id)."""
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
@@ -241,8 +333,8 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     classes = some.groupBy("one", "two").agg(
         F.coalesce(F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_hash"))),
                    F.min(F.struct("doc_id", "text_hash"))).alias("least"), F.first("bands").alias("bands"),
-        F.first("signature").alias("signature"))
-    classes = classes.select("one", "two", "bands", "signature", "least.doc_id", "least.text_hash")
+        F.first("signature").alias("signature"), F.first("n_words").alias("n_words"))
+    classes = classes.select("one", "two", "bands", "signature", "n_words", "least.doc_id", "least.text_hash")
     classes = classes.withColumnRenamed("doc_id", "least")
     classes = _stored(classes.withColumn("class", F.monotonically_increasing_id()), "minhash-classes")
     entry = F.posexplode("bands").alias("band", "bucket")
@@ -250,31 +342,49 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     leaders = members.groupBy("band", "bucket").agg(F.min("class").alias("a"), F.count("*").alias("n")).filter("n > 1")
     shared = _stored(members.join(leaders.select("band", "bucket", "a"), ["band", "bucket"]), "minhash-buckets")
     pairs = _stored(shared.filter("a < class").select("a", F.col("class").alias("b")).distinct(), "minhash-pairs")
-    done = _stored(_verify(pairs, _texts(rows, classes, pairs), least), "minhash-verified")
+    done = _stored(_verify(pairs, _texts(rows, classes, _sides(pairs)), least), "minhash-verified")
     links = done.filter("ok").select("a", "b")
-    for forest in (True, False):
-        # buckets that still hold more than one component
-        parts = _stored(components(links), "minhash-components").withColumnRenamed("id", "class")
-        labelled = shared.join(parts, "class", "left").withColumn("component", F.coalesce("component", "class"))
-        open_ = labelled.groupBy("band", "bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-        open_ = open_.filter("x < y").select("band", "bucket")
-        left = labelled.join(open_, ["band", "bucket"]).join(classes.select("class", "signature"), "class")
-        more = _blocks(left.select("band", "bucket", "class", "component", "signature"), forest)
-        more = _stored(more.join(done.select("a", "b"), ["a", "b"], "left_anti"), "minhash-pairs")
-        again = _stored(_verify(more, _texts(rows, classes, more), least), "minhash-verified")
-        done = done.union(again)
-        links = links.union(again.filter("ok").select("a", "b"))
+    left = _open(shared, classes, links)
+    more = _stored(_blocks(left, True).join(done.select("a", "b"), ["a", "b"], "left_anti"), "minhash-pairs")
+    again = _stored(_verify(more, _texts(rows, classes, _sides(more)), least), "minhash-verified")
+    links = links.union(again.filter("ok").select("a", "b"))
+    met = _stored(_meeting(_open(shared, classes, links)), "minhash-met")
+    met = met.join(_texts(rows, classes, met.select("class").distinct()), "class")
+    links = links.union(_stored(_decided(met, least), "minhash-links"))
     parts = components(links).withColumnRenamed("id", "class")
-    named = classes.select("one", "two", "class", "least").join(parts, "class", "left")
+    named = classes.select("one", "two", "class", "least", "text_hash").join(parts, "class", "left")
     named = named.withColumn("component", F.coalesce("component", "class"))
-    names = named.groupBy("component").agg(F.min("least").alias("class_id"))
-    of = named.join(names, "component").select("one", "two", "class_id")
+    first = F.min(F.struct(F.col("least").isNull(), "least", "text_hash")).alias("first")
+    names = named.groupBy("component").agg(first).select("component", F.col("first.least").alias("class_id"), F.col("first.text_hash").alias("chosen"))
+    of = named.join(names, "component").select("one", "two", "class_id", "chosen")
     columns = ["doc_id", "text_hash", "n_words"]
-    out = some.select(*columns, "one", "two").join(of, ["one", "two"]).select(*columns, "class_id")
-    alone = signed.filter("n_words = 0").select(*columns, F.col("doc_id").alias("class_id"))
-    return out.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
+    out = some.select(*columns, "one", "two").join(of, ["one", "two"]).select(*columns, "class_id", "chosen")
+    alone = signed.filter("n_words = 0").select(*columns, F.col("doc_id").alias("class_id"), F.col("text_hash").alias("chosen"))
+    kept = F.col("doc_id").eqNullSafe(F.col("class_id")) & F.col("text_hash").eqNullSafe(F.col("chosen"))
+    return out.unionByName(alone).withColumn("kept", kept).drop("chosen")
+
+
+def _open(shared: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
+    """Members of the buckets that hold more than one component of the links."""
+    parts = _stored(components(links), "minhash-components").withColumnRenamed("id", "class")
+    labelled = shared.join(parts, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    open_ = labelled.groupBy("band", "bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+    open_ = open_.filter("x < y").select("band", "bucket")
+    rows = labelled.join(open_, ["band", "bucket"]).join(classes.select("class", "signature", "n_words"), "class")
+    return rows.select("band", "bucket", "class", "component", "signature", "n_words")
 
 
 def one_of_each(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """The documents, all their columns, with the smallest doc_id of each group only."""
-    return without(docs, near_duplicates(docs, least).filter("not kept").select("doc_id", "text_hash"))
+    """The documents, all their columns: one row of each group, with its smallest doc_id.
+
+    Where rows repeat that id and text, the least of them, as JSON, stays.
+    """
+    found = near_duplicates(docs, least)
+    found = _stored(found.groupBy("doc_id", "text_hash").agg(
+        F.first("kept").alias("kept"), F.sum(F.when(F.col("n_words") > 0, 1).otherwise(0)).alias("n")), "minhash-found")
+    left = without(docs, found.filter("not kept or n > 1").select("doc_id", "text_hash"))
+    repeated = within(docs, found.filter("kept and n > 1").select("doc_id", "text_hash"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    key = [F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.col("text").cast("string")).alias("hash")]
+    one = repeated.select(*key, row.alias("row")).groupBy("id", "hash").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    return left.union(one.select(*[F.col("row").getField(c).alias(c) for c in docs.columns]))
