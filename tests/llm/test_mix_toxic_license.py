@@ -59,6 +59,20 @@ def test_mix_reaches_targets(spark):
     assert whole.columns == docs.columns and whole.count() == sum(r.copies for r in got)
 
 
+@pytest.mark.parametrize("ids", [[None], [7], [None, 3]])
+def test_rows_alike_meet_targets(spark, ids):
+    rows = [(ids[k % len(ids)], "ten words " * 5, "a", k) for k in range(900)] + [(5000 + k, cases.words(10, k), "b", k) for k in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, ties int").repartition(4)
+    got = entropy_mix.mix(docs).select("doc_id", "source", "mix.*").collect()
+    for s, target in shares({"a": 9000, "b": 1500}).items():
+        mine = [r for r in got if r.source == s]
+        assert len(mine) == (900 if s == "a" else 150) and mine[0].target == pytest.approx(target)
+        assert abs(sum(r.copies * r.size for r in mine) - target) <= 10
+    again = entropy_mix.mix(docs.repartition(2)).select("doc_id", "source", "mix.*").collect()
+    assert Counter(map(tuple, got)) == Counter(map(tuple, again))
+    assert entropy_mix.take(docs).count() == sum(r.copies for r in got)
+
+
 def test_base_rates_tilt(spark):
     rows = [(k, cases.words(20, k), "en", "ab"[k % 2], k) for k in range(200)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
@@ -152,6 +166,15 @@ def test_toxicity_awkward_cases(spark):
     assert toxic_chain.predict(cases.frame(spark, []), chain).collect() == []
 
 
+def test_toxic_labels_beside_null_quality(spark):
+    r = random.Random(6)
+    texts = [(k, cases.words(20, 700 + k) + (" " + r.choice(["grobfoul", "vilewort"]) if k % 2 else "")) for k in range(200)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(2)
+    labels = spark.createDataFrame([(k, None if k % 2 else k % 4 // 2, k % 2) for k in range(200)], "doc_id long, quality int, toxic int")
+    chain = toxic_chain.train(docs, labels)
+    assert sorted(x.doc_id for x in toxic_chain.without(docs, chain).collect()) == list(range(0, 200, 2))
+
+
 def licenses(spark, texts):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
     return {r.doc_id: r for r in license_scan.scan(docs).collect()}

@@ -19,12 +19,13 @@ equal (source, cell, base rate), so a step reads a small table and no source is
 Copies.  Rates become whole copies: sizes are put in cells (1 to 64 words singly, then 1% wide).
 From the largest cell down, each cell's copies are what brings the words taken so far nearest to
 the words wanted so far, so errors of large documents are made up by small ones.  A cell's copies
-are dealt evenly over its documents; what does not divide goes to those of the least hashes.  The
+are dealt evenly over its documents; what does not divide goes to those of the least hashes, of rows alike
+to as many as are left over, by their numbers in a stored table.  The
 hash of the last one is found by counts over ranges of the hash, so no source and no cell is in
 one task, and texts are not shuffled.  No document has more than `most` copies.
 
 Cases: a null text has no words and is not taken; a null source is a source, the last one; rows
-that repeat another's id, source and text are documents each, and taken as often as it; empty tables
+that repeat another's id, source and text are documents each, and may be taken once more or less than it; empty tables
 give no rows; a source without words has target 0; columns with clashing names are kept apart.
 """
 
@@ -133,18 +134,36 @@ def mix(
     goals = _kept(targets(sizes, weights, most), "mix-targets")
     hist = facts.groupBy("source", "cell", "base").agg(F.count("*").alias("n"), F.sum("size").alias("words"))
     hist = _kept(hist, "mix-cells")
-    deal = small(_deal(facts, _copies(hist, rates(hist, goals, most), most), most))
+    deal = small(_deal(facts, _copies(hist, rates(hist, goals, most), most)))
     deal = deal.select(*[F.col(c).alias(f"{p}{p}{c}") for c in deal.columns])
     goals = small(goals).select(*[F.col(c).alias(f"{p}{p}{p}{c}") for c in goals.columns])
     out = rows.join(goals, F.col("source").eqNullSafe(F.col(f"{p}{p}{p}source")), "left")
     same = F.col("source").eqNullSafe(F.col(f"{p}{p}source")) & (F.col(f"{p}cell") == F.col(f"{p}{p}cell"))
     same = same & (F.col(f"{p}base") == F.col(f"{p}{p}base"))
     out = out.join(deal, same, "left")
-    copies = F.col(f"{p}{p}each") + F.coalesce((F.col(f"{p}order") <= F.col(f"{p}{p}last")).cast("long"), F.lit(0))
-    facts_ = F.struct(
-        F.col(f"{p}size").alias("size"), F.col(f"{p}{p}{p}source_size").alias("source_size"),
-        F.col(f"{p}{p}{p}target").alias("target"), F.col(f"{p}{p}rate").alias("rate"), copies.alias("copies"))
-    return out.select(facts_.alias(name), *[F.col(f"`{c}`") for c in docs.columns])
+    more = F.coalesce((F.col(f"{p}order") <= F.col(f"{p}{p}last")).cast("long"), F.lit(0))
+
+    def told(rows: DataFrame, more: Column) -> DataFrame:
+        facts_ = F.struct(
+            F.col(f"{p}size").alias("size"), F.col(f"{p}{p}{p}source_size").alias("source_size"), F.col(f"{p}{p}{p}target").alias("target"),
+            F.col(f"{p}{p}rate").alias("rate"), (F.col(f"{p}{p}each") + more).alias("copies"))
+        return rows.select(facts_.alias(name), *[F.col(f"`{c}`") for c in docs.columns])
+
+    if deal.filter(F.col(f"{p}{p}need") < F.col(f"{p}{p}ties")).isEmpty():
+        return told(out, more)
+    # rows alike, some of which are taken once more: they are numbered and dealt by the hashes of their numbers
+    split = F.coalesce((F.col(f"{p}order") == F.col(f"{p}{p}last")) & (F.col(f"{p}{p}need") < F.col(f"{p}{p}ties")), F.lit(False))
+    alike = _kept(out.filter(split).withColumn(f"{p}nth", F.monotonically_increasing_id()), "mix-alike")
+    nth = F.xxhash64(f"{p}nth")
+    again = alike.select("source", *[F.col(p + c).alias(c) for c in ("cell", "base")], nth.alias("order"))
+    some = deal.filter(F.col(f"{p}{p}need") < F.col(f"{p}{p}ties"))
+    some = some.select(*[F.col(f"{p}{p}{c}").alias(c) for c in ("source", "cell", "base", "rate")],
+                       F.col(f"{p}{p}ties").alias("n"), F.col(f"{p}{p}need").alias("copies"))
+    upto = small(_deal(again, some)).select(*[F.col(c).alias(f"{p}{p}{p}{p}{c}") for c in ("source", "cell", "base", "last")])
+    same = [F.col(c).eqNullSafe(F.col(f"{p}{p}{p}{p}{n}")) for c, n in (("source", "source"), (f"{p}cell", "cell"), (f"{p}base", "base"))]
+    alike = alike.join(upto, same, "left")
+    dealt = (F.xxhash64(f"{p}nth") <= F.col(f"{p}{p}{p}{p}last")).cast("long")
+    return told(out.filter(~split), more).unionByName(told(alike, dealt))
 
 
 def _copies(hist: DataFrame, tilts: DataFrame, most: float) -> DataFrame:
@@ -171,9 +190,9 @@ def _copies(hist: DataFrame, tilts: DataFrame, most: float) -> DataFrame:
                  "mix-copies")
 
 
-def _deal(facts: DataFrame, copies: DataFrame, most: float) -> DataFrame:
-    """(source, cell, base, rate, each, last): all documents of a cell are taken `each` times, and
-    those whose hash is `last` or less once more.
+def _deal(facts: DataFrame, copies: DataFrame) -> DataFrame:
+    """(source, cell, base, rate, each, last, need, ties): all documents of a cell are taken `each` times, those
+    whose hash is below `last` once more, and `need` of the `ties` whose hash it is.
 
     `last` is the hash of a given rank in its cell: counts by range of the hash tell the range it lies in,
     and only that range is sorted.
@@ -192,10 +211,11 @@ def _deal(facts: DataFrame, copies: DataFrame, most: float) -> DataFrame:
     some = copies.filter("rest > 0").select(*key, "rest")
     chosen = totals.join(some, match("x_", key)).filter("before < rest and rest <= before + in_block")
     chosen = named(chosen.select(*key, "block", "before", "rest"), [*key, "block"])
-    rows = facts.join(chosen, match("x_", [*key, "block"])).select(*key, "order", "before", "rest")
-    at = F.row_number().over(Window.partitionBy(*key).orderBy("order")) + F.col("before")
-    last = named(rows.withColumn("at", at).filter("at = rest").select(*key, F.col("order").alias("last")), key)
-    return copies.join(last, match("x_", key), "left").select(*key, "rate", "each", "last")
+    rows = facts.join(chosen, match("x_", [*key, "block"])).groupBy(*key, "order", "before", "rest").agg(F.count("*").alias("ties"))
+    upto = F.sum("ties").over(Window.partitionBy(*key).orderBy("order")) + F.col("before")
+    rows = rows.withColumn("need", F.col("rest") - (upto - F.col("ties"))).filter("0 < need and need <= ties")
+    last = named(rows.select(*key, F.col("order").alias("last"), "need", "ties"), key)
+    return copies.join(last, match("x_", key), "left").select(*key, "rate", "each", "last", "need", "ties")
 
 
 def take(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST) -> DataFrame:

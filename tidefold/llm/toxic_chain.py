@@ -11,7 +11,7 @@ likelihood-ratio test against each category over all labelled documents; the lin
 bounded sample, those with the least hashes of their id.  Every document is scored on its whole text.
 
 Cases: documents without a label train nothing; several labels of one doc_id count by their
-maximum, a null label not at all; a null or empty text has no features and is scored by the
+maximum, a null label not at all, while the row's other labels count; a null or empty text has no features and is scored by the
 intercepts; repeated documents train and are scored as often as they are there; a category
 that has one class only is predicted by its share; without any label nothing is toxic; empty
 tables give no rows; other columns are ignored.
@@ -140,12 +140,13 @@ class Chain:
         models, extra = [], np.zeros((len(x), 0))
         for k in range(len(names)):
             full = np.concatenate([x, extra], 1)
-            models.append(Linear.fit(full, y[:, k]))
+            told = ~np.isnan(y[:, k])  # rows that have this label; the others are judged all the same
+            models.append(Linear.fit(full[told], y[told, k]))
             unseen = np.zeros(len(x))
             for f in range(FOLDS):
                 here = fold == f
                 if here.any():
-                    unseen[here] = _sigmoid(Linear.fit(full[~here], y[~here, k]).logit(full[here]))
+                    unseen[here] = _sigmoid(Linear.fit(full[~here & told], y[~here & told, k]).logit(full[here]))
             extra = np.concatenate([extra, unseen[:, None]], 1)
         return Chain(names, known, models)
 
@@ -166,9 +167,9 @@ def _matrix(f: _Features, lookup: Lookup) -> np.ndarray:
 
 
 def label_rows(labels: DataFrame, by: Mapping[str, Column]) -> DataFrame:
-    """doc_id and an array `y` of the categories, of ids that have every label; broadcast if few."""
+    """doc_id and an array `y` of the categories, null where unknown, of ids that have any label; broadcast if few."""
     y = labels.select("doc_id", *[c.alias(f"y{i}") for i, c in enumerate(by.values())]).groupBy("doc_id")
-    y = y.agg(*[F.max(f"y{i}").alias(f"y{i}") for i in range(len(by))]).dropna()
+    y = y.agg(*[F.max(f"y{i}").alias(f"y{i}") for i in range(len(by))]).dropna("all", subset=[f"y{i}" for i in range(len(by))])
     return small(y.filter("doc_id IS NOT NULL").select("doc_id", F.array(*[f"y{i}" for i in range(len(by))]).alias("y")))
 
 
@@ -179,17 +180,17 @@ def choose(rows: DataFrame, n: int) -> np.ndarray:
         for part in parts:
             for p in slices(part):
                 y = np.array(p["y"].to_pylist(), float).reshape(-1, n)
-                key, sums = _Features(p["text"]).counted([np.ones(len(y)), *y.T])
+                key, sums = _Features(p["text"]).counted([*(~np.isnan(y)).T.astype(float), *np.nan_to_num(y).T])
                 yield pa.RecordBatch.from_pydict({"key": pa.array(key.view(np.int64)), **{
-                    f"s{i}": pa.array(sums[:, i].astype(np.int64)) for i in range(n + 1)}})
+                    c: pa.array(sums[:, i].astype(np.int64)) for i, c in enumerate(counts)}})
 
-    schema = ", ".join(["key long", *[f"s{i} long" for i in range(n + 1)]])
-    sums = rows.select("text", "y").mapInArrow(run, schema).groupBy("key")
-    sums = sums.agg(*[F.sum(f"s{i}").alias(f"s{i}") for i in range(n + 1)]).filter(F.col("s0") >= MIN_DOCS)
-    all_ = rows.agg(F.count("*"), *[F.sum(F.col("y")[i]) for i in range(n)]).first()
+    counts = [*[f"n{i}" for i in range(n)], *[f"s{i}" for i in range(n)]]  # texts with the label, texts of the category
+    sums = rows.select("text", "y").mapInArrow(run, ", ".join(["key long", *[f"{c} long" for c in counts]])).groupBy("key")
+    sums = sums.agg(*[F.sum(c).alias(c) for c in counts])
+    all_ = rows.agg(*[F.count(F.col("y")[i]) for i in range(n)], *[F.sum(F.col("y")[i]) for i in range(n)]).first()
     gains = []
     for i in range(n):
-        has, pos, docs, yes = F.col("s0").cast("double"), F.col(f"s{i + 1}").cast("double"), float(all_[0]), float(all_[i + 1] or 0)
+        has, pos, docs, yes = F.col(f"n{i}").cast("double"), F.col(f"s{i}").cast("double"), float(all_[i]), float(all_[n + i] or 0)
 
         def part(seen: Column, expected: Column) -> Column:
             return F.when(seen > 0, 2 * seen * F.log(seen / expected)).otherwise(0.0)
@@ -197,7 +198,7 @@ def choose(rows: DataFrame, n: int) -> np.ndarray:
         g = (part(pos, has * yes / docs) + part(has - pos, has * (docs - yes) / docs)
              + part(yes - pos, (docs - has) * yes / docs) + part(docs - has - (yes - pos), (docs - has) * (docs - yes) / docs)
              ) if 0 < yes < docs else F.lit(0.0)
-        gains.append(g.alias(f"g{i}"))
+        gains.append(F.when(F.col(f"n{i}") >= MIN_DOCS, g).otherwise(0.0).alias(f"g{i}"))
     # the best of each category: a few rows
     table = sums.select("key", *gains)
     best = set()
