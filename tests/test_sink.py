@@ -148,6 +148,37 @@ def test_bad_patch_stops_the_job(spark, tmp_path):
         s.apply(events(spark, [patch(1, set={"s.t": 1})], 1), 1)
 
 
+def test_targets_read_their_own_records(spark, tmp_path, monkeypatch):
+    from tidefold.streaming import sink as module
+
+    plans, apply_targets = [], module.apply_targets
+
+    def seen(tables, log, *rest):
+        plans.extend(log.filter(log["target"] == t)._jdf.queryExecution().executedPlan().toString() for t in tables)
+        apply_targets(tables, log, *rest)
+
+    monkeypatch.setattr(module, "apply_targets", seen)
+    topics = [f"topic{i}" for i in range(6)]
+    log = text_log(spark, [(t, {"id": i}, {"id": i, "name": t, "age": i}) for i in range(3) for t in topics])
+    s = sink(spark, tmp_path, {"id.strategy": "full_key"})
+    s.apply(log, 0)
+    assert len(plans) == 6 and all("PartitionFilters: [isnotnull(target" in p and "InMemoryTableScan" not in p for p in plans)
+    for t in topics:
+        assert sorted((r["doc"]["id"], r["doc"]["name"], r["doc"]["age"]) for r in s.table(t).read().collect()) == [(i, t, i) for i in range(3)]
+    s.apply(log.limit(0), 1)
+
+
+def test_a_failing_target_leaves_the_others(spark, tmp_path):
+    s = sink(spark, tmp_path, {"id.strategy": "full_key"})
+    good = [("people", {"id": 1}, {"id": 1, "name": "a", "age": 1})]
+    log = text_log(spark, good).unionByName(text_log(spark, good).withColumns({"topic": F.lit("broken"), "value": F.lit("{")}))
+    with pytest.raises(Exception):
+        s.apply(log, 0)
+    assert s.table("people").read().count() == 1 and s.table("broken").read() is None
+    s.apply(log.filter("topic = 'people'"), 0)
+    assert s.table("people").read().count() == 1
+
+
 def test_bucket_count_is_checked(spark, tmp_path):
     s = sink(spark, tmp_path, {"id.strategy": "full_key"})
     s.apply(text_log(spark, A), 0)

@@ -9,7 +9,9 @@ the offsets of a topic partition in order, as a partitioned log does.
 from __future__ import annotations
 
 from collections.abc import Callable, Collection, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -18,6 +20,8 @@ from tidefold.operators.merge import after_offsets
 from tidefold.operators.scan import order_times
 from tidefold.sinks.bucket_table import BucketTable, Merge, Resolve
 
+TOGETHER = 4  # targets whose jobs share the cluster
+
 # folded changes of a batch of log records
 Fold = Callable[[DataFrame], DataFrame]
 
@@ -43,12 +47,23 @@ def apply_targets(
     fence: bool = True, source: str = "", resolves: Mapping[str, Resolve] | None = None,
     by_time: Collection[str] = (),
 ) -> None:
-    """Apply one batch to many targets by the `target` column of the log; cache a log that is costly to read."""
-    for name, table in tables.items():
+    """Apply one batch to many targets by the `target` column of the log, `TOGETHER` of them at a time.
+
+    A log that is costly to read is best stored by target.  Targets are independent: where one fails the
+    others are published, and the batch that is tried again passes over them.
+    """
+
+    def one(name: str, table: BucketTable) -> None:
         fold, merge = plans[name]
         resolve = (resolves or {}).get(name)
         apply_batch(table, log.filter(log["target"] == name), fold, merge, batch, fence, source, resolve, name in by_time)
 
+    with ThreadPoolExecutor(TOGETHER) as pool:
+        each = inheritable_thread_target(log.sparkSession)(one)
+        jobs = [pool.submit(each, name, table) for name, table in tables.items()]
+    for job in jobs:
+        job.result()
+
 
 def apply_stream(
     stream: DataFrame, each_batch: Callable[[DataFrame, int], None], checkpoint: str, **trigger

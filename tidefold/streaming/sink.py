@@ -21,6 +21,7 @@ from tidefold.model import LOG_POSITION
 from tidefold.operators import keyless, route
 from tidefold.plans.settings import Settings
 from tidefold.plans.target_plan import Registry, TargetPlan
+from tidefold.sinks import folders
 from tidefold.sinks.bucket_table import BucketTable
 from tidefold.sources.decode import Decoder, decode
 from tidefold.streaming.apply import apply_stream, apply_targets
@@ -59,8 +60,15 @@ class ConfiguredSink:
         return route.route(log, self.settings.routes(), self.settings.get("route"), self.settings.rewrites())
 
     def apply(self, log: DataFrame, batch: int, source: str = "") -> None:
-        """Apply one batch of records to all targets they are for; a source applies each batch once."""
-        routed = self.routed(log).persist()
+        """Apply one batch of records to all targets they are for; a source applies each batch once.
+
+        The batch is read once and written by target to the shared folder, where each target reads its own
+        records only, also after executors are lost.
+        """
+        folder = folders.shared_folder(self.spark, "routed")
+        routed = self.routed(log)
+        routed.write.partitionBy("target").parquet(folder)
+        routed = self.spark.read.schema(routed.schema).parquet(folder)
         try:
             # as many rows as there are topics
             topics = Counter(r["target"] for r in routed.select("target", "topic").distinct().collect())
@@ -75,7 +83,7 @@ class ConfiguredSink:
             resolves = {t: p.resolve for t, p in plans.items() if p.resolves()}
             apply_targets(tables, decoded, steps, batch, self.fence, source, resolves, several)
         finally:
-            routed.unpersist()
+            folders.remove(self.spark, folder)
 
     def write_rejects(
         self, plan: TargetPlan, table: BucketTable, routed: DataFrame, decoded: DataFrame, batch: int, source: str
