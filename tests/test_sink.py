@@ -203,3 +203,31 @@ def test_texts_are_not_passed_through_a_redaction(spark, tmp_path):
     s.value_decoder = None
     with pytest.raises(ValueError):
         s.apply(text_log(spark, A), 0)
+
+
+def test_a_bucket_is_cut_into_tasks(spark, tmp_path, monkeypatch):
+    """What one task merges does not grow with the table: a large bucket is written by several tasks."""
+    from tidefold.operators import keyless
+    from tidefold.sinks import bucket_table
+    from tidefold.streaming import sink as sinking
+
+    monkeypatch.setattr(bucket_table, "TASK_ROWS", 200)
+    monkeypatch.setattr(sinking, "SCAN_ROWS", 100)
+    row = "struct<a:bigint,b:string>"
+    event = lambda op, before, after: F.struct(F.lit(op).alias("op"), before.cast(row).alias("before"), after.cast(row).alias("after"))
+    image, none = F.struct(F.least("id", F.lit(2000)).alias("a"), F.lit("x").alias("b")), F.lit(None)
+    place = lambda df, n: df.select(F.lit("t").alias("topic"), F.lit(0).alias("partition"), (F.col("id") + n).alias("offset"),
+                                    F.lit(None).cast("timestamp").alias("timestamp"), F.lit("CREATE_TIME").alias("timestamp_type"),
+                                    F.lit(None).cast("struct<id:bigint>").alias("key"), "value")
+    s = ConfiguredSink(spark, Settings({"cdc.handler": "mysql", "keyless": "true"}), str(tmp_path), buckets=2)
+    # one image 3,000 times, 2,000 others once; then a tenth of the others is taken away
+    s.apply(place(spark.range(5000).withColumn("value", event("c", none, image)), 0), 0)
+    s.apply(place(spark.range(2000).filter("id % 10 = 0").withColumn("value", event("d", image, none)), 10_000), 1)
+    rows = s.rows("t").groupBy("a").count().collect()
+    assert {r["a"]: r["count"] for r in rows} == {**{i: 1 for i in range(2000) if i % 10}, 2000: 3000}
+    table = s.table("t")
+    for bucket, (version, _) in table.manifest().buckets.items():
+        files = spark.read.parquet(f"{table.path}/data/v={version}/_bucket={bucket}").inputFiles()
+        assert len(files) >= 4
+    placed = table.read(with_bucket=True).select((table.bucket() == F.col("_bucket")).alias("right"), keyless.COUNT)
+    assert placed.filter("NOT right").isEmpty()
