@@ -5,6 +5,7 @@ import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.test_sink import events, patches, stored
 
@@ -109,3 +110,32 @@ def test_refused_patch_leaves_an_older_one(spark, tmp_path):
     log = [(1, "u", {"$set": {"a": 1}}), (1, "u", {"$set": {"a": 2, "s.x": 1}})]
     s.apply(events(spark, [as_record(*r) for r in log], 1), 1)
     assert stored(s) == {"1": {"_id": 1, "a": 1, "s": 5}}
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_documents_pass_python_once(spark):
+    """The filters on what the function gives must not run it again, and asking for scalars needs no Python."""
+    from tidefold.operators import errors, fold_nested
+
+    target = spark.createDataFrame([("a", '{"n":1.50,"s":{"t":"\u00e9\\n"}}'), ("b", '{"n":2}')], "k string, doc string")
+    delta = spark.createDataFrame(
+        [("a", [("s.u", "set", "1e400", 1, 1)])], "k string, writes array<struct<path:string,act:string,text:string,nth:int,made:int>>")
+    rows = errors.fail_fast(fold_nested.merge_paths(target, delta))
+    assert plan_of(rows).count("ArrowEvalPython") == 1
+    assert dict(rows.select("k", "doc").collect()) == {"a": '{"n":1.50,"s":{"t":"\u00e9\\n","u":1e400}}', "b": '{"n":2}'}
+
+
+@pytest.mark.parametrize("text, path, want", [
+    ('{"a":{"b":1}}', ["a"], False), ('{"a":{"b":1}}', ["a", "b"], True), ('{"a":{"b":null}}', ["a", "b"], True),
+    ('{"a":{"b":[{}]}}', ["a", "b"], True), ('{"a":1}', ["a", "b"], False), ('{"a":1}', ["c"], False),
+    ("5", [], True), ("null", [], True), ("{}", [], False), (None, ["a"], False), ('{"a.b":1}', ["a.b"], True),
+])
+def test_scalars_are_found_without_python(spark, text, path, want):
+    from tidefold.operators.refuse import holds_scalar
+
+    df = spark.createDataFrame([(text, path)], "t string, p array<string>").select(holds_scalar(F.col("t"), F.col("p")).alias("is"))
+    assert "EvalPython" not in plan_of(df)
+    assert df.first()["is"] is want
