@@ -87,3 +87,21 @@ def test_query(spark):
         ids = expected(texts[r.doc_id])
         assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest())
         assert r.decoded_sha256 == hashlib.sha256((texts[r.doc_id] or "").encode()).hexdigest()
+
+
+def test_places_of_a_slice_are_never_whole():
+    """A slice is assembled row by row: memory for its places is that of a row."""
+    import tracemalloc
+
+    n, rows = 1 << 14, 64
+    planes = word_bpe._planes(np.zeros(n, np.int32))
+    left = pa.table({"slice": [0] * rows, "chunk": list(range(rows))[::-1], "doc_ids": pa.array([[i] for i in range(rows)][::-1], pa.list_(pa.int64())),
+                     "counts": pa.array([[n]] * rows, pa.list_(pa.int32())), "places": pa.array([planes] * rows, pa.binary())})
+    one = lambda *v: [word_bpe._planes(np.array(v, np.int32))]
+    right = pa.table({"slice": [0], "numbers": one(0), "sizes": one(0), "ids": one()})
+    tracemalloc.start()
+    got = word_bpe._assembled((0,), left, right)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got["doc_id"].to_pylist() == list(range(rows)) and got["ids"].to_pylist() == [[]] * rows
+    assert peak < 4 * n * rows

@@ -263,23 +263,24 @@ ENCODED = "slice long, numbers binary, sizes binary, ids binary"
 
 def _assembled(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
     """One slice: the ids of each document, from its places and the ids of its words."""
-    left = left.sort_by("chunk")
-    flatten = lambda c: pa.concat_arrays([k.flatten() for k in left[c].chunks])
     joined = lambda table, c: np.concatenate([_from_planes(v.as_buffer()) for v in table[c]] or [np.zeros(0, np.int32)])
-    docs, counts, places = flatten("doc_ids"), flatten("counts").to_numpy().astype(np.int64), joined(left, "places")
     numbers, sizes, ids = (joined(right, c) for c in ("numbers", "sizes", "ids"))
     size, first = np.zeros(len(numbers), np.int32), np.zeros(len(numbers), np.int64)
     size[numbers], first[numbers] = sizes, np.cumsum(sizes) - sizes
-    out, upto = [], np.concatenate([[0], np.cumsum(counts)])
-    d = 0
-    while d < len(docs):  # some documents at a time
-        z = max(d + 1, int(np.searchsorted(upto, upto[d] + (1 << 18), "right")) - 1)
-        p = places[upto[d] : upto[z]]
-        n = size[p]
-        at = np.concatenate([[0], np.cumsum(n)])[upto[d : z + 1] - upto[d]]
-        lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids[ragged(first[p], n)]))
-        out.append(pa.RecordBatch.from_arrays([docs.slice(d, z - d), lists], ["doc_id", "ids"]))
-        d = z
+    del numbers, sizes
+    out = []
+    for i in np.argsort(left["chunk"].to_numpy()).tolist():  # the places of one row of the slice at a time
+        docs, counts = left["doc_ids"][i].values, left["counts"][i].values.to_numpy().astype(np.int64)
+        places, upto = _from_planes(left["places"][i].as_buffer()), np.concatenate([[0], np.cumsum(counts)])
+        d = 0
+        while d < len(docs):  # some documents at a time
+            z = max(d + 1, int(np.searchsorted(upto, upto[d] + (1 << 18), "right")) - 1)
+            p = places[upto[d] : upto[z]]
+            n = size[p]
+            at = np.concatenate([[0], np.cumsum(n)])[upto[d : z + 1] - upto[d]]
+            lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids[ragged(first[p], n)]))
+            out.append(pa.RecordBatch.from_arrays([docs.slice(d, z - d), lists], ["doc_id", "ids"]))
+            d = z
     return pa.Table.from_batches(out)
 
 
