@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidefold.llm.choose import without
-from tidefold.llm.textbytes import ALNUM, C1, LOWER, buffer_of, hash_spans, mix, ragged, slices, word_spans
+from tidefold.llm.textbytes import ALNUM, C1, LOWER, buffer_of, freed, hash_spans, mix, ragged, slices, word_spans
 from tidefold.sinks.folders import shared_folder
 
 WINDOW = 10
@@ -211,7 +211,7 @@ def _find(docs: DataFrame, windows: Windows, counts: dict[int, np.ndarray]) -> D
                  "starts": lists(begin), "ends": lists(stop), "items": items}
             )
 
-    return docs.mapInArrow(run, HITS)
+    return docs.mapInArrow(freed(run), HITS)
 
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:

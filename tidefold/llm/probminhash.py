@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidefold.llm.choose import small, within, without
 from tidefold.llm.components import components, forest as forest_of
-from tidefold.llm.textbytes import ALNUM, C1, LOWER, buffer_of, hash_spans, mix, ragged, shingles, slices, word_spans
+from tidefold.llm.textbytes import ALNUM, C1, LOWER, SMALL_BYTES, buffer_of, freed, hash_spans, mix, ragged, shingles, slices, word_spans
 from tidefold.sinks.folders import shared_folder
 
 WORDS = 5
@@ -136,7 +136,7 @@ def similarity(a: np.ndarray, x: np.ndarray, b: np.ndarray, y: np.ndarray) -> fl
 
 def _signed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in parts:
-        for p in slices(part):
+        for p in slices(part, SMALL_BYTES):
             s = Shingled(p["text"])
             one, two = s.texts()
             held = signatures(s.key, s.count, s.doc, p.num_rows)
@@ -170,7 +170,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     left = texts.select(F.col("class").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("class").alias("b"), F.col("text").alias("text_b"))
     met = pairs.join(right, "b").join(left, "a")
-    return met.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, ok boolean")
+    return met.select("a", "b", "text_a", "text_b").mapInArrow(freed(run), "a long, b long, ok boolean")
 
 
 def _sides(pairs: DataFrame) -> DataFrame:
@@ -328,7 +328,7 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """doc_id, text_hash, n_words, class_id (the smallest doc_id of the group) and kept (doc_id = class_id)."""
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     hashed = rows.withColumn("text_hash", F.xxhash64("text"))
-    signed = _stored(hashed.mapInArrow(_signed, _SIGNED), "minhash-signed")
+    signed = _stored(hashed.mapInArrow(freed(_signed), _SIGNED), "minhash-signed")
     some = signed.filter("n_words > 0")
     classes = some.groupBy("one", "two").agg(
         F.coalesce(F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_hash"))),

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tidefold.llm.textbytes import buffer_of, hash_spans, ragged, slices
+from tidefold.llm.textbytes import SMALL_BYTES, buffer_of, freed, hash_spans, large, ragged, slices
 from tidefold.sinks.folders import shared_folder
 
 GROUP = 128
@@ -301,6 +301,7 @@ class Encoder:
         return self.flat[ragged(self.first[place], size)], np.diff(total)
 
 
+@large
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     """One per worker process, whatever the number of its tasks."""
@@ -325,7 +326,7 @@ def _encoded(path: str, end_id: int, block_ids: int) -> Callable[[Iterator[pa.Re
             return pa.RecordBatch.from_pydict({c: pa.array([v], t) for (c, v), t in zip(row.items(), kinds)})
 
         for part in parts:
-            for rows in slices(part):
+            for rows in slices(part, SMALL_BYTES):
                 ids, lengths = _with_end(*encode_texts(*buffer_of(rows["text"])), end_id)
                 column = rows["doc_id"].cast(pa.int64())
                 waiting.append((column.fill_null(0).to_numpy(zero_copy_only=False),
@@ -351,7 +352,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0, block_i
     # a tie of many rows is spread by a hash; rows of one id follow each other in the order of that hash and the text
     tie = F.xxhash64("text")
     rows = rows.repartitionByRange(parts, "doc_id", tie).sortWithinPartitions("doc_id", tie, "text")
-    blocks = rows.mapInArrow(_encoded(tokenizer, end_id, block_ids), BLOCKS)
+    blocks = rows.mapInArrow(freed(_encoded(tokenizer, end_id, block_ids), keep=True), BLOCKS)
     blocks.write.option("compression", "uncompressed").parquet(f"{folder}/blocks")
     stored = spark.read.schema(BLOCKS).parquet(f"{folder}/blocks").select("shard", "block", "n_ids")
     before = F.sum("n_ids").over(Window.partitionBy("shard").orderBy("block")) - F.col("n_ids")
@@ -386,7 +387,7 @@ def read(spark: SparkSession, folder: str, with_ids: bool = True) -> DataFrame:
 
     blocks = spark.read.schema(BLOCKS).parquet(f"{folder}/blocks").select("shard", "block", "payload")
     index = spark.read.schema("shard int, block int, first long").parquet(f"{folder}/index")
-    df = blocks.mapInArrow(run, schema).join(index, ["shard", "block"])
+    df = blocks.mapInArrow(freed(run), schema).join(index, ["shard", "block"])
     return df.withColumn("start", F.col("first") + F.col("inside")).drop("first", "inside")
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidefold.llm.choose import small
 from tidefold.llm.decontaminate import Lookup
 from tidefold.llm.exchange import unique
-from tidefold.llm.textbytes import ALNUM, LOWER, buffer_of, hash_spans, slices, word_spans
+from tidefold.llm.textbytes import ALNUM, LOWER, SMALL_BYTES, buffer_of, freed, hash_spans, slices, word_spans
 
 SAMPLE_ROWS = 20_000
 WORDS_PER_CATEGORY = 150
@@ -185,7 +185,7 @@ def choose(rows: DataFrame, n: int) -> np.ndarray:
                     c: pa.array(sums[:, i].astype(np.int64)) for i, c in enumerate(counts)}})
 
     counts = [*[f"n{i}" for i in range(n)], *[f"s{i}" for i in range(n)]]  # texts with the label, texts of the category
-    sums = rows.select("text", "y").mapInArrow(run, ", ".join(["key long", *[f"{c} long" for c in counts]])).groupBy("key")
+    sums = rows.select("text", "y").mapInArrow(freed(run), ", ".join(["key long", *[f"{c} long" for c in counts]])).groupBy("key")
     sums = sums.agg(*[F.sum(c).alias(c) for c in counts])
     all_ = rows.agg(*[F.count(F.col("y")[i]) for i in range(n)], *[F.sum(F.col("y")[i]) for i in range(n)]).first()
     gains = []
@@ -223,7 +223,7 @@ def train(docs: DataFrame, labels: DataFrame, by: Mapping[str, Column] | None =
     lookup = Lookup(known)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for p in (s for part in parts for s in slices(part)):
+        for p in (s for part in parts for s in slices(part, SMALL_BYTES)):
             x = _matrix(_Features(p["text"]), lookup)
             raw = [r.tobytes() for r in np.packbits(x[:, : len(known)] > 0, axis=1)]
             yield pa.RecordBatch.from_pydict({
@@ -234,7 +234,7 @@ def train(docs: DataFrame, labels: DataFrame, by: Mapping[str, Column] | None =
     hash_ = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
     share = min(1.0, 1.5 * sample_rows / count) * (1 << 20)
     chosen = rows.filter(hash_ < share).select("doc_id", "text", "y")
-    made = chosen.mapInArrow(run, "doc_id long, y array<int>, words binary, measures array<double>")
+    made = chosen.mapInArrow(freed(run), "doc_id long, y array<int>, words binary, measures array<double>")
     got = made.orderBy(F.xxhash64("doc_id"), "doc_id", "words").limit(sample_rows).toArrow()
     bits = np.frombuffer(b"".join(got["words"].to_pylist()), np.uint8).reshape(got.num_rows, -1)
     x = np.unpackbits(bits, axis=1, count=len(known)).astype(float) if len(known) else np.zeros((got.num_rows, 0))
@@ -246,7 +246,7 @@ def train(docs: DataFrame, labels: DataFrame, by: Mapping[str, Column] | None =
 
 
 def _scored(part: pa.RecordBatch, chain: Chain, lookup: Lookup) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
-    for p in slices(part):
+    for p in slices(part, SMALL_BYTES):
         yield p, chain.predict(_matrix(_Features(p["text"]), lookup))
 
 
@@ -262,7 +262,7 @@ def predict(docs: DataFrame, chain: Chain) -> DataFrame:
                     f"p_{c}": pa.array(out[:, i], pa.float64()) for i, c in enumerate(chain.names)}})
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "doc_id long, " + ", ".join(f"p_{c} double" for c in chain.names))
+    return rows.mapInArrow(freed(run), "doc_id long, " + ", ".join(f"p_{c} double" for c in chain.names))
 
 
 def without(docs: DataFrame, chain: Chain, category: str = "toxic", reject: float = REJECT) -> DataFrame:
@@ -276,4 +276,4 @@ def without(docs: DataFrame, chain: Chain, category: str = "toxic", reject: floa
             for p, out in _scored(part, chain, lookup):
                 yield p.filter(pa.array(out[:, at] < reject))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(freed(run), docs.schema)
