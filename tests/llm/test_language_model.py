@@ -107,3 +107,14 @@ def test_long_contexts(spark):
         assert (r.score, r.mean_depth) == pytest.approx(want[r.doc_id], rel=1e-9)
     assert max(r.mean_depth for r in got) > 1
     assert any(r.score != pytest.approx(want[r.doc_id][0]) for r in score(docs).collect())
+
+
+def test_levels_leave_no_questions(spark, tmp_path, monkeypatch):
+    # what a level asked and counted is not kept beside its answers
+    names = iter(range(1000))
+    monkeypatch.setattr("tidefold.llm.exchange.shared_folder", lambda _, name: f"{tmp_path}/{name}-x{next(names)}")
+    rows = [(k, f"{'red' if k % 3 else 'blue'} w0 w1 w2 {'one' if k % 3 else 'two'}") for k in range(60)]
+    out = score(spark.createDataFrame(rows, "doc_id long, text string").repartition(2), depth=4)
+    assert not list(tmp_path.glob("lm-contexts-*/**/*.parquet"))
+    assert list(tmp_path.glob("lm-divergence-*/own=true/*.parquet")) and not list(tmp_path.glob("lm-divergence-*/own=false"))
+    assert out.count() == 60

@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidefold.llm.exchange import ASKED, Batches, answer, ids_of, joined, pack, question, summed, unique, unpack
 from tidefold.llm.textbytes import C1, LOWER, SPACED, buffer_of, hash_spans, mix, word_spans
+from tidefold.sinks import folders
 
 FOLDS = 10
 ADD = 0.1
@@ -52,24 +53,37 @@ def held_out(ids: pa.Array, folds: int = FOLDS) -> np.ndarray:
 class _Texts:
     """The symbols of a batch in a row, with the facts that answers have brought so far."""
 
-    def __init__(self, table: pa.Table, folds: int, ones: bool = True):
-        _, self.ids = ids_of(table)
-        data, at = buffer_of(table["text"])
-        data = LOWER[data]
-        start, end, first = word_spans(data, at, SPACED)
-        self.held = held_out(self.ids, folds)
-        n = np.diff(first)
-        self.at = np.concatenate([[0], np.cumsum(n + 2)])
-        self.symbol = np.empty(self.at[-1], np.uint64)
-        self.symbol[self.at[:-1]] = _START
-        self.symbol[self.at[1:] - 1] = _END
-        doc = np.repeat(np.arange(len(n)), n)
-        self.symbol[np.arange(len(start)) + 2 * doc + 1] = hash_spans(data, start, end)
-        self.train = np.repeat((~self.held).astype(np.int64), n + 2)
+    def __init__(self, table: pa.Table):
+        self.ids = table["doc_id"].combine_chunks().flatten()
+        n, held, self.one, of = unpack(table["symbols"][0].as_py())
+        self.held, self.of = held > 0, of.astype(np.int64)
+        self.at = np.concatenate([[0], np.cumsum(n)])
+        self.symbol = self.one[self.of]
+        self.train = np.repeat((~self.held).astype(np.int64), n)
         self.token = np.ones(len(self.symbol), bool)
         self.token[self.at[:-1]] = False
-        if ones:
-            self.one, self.of = unique(self.symbol)
+
+    @staticmethod
+    def prepared(folds: int):
+        """What a batch stores of its documents: their words are hashed, and sorted, once for all passes."""
+
+        def run(table: pa.Table) -> pa.Table:
+            _, ids = ids_of(table)
+            data, at = buffer_of(table["text"])
+            data = LOWER[data]
+            start, end, first = word_spans(data, at, SPACED)
+            n = np.diff(first)
+            at = np.concatenate([[0], np.cumsum(n + 2)])
+            symbol = np.empty(at[-1], np.uint64)
+            symbol[at[:-1]] = _START
+            symbol[at[1:] - 1] = _END
+            doc = np.repeat(np.arange(len(n)), n)
+            symbol[np.arange(len(start)) + 2 * doc + 1] = hash_spans(data, start, end)
+            one, of = unique(symbol)
+            arrays = pack(n + 2, held_out(ids, folds).astype(np.uint8), one, of.astype(np.int32))
+            return pa.table({"doc_id": pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), "symbols": pa.array([arrays], pa.binary())})
+
+        return run
 
     def ones(self) -> tuple[np.ndarray, np.ndarray]:
         return self.one, np.bincount(self.of, weights=self.train, minlength=len(self.one)).astype(np.int64)
@@ -217,17 +231,17 @@ def score(docs: DataFrame, folds: int = FOLDS, gain: float = GAIN, depth: int |
     The model learns from the texts that are not held out.  Contexts have up to `depth` symbols (two at least), any
     number where it is None.
     """
-    batches = Batches.write(docs.select("doc_id", "text"), "lm-batches")
+    batches = Batches.write(docs.select("doc_id", "text"), "lm-batches", prepare=_Texts.prepared(folds))
     n = batches.buckets
 
     def ask_ones(batch: int, table: pa.Table, _) -> dict:
-        return question(batch, n, *_Texts(table, folds).ones())
+        return question(batch, n, *_Texts(table).ones())
 
     ones = batches.keep(answer(batches.each(ask_ones, ASKED), _counted), "lm-symbols")
     tokens, words = (int(x or 0) for x in ones.select("blob").mapInArrow(_sums, "n long, v long").agg(F.sum("n"), F.sum("v")).first())
 
     def with_ones(table: pa.Table, got: dict) -> _Texts:
-        t = _Texts(table, folds)
+        t = _Texts(table)
         t.set_ones(joined(got[0]), tokens, words)
         return t
 
@@ -270,55 +284,70 @@ def score(docs: DataFrame, folds: int = FOLDS, gain: float = GAIN, depth: int |
             return {}
         keys, of = unique(np.concatenate([context, whole]))
         train = np.bincount(of, weights=np.tile(t.train[at], 2), minlength=len(keys)).astype(np.int64)
-        return _with_state(question(batch, n, keys, train), batch, at, p, context, of, t.train[at])
+        return _with_state(question(batch, n, keys, train), batch, at.astype(np.uint64), p)
 
     def ask_third(batch: int, table: pa.Table, got: dict) -> dict:
         t, at = with_gains(table, got)
         return ask_counts(batch, t, at, t.p[at], 3)
 
-    def ask_divergence(batch: int, table: pa.Table, got: dict) -> dict:
-        if -1 not in got[0]:
-            return {}
-        at, p, context, of, train = unpack(got[0][-1])
-        c_of, c = np.split(joined(got[1])[of], 2)
-        ok = c_of >= 2
-        if not ok.any():
-            return {}
-        asked, new, which = _divergence(context[ok], c[ok], c_of[ok], p[ok], train[ok])
-        return _with_state(question(batch, n, *asked), batch, at[ok], p[ok], new, which)
+    def ask_divergence(level: int):
+        def run(batch: int, table: pa.Table, got: dict) -> dict:
+            if -1 not in got[0]:
+                return {}
+            t, (at, p) = _Texts(table), unpack(got[0][-1])
+            at, p, context, whole = t.longer(at.astype(np.int64), p, level)
+            c_of, c = np.split(joined(got[1])[unique(np.concatenate([context, whole]))[1]], 2)
+            ok = c_of >= 2
+            if not ok.any():
+                return {}
+            at, p, c, c_of = at[ok], p[ok], c[ok], c_of[ok]
+            asked = _divergence(context[ok], c, c_of, p, t.train[at])[0]
+            return _with_state(question(batch, n, *asked), batch, at.astype(np.uint64), p, c, c_of)
+
+        return run
+
+    def decided(t: _Texts, level: int, state: bytes, answers: dict) -> tuple[np.ndarray, ...]:
+        """Places, the prediction of the shorter context and of that of `level` symbols, and the bits of the latter."""
+        at, p, c, c_of = unpack(state)
+        at, p, context, _ = t.longer(at.astype(np.int64), p, level)
+        return at, p, _smoothed(c, c_of, p), joined(answers, kind="u1")[unique(context)[1]]
 
     def next_level(level: int):
         def run(batch: int, table: pa.Table, got: dict) -> dict:
             if -1 not in got[0]:
                 return {}
-            at, p, new, which = unpack(got[0][-1])
-            bits = joined(got[1], kind="u1")[which]
+            t = _Texts(table)
+            at, p, new, bits = decided(t, level - 1, got[0][-1], got[1])
             more = bits & 2 > 0
             if not more.any():
                 return {}
-            return ask_counts(batch, _Texts(table, folds, ones=False), at[more], np.where(bits & 1, new, p)[more], level)
+            return ask_counts(batch, t, at[more], np.where(bits & 1, new, p)[more], level)
 
         return run
 
-    def asked(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-        """The batches' own rows, and their questions."""
-        rows = batches.keep(rows, name)
-        return rows.filter("bucket < 0"), rows.filter("bucket >= 0")
+    def answered(found: DataFrame, name: str, run, answers: str) -> tuple[str, DataFrame] | None:
+        """The folder of the batches' own rows, and the answers to their questions, which are removed; None without any."""
+        own, asked = batches.asked(found, name)
+        if not folders.exists(batches.spark, asked):
+            return None
+        got = batches.keep(answer(batches.rows(asked), run), answers)
+        folders.remove(batches.spark, asked)
+        return own, got
 
     levels, level = [], 3
     found = batches.each(ask_third, ASKED, ones, twos, threes, gains) if depth is None or depth >= 3 else None
     while found is not None:
-        state, questions = asked(found, "lm-contexts")
-        if not questions.head(1):
+        counted = answered(found, "lm-contexts", summed, "lm-counts")
+        if counted is None:
             break
-        counts = batches.keep(answer(questions, summed), "lm-counts")
-        state, questions = asked(batches.each(ask_divergence, ASKED, state, counts), "lm-divergence")
-        if not questions.head(1):
+        found = batches.each(ask_divergence(level), ASKED, batches.rows(counted[0]), counted[1])
+        kept = answered(found, "lm-divergence", _kept_or_open(gain), "lm-kept")
+        folders.remove(batches.spark, counted[0])
+        if kept is None:
             break
-        kept = batches.keep(answer(questions, _kept_or_open(gain)), "lm-kept")
-        levels += [state, kept]
+        levels += [batches.rows(kept[0]), kept[1]]
         level += 1
-        found = batches.each(next_level(level), ASKED, state, kept) if depth is None or level <= depth else None
+        found = batches.each(next_level(level), ASKED, *levels[-2:]) if depth is None or level <= depth else None
 
     kinds = 4 + len(levels)
 
@@ -326,8 +355,8 @@ def score(docs: DataFrame, folds: int = FOLDS, gain: float = GAIN, depth: int |
         t, _ = with_gains(table, got)
         for k in range(4, kinds, 2):
             if -1 in got[k]:
-                at, _, new, which = unpack(got[k][-1])
-                on = joined(got[k + 1], kind="u1")[which] & 1 > 0
+                at, _, new, bits = decided(t, 3 + (k - 4) // 2, got[k][-1], got[k + 1])
+                on = bits & 1 > 0
                 t.p[at[on]], t.depth[at[on]] = new[on], 3 + (k - 4) // 2
         return t.rows(tokens)
 
