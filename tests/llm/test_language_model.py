@@ -2,10 +2,13 @@ import math
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from tests.llm import cases
+from tidefold.llm.exchange import Batches, pack, unique, unpack
 from tidefold.llm.suffix_tree_lm import ADD, ALPHA, GAIN, score
+from tidefold.sinks import folders
 
 S, E = "<start>", "<end>"
 
@@ -118,3 +121,30 @@ def test_levels_leave_no_questions(spark, tmp_path, monkeypatch):
     assert not list(tmp_path.glob("lm-contexts-*/**/*.parquet"))
     assert list(tmp_path.glob("lm-divergence-*/own=true/*.parquet")) and not list(tmp_path.glob("lm-divergence-*/own=false"))
     assert out.count() == 60
+
+
+def test_counts_that_shorter_contexts_tell_are_not_asked(spark, monkeypatch):
+    asked, seen = Batches.asked, []
+
+    def noted(self, df, name):
+        own, questions = asked(self, df, name)
+        seen.append((name, folders.exists(self.spark, questions) and self.rows(questions).count()))
+        return own, questions
+
+    monkeypatch.setattr(Batches, "asked", noted)
+    rows = [(k, "ab cd ef gh ij kl mn op") for k in range(40)]  # every context occurs as often as its shorter one
+    got = score(spark.createDataFrame(rows, "doc_id long, text string"), depth=4).collect()
+    want, _ = deep(rows)
+    assert {r.doc_id: r.mean_depth for r in got} == pytest.approx({i: min(d, 4) for i, (_, d) in want.items()})
+    contexts = [n for name, n in seen if name == "lm-contexts"]
+    assert contexts and not any(contexts)
+
+
+def test_arrays_keep_their_values():
+    wide = np.array([0, 255, 256, 2**40, -1], np.int64)
+    parts = [wide, wide[:1], wide[:3], np.array([3, 3, 2**63], np.uint64), np.zeros(0, np.int64), np.array([0.1, -2.0]), np.array([7, 300], np.uint16)]
+    for a, b in zip(parts, unpack(pack(*parts)), strict=True):
+        assert a.dtype == b.dtype and a.tolist() == b.tolist()
+    same = np.array([5 << 60, (5 << 60) + 1, 7, 5 << 60, (5 << 60) + 1], np.uint64)  # alike but for the lowest bits
+    keys, of = unique(same)
+    assert keys.tolist() == sorted(set(same.tolist())) and (keys[of] == same).all()

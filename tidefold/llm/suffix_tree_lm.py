@@ -19,6 +19,11 @@ of the longer one is at most C / C.  None of these terms is negative, so where t
 of s in training does not exceed `gain`, neither does the divergence of any context that ends in s.  Counts are of the whole
 training corpus, without caps; candidates, states and next symbols grow with it.
 
+From two symbols on a count is asked for only where shorter ones do not tell it.  A context is the one before with its next
+symbol, which the level before has counted.  After a context that occurs as often as its shorter one, symbols do too; a symbol that
+never follows the shorter one follows no longer one; and where the shorter one with its symbol is at one place of all texts,
+so is the longer one.  Each of these holds at all places of an n-gram or at none, so that what is asked for is counted whole.
+
 Cases: a null text is empty and has its end as only token; a null doc_id counts as the
 empty text in the split (held out); repeated rows count as often as they are there; an
 empty table gives no rows; other columns are ignored.
@@ -28,6 +33,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -90,27 +96,33 @@ class _Texts:
 
     def set_ones(self, counts: np.ndarray, tokens: int, words: int) -> None:
         self.c1 = counts[self.of]  # of the symbol at each place
-        self.p0 = (self.c1 + ADD) / (tokens + ADD * (words + 1))
+        self.p0 = ((counts + ADD) / (tokens + ADD * (words + 1)))[self.of]
         self.j = np.flatnonzero(self.token)
         self.j = self.j[self.c1[self.j - 1] >= 2]  # places after a candidate context of one symbol
-        self.pair = mix(mix(self.symbol[self.j - 1]) * C1 + self.symbol[self.j])
-        self.two, self.of2 = unique(self.pair)
-
-    def twos(self) -> tuple[np.ndarray, np.ndarray]:
-        return self.two, np.bincount(self.of2, weights=self.train[self.j], minlength=len(self.two)).astype(np.int64)
-
-    def set_twos(self, counts: np.ndarray) -> None:
-        self.c2 = counts[self.of2]  # of the pair that ends at j
-        size, key = np.zeros(len(self.symbol), np.int64), np.zeros(len(self.symbol), np.uint64)
-        size[self.j], key[self.j] = self.c2, self.pair
-        self.k = np.flatnonzero(self.token)[1:] if len(self.symbol) else self.j
-        self.k = self.k[self.token[self.k - 1]]
-        self.k = self.k[size[self.k - 1] >= 2]  # places after a candidate context of two symbols
-        self.context, self.c12 = key[self.k - 1], size[self.k - 1]
-        self.three, self.of3 = unique(mix(mix(self.context) * C1 + self.symbol[self.k]))
-
-    def threes(self) -> tuple[np.ndarray, np.ndarray]:
-        return self.three, np.bincount(self.of3, weights=self.train[self.k], minlength=len(self.three)).astype(np.int64)
+        self.two, self.of2 = unique(mix((mix(self.one) * C1)[self.of[self.j - 1]] + self.symbol[self.j]))
+
+    def twos(self) -> tuple[np.ndarray, ...]:
+        return self.two, *_places(self.of2, self.train[self.j], len(self.two))
+
+    def set_twos(self, seen: np.ndarray) -> None:
+        seen2 = seen[self.of2]
+        self.c2 = seen2 >> 1  # of the pair that ends at j
+        # places after a candidate context of two symbols; such a place follows one in j, and is the next one there
+        i = np.flatnonzero(self.c2 >= 2)
+        i = i[np.append(self.token, False)[self.j[i] + 1]]
+        self.k, self.c12, self.seen3 = self.j[i] + 1, self.c2[i], seen2[i + 1]
+        used, of = np.zeros(len(self.two), bool), self.of2[i]
+        used[of] = True
+        self.context, self.of_context = self.two[used], (np.cumsum(used) - 1)[of]
+        self.open3 = np.flatnonzero(~_told(self.seen3, self.c12, self.c1[self.k - 1]))
+        self.three, self.of3 = unique(mix((mix(self.two) * C1)[of[self.open3]] + self.symbol[self.k[self.open3]]))
+
+    def threes(self) -> tuple[np.ndarray, ...]:
+        return self.three, *_places(self.of3, self.train[self.k[self.open3]], len(self.three))
+
+    def set_threes(self, seen: np.ndarray) -> None:
+        """What is known of the triple that ends at k."""
+        self.seen3[self.open3] = seen[self.of3]
 
     def gains1(self) -> tuple[np.ndarray, np.ndarray]:
         """This batch's part of the divergence of each context of one symbol."""
@@ -129,28 +141,34 @@ class _Texts:
         self.p = self.p0.copy()
         self.p[self.j[kept]] = _smoothed(self.c2[kept], self.c1[self.j[kept] - 1], self.p0[self.j[kept]])
 
-    def gains2(self, c3: np.ndarray) -> tuple[np.ndarray, ...]:
-        p = self.p[self.k]
-        return _divergence(self.context, c3[self.of3], self.c12, p, self.train[self.k])[0]
+    def gains2(self) -> tuple[np.ndarray, ...]:
+        return _divergence(self.context, self.of_context, self.seen3 >> 1, self.c12, self.p[self.k], self.train[self.k])
 
-    def set_gains2(self, c3: np.ndarray, bits: np.ndarray) -> np.ndarray:
-        """The places whose context of two symbols may be extended."""
-        _, of = unique(self.context)
-        bits = bits[of] if len(of) else np.zeros(0, np.uint8)
+    def set_gains2(self, bits: np.ndarray) -> np.ndarray:
+        """Which of the places after two symbols may have their context extended."""
+        bits = bits[self.of_context] if len(self.k) else np.zeros(0, np.uint8)
         kept = np.flatnonzero(bits & 1)
         at = self.k[kept]
         self.depth[at] = 2
-        self.p[at] = _smoothed(c3[self.of3[kept]], self.c12[kept], self.p[at])
-        return self.k[bits & 2 > 0]
+        self.p[at] = _smoothed(self.seen3[kept] >> 1, self.c12[kept], self.p[at])
+        return bits & 2 > 0
 
-    def longer(self, at: np.ndarray, p: np.ndarray, n: int) -> tuple[np.ndarray, ...]:
-        """Of the given places, those after n symbols of their text: place, p, context, context with the next symbol."""
-        whole = at - n >= self.at[np.searchsorted(self.at, at, "right") - 1]
-        at, p = at[whole], p[whole]
+    def whole(self, at: np.ndarray, n: int) -> np.ndarray:
+        """Which places are after n symbols of their text."""
+        return at - n >= self.at[np.searchsorted(self.at, at, "right") - 1]
+
+    def contexts(self, at: np.ndarray, n: int) -> np.ndarray:
+        """The n symbols before each place."""
         h = self.symbol[at - n]
         for i in range(1, n):
             h = mix(mix(h) * C1 + self.symbol[at - n + i])
-        return at, p, h, mix(mix(h) * C1 + self.symbol[at])
+        return h
+
+    def asked(self, level: "_Level", n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct n-grams whose counts are not known, where those of each place are among them, and the places."""
+        before, after = level.at[level.of < 0], level.at[level.seen < 0]
+        keys, of = unique(np.concatenate([self.contexts(before, n), self.contexts(after + 1, n + 1)]))
+        return keys, of, np.concatenate([before, after])
 
     def rows(self, tokens: int) -> dict:
         if not len(self.ids):
@@ -173,27 +191,93 @@ def _gain(c: np.ndarray, of: np.ndarray, shorter: np.ndarray) -> np.ndarray:
     return np.log((np.maximum(c - 1, 0) + ALPHA * shorter) / ((of - 1 + ALPHA) * shorter))
 
 
-def _divergence(context, c, of, p, train) -> tuple[tuple[np.ndarray, ...], np.ndarray, np.ndarray]:
-    """Distinct contexts with this batch's part of their divergence and of what longer ones can gain if they are
-    not, and if they are retained; the predictions if they are; where each context is among the distinct."""
-    new = _smoothed(c, of, p)
+def _told(seen: np.ndarray, of: np.ndarray, shorter: np.ndarray) -> np.ndarray:
+    """Whether `seen`, for the context that is one symbol shorter, holds for the longer one too, by the counts of both."""
+    return (seen <= 2) | (of == shorter)
+
+
+def _places(of: np.ndarray, train: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of each of n keys in training, and whether others are held out."""
+    got = np.bincount(of, weights=train, minlength=n).astype(np.int64)
+    return got, (np.bincount(of, minlength=n) > got).astype(np.uint8)
+
+
+def _divergence(keys, at, c, of, p, train) -> tuple[np.ndarray, ...]:
+    """The contexts with this batch's part of their divergence and of what longer ones can gain at most if they are
+    not, and if they are retained; `at` tells the context of each place."""
     left = np.maximum(c - 1, 0)
     most = lambda q: np.log((left + ALPHA * q) / ((left + ALPHA) * q))
-    keys, at = unique(context)
     total = lambda v: np.bincount(at, weights=v * train, minlength=len(keys))
-    return (keys, total(_gain(c, of, p)), total(most(p)), total(most(new))), new, at
+    return keys, total(_gain(c, of, p)), _short(total(most(p))), _short(total(most(_smoothed(c, of, p))))
+
+
+def _short(most: np.ndarray) -> np.ndarray:
+    """Values of 0 and above rounded up to the first half of a 32-bit float, under 1 % more."""
+    up = np.nextafter(np.maximum(most, 0).astype(np.float32), np.float32(np.inf)).view(np.uint32)
+    return ((up + np.uint32(0xFFFF)) >> np.uint32(16)).astype(np.uint16)
+
+
+def _long(short: np.ndarray) -> np.ndarray:
+    return (short.astype(np.uint32) << np.uint32(16)).view(np.float32).astype(np.float64)
 
 
 def _kept_or_open(gain: float):
     """Of contexts: 1 where their divergence exceeds `gain`, and 2 where that of a longer one may."""
 
     def run(asks: list[list[np.ndarray]]) -> list[tuple]:
-        out = [[part for (part,) in summed([[a[0], a[i]] for a in asks])] for i in (1, 2, 3)]
-        return [((g > gain) + 2 * (np.where(g > gain, new, old) > gain - 1e-6).astype(np.uint8),) for g, old, new in zip(*out)]
+        keys, of = unique(np.concatenate([a[0] for a in asks]))
+        total = lambda parts: np.bincount(of, weights=np.concatenate(parts), minlength=len(keys))
+        kept = total([a[1] for a in asks]) > gain
+        most = np.where(kept, total([_long(a[3]) for a in asks]), total([_long(a[2]) for a in asks]))
+        bits = kept + 2 * (most > gain - 1e-6).astype(np.uint8)
+        return [(part,) for part in np.split(bits[of], np.cumsum([len(a[0]) for a in asks])[:-1])]
 
     return run
 
 
+@dataclass(frozen=True)
+class _Level:
+    """Places after candidate contexts of n symbols, in order, and what is known of them.
+
+    of: count of the context; seen: twice that of the context with its next symbol, and 1 if it may be in texts held
+    out; -1 is not known.  p: the prediction of the shorter context.  once: places after contexts that no two places have.
+    """
+
+    at: np.ndarray
+    p: np.ndarray
+    of: np.ndarray
+    seen: np.ndarray
+    once: np.ndarray
+
+    @staticmethod
+    def made(at: np.ndarray, p: np.ndarray, of: np.ndarray, shorter: np.ndarray, seen: np.ndarray) -> "_Level":
+        """From `of` and what is known of the places for the context that is one symbol shorter."""
+        dead = (of >= 0) & (of < 2)
+        ok = ~dead
+        return _Level(at[ok], p[ok], of[ok], np.where(_told(seen, of, shorter), seen, -1)[ok], at[dead])
+
+    @staticmethod
+    def read(blob: bytes) -> "_Level":
+        at, p, of, seen, once = unpack(blob)
+        return _Level(at.astype(np.int64), p, of - 1, seen - 1, once.astype(np.int64))
+
+    def arrays(self) -> tuple[np.ndarray, ...]:
+        return self.at.astype(np.uint64), self.p, self.of + 1, self.seen + 1, self.once.astype(np.uint64)
+
+    def told(self, found: np.ndarray) -> "_Level":
+        """With the counts that were asked for; only contexts that occur twice stay candidates."""
+        of, seen, n = self.of.copy(), self.seen.copy(), np.count_nonzero(self.of < 0)
+        of[of < 0], seen[seen < 0] = found[:n] >> 1, found[n:]
+        ok = of >= 2
+        return _Level(self.at[ok], self.p[ok], of[ok], seen[ok], np.sort(np.concatenate([self.once, self.at[~ok]])))
+
+    def before(self, at: np.ndarray) -> np.ndarray:
+        """Counts of the contexts of one symbol more at the given places; -1 where the place before was not looked at."""
+        out = np.where(np.isin(at - 1, self.once), 1, -1)
+        i = np.minimum(np.searchsorted(self.at, at - 1), max(len(self.at) - 1, 0))
+        return np.where(self.at[i] == at - 1, self.seen[i] >> 1, out) if len(self.at) else out
+
+
 def _with_state(asked: dict[str, list], batch: int, *arrays: np.ndarray) -> dict[str, list]:
     """What the batch itself needs again goes beside its questions, in bucket -1."""
     return {"bucket": [-1, *asked["bucket"]], "batch": [batch, *asked["batch"]], "blob": [pack(*arrays), *asked["blob"]]}
@@ -209,15 +293,23 @@ def _counted(asks: list[list[np.ndarray]]) -> list[tuple]:
 
 
 def _counts_or_kept(gain: float):
-    """Corpus counts of n-grams; of contexts, whether their divergence exceeds `gain` (one byte each)."""
+    """Of n-grams what `_seen` tells; of contexts, whether their divergence exceeds `gain` (one byte each)."""
 
     def run(asks: list[list[np.ndarray]]) -> list[tuple]:
-        out = summed(asks)
-        return [((part > gain).astype(np.uint8),) if part.dtype.kind == "f" else (part,) for (part,) in out]
+        if asks[0][1].dtype.kind != "f":
+            return _seen(asks)
+        return [((part > gain).astype(np.uint8),) for (part,) in summed(asks)]
 
     return run
 
 
+def _seen(asks: list[list[np.ndarray]]) -> list[tuple]:
+    """Twice the count in training, and 1 where a text held out has the n-gram."""
+    keys, of = unique(np.concatenate([a[0] for a in asks]))
+    total, held = (np.bincount(of, weights=np.concatenate([a[i] for a in asks]), minlength=len(keys)).astype(np.int64) for i in (1, 2))
+    return [(part,) for part in np.split((2 * total + (held > 0))[of], np.cumsum([len(a[0]) for a in asks])[:-1])]
+
+
 def _sums(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in parts:
         got = [unpack(b)[1] for b in part["blob"].to_pylist()]
@@ -248,7 +340,7 @@ def score(docs: DataFrame, folds: int = FOLDS, gain: float = GAIN, depth: int |
     def ask_twos(batch: int, table: pa.Table, got: dict) -> dict:
         return question(batch, n, *with_ones(table, got).twos())
 
-    twos = batches.keep(answer(batches.each(ask_twos, ASKED, ones), summed), "lm-pairs")
+    twos = batches.keep(answer(batches.each(ask_twos, ASKED, ones), _seen), "lm-pairs")
 
     def with_twos(table: pa.Table, got: dict) -> _Texts:
         t = with_ones(table, got)
@@ -263,73 +355,78 @@ def score(docs: DataFrame, folds: int = FOLDS, gain: float = GAIN, depth: int |
 
     threes = batches.keep(answer(batches.each(ask_threes, ASKED, ones, twos), _counts_or_kept(gain)), "lm-triples")
 
-    def with_threes(table: pa.Table, got: dict) -> tuple[_Texts, np.ndarray]:
+    def with_threes(table: pa.Table, got: dict) -> _Texts:
         t = with_twos(table, got)
         t.set_gains1(joined({b: x for b, x in got[2].items() if b >= n}, kind="u1"))
-        return t, joined({b: x for b, x in got[2].items() if b < n})
+        t.set_threes(joined({b: x for b, x in got[2].items() if b < n}))
+        return t
 
     def ask_gains(batch: int, table: pa.Table, got: dict) -> dict:
-        t, c3 = with_threes(table, got)
-        return question(batch, n, *t.gains2(c3))
+        return question(batch, n, *with_threes(table, got).gains2())
 
     gains = batches.keep(answer(batches.each(ask_gains, ASKED, ones, twos, threes), _kept_or_open(gain)), "lm-gains")
 
     def with_gains(table: pa.Table, got: dict) -> tuple[_Texts, np.ndarray]:
-        t, c3 = with_threes(table, got)
-        return t, t.set_gains2(c3, joined(got[3], kind="u1"))
+        t = with_threes(table, got)
+        return t, t.set_gains2(joined(got[3], kind="u1"))
 
-    def ask_counts(batch: int, t: _Texts, at: np.ndarray, p: np.ndarray, n_symbols: int) -> dict:
-        at, p, context, whole = t.longer(at, p, n_symbols)
-        if not len(at):
+    def ask_counts(batch: int, t: _Texts, level: _Level, n_symbols: int) -> dict:
+        if not len(level.at):
             return {}
-        keys, of = unique(np.concatenate([context, whole]))
-        train = np.bincount(of, weights=np.tile(t.train[at], 2), minlength=len(keys)).astype(np.int64)
-        return _with_state(question(batch, n, keys, train), batch, at.astype(np.uint64), p)
+        keys, of, at = t.asked(level, n_symbols)
+        return _with_state(question(batch, n, keys, *_places(of, t.train[at], len(keys))), batch, *level.arrays())
 
     def ask_third(batch: int, table: pa.Table, got: dict) -> dict:
-        t, at = with_gains(table, got)
-        return ask_counts(batch, t, at, t.p[at], 3)
+        t, more = with_gains(table, got)
+        more[more] = t.whole(t.k[more], 3)
+        at, seen = t.k[more], np.full(len(t.symbol), 2)
+        seen[t.k] = t.seen3
+        return ask_counts(batch, t, _Level.made(at, t.p[at], seen[at - 1] >> 1, t.c12[more], seen[at]), 3)
 
-    def ask_divergence(level: int):
+    def ask_divergence(n_symbols: int):
         def run(batch: int, table: pa.Table, got: dict) -> dict:
             if -1 not in got[0]:
                 return {}
-            t, (at, p) = _Texts(table), unpack(got[0][-1])
-            at, p, context, whole = t.longer(at.astype(np.int64), p, level)
-            c_of, c = np.split(joined(got[1])[unique(np.concatenate([context, whole]))[1]], 2)
-            ok = c_of >= 2
-            if not ok.any():
+            t, level = _Texts(table), _Level.read(got[0][-1])
+            level = level.told(joined(got[1])[t.asked(level, n_symbols)[1]])
+            if not len(level.at):
                 return {}
-            at, p, c, c_of = at[ok], p[ok], c[ok], c_of[ok]
-            asked = _divergence(context[ok], c, c_of, p, t.train[at])[0]
-            return _with_state(question(batch, n, *asked), batch, at.astype(np.uint64), p, c, c_of)
+            keys, of = unique(t.contexts(level.at, n_symbols))
+            asked = _divergence(keys, of, level.seen >> 1, level.of, level.p, t.train[level.at])
+            return _with_state(question(batch, n, *asked), batch, *level.arrays())
 
         return run
 
-    def decided(t: _Texts, level: int, state: bytes, answers: dict) -> tuple[np.ndarray, ...]:
-        """Places, the prediction of the shorter context and of that of `level` symbols, and the bits of the latter."""
-        at, p, c, c_of = unpack(state)
-        at, p, context, _ = t.longer(at.astype(np.int64), p, level)
-        return at, p, _smoothed(c, c_of, p), joined(answers, kind="u1")[unique(context)[1]]
+    def decided(t: _Texts, n_symbols: int, state: bytes, answers: dict) -> tuple[_Level, np.ndarray, np.ndarray]:
+        """Places after contexts of so many symbols, the predictions of these, and their bits."""
+        level = _Level.read(state)
+        bits = joined(answers, kind="u1")[unique(t.contexts(level.at, n_symbols))[1]]
+        return level, _smoothed(level.seen >> 1, level.of, level.p), bits
 
-    def next_level(level: int):
+    def next_level(n_symbols: int):
         def run(batch: int, table: pa.Table, got: dict) -> dict:
             if -1 not in got[0]:
                 return {}
             t = _Texts(table)
-            at, p, new, bits = decided(t, level - 1, got[0][-1], got[1])
-            more = bits & 2 > 0
-            if not more.any():
-                return {}
-            return ask_counts(batch, t, at[more], np.where(bits & 1, new, p)[more], level)
+            last, new, bits = decided(t, n_symbols - 1, got[0][-1], got[1])
+            more = (bits & 2 > 0) & t.whole(last.at, n_symbols)
+            at, p = last.at[more], np.where(bits & 1, new, last.p)[more]
+            return ask_counts(batch, t, _Level.made(at, p, last.before(at), last.of[more], last.seen[more]), n_symbols)
 
         return run
 
-    def answered(found: DataFrame, name: str, run, answers: str) -> tuple[str, DataFrame] | None:
-        """The folder of the batches' own rows, and the answers to their questions, which are removed; None without any."""
+    def answered(found: DataFrame, name: str, run, answers: str, *done: str) -> tuple[str, DataFrame] | None:
+        """The folder of the batches' own rows, and the answers to their questions, which are removed; None without any.
+
+        The folders `done` are what `found` was made of, and removed before the questions are answered.
+        """
         own, asked = batches.asked(found, name)
-        if not folders.exists(batches.spark, asked):
+        for folder in done:
+            folders.remove(batches.spark, folder)
+        if not folders.exists(batches.spark, own):
             return None
+        if not folders.exists(batches.spark, asked):  # all is known
+            return own, batches.spark.createDataFrame([], ASKED)
         got = batches.keep(answer(batches.rows(asked), run), answers)
         folders.remove(batches.spark, asked)
         return own, got
@@ -337,12 +434,11 @@ def score(docs: DataFrame, folds: int = FOLDS, gain: float = GAIN, depth: int |
     levels, level = [], 3
     found = batches.each(ask_third, ASKED, ones, twos, threes, gains) if depth is None or depth >= 3 else None
     while found is not None:
-        counted = answered(found, "lm-contexts", summed, "lm-counts")
+        counted = answered(found, "lm-contexts", _seen, "lm-counts")
         if counted is None:
             break
         found = batches.each(ask_divergence(level), ASKED, batches.rows(counted[0]), counted[1])
-        kept = answered(found, "lm-divergence", _kept_or_open(gain), "lm-kept")
-        folders.remove(batches.spark, counted[0])
+        kept = answered(found, "lm-divergence", _kept_or_open(gain), "lm-kept", counted[0])
         if kept is None:
             break
         levels += [batches.rows(kept[0]), kept[1]]
@@ -355,9 +451,9 @@ def score(docs: DataFrame, folds: int = FOLDS, gain: float = GAIN, depth: int |
         t, _ = with_gains(table, got)
         for k in range(4, kinds, 2):
             if -1 in got[k]:
-                at, _, new, bits = decided(t, 3 + (k - 4) // 2, got[k][-1], got[k + 1])
+                level, new, bits = decided(t, 3 + (k - 4) // 2, got[k][-1], got[k + 1])
                 on = bits & 1 > 0
-                t.p[at[on]], t.depth[at[on]] = new[on], 3 + (k - 4) // 2
+                t.p[level.at[on]], t.depth[level.at[on]] = new[on], 3 + (k - 4) // 2
         return t.rows(tokens)
 
     schema = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
