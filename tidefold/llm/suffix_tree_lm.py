@@ -23,6 +23,7 @@ From two symbols on a count is asked for only where shorter ones do not tell it.
 symbol, which the level before has counted.  After a context that occurs as often as its shorter one, symbols do too; a symbol that
 never follows the shorter one follows no longer one; and where the shorter one with its symbol is at one place of all texts,
 so is the longer one.  Each of these holds at all places of an n-gram or at none, so that what is asked for is counted whole.
+Nor is the divergence of a context asked for where each place knows all the others (`_sure`).
 
 Cases: a null text is empty and has its end as only token; a null doc_id counts as the
 empty text in the split (held out); repeated rows count as often as they are there; an
@@ -110,10 +111,8 @@ class _Texts:
         # places after a candidate context of two symbols; such a place follows one in j, and is the next one there
         i = np.flatnonzero(self.c2 >= 2)
         i = i[np.append(self.token, False)[self.j[i] + 1]]
-        self.k, self.c12, self.seen3 = self.j[i] + 1, self.c2[i], seen2[i + 1]
-        used, of = np.zeros(len(self.two), bool), self.of2[i]
-        used[of] = True
-        self.context, self.of_context = self.two[used], (np.cumsum(used) - 1)[of]
+        self.k, self.c12, self.seen12, self.seen3 = self.j[i] + 1, self.c2[i], seen2[i], seen2[i + 1]
+        self.of12 = of = self.of2[i]
         self.open3 = np.flatnonzero(~_told(self.seen3, self.c12, self.c1[self.k - 1]))
         self.three, self.of3 = unique(mix((mix(self.two) * C1)[of[self.open3]] + self.symbol[self.k[self.open3]]))
 
@@ -123,6 +122,10 @@ class _Texts:
     def set_threes(self, seen: np.ndarray) -> None:
         """What is known of the triple that ends at k."""
         self.seen3[self.open3] = seen[self.of3]
+        self.sure = _sure(self.seen12, self.seen3 >> 1)
+        used, of = np.zeros(len(self.two), bool), self.of12[~self.sure]
+        used[of] = True
+        self.context, self.of_context = self.two[used], (np.cumsum(used) - 1)[of]
 
     def gains1(self) -> tuple[np.ndarray, np.ndarray]:
         """This batch's part of the divergence of each context of one symbol."""
@@ -142,11 +145,12 @@ class _Texts:
         self.p[self.j[kept]] = _smoothed(self.c2[kept], self.c1[self.j[kept] - 1], self.p0[self.j[kept]])
 
     def gains2(self) -> tuple[np.ndarray, ...]:
-        return _divergence(self.context, self.of_context, self.seen3 >> 1, self.c12, self.p[self.k], self.train[self.k])
+        k = self.k[~self.sure]
+        return _divergence(self.context, self.of_context, self.seen3[~self.sure] >> 1, self.c12[~self.sure], self.p[k], self.train[k])
 
-    def set_gains2(self, bits: np.ndarray) -> np.ndarray:
+    def set_gains2(self, answers: np.ndarray, gain: float) -> np.ndarray:
         """Which of the places after two symbols may have their context extended."""
-        bits = bits[self.of_context] if len(self.k) else np.zeros(0, np.uint8)
+        bits = _bits(self.sure, self.seen3 >> 1, self.c12, self.p[self.k], answers[self.of_context], gain)
         kept = np.flatnonzero(bits & 1)
         at = self.k[kept]
         self.depth[at] = 2
@@ -211,6 +215,28 @@ def _divergence(keys, at, c, of, p, train) -> tuple[np.ndarray, ...]:
     return keys, total(_gain(c, of, p)), _short(total(most(p))), _short(total(most(_smoothed(c, of, p))))
 
 
+def _sure(context: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Places that know what their context gains: it occurs twice, before other symbols each time, which gains nothing;
+    or always before the symbol at the place, and in no text held out, where others would have to ask.
+
+    `context` is twice its count, and 1 if it may be in texts held out.  All places in training agree in this, and of
+    those held out each that asks is answered with the nothing that nobody sent.
+    """
+    return ((context >> 1 == 2) & (c == 1)) | (context == 2 * c)
+
+
+def _bits(sure, c, of, p, answers: np.ndarray, gain: float) -> np.ndarray:
+    """Bits of each place's context as of `_kept_or_open`, with the answers for those that asked."""
+    bits = np.zeros(len(sure), np.uint8)
+    bits[~sure] = answers
+    at = np.flatnonzero(sure & (c == of))
+    of, p = of[at], p[at]
+    most = lambda q: of * np.log((of - 1 + ALPHA * q) / ((of - 1 + ALPHA) * q))
+    kept = most(p) > gain  # what it gains is all that a longer one can
+    bits[at] = kept + 2 * (np.where(kept, most(_smoothed(of, of, p)), most(p)) > gain - 1e-6).astype(np.uint8)
+    return bits
+
+
 def _short(most: np.ndarray) -> np.ndarray:
     """Values of 0 and above rounded up to the first half of a 32-bit float, under 1 % more."""
     up = np.nextafter(np.maximum(most, 0).astype(np.float32), np.float32(np.inf)).view(np.uint32)
@@ -239,8 +265,8 @@ def _kept_or_open(gain: float):
 class _Level:
     """Places after candidate contexts of n symbols, in order, and what is known of them.
 
-    of: count of the context; seen: twice that of the context with its next symbol, and 1 if it may be in texts held
-    out; -1 is not known.  p: the prediction of the shorter context.  once: places after contexts that no two places have.
+    of: twice the count of the context, and 1 if it may be in texts held out; seen: the same of the context with its
+    next symbol; -1 is not known.  p: the prediction of the shorter context.  once: places after contexts that no two places have.
     """
 
     at: np.ndarray
@@ -252,9 +278,9 @@ class _Level:
     @staticmethod
     def made(at: np.ndarray, p: np.ndarray, of: np.ndarray, shorter: np.ndarray, seen: np.ndarray) -> "_Level":
         """From `of` and what is known of the places for the context that is one symbol shorter."""
-        dead = (of >= 0) & (of < 2)
+        dead = (of >= 0) & (of < 4)
         ok = ~dead
-        return _Level(at[ok], p[ok], of[ok], np.where(_told(seen, of, shorter), seen, -1)[ok], at[dead])
+        return _Level(at[ok], p[ok], of[ok], np.where(_told(seen, of >> 1, shorter >> 1), seen, -1)[ok], at[dead])
 
     @staticmethod
     def read(blob: bytes) -> "_Level":
@@ -267,15 +293,18 @@ class _Level:
     def told(self, found: np.ndarray) -> "_Level":
         """With the counts that were asked for; only contexts that occur twice stay candidates."""
         of, seen, n = self.of.copy(), self.seen.copy(), np.count_nonzero(self.of < 0)
-        of[of < 0], seen[seen < 0] = found[:n] >> 1, found[n:]
-        ok = of >= 2
+        of[of < 0], seen[seen < 0] = found[:n], found[n:]
+        ok = of >= 4
         return _Level(self.at[ok], self.p[ok], of[ok], seen[ok], np.sort(np.concatenate([self.once, self.at[~ok]])))
 
+    def sure(self) -> np.ndarray:
+        return _sure(self.of, self.seen >> 1)
+
     def before(self, at: np.ndarray) -> np.ndarray:
-        """Counts of the contexts of one symbol more at the given places; -1 where the place before was not looked at."""
-        out = np.where(np.isin(at - 1, self.once), 1, -1)
+        """What is known of the contexts of one symbol more at the given places; -1 where the place before was not looked at."""
+        out = np.where(np.isin(at - 1, self.once), 2, -1)
         i = np.minimum(np.searchsorted(self.at, at - 1), max(len(self.at) - 1, 0))
-        return np.where(self.at[i] == at - 1, self.seen[i] >> 1, out) if len(self.at) else out
+        return np.where(self.at[i] == at - 1, self.seen[i], out) if len(self.at) else out
 
 
 def _with_state(asked: dict[str, list], batch: int, *arrays: np.ndarray) -> dict[str, list]:
@@ -368,7 +397,7 @@ def score(docs: DataFrame, folds: int = FOLDS, gain: float = GAIN, depth: int |
 
     def with_gains(table: pa.Table, got: dict) -> tuple[_Texts, np.ndarray]:
         t = with_threes(table, got)
-        return t, t.set_gains2(joined(got[3], kind="u1"))
+        return t, t.set_gains2(joined(got[3], kind="u1"), gain)
 
     def ask_counts(batch: int, t: _Texts, level: _Level, n_symbols: int) -> dict:
         if not len(level.at):
@@ -381,18 +410,20 @@ def score(docs: DataFrame, folds: int = FOLDS, gain: float = GAIN, depth: int |
         more[more] = t.whole(t.k[more], 3)
         at, seen = t.k[more], np.full(len(t.symbol), 2)
         seen[t.k] = t.seen3
-        return ask_counts(batch, t, _Level.made(at, t.p[at], seen[at - 1] >> 1, t.c12[more], seen[at]), 3)
+        return ask_counts(batch, t, _Level.made(at, t.p[at], seen[at - 1], t.seen12[more], seen[at]), 3)
 
     def ask_divergence(n_symbols: int):
         def run(batch: int, table: pa.Table, got: dict) -> dict:
-            if -1 not in got[0]:
+            if got[-1][0] is None:
                 return {}
-            t, level = _Texts(table), _Level.read(got[0][-1])
-            level = level.told(joined(got[1])[t.asked(level, n_symbols)[1]])
+            t, level = _Texts(table), _Level.read(got[-1][0])
+            level = level.told(joined(got[0])[t.asked(level, n_symbols)[1]])
             if not len(level.at):
                 return {}
-            keys, of = unique(t.contexts(level.at, n_symbols))
-            asked = _divergence(keys, of, level.seen >> 1, level.of, level.p, t.train[level.at])
+            open_ = ~level.sure()
+            at = level.at[open_]
+            keys, of = unique(t.contexts(at, n_symbols))
+            asked = _divergence(keys, of, level.seen[open_] >> 1, level.of[open_] >> 1, level.p[open_], t.train[at])
             return _with_state(question(batch, n, *asked), batch, *level.arrays())
 
         return run
@@ -400,15 +431,16 @@ def score(docs: DataFrame, folds: int = FOLDS, gain: float = GAIN, depth: int |
     def decided(t: _Texts, n_symbols: int, state: bytes, answers: dict) -> tuple[_Level, np.ndarray, np.ndarray]:
         """Places after contexts of so many symbols, the predictions of these, and their bits."""
         level = _Level.read(state)
-        bits = joined(answers, kind="u1")[unique(t.contexts(level.at, n_symbols))[1]]
-        return level, _smoothed(level.seen >> 1, level.of, level.p), bits
+        sure, c, of = level.sure(), level.seen >> 1, level.of >> 1
+        got = joined(answers, kind="u1")[unique(t.contexts(level.at[~sure], n_symbols))[1]]
+        return level, _smoothed(c, of, level.p), _bits(sure, c, of, level.p, got, gain)
 
     def next_level(n_symbols: int):
         def run(batch: int, table: pa.Table, got: dict) -> dict:
-            if -1 not in got[0]:
+            if got[-1][0] is None:
                 return {}
             t = _Texts(table)
-            last, new, bits = decided(t, n_symbols - 1, got[0][-1], got[1])
+            last, new, bits = decided(t, n_symbols - 1, got[-1][0], got[0])
             more = (bits & 2 > 0) & t.whole(last.at, n_symbols)
             at, p = last.at[more], np.where(bits & 1, new, last.p)[more]
             return ask_counts(batch, t, _Level.made(at, p, last.before(at), last.of[more], last.seen[more]), n_symbols)
@@ -431,31 +463,32 @@ def score(docs: DataFrame, folds: int = FOLDS, gain: float = GAIN, depth: int |
         folders.remove(batches.spark, asked)
         return own, got
 
-    levels, level = [], 3
+    levels, decisions, level = [], [], 3
     found = batches.each(ask_third, ASKED, ones, twos, threes, gains) if depth is None or depth >= 3 else None
     while found is not None:
         counted = answered(found, "lm-contexts", _seen, "lm-counts")
         if counted is None:
             break
-        found = batches.each(ask_divergence(level), ASKED, batches.rows(counted[0]), counted[1])
+        found = batches.each(ask_divergence(level), ASKED, counted[1], own=(batches.own(counted[0]),))
         kept = answered(found, "lm-divergence", _kept_or_open(gain), "lm-kept", counted[0])
         if kept is None:
             break
-        levels += [batches.rows(kept[0]), kept[1]]
+        levels.append(batches.own(kept[0]))
+        decisions.append(kept[1])
         level += 1
-        found = batches.each(next_level(level), ASKED, *levels[-2:]) if depth is None or level <= depth else None
+        found = batches.each(next_level(level), ASKED, kept[1], own=(levels[-1],)) if depth is None or level <= depth else None
 
-    kinds = 4 + len(levels)
+    kinds = len(levels)
 
     def scored(batch: int, table: pa.Table, got: dict) -> dict:
         t, _ = with_gains(table, got)
-        for k in range(4, kinds, 2):
-            if -1 in got[k]:
-                level, new, bits = decided(t, 3 + (k - 4) // 2, got[k][-1], got[k + 1])
+        for k in range(kinds):
+            if got[-1][k] is not None:
+                level, new, bits = decided(t, 3 + k, got[-1][k], got[4 + k])
                 on = bits & 1 > 0
-                t.p[level.at[on]], t.depth[level.at[on]] = new[on], 3 + (k - 4) // 2
+                t.p[level.at[on]], t.depth[level.at[on]] = new[on], 3 + k
         return t.rows(tokens)
 
     schema = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
               "base_score double, score double, mean_depth double")
-    return batches.each(scored, schema, ones, twos, threes, gains, *levels)
+    return batches.each(scored, schema, ones, twos, threes, gains, *decisions, own=tuple(levels))
