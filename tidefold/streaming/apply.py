@@ -10,9 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Collection, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from math import ceil
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidefold.model import LOG_POSITION
@@ -22,22 +23,33 @@ from tidefold.operators.scan import order_times
 from tidefold.sinks.bucket_table import BucketTable, Merge, Resolve
 
 TOGETHER = 4  # targets whose jobs share the cluster
+DEALT_ROWS = 100_000  # records that one task decodes and folds
 
 # folded changes of a batch of log records
 Fold = Callable[[DataFrame], DataFrame]
 
 
+def dealt(log: DataFrame) -> DataFrame:
+    """The records, by log position in tasks of `DEALT_ROWS` where a split holds more: a file of small records is one split."""
+    splits = log.groupBy(F.spark_partition_id().alias("split")).count()
+    most, rows = splits.agg(F.max("count"), F.sum("count")).first()
+    return log.repartition(ceil(rows / DEALT_ROWS), *LOG_POSITION) if (most or 0) > DEALT_ROWS else log
+
+
 def apply_batch(
     table: BucketTable, log: DataFrame, fold: Fold, merge: Merge, batch: int, fence: bool = True, source: str = "",
-    resolve: Resolve | None = None, by_time: bool = False,
+    resolve: Resolve | None = None, by_time: bool = False, deal: bool = True,
 ) -> None:
     """Apply one batch of log records to a table; `source` names the checkpoint that counts the batches.
 
-    With `by_time` records of several topics are ordered by their times, else by their offsets.
+    With `by_time` records of several topics are ordered by their times, else by their offsets.  With `deal`
+    records of large splits are dealt to more tasks, before they are decoded and folded.
     """
     seen = table.offsets() if fence else None
     if seen is not None:
         log = after_offsets(log, seen, seen.count())
+    if fence and deal:
+        log = dealt(log)
     if by_time:
         log = order_times(log, table.offsets())
     table.apply(fold(log), merge, batch, log if fence else None, source, resolve)
@@ -63,7 +75,7 @@ def apply_targets(
         part = log.filter(log["target"] == name)
         if name in (spread or {}):
             part = part.repartition(spread[name], *LOG_POSITION)
-        apply_batch(table, part, fold, merge, batch, fence, source, resolve, name in by_time)
+        apply_batch(table, part, fold, merge, batch, fence, source, resolve, name in by_time, deal=False)
 
     with ThreadPoolExecutor(TOGETHER) as pool:
         each = inheritable_thread_target(log.sparkSession)(one)
