@@ -96,22 +96,27 @@ class _Texts:
         return self.one, np.bincount(self.of, weights=self.train, minlength=len(self.one)).astype(np.int64)
 
     def set_ones(self, counts: np.ndarray, tokens: int, words: int) -> None:
-        self.c1 = counts[self.of]  # of the symbol at each place
+        self.counts, self.c1 = counts, counts[self.of]  # of each symbol, and of the symbol at each place
         self.p0 = ((counts + ADD) / (tokens + ADD * (words + 1)))[self.of]
         self.j = np.flatnonzero(self.token)
         self.j = self.j[self.c1[self.j - 1] >= 2]  # places after a candidate context of one symbol
+
+    def pairs(self) -> None:
         self.two, self.of2 = unique(mix((mix(self.one) * C1)[self.of[self.j - 1]] + self.symbol[self.j]))
 
     def twos(self) -> tuple[np.ndarray, ...]:
         return self.two, *_places(self.of2, self.train[self.j], len(self.two))
 
-    def set_twos(self, seen: np.ndarray) -> None:
-        seen2 = seen[self.of2]
-        self.c2 = seen2 >> 1  # of the pair that ends at j
+    def set_twos(self, seen2: np.ndarray) -> np.ndarray:
+        """What is known of the pair that ends at j; the pairs that are followed by k are given back."""
+        self.seen2, self.c2 = seen2, seen2 >> 1
         # places after a candidate context of two symbols; such a place follows one in j, and is the next one there
         i = np.flatnonzero(self.c2 >= 2)
         i = i[np.append(self.token, False)[self.j[i] + 1]]
         self.k, self.c12, self.seen12, self.seen3 = self.j[i] + 1, self.c2[i], seen2[i], seen2[i + 1]
+        return i
+
+    def triples(self, i: np.ndarray) -> None:
         self.of12 = of = self.of2[i]
         self.open3 = np.flatnonzero(~_told(self.seen3, self.c12, self.c1[self.k - 1]))
         self.three, self.of3 = unique(mix((mix(self.two) * C1)[of[self.open3]] + self.symbol[self.k[self.open3]]))
@@ -136,21 +141,38 @@ class _Texts:
 
     def set_gains1(self, retained: np.ndarray) -> None:
         used = np.bincount(self.of[self.j - 1], minlength=len(self.one)) > 0
-        kept = np.zeros(len(self.one), bool)
-        kept[used] = retained > 0
-        kept = kept[self.of[self.j - 1]]
+        self.kept = np.zeros(len(self.one), np.uint8)
+        self.kept[used] = retained
+        self.set_kept()
+
+    def set_kept(self) -> None:
+        kept = self.kept[self.of[self.j - 1]] > 0
         self.depth = np.zeros(len(self.symbol), np.int64)
         self.depth[self.j[kept]] = 1
         self.p = self.p0.copy()
         self.p[self.j[kept]] = _smoothed(self.c2[kept], self.c1[self.j[kept] - 1], self.p0[self.j[kept]])
 
+    def facts(self) -> tuple[np.ndarray, ...]:
+        """All that answers up to the triples have brought; `restored` takes it."""
+        return self.counts, self.seen2, self.kept, self.seen3
+
+    def restored(self, facts: bytes, tokens: int, words: int) -> "_Texts":
+        counts, seen2, self.kept, seen3 = unpack(facts)
+        self.set_ones(counts, tokens, words)
+        self.set_twos(seen2)
+        self.set_kept()
+        self.seen3 = seen3
+        self.sure = _sure(self.seen12, seen3 >> 1)
+        return self
+
     def gains2(self) -> tuple[np.ndarray, ...]:
         k = self.k[~self.sure]
         return _divergence(self.context, self.of_context, self.seen3[~self.sure] >> 1, self.c12[~self.sure], self.p[k], self.train[k])
 
     def set_gains2(self, answers: np.ndarray, gain: float) -> np.ndarray:
         """Which of the places after two symbols may have their context extended."""
-        bits = _bits(self.sure, self.seen3 >> 1, self.c12, self.p[self.k], answers[self.of_context], gain)
+        of = unique(self.contexts(self.k[~self.sure], 2))[1]
+        bits = _bits(self.sure, self.seen3 >> 1, self.c12, self.p[self.k], answers[of], gain)
         kept = np.flatnonzero(bits & 1)
         at = self.k[kept]
         self.depth[at] = 2
@@ -208,11 +230,18 @@ def _places(of: np.ndarray, train: np.ndarray, n: int) -> tuple[np.ndarray, np.n
 
 def _divergence(keys, at, c, of, p, train) -> tuple[np.ndarray, ...]:
     """The contexts with this batch's part of their divergence and of what longer ones can gain at most if they are
-    not, and if they are retained; `at` tells the context of each place."""
-    left = np.maximum(c - 1, 0)
-    most = lambda q: np.log((left + ALPHA * q) / ((left + ALPHA) * q))
-    total = lambda v: np.bincount(at, weights=v * train, minlength=len(keys))
-    return keys, total(_gain(c, of, p)), _short(total(most(p))), _short(total(most(_smoothed(c, of, p))))
+    not, and if they are retained; `at` tells the context of each place.
+
+    What an n-gram that occurs once gains is told by the count of its context, and it leaves longer ones nothing to gain.  So
+    the occurrences in training are counted, and those of such n-grams; sums are of the others, for contexts that have others.
+    """
+    total = lambda v, i: np.bincount(at[i], weights=v, minlength=len(keys))
+    trained = np.flatnonzero(train)
+    more = trained[c[trained] > 1]
+    n, others = total(None, trained), total(None, more)
+    c, of, p, some = c[more], of[more], p[more], others > 0
+    most = lambda q: _short(total(np.log((c - 1 + ALPHA * q) / ((c - 1 + ALPHA) * q)), more)[some])
+    return keys, n, n - others, total(_gain(c, of, p), more)[some], most(p), most(_smoothed(c, of, p))
 
 
 def _sure(context: np.ndarray, c: np.ndarray) -> np.ndarray:
@@ -252,9 +281,12 @@ def _kept_or_open(gain: float):
 
     def run(asks: list[list[np.ndarray]]) -> list[tuple]:
         keys, of = unique(np.concatenate([a[0] for a in asks]))
-        total = lambda parts: np.bincount(of, weights=np.concatenate(parts), minlength=len(keys))
-        kept = total([a[1] for a in asks]) > gain
-        most = np.where(kept, total([_long(a[3]) for a in asks]), total([_long(a[2]) for a in asks]))
+        n, once = (np.concatenate([a[i] for a in asks]) for i in (1, 2))
+        some = of[n > once]  # contexts of the sums
+        total = lambda v, at: np.bincount(at, weights=v, minlength=len(keys))
+        sums = lambda i, read: total(read(np.concatenate([a[i] for a in asks])), some)
+        kept = sums(3, np.asarray) + total(once, of) * np.log(ALPHA / (np.maximum(total(n, of), 1) - 1 + ALPHA)) > gain
+        most = np.where(kept, sums(5, _long), sums(4, _long))
         bits = kept + 2 * (most > gain - 1e-6).astype(np.uint8)
         return [(part,) for part in np.split(bits[of], np.cumsum([len(a[0]) for a in asks])[:-1])]
 
@@ -358,7 +390,8 @@ def score(docs: DataFrame, folds: int = FOLDS, gain: float = GAIN, depth: int |
     def ask_ones(batch: int, table: pa.Table, _) -> dict:
         return question(batch, n, *_Texts(table).ones())
 
-    ones = batches.keep(answer(batches.each(ask_ones, ASKED), _counted), "lm-symbols")
+    symbols = batches.stored(answer(batches.each(ask_ones, ASKED), _counted), "lm-symbols")
+    ones = batches.rows(symbols)
     tokens, words = (int(x or 0) for x in ones.select("blob").mapInArrow(_sums, "n long, v long").agg(F.sum("n"), F.sum("v")).first())
 
     def with_ones(table: pa.Table, got: dict) -> _Texts:
@@ -367,13 +400,17 @@ def score(docs: DataFrame, folds: int = FOLDS, gain: float = GAIN, depth: int |
         return t
 
     def ask_twos(batch: int, table: pa.Table, got: dict) -> dict:
-        return question(batch, n, *with_ones(table, got).twos())
+        t = with_ones(table, got)
+        t.pairs()
+        return question(batch, n, *t.twos())
 
-    twos = batches.keep(answer(batches.each(ask_twos, ASKED, ones), _seen), "lm-pairs")
+    pairs = batches.stored(answer(batches.each(ask_twos, ASKED, ones), _seen), "lm-pairs")
+    twos = batches.rows(pairs)
 
     def with_twos(table: pa.Table, got: dict) -> _Texts:
         t = with_ones(table, got)
-        t.set_twos(joined(got[1]))
+        t.pairs()
+        t.triples(t.set_twos(joined(got[1])[t.of2]))
         return t
 
     def ask_threes(batch: int, table: pa.Table, got: dict) -> dict:
@@ -382,7 +419,8 @@ def score(docs: DataFrame, folds: int = FOLDS, gain: float = GAIN, depth: int |
         b["bucket"] = [x + n for x in b["bucket"]]  # gains have buckets of their own
         return {c: a[c] + b[c] for c in a}
 
-    threes = batches.keep(answer(batches.each(ask_threes, ASKED, ones, twos), _counts_or_kept(gain)), "lm-triples")
+    triples = batches.stored(answer(batches.each(ask_threes, ASKED, ones, twos), _counts_or_kept(gain)), "lm-triples")
+    threes = batches.rows(triples)
 
     def with_threes(table: pa.Table, got: dict) -> _Texts:
         t = with_twos(table, got)
@@ -391,13 +429,15 @@ def score(docs: DataFrame, folds: int = FOLDS, gain: float = GAIN, depth: int |
         return t
 
     def ask_gains(batch: int, table: pa.Table, got: dict) -> dict:
-        return question(batch, n, *with_threes(table, got).gains2())
+        t = with_threes(table, got)
+        return _with_state(sums(batch, *t.gains2()), batch, *t.facts())
 
-    gains = batches.keep(answer(batches.each(ask_gains, ASKED, ones, twos, threes), _kept_or_open(gain)), "lm-gains")
+    def sums(batch: int, keys: np.ndarray, times: np.ndarray, once: np.ndarray, *more: np.ndarray) -> dict:
+        return question(batch, n, keys, times, once, some=(times > once, more))
 
     def with_gains(table: pa.Table, got: dict) -> tuple[_Texts, np.ndarray]:
-        t = with_threes(table, got)
-        return t, t.set_gains2(joined(got[3], kind="u1"), gain)
+        t = _Texts(table).restored(got[-1][0], tokens, words)
+        return t, t.set_gains2(joined(got[0], kind="u1"), gain)
 
     def ask_counts(batch: int, t: _Texts, level: _Level, n_symbols: int) -> dict:
         if not len(level.at):
@@ -424,7 +464,7 @@ def score(docs: DataFrame, folds: int = FOLDS, gain: float = GAIN, depth: int |
             at = level.at[open_]
             keys, of = unique(t.contexts(at, n_symbols))
             asked = _divergence(keys, of, level.seen[open_] >> 1, level.of[open_] >> 1, level.p[open_], t.train[at])
-            return _with_state(question(batch, n, *asked), batch, *level.arrays())
+            return _with_state(sums(batch, *asked), batch, *level.arrays())
 
         return run
 
@@ -463,8 +503,14 @@ def score(docs: DataFrame, folds: int = FOLDS, gain: float = GAIN, depth: int |
         folders.remove(batches.spark, asked)
         return own, got
 
+    schema = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+              "base_score double, score double, mean_depth double")
+    first = answered(batches.each(ask_gains, ASKED, ones, twos, threes), "lm-facts", _kept_or_open(gain), "lm-gains", symbols, pairs, triples)
+    if first is None:  # no documents
+        return batches.each(lambda *_: {}, schema)
+    facts, gains = batches.own(first[0]), first[1]
     levels, decisions, level = [], [], 3
-    found = batches.each(ask_third, ASKED, ones, twos, threes, gains) if depth is None or depth >= 3 else None
+    found = batches.each(ask_third, ASKED, gains, own=(facts,)) if depth is None or depth >= 3 else None
     while found is not None:
         counted = answered(found, "lm-contexts", _seen, "lm-counts")
         if counted is None:
@@ -478,17 +524,13 @@ def score(docs: DataFrame, folds: int = FOLDS, gain: float = GAIN, depth: int |
         level += 1
         found = batches.each(next_level(level), ASKED, kept[1], own=(levels[-1],)) if depth is None or level <= depth else None
 
-    kinds = len(levels)
-
     def scored(batch: int, table: pa.Table, got: dict) -> dict:
         t, _ = with_gains(table, got)
-        for k in range(kinds):
-            if got[-1][k] is not None:
-                level, new, bits = decided(t, 3 + k, got[-1][k], got[4 + k])
+        for n_symbols, (state, answers) in enumerate(zip(got[-1][1:], [got[k] for k in range(1, len(got) - 1)]), 3):
+            if state is not None:
+                level, new, bits = decided(t, n_symbols, state, answers)
                 on = bits & 1 > 0
-                t.p[level.at[on]], t.depth[level.at[on]] = new[on], 3 + k
+                t.p[level.at[on]], t.depth[level.at[on]] = new[on], n_symbols
         return t.rows(tokens)
 
-    schema = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
-              "base_score double, score double, mean_depth double")
-    return batches.each(scored, schema, ones, twos, threes, gains, *decisions, own=tuple(levels))
+    return batches.each(scored, schema, gains, *decisions, own=(facts, *levels))
