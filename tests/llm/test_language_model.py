@@ -7,7 +7,7 @@ import pytest
 
 from tests.llm import cases
 from tidefold.llm.exchange import Batches, pack, unique, unpack
-from tidefold.llm.suffix_tree_lm import ADD, ALPHA, GAIN, score
+from tidefold.llm.suffix_tree_lm import ADD, ALPHA, GAIN, _divergence, _seen, score
 from tidefold.sinks import folders
 
 S, E = "<start>", "<end>"
@@ -140,6 +140,34 @@ def test_counts_that_shorter_contexts_tell_are_not_asked(spark, monkeypatch):
     assert contexts and not any(contexts)
 
 
+def test_one_batch_sends_what_all_occurrences_gain():
+    keys = [np.array(k, np.uint64) for k in ([1, 2, 3], [2, 3], [2, 3, 4])]
+    places = [[1, 0, 2], [1, 1], [3, 0, 0]]
+    held = [[0, 1, 0], [0, 0], [0, 0, 1]]
+    seen = [part for (part,) in _seen([[k, np.array(c), np.array(h)] for k, c, h in zip(keys, places, held)])]
+    assert [(s >> 2).tolist() for s in seen] == [[1, 4, 3], [4, 3], [4, 3, 0]]
+    assert [(s & 2).tolist() for s in seen] == [[2, 0, 2], [2, 0], [0, 0, 0]]  # the first batch that trains on it
+    assert [(s & 1).tolist() for s in seen] == [[0, 1, 0], [1, 0], [1, 0, 1]]
+
+    # a context before 7 (three times, here twice), 8 (once) and 9 (twice, which another batch sends)
+    sent = np.array([14, 14, 6, 8])
+    of, p = np.full(4, 6), np.array([0.1, 0.1, 0.2, 0.3])
+    got = _divergence(keys[0][:1], np.zeros(4, np.int64), sent, of, p, np.ones(4, np.int64), np.array([7, 7, 8, 9]))
+    assert [x.tolist() for x in got[1:4]] == [[4], [1], [1]]
+    assert got[4].tolist() == pytest.approx([3 * math.log((2 + ALPHA * 0.1) / ((5 + ALPHA) * 0.1))])
+
+
+def test_answers_are_stored_once(spark, tmp_path, monkeypatch):
+    # answers go to the batches once their facts are stored, and are not kept and shuffled again for each level
+    names = iter(range(1000))
+    monkeypatch.setattr("tidefold.llm.exchange.shared_folder", lambda _, name: f"{tmp_path}/{name}-y{next(names)}")
+    rows = [(k, f"{'red' if k % 3 else 'blue'} w0 w1 w2 {'one' if k % 3 else 'two'}") for k in range(60)]
+    out = score(spark.createDataFrame(rows, "doc_id long, text string").repartition(2), depth=4)
+    for name in ("lm-symbols", "lm-pairs", "lm-triples"):
+        assert not list(tmp_path.glob(f"{name}-*/**/*.parquet"))
+    assert out.count() == 60
+
+
 def test_arrays_keep_their_values():
     wide = np.array([0, 255, 256, 2**40, -1], np.int64)
     parts = [wide, wide[:1], wide[:3], np.array([3, 3, 2**63], np.uint64), np.zeros(0, np.int64), np.array([0.1, -2.0]), np.array([7, 300], np.uint16)]

@@ -32,6 +32,7 @@ empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -109,7 +110,7 @@ class _Texts:
 
     def set_twos(self, seen2: np.ndarray) -> np.ndarray:
         """What is known of the pair that ends at j; the pairs that are followed by k are given back."""
-        self.seen2, self.c2 = seen2, seen2 >> 1
+        self.seen2, self.c2 = seen2, seen2 >> 2
         # places after a candidate context of two symbols; such a place follows one in j, and is the next one there
         i = np.flatnonzero(self.c2 >= 2)
         i = i[np.append(self.token, False)[self.j[i] + 1]]
@@ -127,7 +128,7 @@ class _Texts:
     def set_threes(self, seen: np.ndarray) -> None:
         """What is known of the triple that ends at k."""
         self.seen3[self.open3] = seen[self.of3]
-        self.sure = _sure(self.seen12, self.seen3 >> 1)
+        self.sure = _sure(self.seen12, self.seen3 >> 2)
         used, of = np.zeros(len(self.two), bool), self.of12[~self.sure]
         used[of] = True
         self.context, self.of_context = self.two[used], (np.cumsum(used) - 1)[of]
@@ -162,21 +163,21 @@ class _Texts:
         self.set_twos(seen2)
         self.set_kept()
         self.seen3 = seen3
-        self.sure = _sure(self.seen12, seen3 >> 1)
+        self.sure = _sure(self.seen12, seen3 >> 2)
         return self
 
     def gains2(self) -> tuple[np.ndarray, ...]:
         k = self.k[~self.sure]
-        return _divergence(self.context, self.of_context, self.seen3[~self.sure] >> 1, self.c12[~self.sure], self.p[k], self.train[k])
+        return _divergence(self.context, self.of_context, self.seen3[~self.sure], self.c12[~self.sure], self.p[k], self.train[k], self.of[k])
 
     def set_gains2(self, answers: np.ndarray, gain: float) -> np.ndarray:
         """Which of the places after two symbols may have their context extended."""
         of = unique(self.contexts(self.k[~self.sure], 2))[1]
-        bits = _bits(self.sure, self.seen3 >> 1, self.c12, self.p[self.k], answers[of], gain)
+        bits = _bits(self.sure, self.seen3 >> 2, self.c12, self.p[self.k], answers[of], gain)
         kept = np.flatnonzero(bits & 1)
         at = self.k[kept]
         self.depth[at] = 2
-        self.p[at] = _smoothed(self.seen3[kept] >> 1, self.c12[kept], self.p[at])
+        self.p[at] = _smoothed(self.seen3[kept] >> 2, self.c12[kept], self.p[at])
         return bits & 2 > 0
 
     def whole(self, at: np.ndarray, n: int) -> np.ndarray:
@@ -219,7 +220,7 @@ def _gain(c: np.ndarray, of: np.ndarray, shorter: np.ndarray) -> np.ndarray:
 
 def _told(seen: np.ndarray, of: np.ndarray, shorter: np.ndarray) -> np.ndarray:
     """Whether `seen`, for the context that is one symbol shorter, holds for the longer one too, by the counts of both."""
-    return (seen <= 2) | (of == shorter)
+    return (seen & ~2 <= 4) | (of == shorter)
 
 
 def _places(of: np.ndarray, train: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -228,30 +229,34 @@ def _places(of: np.ndarray, train: np.ndarray, n: int) -> tuple[np.ndarray, np.n
     return got, (np.bincount(of, minlength=n) > got).astype(np.uint8)
 
 
-def _divergence(keys, at, c, of, p, train) -> tuple[np.ndarray, ...]:
+def _divergence(keys, at, seen, of, p, train, symbol) -> tuple[np.ndarray, ...]:
     """The contexts with this batch's part of their divergence and of what longer ones can gain at most if they are
-    not, and if they are retained; `at` tells the context of each place.
+    not, and if they are retained; `at` tells the context of each place, `symbol` what follows it.
 
     What an n-gram that occurs once gains is told by the count of its context, and it leaves longer ones nothing to gain.  So
-    the occurrences in training are counted, and those of such n-grams; sums are of the others, for contexts that have others.
+    the occurrences in training are counted, and those of such n-grams.  Of any other, all occurrences gain alike and one batch
+    sends them all (`_seen`); sums are of those, for contexts that have some here.
     """
+    c = seen >> 2
     total = lambda v, i: np.bincount(at[i], weights=v, minlength=len(keys))
     trained = np.flatnonzero(train)
-    more = trained[c[trained] > 1]
-    n, others = total(None, trained), total(None, more)
-    c, of, p, some = c[more], of[more], p[more], others > 0
-    most = lambda q: _short(total(np.log((c - 1 + ALPHA * q) / ((c - 1 + ALPHA) * q)), more)[some])
-    return keys, n, n - others, total(_gain(c, of, p), more)[some], most(p), most(_smoothed(c, of, p))
+    mine = trained[(c[trained] > 1) & (seen[trained] & 2 > 0)]
+    mine = mine[np.unique(at[mine] * (symbol.max(initial=0) + 1) + symbol[mine], return_index=True)[1]]
+    some = total(None, mine) > 0
+    n, once = total(None, trained), total(None, trained[c[trained] == 1])
+    c, of, p = c[mine], of[mine], p[mine]
+    most = lambda q: _short(total(c * np.log((c - 1 + ALPHA * q) / ((c - 1 + ALPHA) * q)), mine)[some])
+    return keys, n, once, some.astype(np.uint8), total(c * _gain(c, of, p), mine)[some], most(p), most(_smoothed(c, of, p))
 
 
 def _sure(context: np.ndarray, c: np.ndarray) -> np.ndarray:
     """Places that know what their context gains: it occurs twice, before other symbols each time, which gains nothing;
     or always before the symbol at the place, and in no text held out, where others would have to ask.
 
-    `context` is twice its count, and 1 if it may be in texts held out.  All places in training agree in this, and of
+    `context` is what `_seen` tells of it.  All places in training agree in this, and of
     those held out each that asks is answered with the nothing that nobody sent.
     """
-    return ((context >> 1 == 2) & (c == 1)) | (context == 2 * c)
+    return ((context >> 2 == 2) & (c == 1)) | (context & ~2 == 4 * c)
 
 
 def _bits(sure, c, of, p, answers: np.ndarray, gain: float) -> np.ndarray:
@@ -281,12 +286,12 @@ def _kept_or_open(gain: float):
 
     def run(asks: list[list[np.ndarray]]) -> list[tuple]:
         keys, of = unique(np.concatenate([a[0] for a in asks]))
-        n, once = (np.concatenate([a[i] for a in asks]) for i in (1, 2))
-        some = of[n > once]  # contexts of the sums
+        n, once, has = (np.concatenate([a[i] for a in asks]) for i in (1, 2, 3))
+        some = of[has > 0]  # contexts of the sums
         total = lambda v, at: np.bincount(at, weights=v, minlength=len(keys))
         sums = lambda i, read: total(read(np.concatenate([a[i] for a in asks])), some)
-        kept = sums(3, np.asarray) + total(once, of) * np.log(ALPHA / (np.maximum(total(n, of), 1) - 1 + ALPHA)) > gain
-        most = np.where(kept, sums(5, _long), sums(4, _long))
+        kept = sums(4, np.asarray) + total(once, of) * np.log(ALPHA / (np.maximum(total(n, of), 1) - 1 + ALPHA)) > gain
+        most = np.where(kept, sums(6, _long), sums(5, _long))
         bits = kept + 2 * (most > gain - 1e-6).astype(np.uint8)
         return [(part,) for part in np.split(bits[of], np.cumsum([len(a[0]) for a in asks])[:-1])]
 
@@ -297,8 +302,7 @@ def _kept_or_open(gain: float):
 class _Level:
     """Places after candidate contexts of n symbols, in order, and what is known of them.
 
-    of: twice the count of the context, and 1 if it may be in texts held out; seen: the same of the context with its
-    next symbol; -1 is not known.  p: the prediction of the shorter context.  once: places after contexts that no two places have.
+    of: what `_seen` tells of the context; seen: the same of the context with its next symbol; -1 is not known.  p: the prediction of the shorter context.  once: places after contexts that no two places have.
     """
 
     at: np.ndarray
@@ -310,9 +314,9 @@ class _Level:
     @staticmethod
     def made(at: np.ndarray, p: np.ndarray, of: np.ndarray, shorter: np.ndarray, seen: np.ndarray) -> "_Level":
         """From `of` and what is known of the places for the context that is one symbol shorter."""
-        dead = (of >= 0) & (of < 4)
+        dead = (of >= 0) & (of < 8)
         ok = ~dead
-        return _Level(at[ok], p[ok], of[ok], np.where(_told(seen, of >> 1, shorter >> 1), seen, -1)[ok], at[dead])
+        return _Level(at[ok], p[ok], of[ok], np.where(_told(seen, of >> 2, shorter >> 2), seen, -1)[ok], at[dead])
 
     @staticmethod
     def read(blob: bytes) -> "_Level":
@@ -326,15 +330,15 @@ class _Level:
         """With the counts that were asked for; only contexts that occur twice stay candidates."""
         of, seen, n = self.of.copy(), self.seen.copy(), np.count_nonzero(self.of < 0)
         of[of < 0], seen[seen < 0] = found[:n], found[n:]
-        ok = of >= 4
+        ok = of >= 8
         return _Level(self.at[ok], self.p[ok], of[ok], seen[ok], np.sort(np.concatenate([self.once, self.at[~ok]])))
 
     def sure(self) -> np.ndarray:
-        return _sure(self.of, self.seen >> 1)
+        return _sure(self.of, self.seen >> 2)
 
     def before(self, at: np.ndarray) -> np.ndarray:
         """What is known of the contexts of one symbol more at the given places; -1 where the place before was not looked at."""
-        out = np.where(np.isin(at - 1, self.once), 2, -1)
+        out = np.where(np.isin(at - 1, self.once), 4, -1)
         i = np.minimum(np.searchsorted(self.at, at - 1), max(len(self.at) - 1, 0))
         return np.where(self.at[i] == at - 1, self.seen[i], out) if len(self.at) else out
 
@@ -365,10 +369,18 @@ def _counts_or_kept(gain: float):
 
 
 def _seen(asks: list[list[np.ndarray]]) -> list[tuple]:
-    """Twice the count in training, and 1 where a text held out has the n-gram."""
+    """Four times the count in training, 2 for the first batch that has the n-gram there, and 1 where a text held out has it.
+
+    That batch sends what all its occurrences gain (`_divergence`).
+    """
     keys, of = unique(np.concatenate([a[0] for a in asks]))
-    total, held = (np.bincount(of, weights=np.concatenate([a[i] for a in asks]), minlength=len(keys)).astype(np.int64) for i in (1, 2))
-    return [(part,) for part in np.split((2 * total + (held > 0))[of], np.cumsum([len(a[0]) for a in asks])[:-1])]
+    here, held = (np.concatenate([a[i] for a in asks]) for i in (1, 2))
+    total, held = (np.bincount(of, weights=v, minlength=len(keys)).astype(np.int64) for v in (here, held))
+    seen, trained = (4 * total + (held > 0))[of], np.flatnonzero(here)
+    first = np.full(len(keys), -1)
+    first[of[trained[::-1]]] = trained[::-1]  # the last one written stays
+    seen[first[first >= 0]] += 2
+    return [(part,) for part in np.split(seen, np.cumsum([len(a[0]) for a in asks])[:-1])]
 
 
 def _sums(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -386,9 +398,11 @@ def score(docs: DataFrame, folds: int = FOLDS, gain: float = GAIN, depth: int |
     """
     batches = Batches.write(docs.select("doc_id", "text"), "lm-batches", prepare=_Texts.prepared(folds))
     n = batches.buckets
+    # fewer keys go to fewer buckets, as a batch sends a row to each
+    half, few = math.ceil(n / 2), math.ceil(n / 4)
 
     def ask_ones(batch: int, table: pa.Table, _) -> dict:
-        return question(batch, n, *_Texts(table).ones())
+        return question(batch, half, *_Texts(table).ones())
 
     symbols = batches.stored(answer(batches.each(ask_ones, ASKED), _counted), "lm-symbols")
     ones = batches.rows(symbols)
@@ -415,7 +429,7 @@ def score(docs: DataFrame, folds: int = FOLDS, gain: float = GAIN, depth: int |
 
     def ask_threes(batch: int, table: pa.Table, got: dict) -> dict:
         t = with_twos(table, got)
-        a, b = question(batch, n, *t.threes()), question(batch, n, *t.gains1())
+        a, b = question(batch, n, *t.threes()), question(batch, half, *t.gains1())
         b["bucket"] = [x + n for x in b["bucket"]]  # gains have buckets of their own
         return {c: a[c] + b[c] for c in a}
 
@@ -430,10 +444,10 @@ def score(docs: DataFrame, folds: int = FOLDS, gain: float = GAIN, depth: int |
 
     def ask_gains(batch: int, table: pa.Table, got: dict) -> dict:
         t = with_threes(table, got)
-        return _with_state(sums(batch, *t.gains2()), batch, *t.facts())
+        return _with_state(sums(batch, half, *t.gains2()), batch, *t.facts())
 
-    def sums(batch: int, keys: np.ndarray, times: np.ndarray, once: np.ndarray, *more: np.ndarray) -> dict:
-        return question(batch, n, keys, times, once, some=(times > once, more))
+    def sums(batch: int, buckets: int, keys: np.ndarray, times: np.ndarray, once: np.ndarray, some: np.ndarray, *more: np.ndarray) -> dict:
+        return question(batch, buckets, keys, times, once, some, some=(some > 0, more))
 
     def with_gains(table: pa.Table, got: dict) -> tuple[_Texts, np.ndarray]:
         t = _Texts(table).restored(got[-1][0], tokens, words)
@@ -443,12 +457,12 @@ def score(docs: DataFrame, folds: int = FOLDS, gain: float = GAIN, depth: int |
         if not len(level.at):
             return {}
         keys, of, at = t.asked(level, n_symbols)
-        return _with_state(question(batch, n, keys, *_places(of, t.train[at], len(keys))), batch, *level.arrays())
+        return _with_state(question(batch, few, keys, *_places(of, t.train[at], len(keys))), batch, *level.arrays())
 
     def ask_third(batch: int, table: pa.Table, got: dict) -> dict:
         t, more = with_gains(table, got)
         more[more] = t.whole(t.k[more], 3)
-        at, seen = t.k[more], np.full(len(t.symbol), 2)
+        at, seen = t.k[more], np.full(len(t.symbol), 4)
         seen[t.k] = t.seen3
         return ask_counts(batch, t, _Level.made(at, t.p[at], seen[at - 1], t.seen12[more], seen[at]), 3)
 
@@ -463,15 +477,15 @@ def score(docs: DataFrame, folds: int = FOLDS, gain: float = GAIN, depth: int |
             open_ = ~level.sure()
             at = level.at[open_]
             keys, of = unique(t.contexts(at, n_symbols))
-            asked = _divergence(keys, of, level.seen[open_] >> 1, level.of[open_] >> 1, level.p[open_], t.train[at])
-            return _with_state(sums(batch, *asked), batch, *level.arrays())
+            asked = _divergence(keys, of, level.seen[open_], level.of[open_] >> 2, level.p[open_], t.train[at], t.of[at])
+            return _with_state(sums(batch, few, *asked), batch, *level.arrays())
 
         return run
 
     def decided(t: _Texts, n_symbols: int, state: bytes, answers: dict) -> tuple[_Level, np.ndarray, np.ndarray]:
         """Places after contexts of so many symbols, the predictions of these, and their bits."""
         level = _Level.read(state)
-        sure, c, of = level.sure(), level.seen >> 1, level.of >> 1
+        sure, c, of = level.sure(), level.seen >> 2, level.of >> 2
         got = joined(answers, kind="u1")[unique(t.contexts(level.at[~sure], n_symbols))[1]]
         return level, _smoothed(c, of, level.p), _bits(sure, c, of, level.p, got, gain)
 
