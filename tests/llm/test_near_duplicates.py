@@ -184,6 +184,44 @@ def test_embeddings(spark):
     assert pca_tiles.link(df.limit(0)).collect() == []
 
 
+def test_embeddings_in_rounds(spark):
+    r = np.random.default_rng(4)
+    centre = r.normal(size=(70, 48))
+    vectors = (centre[np.arange(600) % 70] + r.normal(scale=0.3, size=(600, 48))).astype(np.float32)
+    rows = [(int(k), v.tolist()) for k, v in enumerate(vectors)] + [(1000 + k, vectors[3].tolist()) for k in range(30)]
+    unit = np.array([v for _, v in rows])
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    a, b = np.nonzero(unit @ unit.T >= 0.9)
+    label = components.forest(len(rows), a, b)
+    want = [(i, int((a == n).sum()) - 1, rows[label[n]][0]) for n, (i, _) in enumerate(rows)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(5)
+    # some 40 tiles, three in a round
+    got = [(x.vec_id, x.n_links, x.component_id) for x in pca_tiles.link(df, tile=16, chunk_bytes=3 * 16 * 48 * 4).collect()]
+    assert sorted(got) == sorted(want) and max(n for _, n, _ in want) > 30
+
+
+def test_tiles_are_not_shuffled_for_each_other(spark):
+    import os
+    from threading import Event, Thread
+
+    x = np.random.default_rng(4).normal(size=(1200, 64)).astype(np.float32)
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<float>")
+    held, over = [], Event()
+
+    def watch():  # files go when the driver collects its garbage
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        while not over.wait(0.05):
+            held.append(sum(os.path.getsize(f) for f in files.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f and os.path.exists(f)))
+
+    watcher = Thread(target=watch)
+    watcher.start()
+    # vectors without near ones: all of some 80 tiles are compared with all
+    links = {x.n_links for x in pca_tiles.link(df, tile=16).collect()}
+    over.set()
+    watcher.join()
+    assert links == {0} and max(held) - held[0] < 8 * x.nbytes
+
+
 def test_pairs_are_cut_by_bytes():
     import pyarrow as pa
 
