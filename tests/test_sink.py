@@ -231,3 +231,39 @@ def test_a_bucket_is_cut_into_tasks(spark, tmp_path, monkeypatch):
         assert len(files) >= 4
     placed = table.read(with_bucket=True).select((table.bucket() == F.col("_bucket")).alias("right"), keyless.COUNT)
     assert placed.filter("NOT right").isEmpty()
+
+
+def test_buckets_are_merged_in_turns(spark, tmp_path, monkeypatch):
+    """What a merge shuffles does not grow with the table, and leaves the disk when its turn ends."""
+    import os
+
+    from tidefold.sinks import bucket_table
+    from tidefold.sinks.folders import FREED
+
+    monkeypatch.setattr(bucket_table, "TURN_ROWS", 500, raising=False)
+    row = "struct<a:bigint,b:string>"
+    event = lambda op, before, after: F.struct(F.lit(op).alias("op"), before.cast(row).alias("before"), after.cast(row).alias("after"))
+    image, other, none = F.struct("id", F.lit("x")), F.struct("id", F.lit("y")), F.lit(None)
+    place = lambda df, n: df.select(F.lit("t").alias("topic"), F.lit(0).alias("partition"), (F.col("id") + n).alias("offset"),
+                                    F.lit(None).cast("timestamp").alias("timestamp"), F.lit("CREATE_TIME").alias("timestamp_type"),
+                                    F.lit(None).cast("struct<id:bigint>").alias("key"), "value")
+
+    def shuffled() -> dict[str, int]:
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return {f: os.path.getsize(f) for f in files.split("\n") if "shuffle_" in f and f.endswith(".data") and os.path.exists(f)}
+
+    s = ConfiguredSink(spark, Settings({"cdc.handler": "mysql", "keyless": "true"}), str(tmp_path), buckets=2)
+    there = set(shuffled())
+    s.apply(place(spark.range(3000).withColumn("value", event("c", none, image)), 0), 0)
+    left = {f: n for f, n in shuffled().items() if f not in there}
+    changes = spark.range(3000).filter("id % 10 = 0").withColumn("value", event("d", image, none)).unionByName(
+        spark.range(3000).filter("id % 10 = 1").withColumn("value", event("u", image, other)))
+    s.apply(place(changes, 10_000), 1)
+    rows = s.rows("t").collect()
+    assert sorted((r["a"], r["b"]) for r in rows) == [(i, "y" if i % 10 == 1 else "x") for i in range(3000) if i % 10]
+    table = s.table("t")
+    # 3,600 rows in 8 turns: four parts of each bucket, each written by itself
+    writers = {f.rsplit("/", 1)[1].split("-", 2)[2].split(".")[0] for f in table.read().inputFiles()}
+    assert len(writers) == 8 and table.read().groupBy("k").count().filter("count > 1").isEmpty()
+    assert table.read().agg(F.max(F.length("k"))).first()[0] == 22
+    assert sum(left.values()) < 10_000 and spark.conf.get(FREED) == "false"

@@ -40,7 +40,7 @@ def image_changes(log: DataFrame, columns: Sequence[str]) -> DataFrame:
 def image_ops(log: DataFrame) -> DataFrame:
     """Images that change events add and take away, with the reason of bad records: k, doc, n, err.
 
-    `k` stands for the image: a hash of its canonical text without nulls, so that new columns do not change it.
+    `k` stands for the image: 128 bits of a hash of its canonical text without nulls, so that new columns do not change it.
     """
     df = skip_tombstones(log)
     op, value = op_code(df), F.col("value")
@@ -57,13 +57,14 @@ def image_ops(log: DataFrame) -> DataFrame:
     sides = F.array(F.when(bad | takes, one(before, -1)), F.when(gives & ~bad, one(after, 1)))
     sides = F.filter(sides, lambda s: s.isNotNull())
     rows = df.select(*log_position(df), "err", F.explode(sides).alias("s"))
-    k = F.sha2(jsontext.struct_text(F.col("s.doc"), dtype, nulls=False), 256)
-    return rows.select(*log_position(df), k.alias("k"), "s.doc", f"s.{COUNT}", "err")
+    hashed = F.unhex(F.substring(F.sha2(jsontext.struct_text(F.col("s.doc"), dtype, nulls=False), 256), 1, 32))
+    return rows.select(*log_position(df), hashed.alias("k"), "s.doc", f"s.{COUNT}", "err")
 
 
 def fold_images(ops: DataFrame) -> DataFrame:
-    """One row per image, with what is added to its count; images that come out even are gone."""
-    return ops.groupBy("k").agg(F.first("doc").alias("doc"), F.sum(COUNT).alias(COUNT)).filter(F.col(COUNT) != 0)
+    """One row per image, with what is added to its count; images that come out even are gone.  `k` becomes text."""
+    left = ops.groupBy("k").agg(F.first("doc").alias("doc"), F.sum(COUNT).alias(COUNT)).filter(F.col(COUNT) != 0)
+    return left.withColumn("k", F.substring(F.base64("k"), 1, 22))  # less the padding
 
 
 def merge_images(target: DataFrame, delta: DataFrame) -> DataFrame:

@@ -12,6 +12,9 @@ only; a version that was not published is overwritten by the next attempt.
 Rows are spread by a hash of their unique key, so buckets stay even.  A bucket that is more than one task's
 work is cut into several tasks, each of which writes a file of it: a task's memory does not grow with the
 table.  Size the number of buckets by what a small batch should rewrite (some 256 MB each).
+
+The changes of a batch are stored before they are merged, and where they and the stored rows are many, buckets
+or parts of them are merged in turns: what is shuffled lies on disk for one turn only, beside the old version and the new.
 """
 
 from __future__ import annotations
@@ -33,6 +36,8 @@ BUCKET = "_bucket"
 OFFSETS = "topic string, partition int, offset bigint, time timestamp"
 # what a task merges, of the changes and the stored rows together: rows, and bytes as JSON text
 TASK_ROWS, TASK_BYTES = 500_000, 128 << 20
+TURN_ROWS = 10_000_000  # rows that are shuffled at once for a merge
+PACKING = "zstd"  # hashed keys are most of a row of a table without key
 PACKED = 4  # bytes of JSON text per byte of a Parquet file, roughly
 WIDTHS = 16  # one key in so many is measured for the mean width of rows; only the number of tasks depends on it
 REJECTS = "topic string, partition int, offset bigint, k string, err string, key string, value string"
@@ -93,13 +98,12 @@ class BucketTable:
         """The rows dealt to `tasks` partitions per bucket: their number is a multiple of the buckets, so none holds two."""
         return df.repartition(self.buckets * tasks, *self.keys)
 
-    def _tasks(self, counted: Sequence, base: DataFrame | None, before: Manifest | None) -> int:
-        """Tasks per bucket, from what is counted of the changes per bucket and the size of the stored rows."""
-        rows = sum(r["n"] for r in counted)
+    def _tasks(self, counted: Sequence, held: int, before: Manifest | None) -> int:
+        """Tasks per bucket, from what is counted of the changes per bucket and the number and size of the stored rows."""
+        rows = held + sum(r["n"] for r in counted)
         measured = sum(r["measured"] for r in counted)
         size = rows * sum(r["width"] or 0 for r in counted) / max(1, measured)
-        if base is not None:
-            rows += base.count()
+        if before is not None:
             for r in counted:
                 if r[BUCKET] in before.buckets:
                     size += PACKED * folders.size(self.spark, f"{self.path}/data/v={before.buckets[r[BUCKET]][0]}/{BUCKET}={r[BUCKET]}")
@@ -174,23 +178,42 @@ class BucketTable:
         before = self.manifest()
         if before and before.applied.get(source, -1) >= batch:
             return
-        delta = delta.persist()
+        folder = folders.shared_folder(self.spark, "changes")
         try:
+            delta.write.option("compression", PACKING).parquet(folder)
+            delta = self.spark.read.schema(delta.schema).parquet(folder)
             width = F.when(F.pmod(F.xxhash64(*self.keys), F.lit(WIDTHS)) == 0, F.length(F.to_json(F.struct(*delta.columns))))
             counted = delta.select(self.bucket(), width.alias("w")).groupBy(BUCKET).agg(
                 F.count(F.lit(1)).alias("n"), F.count("w").alias("measured"), F.sum("w").alias("width")).collect()
-            touched = [r[BUCKET] for r in counted]
+            touched = sorted(r[BUCKET] for r in counted)
             base = self.read(touched, at=before) if before else None
-            tasks = self._tasks(counted, base, before)
+            held = base.count() if before else 0
+            tasks = self._tasks(counted, held, before)
             changes = delta
             if resolve is not None:
                 changes, bad = resolve(base, delta)
                 if bad is not None:
                     self.reject(bad, batch, source, "merge")
-            rows = merge(None if base is None else self.by_bucket(base, tasks), self.by_bucket(changes, tasks))
-            self._publish(rows, touched, before, {source: batch}, log)
+            turns = max(1, ceil((held + sum(r["n"] for r in counted)) / TURN_ROWS))
+            cuts = max(1, ceil(turns / max(1, len(touched))))  # of a bucket
+
+            def merged(old: DataFrame | None, new: DataFrame) -> DataFrame:
+                dealt = lambda df: self.by_bucket(df, ceil(tasks / cuts))
+                return merge(None if old is None else dealt(old), dealt(new))
+
+            def turn(buckets: list[int], cut: int) -> DataFrame:
+                mine = F.pmod(F.xxhash64(*self.keys), F.lit(cuts)) == cut
+                old = None if before is None else self.read(buckets, at=before).filter(mine)
+                return merged(old, changes.filter(self.bucket().isin(buckets) & mine))
+
+            if turns == 1:
+                parts = [merged(base, changes)]
+            else:
+                groups = min(turns, len(touched))
+                parts = [turn(touched[n::groups], cut) for n in range(groups) for cut in range(cuts)]
+            self._publish(parts, touched, before, {source: batch}, log)
         finally:
-            delta.unpersist()
+            folders.remove(self.spark, folder)
 
     def reject(self, rows: DataFrame, batch: int, source: str, stage: str) -> None:
         """Write rejects of a batch; a batch that is tried again replaces its own."""
@@ -212,7 +235,7 @@ class BucketTable:
     def overwrite(self, rows: DataFrame) -> None:
         """Replace all rows."""
         before = self.manifest()
-        self._publish(self.by_bucket(rows), list(before.buckets) if before else [], before, {}, None)
+        self._publish([self.by_bucket(rows)], list(before.buckets) if before else [], before, {}, None)
 
     def truncate(self, forget_applied: bool = True) -> None:
         """Drop all rows and keep the schema; a log that was applied can then be applied again."""
@@ -228,14 +251,16 @@ class BucketTable:
         out, before = replace(self, path=path, buckets=buckets), self.manifest()
         if before is not None:
             marks = self.offsets(before)
-            out._publish(out.by_bucket(self.read(at=before)), [], None, before.applied, marks)
+            out._publish([out.by_bucket(self.read(at=before))], [], None, before.applied, marks)
         return out
 
-    def _publish(self, rows, touched: list[int], before: Manifest | None, applied: dict[str, int], log) -> None:
-        version, schema = (before.version + 1 if before else 0), rows.schema.json()
+    def _publish(self, parts: Sequence[DataFrame], touched: list[int], before: Manifest | None, applied: dict[str, int], log) -> None:
+        """Write the rows of all parts, one after the other, and name them in a new manifest."""
+        version, schema = (before.version + 1 if before else 0), parts[0].schema.json()
         data = f"{self.path}/data/v={version}"
-        out = rows.withColumn(BUCKET, self.bucket()).write.mode("overwrite").partitionBy(BUCKET)
-        out.option("maxRecordsPerFile", self.rows_per_file).parquet(data)
+        for n, rows in enumerate(parts):
+            out = rows.withColumn(BUCKET, self.bucket()).write.mode("append" if n else "overwrite").partitionBy(BUCKET)
+            out.option("maxRecordsPerFile", self.rows_per_file).option("compression", PACKING).parquet(data)
         offsets = before.offsets if before else None
         if log is not None:
             seen = last_offsets(log, self.offsets(before) if before else None)

@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field as attribute
-from math import ceil
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -23,11 +23,11 @@ from tidefold.operators import keyless, route
 from tidefold.plans.settings import Settings
 from tidefold.plans.target_plan import Registry, TargetPlan
 from tidefold.sinks import folders
-from tidefold.sinks.bucket_table import BucketTable
+from tidefold.sinks.bucket_table import PACKING, BucketTable
 from tidefold.sources.decode import Decoder, decode
 from tidefold.streaming.apply import apply_stream, apply_targets
 
-SCAN_ROWS = 1_000_000  # records that a task reduces, where a file split holds more
+SCAN_ROWS = 1_000_000  # records that a file of the stored log holds, and that a task reduces where a split holds more
 
 
 @dataclass
@@ -70,7 +70,7 @@ class ConfiguredSink:
         """
         folder = folders.shared_folder(self.spark, "routed")
         routed = self.routed(log)
-        routed.write.partitionBy("target").parquet(folder)
+        routed.write.partitionBy("target").option("compression", PACKING).option("maxRecordsPerFile", SCAN_ROWS).parquet(folder)
         routed = self.spark.read.schema(routed.schema).parquet(folder)
         try:
             # as many rows as there are topics
@@ -79,7 +79,7 @@ class ConfiguredSink:
             for r in counted:
                 size[r["target"]] += r["count"]
             targets, several = list(topics), [t for t, n in topics.items() if n > 1]
-            spread = {t: ceil(n / SCAN_ROWS) for t, n in size.items() if n > SCAN_ROWS * self.scans(routed, t)}
+            small = [t for t, n in size.items() if n > SCAN_ROWS * self.scans(routed, t)]
             decoded = decode(routed, self.key_decoder, self.value_decoder)
             plans = {t: self.plan(t) for t in targets}
             tables = {t: self.table(t) for t in targets}
@@ -88,7 +88,11 @@ class ConfiguredSink:
                 if p.keeps_rejects():
                     self.write_rejects(p, tables[t], routed, decoded, batch, source)
             resolves = {t: p.resolve for t, p in plans.items() if p.resolves()}
-            apply_targets(tables, decoded, steps, batch, self.fence, source, resolves, several, spread)
+            held = {folders.FREED: "true"}
+            if small:
+                held[folders.SPLIT] = self.split(folder, size, small)
+            with folders.settings(self.spark, held):
+                apply_targets(tables, decoded, steps, batch, self.fence, source, resolves, several)
         finally:
             folders.remove(self.spark, folder)
 
@@ -96,6 +100,11 @@ class ConfiguredSink:
         """Tasks that read the stored log of a target: few, where its records are small."""
         return max(1, routed.filter(routed["target"] == target).rdd.getNumPartitions())
 
+    def split(self, folder: str, sizes: Mapping[str, int], targets: Sequence[str]) -> str:
+        """Bytes of the stored log that hold `SCAN_ROWS` records of any of the targets, as its files do."""
+        stored = {unquote(n.split("=", 1)[1]): folders.size(self.spark, f"{folder}/{n}") for n in folders.children(self.spark, folder) if "=" in n}
+        return str(max(1 << 20, min(stored.get(t, 0) * SCAN_ROWS // sizes[t] * 5 // 4 for t in targets)))
+
     def write_rejects(
         self, plan: TargetPlan, table: BucketTable, routed: DataFrame, decoded: DataFrame, batch: int, source: str
     ) -> None:
