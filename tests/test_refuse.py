@@ -139,3 +139,68 @@ def test_scalars_are_found_without_python(spark, text, path, want):
     df = spark.createDataFrame([(text, path)], "t string, p array<string>").select(holds_scalar(F.col("t"), F.col("p")).alias("is"))
     assert "EvalPython" not in plan_of(df)
     assert df.first()["is"] is want
+
+
+@pytest.mark.parametrize("most, batch", [(100_000, 3), (20, 7), (0, 10_000)])
+def test_keys_in_one_pass_and_in_rounds(spark, tmp_path, monkeypatch, most, batch):
+    """Short keys are settled by a pass over their events, whatever the batches; keys of over `KEY_EVENTS` in rounds."""
+    from tidefold.operators import refuse
+
+    monkeypatch.setattr(refuse, "KEY_EVENTS", most)
+    rounds = []
+    monkeypatch.setattr(refuse, "_in_rounds", lambda df, run=refuse._in_rounds: rounds.append(1) or run(df))
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        rng = random.Random(7)
+        log = random_log(rng, 200, 12)
+        log = [(i, k if k < 11 or rng.random() < 0.3 else 0, op, body and {**body, "_id": 0} if k == 11 and op == "c" else body) for i, k, op, body in log]
+        log = [(i, k, op, {**body, "_id": k} if op == "c" else body) for i, k, op, body in log]
+        s = patches(spark, tmp_path, "reject")
+        state, bad = {}, set()
+        for n, part in enumerate((log[:110], log[110:])):
+            s.apply(events(spark, [as_record(k, op, body) for _, k, op, body in part], part[0][0]), n)
+            state, more = replay(state, part)
+            bad |= more
+        assert stored(s) == {str(k): v for k, v in state.items()}
+        assert bad and {r["offset"] for r in s.table("docs").rejected().collect()} == bad
+        assert bool(rounds) == (most < 100_000)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+
+
+def test_whole_documents_pass_beside_python(spark):
+    """A replacement with plain fields is written in the JVM, as Python would write it; others go through Python."""
+    from tidefold.operators import fold_nested
+
+    def writes(*fields, act="replace", later=()):
+        first = [("", act, None, 1, None), *((path, "set", text, 1, 1) for path, text in sorted(fields))]
+        return [*first, *((path, "set", text, 2, 2) for path, text in later)]
+
+    rows = {
+        "plain": writes(("_id", "1"), ("b c", '"é x"'), ("n", "-1.50E+3"), ("z", "null"), ("t", "true")), "none": writes(),
+        "escape": writes(("a", r'"x\ny"')), "nested": writes(("a", '{"y":1, "x":[1.0]}')), "dots": writes(("a.b", "1")),
+        "name": writes(('q"', "1")), "line": writes(("a\n", "1")), "later": writes(("a", "1"), later=[("a", "2"), ("b.c", "3")]), "gone": writes(act="delete"),
+    }
+    kind = "array<struct<path:string,act:string,text:string,nth:int,made:int>>"
+    delta = spark.createDataFrame(list(rows.items()), f"k string, writes {kind}")
+    target = spark.createDataFrame([(k, '{"old":1}') for k in rows], "k string, doc string")
+    got = {r["k"]: r["doc"] for r in fold_nested.merge_paths(target, delta).collect()}
+    named = {k: [dict(zip(("path", "act", "text", "nth", "made"), w)) for w in v] for k, v in rows.items()}
+    assert got == {k: fold_nested._applied('{"old":1}', v)[0] for k, v in named.items() if k != "gone"}
+    beside = {r["k"] for r in delta.filter(fold_nested.whole_document(F.col("writes")).isNotNull()).collect()}
+    assert beside == {"plain", "none"}
+
+
+def test_documents_are_judged_once(spark, tmp_path, monkeypatch):
+    """What is rejected and what is applied comes of one stored parse of the texts, also when a batch repeats records."""
+    from tidefold.plans.target_plan import TargetPlan
+
+    judged = []
+    monkeypatch.setattr(TargetPlan, "judged", lambda self, log, run=TargetPlan.judged: judged.append(1) or run(self, log))
+    s = patches(spark, tmp_path, "reject")
+    log = [(1, "c", {"_id": 1, "a": 0}), (2, "u", {"$set": {"a.0": 1}}), (1, "u", {"$set": {"a": 1}})]
+    s.apply(events(spark, [as_record(*r) for r in log]), 0)
+    s.apply(events(spark, [as_record(*r) for r in [*log, (1, "u", {"$set": {"b": 2}})]]), 1)
+    assert stored(s) == {"1": {"_id": 1, "a": 1, "b": 2}} and len(judged) == 2
+    assert {(r["offset"], r["err"]) for r in s.table("docs").rejected().collect()} == {(1, "path addresses an array element")}
